@@ -5,7 +5,7 @@ Level by level, deterministic coin tossing groups names into phrases: a run of o
 reduced to labels below six by the lowest bit in which neighbours differ, and phrases start at local maxima of the labels
 and at minima between them. A phrase's name is the hash of its parts, and phrases of a level are the next level's text. Where to cut
 depends on a few neighbours only, so equal substrings have equal phrases inside, at any offset, on every level.
-The fingerprint holds the top name and the ``k`` smallest hashes among the phrase names of all levels. All documents of a
+The fingerprint holds the top name and the ``k`` smallest hashes among the phrase names of all levels, each occurrence counted. All documents of a
 block are parsed at once in numpy.
 """
 
@@ -148,6 +148,11 @@ def sketches(texts: list[bytes], k: int = K) -> list[str]:
         return ["0" * 16] * len(texts)
     d, h = np.concatenate(docs), (_scramble(np.concatenate(kept)) >> np.uint64(32)).astype(np.int64)
     key = np.sort(d << 32 | h)
+    # a phrase counts as often as it occurs: its n-th occurrence has a hash of its own
+    first = np.r_[True, key[1:] != key[:-1]]
+    nth = np.arange(len(key)) - np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+    h = _scramble((key & 0xFFFFFFFF).astype(np.uint64) + (nth.astype(np.uint64) << np.uint64(32))) >> np.uint64(32)
+    key = np.sort((key >> 32) << 32 | h.astype(np.int64))
     key = key[np.r_[True, key[1:] != key[:-1]]]
     d = key >> 32
     bounds = np.searchsorted(d, np.arange(len(texts) + 1))

@@ -107,8 +107,8 @@ win AS (
   SELECT DISTINCT item_id, w[i : i + least(len(w), 10) - 1] AS g FROM b, range(1, greatest(len(w) - 9, 1) + 1) t(i) WHERE len(w) > 0
 ), d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 sizes AS (SELECT DISTINCT len(g) AS n FROM win),
-at AS (SELECT doc_id, i, n, w[i : i + n - 1] AS g FROM d, sizes, range(1, len(w) - n + 2) t(i) WHERE len(w) >= n),
-hit AS (SELECT doc_id, i, at.n, item_id FROM at JOIN win ON at.g = win.g),
+grams AS (SELECT doc_id, i, n, w[i : i + n - 1] AS g FROM d, sizes, range(1, len(w) - n + 2) t(i) WHERE len(w) >= n),
+hit AS (SELECT doc_id, i, grams.n, item_id FROM grams JOIN win ON grams.g = win.g),
 words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM hit, range(i, i + n) t(j) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -26,15 +26,22 @@ from tidemark.storage import materialize
 
 SEED = 42
 CELL_LIMIT = 20_000
-#: Bits set in each byte value, most significant first.
-BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 LOW = np.uint64(0x5555555555555555)
 
 
+def bit_totals(rows: np.ndarray) -> np.ndarray:
+    """How many rows (of bytes) have each bit; summed as bytes, 255 rows at a time."""
+    total = np.zeros(8 * rows.shape[1], np.int64)
+    for at in range(0, len(rows), 255 * 16):
+        bits = np.unpackbits(np.ascontiguousarray(rows[at : at + 255 * 16]).ravel()).reshape(-1, len(total))
+        for k in range(0, len(bits), 255):
+            total += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
+    return total
+
+
 def simhash(text: bytes | None, width: int = 3) -> int:
     """Signed 64-bit fingerprint of a text's word shingles, repeats included; no words (or null): 0; fewer than ``width`` words: one shingle of all."""
-    digest, counts, total = xxhash.xxh64_digest, np.zeros(2048, np.int64), 0
-    column = np.arange(8, dtype=np.int64) * 256
+    digest, ones, total = xxhash.xxh64_digest, np.zeros(64, np.int64), 0
     tail: list[bytes] = []
     short = True
     for block in word_blocks((text or b"").translate(LOWER)):
@@ -46,14 +53,13 @@ def simhash(text: bytes | None, width: int = 3) -> int:
         for at in range(0, len(words) - width + 1, 1 << 16):
             part = words[at : at + (1 << 16) + width - 1]
             h = np.frombuffer(b"".join([digest(b" ".join(s), SEED) for s in zip(*(part[k:] for k in range(width)), strict=False)]), np.uint8).reshape(-1, 8)
-            counts += np.bincount((h + column).ravel(), minlength=2048)
+            ones += bit_totals(h)
             total += len(h)
         tail = words[len(words) - width + 1 :] if width > 1 else []
     if short:
         if not tail:
             return 0
         return int.from_bytes(digest(b" ".join(tail), SEED), "big", signed=True)
-    ones = np.einsum("kb,bj->kj", counts.reshape(8, 256), BITS).ravel()
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big", signed=True)
 
 
@@ -72,7 +78,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
 
 
 def embed(fp: np.ndarray) -> np.ndarray:
-    """Bit counts (0, 1, 2) of 32 two-bit segments in unary, so that Manhattan distance is the bit count of an exclusive or."""
+    """Bit counts (0, 1, 2) of two-bit segments in unary, so that Manhattan distance is the bit count of an exclusive or."""
     both, either = fp & (fp >> np.uint64(1)) & LOW, (fp | (fp >> np.uint64(1))) & LOW
     return either | (both << np.uint64(1))
 
@@ -83,117 +89,145 @@ def cell_masks(radius: int) -> list[np.uint64]:
     return [np.uint64(sum(groups[g] for g in chosen)) for chosen in combinations(range(2 * radius), radius)]
 
 
-def forest(fp: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Spanning forest of the links among distinct fingerprints, found breadth first: each search looks only at what is not reached yet."""
-    out, todo = [], fp
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
+def forest(prints: np.ndarray, nodes: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Spanning forest of the links among rows of ``prints`` (members, words), found breadth first: each search looks only at what is not reached yet."""
+    out, todo, unary = [], np.arange(len(nodes)), embed(prints)
     while len(todo) > 1:
         queue, todo = [todo[0]], todo[1:]
         while queue and len(todo):
             at = queue.pop()
-            near = np.bitwise_count(embed(todo) ^ embed(np.array([at]))[0]) <= radius
-            near[near] = np.bitwise_count(todo[near] ^ at) <= radius
+            near = _distance(unary[todo], unary[at]) <= radius
+            near[near] = _distance(prints[todo[near]], prints[at]) <= radius
             if near.any():
                 found = todo[near]
-                out.append((np.full(len(found), at), found))
+                out.append((np.full(len(found), nodes[at]), nodes[found]))
                 queue.extend(found)
                 todo = todo[~near]
     return out
 
 
-def _cells(radius: int):
+def _within(prints: np.ndarray, nodes: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links that connect the members of a cell as all of its links do; a few times as many as members at most."""
+    m = len(nodes)
+    if m > 256:
+        return forest(prints, nodes, radius)
+    i, j = _PAIRS[m] if m in _PAIRS else _PAIRS.setdefault(m, np.triu_indices(m, 1))
+    unary = embed(prints)
+    near = np.flatnonzero(_distance(unary[i], unary[j]) <= radius)
+    near = near[_distance(prints[i[near]], prints[j[near]]) <= radius]
+    return forest(prints, nodes, radius) if len(near) > 4 * m else [(nodes[i[near]], nodes[j[near]])]
+
+
+_PAIRS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _hash(x: np.ndarray, salt: int) -> np.ndarray:
+    cell = (x ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
+    return (cell ^ (cell >> np.uint64(32))).view(np.int64)
+
+
+def _grid(radius: int):
+    """Cells of single 64-bit fingerprints, by all choices of groups."""
     masks = cell_masks(radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            u = embed(fp)
             for at in range(0, len(fp), 4096):
-                x = u[at : at + 4096]
-                cell = np.concatenate([((x & m) ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xD6E8FEB86659FD93) for k, m in enumerate(masks)])
-                cell ^= cell >> np.uint64(32)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(np.tile(fp[at : at + 4096], len(masks)).view(np.int64))], ["cell", "fp"])
+                part = fp[at : at + 4096]
+                x = embed(part)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_hash(x & m, k) for k, m in enumerate(masks)])), pa.array(np.tile(part, len(masks)).view(np.int64))], ["cell", "node"])
 
     return run
 
 
-def _links(radius: int, limit: int):
-    """Over rows sorted by cell: links (a, b) of each cell; members of a cell above ``limit`` come back as (cell, fp) with b null."""
+def _matrix(column: pa.Array, words: int) -> np.ndarray:
+    flat = b"".join(column.to_pylist())
+    return np.frombuffer(flat, np.uint64).reshape(-1, words)
 
-    def rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["cell", "a", "b"])
 
-    def late(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(fp.view(np.int64)), pa.nulls(len(fp), pa.int64())], ["cell", "a", "b"])
+def _links(radius: int, limit: int, words: int):
+    """Over rows (cell, node, print if words > 1) sorted by cell: links (a, b); members of a cell above ``limit`` come back as (cell, a = node, print)."""
 
-    def whole(cell: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows(cell: np.ndarray | None, a: np.ndarray, b: np.ndarray | None, prints: np.ndarray | None) -> pa.RecordBatch:
+        n = len(a)
+        return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if cell is None else pa.array(cell), pa.array(a), pa.nulls(n, pa.int64()) if b is None else pa.array(b), pa.nulls(n, pa.binary()) if prints is None else pa.array([x.tobytes() for x in prints], pa.binary())], ["cell", "a", "b", "print"])
+
+    def parts(cell: np.ndarray, node: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         size = np.diff(np.r_[starts, len(cell)])
+        keep = np.repeat(size <= limit, size)
+        if not keep.all():
+            yield rows(cell[~keep], node[~keep], None, prints[~keep])
         two = starts[size == 2]
-        a, b = fp[two], fp[two + 1]
-        near = np.bitwise_count(embed(a) ^ embed(b)) <= radius
-        a, b = a[near], b[near]
-        near = np.bitwise_count(a ^ b) <= radius
-        found = [(a[near], b[near])]
-        for s, n in zip(starts[size > 2], size[size > 2], strict=True):
-            found += forest(fp[s : s + n], radius)
+        near = _distance(embed(prints[two]), embed(prints[two + 1])) <= radius
+        near[near] = _distance(prints[two[near]], prints[two[near] + 1]) <= radius
+        found = [(node[two[near]], node[two[near] + 1])]
+        many = (size > 2) & (size <= limit)
+        for s, n in zip(starts[many].tolist(), size[many].tolist(), strict=True):
+            found += _within(prints[s : s + n], node[s : s + n], radius)
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(a):
-            yield rows(a, b)
+            yield rows(None, a, b, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, fp, over = np.empty(0, np.int64), np.empty(0, np.uint64), None
+        cell, node, prints, over = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, words), np.uint64), None
         for batch in batches:
-            c, f = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            cell, fp = np.concatenate([cell, c]), np.concatenate([fp, f.view(np.uint64)])
+            if not batch.num_rows:
+                continue
+            c, d = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            p = d.view(np.uint64)[:, None] if words == 1 else _matrix(batch.column(2), words)
+            cell, node, prints = np.concatenate([cell, c]), np.concatenate([node, d]), np.concatenate([prints, p])
             if over is not None:
                 n = int(np.searchsorted(cell != over, True))
                 if n:
-                    yield late(cell[:n], fp[:n])
-                cell, fp = cell[n:], fp[n:]
+                    yield rows(cell[:n], node[:n], None, prints[:n])
+                cell, node, prints = cell[n:], node[n:], prints[n:]
                 if not len(cell):
                     continue
                 over = None
-            last = int(np.flatnonzero(cell == cell[-1])[0])
+            last = int(np.searchsorted(cell, cell[-1]))
             if last:
-                yield from parts(cell[:last], fp[:last])
-                cell, fp = cell[last:], fp[last:]
+                yield from parts(cell[:last], node[:last], prints[:last])
+                cell, node, prints = cell[last:], node[last:], prints[last:]
             if len(cell) > limit:
                 over = cell[-1]
-                yield late(cell, fp)
-                cell, fp = cell[:0], fp[:0]
+                yield rows(cell, node, None, prints)
+                cell, node, prints = cell[:0], node[:0], prints[:0]
         if len(cell):
-            yield from parts(cell, fp)
-
-    def parts(cell: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-        size = np.diff(np.r_[starts, len(cell)])
-        keep = np.repeat(size <= limit, size)
-        if not keep.all():
-            yield late(cell[~keep], fp[~keep])
-        if keep.any():
-            yield from whole(cell[keep], fp[keep])
+            yield from parts(cell, node, prints)
 
     return run
 
 
-def links(distinct: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """(a, b) links whose connected classes are those of all pairs within ``radius`` bits. distinct: one column ``fp`` of different longs."""
-    spark = distinct.sparkSession
+def join_cells(cells: DataFrame, radius: int, words: int = 1, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """cells: (cell, node) for 64-bit fingerprints that are their own nodes, or (cell, node, print binary). Returns (a, b) whose connected classes are those of all links within cells."""
+    spark = cells.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = distinct.select("fp").mapInArrow(_cells(radius), "cell long, fp long")
-    found = materialize(cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, cell_limit), "cell long, a long, b long"), "links")
+    kind = "cell long, a long, b long, print binary"
+    found = materialize(cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, cell_limit, words), kind), "links")
     out = found.where("b is not null").select("a", "b")
-    dense = found.where("b is null").select("cell", F.col("a").alias("fp"))
+    dense = found.where("b is null").select("cell", F.col("a").alias("node"), "print")
     if not dense.isEmpty():
+        # a dense cell is dealt out as pairs of blocks; every two members meet in at least one
         blocks = dense.groupBy("cell").agg(F.ceil(F.count("*") * 2 / cell_limit).alias("n"))
-        dealt = dense.join(blocks, "cell").withColumn("i", F.pmod(F.xxhash64("fp"), "n"))
-        other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j")
-        dealt = dealt.select("cell", "fp", "i", other).select(F.xxhash64("cell", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "fp")
-        again = dealt.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, 2**62), "cell long, a long, b long")
+        dealt = dense.join(blocks, "cell").withColumn("i", F.pmod(F.xxhash64("node"), "n"))
+        dealt = dealt.select("cell", "node", "print", "i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+        dealt = dealt.select(F.xxhash64("cell", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "node", "print")
+        again = dealt.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, 2**62, words), kind)
         out = out.union(again.select("a", "b"))
     return out
 
 
+def links(distinct: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """(a, b) links whose connected classes are those of all pairs within ``radius`` bits. distinct: one column ``fp`` of different longs."""
+    return join_cells(distinct.select("fp").mapInArrow(_grid(radius), "cell long, node long"), radius, 1, cell_limit)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """One row per input row: (key, fp long, component_id).
 
@@ -211,16 +245,102 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return marked.join(per_fp, "fp").select(F.col("k").alias(key), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
-    """The input rows, columns untouched, with one row of each class: that of the smallest key.
+#: Wide fingerprints: 64-bit words, words of the shingles that are compared and of those that are searched, cells and segments of a cell, and the distance
+#: that shingle sets of Jaccard similarity 0.8 lie at: their cosine is 2 J / (1 + J), a bit differs with the angle's share of pi; half a deviation more.
+WIDE, WIDTH, SEARCH_WIDTH, CELLS, CELL_SEGMENTS = 8, 5, 3, 32, 10
+WIDE_RADIUS = int(64 * WIDE * np.arccos(2 * 0.8 / 1.8) / np.pi + 0.5 * np.sqrt(64 * WIDE * 0.1514 * 0.8486))
+_SALTS = np.random.default_rng(8).integers(1, 2**63, WIDE + WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def wide_prints(text: bytes | None) -> tuple[bytes, bytes]:
+    """The compared and the searched fingerprint of WIDE x 64 bits: majority votes over hashes of word shingles, mixed anew for each 64 bits. No words: zeros."""
+    counts = {w: np.zeros(64 * WIDE, np.int64) for w in (WIDTH, SEARCH_WIDTH)}
+    total = dict.fromkeys(counts, 0)
+    one = xxhash.xxh64_intdigest
+    tail = np.zeros(0, np.uint64)
+    seen = 0
+
+    def vote(w: int, shingles: np.ndarray) -> None:
+        total[w] += len(shingles)
+        for at in range(0, len(shingles), 1 << 14):
+            x = shingles[at : at + (1 << 14), None] * _SALTS[:WIDE]
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(32)
+            counts[w] += bit_totals(x.view(np.uint8))
+
+    def shingles(words: np.ndarray, w: int) -> np.ndarray:
+        out = np.zeros(len(words) - w + 1, np.uint64)
+        for k in range(w):
+            out = out * np.uint64(0x100000001B3) + words[k : k + len(out)] * _SALTS[WIDE + k]
+        return out ^ (out >> np.uint64(31))
+
+    for block in word_blocks((text or b"").translate(LOWER), 1 << 19):
+        fresh = np.fromiter((one(w, SEED) for w in block), np.uint64, len(block))
+        words = np.concatenate([tail, fresh])
+        for w in counts:
+            # of the words before this block, a shingle of w takes w - 1 at most
+            part = words[max(0, len(tail) - w + 1) :]
+            if len(part) >= w:
+                vote(w, shingles(part, w))
+        seen += len(fresh)
+        tail = words[-(WIDTH - 1) :]
+    if not seen:
+        return bytes(8 * WIDE), bytes(8 * WIDE)
+    for w in counts:
+        if not total[w]:
+            vote(w, shingles(tail[-seen:], len(tail[-seen:])))
+    compared, searched = (np.packbits(2 * counts[w] > total[w]).tobytes() for w in (WIDTH, SEARCH_WIDTH))
+    return compared, searched
+
+
+def _wide_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rng = np.random.default_rng(64)
+    chosen = [np.sort(rng.choice(32 * WIDE, CELL_SEGMENTS, replace=False)) for _ in range(CELLS)]
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            x = embed(_matrix(part.column(2), WIDE))
+            cells = []
+            for k, segments in enumerate(chosen):
+                key = np.zeros(len(x), np.uint64)
+                for s in segments.tolist():
+                    key = key << np.uint64(2) | (x[:, s // 32] >> np.uint64(2 * (s % 32))) & np.uint64(3)
+                cells.append(_hash(key, k + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.concat_arrays([part.column(0)] * CELLS), pa.concat_arrays([part.column(1)] * CELLS)], ["cell", "node", "print"])
+
+
+def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = WIDE_RADIUS, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """(key, component_id) per row with a key: classes of documents whose shingles of five words have a similarity of about 0.8 or more.
+
+    At that similarity 64 bits differ too much for a search, so fingerprints are 512 bits wide, estimates within 0.04. The embedding is the same;
+    its grid has 32 cells a document, each over ten segments, so a pair at 0.8 meets in one with probability 0.95, one at 0.9 with 0.999. Exact
+    copies always meet. key: an integer. Rows without a key are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [wide_prints(t) for t in byte_column(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p for p, _ in pairs], pa.binary()), pa.array([s for _, s in pairs], pa.binary())], ["k", "print", "search"])
+
+    named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    marked = materialize(named.mapInArrow(run, "k long, print binary, search binary"), "wide")
+    nodes = marked.groupBy("print", "search").agg(F.min("k").alias("node"))
+    stars = materialize(components(join_cells(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, WIDE, cell_limit)), "classes")
+    # a root is the smallest node of its class, and a node the smallest key of its copies
+    classes = nodes.join(stars.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("print", "search", F.coalesce("root", "node").alias("component_id"))
+    return marked.join(classes, ["print", "search"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input rows, columns untouched, with one row of each class of ``similar_classes``: that of the smallest key.
 
-    Of rows that repeat a key within a class one stays. Rows with a null key can't be named and stay.
+    Of rows that repeat a key one stays. Rows with a null key can't be named and stay.
     """
-    found = materialize(near_duplicates(docs, key, text, width, radius).select(F.col(key).alias("k"), "component_id"), "members")
-    gone = found.where("k is not null and component_id <> k").select("k").distinct()
-    kept = docs.join(gone.withColumnRenamed("k", "__gone"), F.col(key) == F.col("__gone"), "left_anti")
-    again = found.where("component_id = k").groupBy("k").count().where("count > 1").select(F.col("k").alias("__again"))
+    found = materialize(similar_classes(docs, key, text).select(F.col(key).alias("__k"), "component_id"), "members")
+    gone = found.where("component_id <> __k").select("__k").distinct()
+    kept = docs.join(gone, F.col(key) == F.col("__k"), "left_anti")
+    again = found.where("component_id = __k").groupBy("__k").count().where("count > 1").select("__k")
     if again.isEmpty():
         return kept
-    one = kept.join(again, F.col(key) == F.col("__again"), "left_semi").dropDuplicates([key])
-    return kept.join(again, F.col(key) == F.col("__again"), "left_anti").unionByName(one)
+    one = kept.join(again, F.col(key) == F.col("__k"), "left_semi").dropDuplicates([key])
+    return kept.join(again, F.col(key) == F.col("__k"), "left_anti").unionByName(one)
