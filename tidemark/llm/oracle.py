@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm.urls import MAX_STRENGTH, MIN_STRENGTH, SECOND_LEVEL
+from tidemark.llm.urls import MAX_STRENGTH, MIN_STRENGTH, SECOND_LEVEL, TOP_PRIOR
 
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -86,7 +86,7 @@ WITH p AS (
 ), d AS (SELECT domain AS name, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix AS name, '' AS top, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
 ks AS ({_strength('s', 'top')}), kd AS ({_strength('d', 'suffix')}), kh AS ({_strength('h', 'domain')}),
-ps AS (SELECT s.name, (s.bad + (ks.bad + 1) / (ks.n + 2) * ks.strength) / (s.n + ks.strength) AS post FROM s JOIN ks ON s.top = ks.name),
+ps AS (SELECT s.name, (s.bad + (ks.bad + {TOP_PRIOR}) / (ks.n + 2 * {TOP_PRIOR}) * ks.strength) / (s.n + ks.strength) AS post FROM s JOIN ks ON s.top = ks.name),
 pd AS (SELECT d.name, (d.bad + ps.post * kd.strength) / (d.n + kd.strength) AS post FROM d JOIN ps ON d.suffix = ps.name JOIN kd ON d.suffix = kd.name),
 ph AS (SELECT h.name, h.bad + pd.post * kh.strength AS a, h.n - h.bad + (1 - pd.post) * kh.strength AS b FROM h JOIN pd ON h.domain = pd.name JOIN kh ON h.domain = kh.name),
 blocked AS (SELECT name FROM ph WHERE a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5),

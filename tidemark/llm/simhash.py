@@ -242,6 +242,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = stars.join(least.withColumnRenamed("fp", "node"), "node")
     named = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root")
     per_fp = least.join(named.select(F.col("node").alias("fp"), "class_least"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"))
+    # a table of its own, so that the join with all rows is a plain one, whose hot fingerprints Spark can split
+    per_fp = materialize(per_fp, "components")
     return marked.join(per_fp, "fp").select(F.col("k").alias(key), "fp", "component_id")
 
 
@@ -328,6 +330,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     stars = materialize(components(join_cells(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, WIDE, cell_limit)), "classes")
     # a root is the smallest node of its class, and a node the smallest key of its copies
     classes = nodes.join(stars.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("print", "search", F.coalesce("root", "node").alias("component_id"))
+    classes = materialize(classes, "components")  # the join below is a plain one then, whose hot fingerprints Spark can split
     return marked.join(classes, ["print", "search"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
 
 

@@ -19,6 +19,8 @@ from tidemark.llm.common import lower_ascii
 #: Suffixes of two labels that count as one; every other suffix is the last label.
 SECOND_LEVEL = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "co.nz", "com.br", "com.cn", "com.mx", "co.in", "co.kr", "co.za")
 MIN_STRENGTH, MAX_STRENGTH = 2.0, 1000.0
+#: Good and bad outcomes that the overall rate starts from.
+TOP_PRIOR = 5.0
 
 
 @dataclass(frozen=True)
@@ -90,7 +92,7 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     hosts = hosts.select(F.col("host").alias("name"), domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("top", F.lit(""))
-    top = _strength(suffixes, "top").withColumn("post", (F.col("bad") + 1) / (F.col("n") + 2))
+    top = _strength(suffixes, "top").withColumn("post", (F.col("bad") + TOP_PRIOR) / (F.col("n") + 2 * TOP_PRIOR))
     in_suffix = _shrunk(suffixes.select(F.col("suffix").alias("name"), "top", "n", "bad"), top, "top").join(_strength(domains, "suffix").select("name", "strength"), "name")
     in_domain = _shrunk(domains.select(F.col("domain").alias("name"), "suffix", "n", "bad"), in_suffix, "suffix").join(_strength(hosts, "domain").select("name", "strength"), "name")
     out = _shrunk(hosts.select("name", "domain", "n", "bad"), in_domain, "domain")
