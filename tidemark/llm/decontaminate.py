@@ -262,5 +262,6 @@ def remove(docs: DataFrame, found: list[Automaton], text: str = "text", max_cove
             out.append(left)
         return pa.StructArray.from_arrays([pa.array(gone), pa.array(out, pa.string())], ["gone", "text"])
 
-    marked = docs.withColumn("__tm_cut", run(F.col(text))).where(~F.col("__tm_cut.gone"))
+    # declared nondeterministic so that Spark doesn't run it once for the filter and again for the text; it is the same at each run
+    marked = docs.withColumn("__tm_cut", run.asNondeterministic()(F.col(text))).where(~F.col("__tm_cut.gone"))
     return marked.withColumn(text, F.col("__tm_cut.text")).drop("__tm_cut")

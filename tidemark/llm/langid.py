@@ -185,7 +185,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     return run(F.col(text))
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", min_share: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", min_share: float = 0.2) -> DataFrame:
     """The input rows, columns untouched, whose text has a language that fills at least ``min_share`` of it. ``und`` goes."""
     marked = docs.withColumn("__tm_language", predict(docs, model, text))
     return marked.where((F.col("__tm_language.lang_pred") != UND) & (F.col("__tm_language.score") >= min_share)).drop("__tm_language")
