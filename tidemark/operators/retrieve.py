@@ -96,10 +96,9 @@ def merged(candidates: DataFrame, k: int, key: str) -> DataFrame:
 def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(key, score) of the best ``k`` by Okapi BM25. Documents are reduced to counts of the query's few terms where they lie; nothing else moves."""
     terms = sorted(set(re.findall(r"[a-z0-9]+", query.lower())))
-    tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z0-9]+"), F.lit(0))
-    rows = docs.select(F.col(key), F.coalesce(tokens, F.array().cast("array<string>")).alias("_t"))
-    count = lambda t: F.size(F.filter("_t", lambda x: x == t))
-    rows = rows.select(key, F.size("_t").alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)])
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    count = lambda t: F.regexp_count(low, F.lit(f"(?<![a-z0-9]){t}(?![a-z0-9])"))
+    rows = docs.select(key, F.regexp_count(low, F.lit("[a-z0-9]+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)])
     totals = rows.agg(F.count("*").alias("_docs"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(terms))])
     score = F.lit(0.0)
     for i in range(len(terms)):

@@ -255,7 +255,7 @@ def q24_known_values(spark: SparkSession, d: str) -> DataFrame:
 
 _TERMS = ("erheble", "stupid", "the", "zu")
 _BM25 = """toks AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents),
-tf AS (SELECT doc_id, len(t) AS n, """ + ", ".join(f"len(list_filter(t, x -> x = '{t}')) AS f{i}" for i, t in enumerate(_TERMS)) + """ FROM toks),
+tf AS (SELECT doc_id, len(t) AS n, """ + ", ".join(f"len(list_filter(t, lambda x: x = '{t}')) AS f{i}" for i, t in enumerate(_TERMS)) + """ FROM toks),
 tot AS (SELECT count(*) AS nn, avg(n) AS av, """ + ", ".join(f"count(*) FILTER (f{i} > 0) AS d{i}" for i in range(len(_TERMS))) + """ FROM tf),
 bm AS (SELECT doc_id, """ + " + ".join(f"ln(1 + (nn - d{i} + 0.5) / (d{i} + 0.5)) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * n / av))" for i in range(len(_TERMS))) + """ AS score FROM tf, tot)"""
 
