@@ -109,14 +109,7 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float
             chosen = order[s : s + batch]
             lr = rate * (1 - at / (epochs * len(docs)))
             at += len(chosen)
-            size = [len(docs[i][0]) for i in chosen]
-            ids = np.concatenate([docs[i][0] for i in chosen])
-            share = np.concatenate([docs[i][1] for i in chosen])
-            row = np.repeat(np.arange(len(chosen)), size)
-            mean = np.zeros((len(chosen), DIM), np.float32)
-            got = embedding[ids] * share[:, None]
-            for k in range(DIM):
-                mean[:, k] = np.bincount(row, got[:, k], len(chosen))
+            mean = np.stack([docs[i][1] @ embedding[docs[i][0]] for i in chosen])
             z = mean @ layer + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -127,7 +120,9 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float
             layer -= lr * mean.T @ p
             bias -= lr * p.sum(axis=0)
             # the mean over hundreds of features damps each one's gradient, so the embeddings step further
-            np.subtract.at(embedding, ids, (lr * 40) * back[row] * share[:, None])
+            for i, g in zip(chosen, back, strict=True):
+                ids, share = docs[i]
+                embedding[ids] -= np.outer(share, (lr * 40) * g)
     fold = embedding @ (layer[:, 1] - layer[:, 0])
     return Model(fold.astype(np.float32), float(bias[1] - bias[0]))
 
