@@ -1,7 +1,12 @@
 import datetime
+import http.server
 import io
+import json
+import threading
+import urllib.parse
 import zipfile
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, tables
 from tidemark.operators.store import ChunkStore, duplicates
+from tidemark.plans import search
 from tidemark.plans.config import ApiConfig, FilterRequest, MetadataField, RetrievalConfig, merge_settings, resolve_api
 from tidemark.plans.ingest import Plan, run
 from tidemark.sources import office, scan
@@ -286,3 +292,76 @@ def test_stream_decides_by_batches(spark, tmp_path):
     assert go([("a", "upsert", "1", day(1)), ("a", "upsert", "2", day(2)), ("b", "upsert", "1", day(1)), ("z", "deleted", None, day(1))]) == {("a", "new"), ("b", "new")}
     assert go([("a", "upsert", "2", day(3)), ("b", "deleted", None, day(3))]) == {("a", "unchanged"), ("b", "deleted")}
     assert {x.source_id: x.status for x in reg.read().collect()} == {"a": "active", "b": "deleted"}
+
+
+class Letters:
+    """Vectors by counts of two letters."""
+
+    model_name, dimensions = "letters", 2
+
+    def embed_documents(self, texts):
+        return np.array([[t.count("a") + 1e-3, t.count("b") + 1e-3] for t in texts])
+
+
+def test_search_stays_in_scope_and_fuses(spark):
+    rows = [("t", "r1", "s1", 0, "aaa ab", "Alpha One"), ("t", "r1", "s1", 1, "bbb zebra", "Beta"), ("t", "r2", "s2", 0, "abab", "Alpha One"), ("t", "r2", "s2", 1, "aa zebra", "Beta"), ("t", "r3", "s3", 0, "aaaa", "Alpha One"), ("u", "r1", "s4", 0, "aaaa", "Alpha One")]
+    chunks = embed.embed(spark.createDataFrame(rows, "tenant_id string, repo_id string, source_id string, chunk_index int, text string, application string"), Letters())
+    plain = RetrievalConfig(filterable_fields=("application",))
+    key = lambda d: [(x.repo_id, x.chunk_index) for x in d.collect()]
+    got = search.search(chunks, "t", {"r1": plain, "r2": plain}, "aaa", Letters(), 2)
+    assert key(got) == [("r1", 0), ("r2", 1)] and search.KEY in got.columns
+    named = search.search(chunks, "t", {"r1": plain, "r2": plain}, "aaa of AO?", Letters(), 5, FilterRequest(auto_extract=True))
+    assert key(named) == [("r1", 0), ("r2", 0)]
+    assert key(search.search(chunks, "t", {"r1": plain}, "a", Letters(), 5, FilterRequest(must={"owner": ["x"]}))) == []
+    hybrid = RetrievalConfig(filterable_fields=("application",), hybrid_enabled=True, hybrid_alpha=0.1)
+    mixed = search.search(chunks, "t", {"r1": hybrid, "r2": hybrid}, "zebra a", Letters(), 2)
+    assert sorted(key(mixed)) == [("r1", 1), ("r2", 1)]
+    again = search.search(chunks, "t", {"r1": plain, "r2": plain}, "aaa", Letters(), 1, scorer=lambda pdf: pdf["text"].str.count("b").astype(float))
+    assert [x.text for x in again.collect()] == ["bbb zebra"]
+    assert search.answer(got, "q?", lambda p: p.rsplit("Question: ")[1]) == "q?" and search.answer(got.where("false"), "q", str) is None and search.answer(got, "q", lambda p: 1 / 0) is None
+
+
+def test_named_values_are_those_that_extract_finds(spark):
+    values = ["Alpha One", "beta", "Straße 7", "--", "x-y z", "Gamma"]
+    rows = spark.createDataFrame([(v,) for v in [*values, "beta"]], "f string")
+    for q in ("what of AO and BETA", "in der straße 7", "", "xyz!", "alpha", "x y z"):
+        want = {k: sorted(v) for k, v in retrieve.extract(q, {"f": values}).items()}
+        assert retrieve.named_values(rows, ["f"], q) == want, q
+
+
+@pytest.mark.parametrize("counted", [True, False])
+def test_paged_source(spark, counted):
+    table = [{"sys_id": str(i), "v": "é", "sys_updated_on": f"2024-01-{i + 1:02d} 00:00:00"} for i in range(10)]
+    refused = []
+
+    class Service(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked = {k: v[0] for k, v in urllib.parse.parse_qs(urllib.parse.urlparse(self.path).query).items()}
+            if not refused:
+                refused.append(1)
+                self.send_response(429)
+                self.send_header("Retry-After", "0")
+                self.end_headers()
+                return
+            rows = [r for r in table if r["sys_updated_on"] > asked.get("sysparm_query", ">").split(">")[1]]
+            at = int(asked["sysparm_offset"])
+            self.send_response(200)
+            if counted:
+                self.send_header("X-Total-Count", str(len(rows)))
+            self.end_headers()
+            self.wfile.write(json.dumps({"result": rows[at : at + int(asked["sysparm_limit"])]}).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    cfg = {"url": f"http://127.0.0.1:{server.server_port}/api/now/table/incident", "table": "incident", "page_size": 4}
+    try:
+        got = scan.scan(spark, "ServiceNow", cfg).collect()
+        assert sorted(x.source_id for x in got) == sorted(f"incident/{i}" for i in range(10)) and json.loads(got[0].record)["v"] == "é"
+        later = scan.scan(spark, "servicenow", cfg, "2024-01-08 00:00:00").collect()
+        assert sorted(x.source_id for x in later) == ["incident/8", "incident/9"]
+        assert scan.scan(spark, "servicenow", cfg, "2025-01-01 00:00:00").count() == 0
+    finally:
+        server.shutdown()

@@ -51,6 +51,18 @@ def known_values(chunks: DataFrame, fields: list[str]) -> DataFrame:
     return rows.where("value is not null").distinct()
 
 
+def named_values(chunks: DataFrame, fields: list[str], question: str) -> dict[str, list[str]]:
+    """Known values that a question names, as ``extract`` finds them. Tested where the chunks lie, so only hits reach the driver; a question has room for few."""
+    words = re.findall(r"\w+", question.lower())
+    if not words or not fields:
+        return {}
+    plain = F.trim(F.regexp_replace(F.lower("value"), r"(?U)\W+", " "))
+    initials = F.array_join(F.transform(F.split(plain, " "), lambda w: F.substring(w, 1, 1)), "")
+    whole = (plain != "") & F.contains(F.lit(f" {' '.join(words)} "), F.concat(F.lit(" "), plain, F.lit(" ")))
+    hits = known_values(chunks, fields).where(whole | (F.length(initials) > 1) & initials.isin(*words))
+    return {r.field: sorted(r.values) for r in hits.groupBy("field").agg(F.collect_list("value").alias("values")).collect()}
+
+
 def predicate(request: FilterRequest, config: RetrievalConfig, question: str = "", known: dict[str, list[str]] | None = None) -> Column:
     """Which chunks of a repository may answer.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, store, tables
+from tidemark.plans import search
 from tidemark.plans.config import FilterRequest, MetadataField, RetrievalConfig, resolve_schema
 from tidemark.sources import scan
 from tidemark.storage import shared_dir
@@ -353,3 +354,21 @@ def q35_stream_delta(spark: SparkSession, d: str) -> DataFrame:
 def q36_embed_hash(spark: SparkSession, d: str) -> DataFrame:
     rows = embed.embed(table(spark, d, "documents").select("doc_id", "text"), embed.HashingProvider(dimensions=64))
     return rows.select("doc_id", "embedding")
+
+
+class _Question:
+    """Stands in for a model: every text has the query vector."""
+
+    model_name, dimensions = "fixed", len(_VECTOR)
+
+    def embed_documents(self, texts: list[str]) -> list[list[float]]:
+        return [_VECTOR for _ in texts]
+
+
+@query(f"""WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id::VARCHAR) AS n FROM scored WHERE label IN (0, 1, 2) AND vec_id % 3 IN (0, 1))
+SELECT vec_id, 'r' || label::VARCHAR AS repo_id, round(score, 6) AS score FROM r WHERE n <= 10 ORDER BY r.score DESC, repo_id, vec_id::VARCHAR LIMIT 5""")
+def q37_search(spark: SparkSession, d: str) -> DataFrame:
+    chunks = table(spark, d, "embeddings").select("vec_id", F.lit("t").alias("tenant_id"), F.concat(F.lit("r"), F.col("label").cast("string")).alias("repo_id"), F.col("vec_id").cast("string").alias("source_id"), F.lit(0).alias("chunk_index"), F.lit("").alias("text"), (F.col("vec_id") % 3).cast("string").alias("rest"), "embedding")
+    config = RetrievalConfig(filterable_fields=("rest",))
+    found = search.search(chunks, "t", {f"r{n}": config for n in range(3)}, "", _Question(), 5, FilterRequest(must={"rest": ["0", "1"]}))
+    return found.select("vec_id", "repo_id", F.round("score", 6).alias("score"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from typing import Any
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import content_hash, etag_hash, extension, file_name, mime_type, row_hash
 from tidemark.functions.values import HIDDEN, MAX_FILE_BYTES, MIME
+from tidemark.sources.paged import PagedSource
 
 FEED = ["change", "content_type", "content", "mime_type", "record", "structured_source_type", "source_id", "file_name", "full_path", "source_url", "content_hash", "last_modified_at_source", "extra_metadata"]
 
@@ -115,7 +117,19 @@ def drive(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> Dat
     return drive_items(spark.read.schema(DRIVE_ITEM).json(cfg["path"]), cfg)
 
 
-SOURCES: dict[str, Callable[..., DataFrame]] = {"local": local_files, "sql": table_rows, "mongodb": json_records, "azure_blob": blobs, "sharepoint": drive, "onedrive": drive}
+def paged_records(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
+    """Records of a table behind a paged HTTP interface (see ``paged``). The delta field is asked of the service, so unchanged records are never sent."""
+    table, key, delta = cfg["table"], cfg.get("primary_key", "sys_id"), cfg.get("delta_field", "sys_updated_on")
+    spark.dataSource.register(PagedSource)
+    options = {"url": cfg["url"], "pagesize": str(cfg.get("page_size", 500)), "headers": json.dumps(cfg.get("headers", {}))}
+    if last_run is not None:
+        options |= {"query": cfg.get("delta_query", "{field}>{value}").format(field=delta, value=last_run)}
+    rows = spark.read.format(PagedSource.name()).options(**options).load().select("record", F.get_json_object("record", f"$.{key}").alias("id"), F.get_json_object("record", f"$.{delta}").cast("timestamp").alias("at"))
+    path = F.concat(F.lit(f"{table}/"), F.col("id"))
+    return feed(rows, "structured", {"structured_source_type": F.lit("sql"), "record": F.col("record"), "source_id": path, "file_name": path, "full_path": F.concat(F.lit("/"), path), "source_url": F.concat(F.lit(cfg["url"].rstrip("/") + "/"), F.col("id")), "content_hash": content_hash(F.col("record")), "last_modified_at_source": F.col("at")})
+
+
+SOURCES: dict[str, Callable[..., DataFrame]] = {"local": local_files, "sql": table_rows, "mongodb": json_records, "azure_blob": blobs, "sharepoint": drive, "onedrive": drive, "servicenow": paged_records}
 #: What tells a source's changes: by hash only, by a time, or by the source's own feed with deletions.
 NATIVE_DELETES = frozenset({"sharepoint", "onedrive"})
 
