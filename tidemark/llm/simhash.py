@@ -228,6 +228,22 @@ def links(distinct: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) ->
     return join_cells(distinct.select("fp").mapInArrow(_grid(radius), "cell long, node long"), radius, 1, cell_limit)
 
 
+#: Keys with more than this share of all rows are hot; there are fewer than ``HOT_KEYS`` of them.
+HOT_KEYS = 1_000
+
+
+def name_rows(marked: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
+    """``marked`` with the component_id of its keys. classes: (keys, component_id, n), n rows of ``marked`` having those keys.
+
+    Hot keys meet their rows where these are, by a broadcast of fewer than HOT_KEYS rows; the others are joined by key, so a
+    task never gets the rows of a large group of copies.
+    """
+    limit = (classes.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
+    hot, rest = (classes.where(c).select(*keys, "component_id") for c in (F.col("n") > limit, F.col("n") <= limit))
+    others = marked.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    return marked.join(F.broadcast(hot), keys).unionByName(others)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """One row per input row: (key, fp long, component_id).
 
@@ -237,14 +253,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     empty result; other columns are ignored, whatever their names.
     """
     marked = materialize(fingerprints(docs, key, text, width).withColumnRenamed(key, "k"), "simhash")
-    least = marked.groupBy("fp").agg(F.min("k").alias("least"))
+    least = marked.groupBy("fp").agg(F.min("k").alias("least"), F.count("*").alias("n"))
     stars = materialize(components(links(least.select("fp"), radius, cell_limit)), "classes")
-    classes = stars.join(least.withColumnRenamed("fp", "node"), "node")
+    classes = stars.join(least.select(F.col("fp").alias("node"), "least"), "node")
     named = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root")
-    per_fp = least.join(named.select(F.col("node").alias("fp"), "class_least"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"))
-    # a table of its own, so that the join with all rows is a plain one, whose hot fingerprints Spark can split
-    per_fp = materialize(per_fp, "components")
-    return marked.join(per_fp, "fp").select(F.col("k").alias(key), "fp", "component_id")
+    per_fp = least.join(named.select(F.col("node").alias("fp"), "class_least"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"), "n")
+    return name_rows(marked, materialize(per_fp, "components"), ["fp"]).select(F.col("k").alias(key), "fp", "component_id")
 
 
 #: Wide fingerprints: 64-bit words, words of the shingles that are compared and of those that are searched, cells and segments of a cell, and the distance
@@ -326,12 +340,11 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     marked = materialize(named.mapInArrow(run, "k long, print binary, search binary"), "wide")
-    nodes = marked.groupBy("print", "search").agg(F.min("k").alias("node"))
+    nodes = marked.groupBy("print", "search").agg(F.min("k").alias("node"), F.count("*").alias("n"))
     stars = materialize(components(join_cells(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, WIDE, cell_limit)), "classes")
     # a root is the smallest node of its class, and a node the smallest key of its copies
-    classes = nodes.join(stars.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("print", "search", F.coalesce("root", "node").alias("component_id"))
-    classes = materialize(classes, "components")  # the join below is a plain one then, whose hot fingerprints Spark can split
-    return marked.join(classes, ["print", "search"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
+    classes = nodes.join(stars.withColumnRenamed("node", "in_class"), F.col("node") == F.col("in_class"), "left").select("print", "search", F.coalesce("root", "node").alias("component_id"), "n")
+    return name_rows(marked, materialize(classes, "components"), ["print", "search"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
