@@ -21,7 +21,7 @@ from tidemark.llm.common import byte_column, steps
 
 GRAM = 4
 BUCKETS = 1 << 16
-#: Most labelled rows that a fit reads texts of (picked by a hash of the text, alike in each source and language).
+#: Most labelled texts that a fit reads (picked by a hash of the text, alike in each source and language; copies count once).
 FIT_ROWS = 20_000
 UND = "und"
 _PLAIN = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -70,13 +70,14 @@ def gram_counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.n
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages in code-point order and log probabilities (language, bucket), add-half smoothed.
 
-    Rows with a null language teach nothing. At most about ``fit_rows`` rows are read: the documented bound of the sample.
-    With no labelled row the model has no language, and every document is ``und``.
+    Rows with a null language teach nothing. At most about ``fit_rows`` texts are read: the documented bound of the sample. A text
+    of one language teaches once, however many rows repeat it. With no labelled row the model has no language, and every document is ``und``.
     """
-    rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"))
+    rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
     n = rows.count()
     if n > fit_rows:
-        rows = rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_003)) < int(1_000_003 * fit_rows / n))
+        rows = rows.where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * fit_rows / n))
+    rows = rows.dropDuplicates(["l", "h"]).select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}

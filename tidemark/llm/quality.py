@@ -19,7 +19,7 @@ from tidemark.llm.common import byte_column, steps
 
 BUCKETS = 1 << 17
 DIM = 8
-#: Most labelled rows that a fit reads, picked by a hash of the text: the documented bound of the sample.
+#: Most labelled texts that a fit reads, picked by a hash of the text, copies counted once: the documented bound of the sample.
 FIT_ROWS = 6_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -128,12 +128,15 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "label", fit_rows: int = FIT_ROWS) -> Model:
-    """From rows with label 0 or 1; null texts and labels teach nothing. Without both labels: every score is the share of label 1, or one half of none."""
+    """From rows with label 0 or 1; null texts and labels teach nothing, and a text of one label teaches once, however many rows repeat it.
+
+    Without both labels: every score is the share of label 1, or one half of none.
+    """
     rows = docs.where(F.col(label).isin(0, 1) & F.col(text).isNotNull()).select(F.col(text).cast("binary").alias("t"), F.col(label).cast("int").alias("y"), F.xxhash64(text).alias("h"))
     n = rows.count()
     if n > fit_rows:
         rows = rows.where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * fit_rows / n))
-    got = rows.toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
+    got = rows.dropDuplicates(["h", "y"]).toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
     y = got.column("y").to_numpy().astype(int)
     if len(set(y.tolist())) < 2:
         share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
