@@ -134,3 +134,14 @@ def test_wide_prints_do_not_depend_on_blocks(monkeypatch):
     monkeypatch.undo()
     assert simhash.wide_prints(b"") == simhash.wide_prints(None) == (bytes(64), bytes(64))
     assert simhash.wide_prints(b"one two") == simhash.wide_prints(b"ONE  two\n") != simhash.wide_prints(b"one")
+
+
+def test_hot_and_other_keys_are_all_named(spark, monkeypatch):
+    rows = [(i, 7) for i in range(300)] + [(1000 + i, 100 + i // 2) for i in range(300)]
+    marked = spark.createDataFrame(rows, "k long, fp long")
+    classes = marked.groupBy("fp").agg(F.min("k").alias("component_id"), F.count("*").alias("n"))
+    for hot in (1, 10, 1000):
+        monkeypatch.setattr(simhash, "HOT_KEYS", hot)
+        got = {x.k: x.component_id for x in simhash.name_rows(marked, classes, ["fp"]).collect()}
+        assert got == {k: 0 if f == 7 else 1000 + 2 * (f - 100) for k, f in rows}
+    assert simhash.name_rows(marked.where("false"), classes.where("false"), ["fp"]).count() == 0

@@ -99,3 +99,25 @@ def test_features_do_not_cross_documents_or_depend_on_neighbours():
     alone = sorted(quality.features(b"one two")[1].tolist())
     d, b = quality.features(b"zzz yy\0one two\0q")
     assert sorted(b[d == 1].tolist()) == alone
+
+
+def test_repetition_is_learned_whatever_the_word():
+    r = random.Random(6)
+    texts, labels = [], []
+    for i in range(120):
+        word = r.choice("abcdefgh") + "".join(r.choice("aeioulmn") for _ in range(6))
+        texts.append((word + " ") * 40 if i % 3 == 0 else prose(r.choice([*VOCAB]), 40, r))
+        labels.append(int(i % 3 != 0))
+    model = quality.train([t.encode() for t in texts], np.array(labels))
+    unseen = [b"zyxwvut " * 50, b"qpkr jhgf " * 30, prose("bb", 45, r).encode()]
+    got = quality.scores(unseen, model)
+    assert got[0] < 0.5 < got[2] and got[1] < got[2]
+    d, b = quality.features(b"x y x\0x x\0\0x")
+    assert sorted(zip(d[b >= quality.BUCKETS].tolist(), b[b >= quality.BUCKETS].tolist(), strict=True)) == [(0, quality.BUCKETS + 1), (1, quality.BUCKETS)]
+
+
+def test_copies_teach_once(spark, labelled):
+    many = labelled.unionByName(labelled.where("doc_id = 0").withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("x"))
+    assert np.array_equal(langid.fit(many)[1], langid.fit(labelled)[1])
+    quality_rows = lambda d: d.withColumn("label", (F.col("lang") == "aa").cast("int"))
+    assert np.array_equal(quality.fit(quality_rows(many)).weight, quality.fit(quality_rows(labelled)).weight)

@@ -1,7 +1,8 @@
 """Quality classifier with supervised subword embeddings.
 
 Words and character n-grams are hashed to learned vectors, averaged over a document and put through a softmax layer; all weights are
-trained by stochastic gradient descent in numpy. For scoring, the two layers fold into one weight per bucket (the difference of
+trained by stochastic gradient descent in numpy. Of word n-grams only those count that begin and end with the same word: whatever the word, they share
+one vector for each length, so that repetition is learned from few labels. For scoring, the two layers fold into one weight per bucket (the difference of
 the two classes' outputs), so a whole corpus costs one look-up a feature.
 """
 
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import byte_column, steps
 
 BUCKETS = 1 << 17
+#: Distances at which a word that comes again is a feature; each has a row of its own behind the buckets.
+LAGS = (1, 2, 3, 4)
+ROWS = BUCKETS + len(LAGS)
 DIM = 8
 #: Most labelled texts that a fit reads, picked by a hash of the text, copies counted once: the documented bound of the sample.
 FIT_ROWS = 6_000
@@ -41,7 +45,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of every word and of every byte 3-gram and 4-gram; joined: documents between zero bytes. Case and signs count."""
+    """(document, row) of every word, of every byte 3-gram and 4-gram, and of every word that comes again at one of LAGS; joined: documents between zero bytes. Case and signs count."""
     a = np.frombuffer(joined, np.uint8)
     doc = np.cumsum(a == 0)
     x = a.astype(np.uint32)
@@ -64,12 +68,17 @@ def features(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
     word = (total[ends] - total[starts]) * down[starts]
     out_d.append(doc[starts])
     out_b.append(((word ^ (word >> np.uint64(29))) * _ODD >> np.uint64(64 - 17)).astype(np.uint32))
+    of = doc[starts]
+    for k, lag in enumerate(LAGS):
+        again = of[lag:][(word[lag:] == word[:-lag]) & (of[lag:] == of[:-lag])]
+        out_d.append(again)
+        out_b.append(np.full(len(again), BUCKETS + k, np.uint32))
     return np.concatenate(out_d), np.concatenate(out_b)
 
 
 @dataclass
 class Model:
-    """weight: of each bucket, for label 1 against label 0; bias likewise."""
+    """weight: of each row, for label 1 against label 0; bias likewise."""
 
     weight: np.ndarray
     bias: float
@@ -91,9 +100,9 @@ def scores(texts: list[bytes | None], model: Model) -> np.ndarray:
 
 
 def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 1.0, batch: int = 16, seed: int = 5) -> Model:
-    """Embeddings (BUCKETS x DIM) and a softmax layer of two classes, by mini-batch stochastic gradient descent with a falling rate."""
+    """Embeddings (ROWS x DIM) and a softmax layer of two classes, by mini-batch stochastic gradient descent with a falling rate."""
     rng = np.random.default_rng(seed)
-    embedding = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    embedding = rng.uniform(-1 / DIM, 1 / DIM, (ROWS, DIM)).astype(np.float32)
     layer, bias = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     docs = []
     for t in texts:
@@ -140,12 +149,12 @@ def fit(docs: DataFrame, text: str = "text", label: str = "label", fit_rows: int
     y = got.column("y").to_numpy().astype(int)
     if len(set(y.tolist())) < 2:
         share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
-        return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
+        return Model(np.zeros(ROWS, np.float32), float(np.log(share / (1 - share))))
     return train(got.column("t").to_pylist(), y)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    held = docs.sparkSession.sparkContext.broadcast(model)  # one float for each of BUCKETS, whatever the corpus
+    held = docs.sparkSession.sparkContext.broadcast(model)  # one float for each of ROWS, whatever the corpus
 
     @F.arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:
