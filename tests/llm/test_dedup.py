@@ -145,3 +145,29 @@ def test_hot_and_other_keys_are_all_named(spark, monkeypatch):
         got = {x.k: x.component_id for x in simhash.name_rows(marked, classes, ["fp"]).collect()}
         assert got == {k: 0 if f == 7 else 1000 + 2 * (f - 100) for k, f in rows}
     assert simhash.name_rows(marked.where("false"), classes.where("false"), ["fp"]).count() == 0
+
+
+def alike(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def contiguous(r, words, n):
+    """A text and a copy with one passage swapped, cut or appended, 0.8 to 0.85 alike; sizes of ``n`` words."""
+    while True:
+        base = [r.choice(words) for _ in range(n)]
+        k, at = r.randint(1, max(1, n // 5)), r.randrange(n)
+        fresh = [r.choice(words) for _ in range(k)]
+        copy = r.choice([base[:at] + fresh + base[at + k :], base[:at] + base[at + k :], base + fresh])
+        texts = " ".join(base), " ".join(copy)
+        if 0.8 <= alike(*texts) <= 0.85:
+            return texts
+
+
+def test_pairs_with_one_edited_passage_are_not_lost(spark):
+    r = random.Random(11)
+    words = [f"t{i}" for i in range(5000)]
+    texts = [t for i in range(240) for t in contiguous(r, words, (30, 60, 400, 1500)[i % 4])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.similar_classes(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}

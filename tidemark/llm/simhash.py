@@ -261,90 +261,166 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return name_rows(marked, materialize(per_fp, "components"), ["fp"]).select(F.col("k").alias(key), "fp", "component_id")
 
 
-#: Wide fingerprints: 64-bit words, words of the shingles that are compared and of those that are searched, cells and segments of a cell, and the distance
-#: that shingle sets of Jaccard similarity 0.8 lie at: their cosine is 2 J / (1 + J), a bit differs with the angle's share of pi; half a deviation more.
-WIDE, WIDTH, SEARCH_WIDTH, CELLS, CELL_SEGMENTS = 8, 5, 3, 32, 10
-WIDE_RADIUS = int(64 * WIDE * np.arccos(2 * 0.8 / 1.8) / np.pi + 0.5 * np.sqrt(64 * WIDE * 0.1514 * 0.8486))
-_SALTS = np.random.default_rng(8).integers(1, 2**63, WIDE + WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Shingle width in words, and the least Jaccard similarity of two shingle sets that is a link: NUM / DEN.
+WIDTH, NUM, DEN = 5, 4, 5
+#: Minhashes of a shingle set; BANDS cells of BAND minhashes each; a sketch of WIDE 64-bit words has four bits of each minhash.
+MINHASHES, BANDS, BAND, WIDE = 128, 16, 3, 8
+#: At the least similarity, four bits of a minhash differ in 0.4 bits (variance 0.84); six deviations more.
+WIDE_RADIUS = int(MINHASHES * 0.4 + 6 * np.sqrt(MINHASHES * 0.84))
+#: Bytes of shingle sets that one part of a group holds.
+SET_BYTES = 16 << 20
+_SALTS = np.random.default_rng(8).integers(1, 2**63, MINHASHES + WIDTH + BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def wide_prints(text: bytes | None) -> tuple[bytes, bytes]:
-    """The compared and the searched fingerprint of WIDE x 64 bits: majority votes over hashes of word shingles, mixed anew for each 64 bits. No words: zeros."""
-    counts = {w: np.zeros(64 * WIDE, np.int64) for w in (WIDTH, SEARCH_WIDTH)}
-    total = dict.fromkeys(counts, 0)
-    one = xxhash.xxh64_intdigest
-    tail = np.zeros(0, np.uint64)
-    seen = 0
-
-    def vote(w: int, shingles: np.ndarray) -> None:
-        total[w] += len(shingles)
-        for at in range(0, len(shingles), 1 << 14):
-            x = shingles[at : at + (1 << 14), None] * _SALTS[:WIDE]
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            x ^= x >> np.uint64(32)
-            counts[w] += bit_totals(x.view(np.uint8))
+def shingle_set(text: bytes | None) -> np.ndarray:
+    """Sorted hashes of a text's different shingles of WIDTH words; fewer words: one shingle of all; no words: none."""
+    one, tail, seen, parts = xxhash.xxh64_intdigest, np.zeros(0, np.uint64), 0, []
 
     def shingles(words: np.ndarray, w: int) -> np.ndarray:
         out = np.zeros(len(words) - w + 1, np.uint64)
         for k in range(w):
-            out = out * np.uint64(0x100000001B3) + words[k : k + len(out)] * _SALTS[WIDE + k]
-        return out ^ (out >> np.uint64(31))
+            out = out * np.uint64(0x100000001B3) + words[k : k + len(out)] * _SALTS[MINHASHES + k]
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return out ^ (out >> np.uint64(32))
 
     for block in word_blocks((text or b"").translate(LOWER), 1 << 19):
-        fresh = np.fromiter((one(w, SEED) for w in block), np.uint64, len(block))
-        words = np.concatenate([tail, fresh])
-        for w in counts:
-            # of the words before this block, a shingle of w takes w - 1 at most
-            part = words[max(0, len(tail) - w + 1) :]
-            if len(part) >= w:
-                vote(w, shingles(part, w))
-        seen += len(fresh)
+        words = np.concatenate([tail, np.fromiter((one(w, SEED) for w in block), np.uint64, len(block))])
+        if len(words) >= WIDTH:
+            parts.append(np.unique(shingles(words, WIDTH)))
+        seen += len(block)
         tail = words[-(WIDTH - 1) :]
-    if not seen:
-        return bytes(8 * WIDE), bytes(8 * WIDE)
-    for w in counts:
-        if not total[w]:
-            vote(w, shingles(tail[-seen:], len(tail[-seen:])))
-    compared, searched = (np.packbits(2 * counts[w] > total[w]).tobytes() for w in (WIDTH, SEARCH_WIDTH))
-    return compared, searched
+    if seen and not parts:
+        parts.append(shingles(tail, len(tail)))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def _sketch(found: np.ndarray) -> tuple[bytes, bytes]:
+    if not len(found):
+        return bytes(8 * WIDE), bytes(4 * BANDS)
+    least = np.full(MINHASHES, 2**64 - 1, np.uint64)
+    for at in range(0, len(found), 1 << 12):
+        np.minimum(least, (_SALTS[:MINHASHES, None] * found[at : at + (1 << 12)]).min(axis=1), out=least)
+    four = ((least * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(60)).astype(np.uint8)
+    bands = (least[: BANDS * BAND].reshape(BANDS, BAND) * _SALTS[MINHASHES + WIDTH :]).sum(axis=1, dtype=np.uint64)
+    return (four[::2] << np.uint8(4) | four[1::2]).tobytes(), (bands >> np.uint64(32)).astype(np.uint32).tobytes()
+
+
+def wide_prints(text: bytes | None) -> tuple[bytes, bytes]:
+    """The compared sketch and the searched bands of a text's shingle set. No words: zeros."""
+    return _sketch(shingle_set(text))
+
+
+def _name(found: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
 
 
 def _wide_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rng = np.random.default_rng(64)
-    chosen = [np.sort(rng.choice(32 * WIDE, CELL_SEGMENTS, replace=False)) for _ in range(CELLS)]
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            x = embed(_matrix(part.column(2), WIDE))
-            cells = []
-            for k, segments in enumerate(chosen):
-                key = np.zeros(len(x), np.uint64)
-                for s in segments.tolist():
-                    key = key << np.uint64(2) | (x[:, s // 32] >> np.uint64(2 * (s % 32))) & np.uint64(3)
-                cells.append(_hash(key, k + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.concat_arrays([part.column(0)] * CELLS), pa.concat_arrays([part.column(1)] * CELLS)], ["cell", "node", "print"])
+            bands = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint32).reshape(-1, BANDS).astype(np.uint64)
+            cells = [_hash(bands[:, k], k + 1) for k in range(BANDS)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.concat_arrays([part.column(0)] * BANDS), pa.concat_arrays([part.column(1)] * BANDS)], ["cell", "node", "print"])
+
+
+def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs whose sets have a Jaccard similarity of NUM / DEN at least, by counting: no estimate."""
+    size = np.array([len(x) for x in sets])
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    upto = np.r_[0, np.cumsum(size)]
+    marked = np.zeros(int(code.max(initial=-1)) + 1, bool)
+    out, todo = [], np.arange(len(sets))
+    while len(todo) > 1:
+        queue, todo = [int(todo[0])], todo[1:]
+        while queue and len(todo):
+            at = queue.pop()
+            mine = code[upto[at] : upto[at + 1]]
+            fits = todo[(size[todo] * DEN >= size[at] * NUM) & (size[at] * DEN >= size[todo] * NUM)]
+            marked[mine] = True
+            both = np.array([np.count_nonzero(marked[code[upto[i] : upto[i + 1]]]) for i in fits.tolist()], np.int64)
+            marked[mine] = False
+            # both / (a + b - both) >= NUM / DEN
+            found = fits[both * (NUM + DEN) >= NUM * (size[fits] + size[at])]
+            if len(found):
+                out += [(at, i) for i in found.tolist()]
+                queue += found.tolist()
+                todo = todo[~np.isin(todo, found)]
+    return out
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (cell, node, shingles) sorted by cell: the links (a, b) of each cell's exact forest."""
+
+    def links(nodes: list[int], sets: list[bytes]) -> pa.RecordBatch:
+        found = exact_forest([np.frombuffer(x, np.uint64) for x in sets])
+        return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], ["a", "b"])
+
+    cell, nodes, sets = None, [], []
+    for batch in batches:
+        for c, n, x in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            if c != cell:
+                if len(nodes) > 1:
+                    yield links(nodes, sets)
+                cell, nodes, sets = c, [], []
+            nodes.append(n)
+            sets.append(x)
+    if len(nodes) > 1:
+        yield links(nodes, sets)
+
+
+def confirm(groups: DataFrame, texts: DataFrame, set_bytes: int = SET_BYTES) -> DataFrame:
+    """(a, b) links whose connected classes are those of all pairs within a group that are NUM / DEN alike, exactly.
+
+    groups: (node, root, least, size), a node being the name of a shingle set, ``least`` the key of a text that has it. texts: (k, t). Groups
+    of more than ``set_bytes`` are dealt out as pairs of blocks; every two members meet in at least one.
+    """
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t) for t in byte_column(batch.column(2))]
+            # a key that is repeated may have other texts
+            mine = [x.tobytes() if _name(x) == y else None for x, y in zip(sets, batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mine, pa.binary())], ["root", "node", "shingles"])
+
+    sets = texts.join(groups.select("node", "root", "least"), F.col("k") == F.col("least")).select("root", "node", "t")
+    sets = sets.mapInArrow(run, "root long, node long, shingles binary").where("shingles is not null")
+    # fewer rows than the corpus has pieces of set_bytes
+    large = groups.groupBy("root").agg(F.ceil(F.sum(F.col("size").cast("long")) * 16 / set_bytes).alias("n")).where("n > 2").withColumnRenamed("root", "large")
+    dealt = sets.join(F.broadcast(large), F.col("root") == F.col("large"), "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("i", F.pmod(F.xxhash64("node"), "n"))
+    dealt = dealt.select("root", "node", "shingles", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
+    cells = dealt.select(F.xxhash64("root", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "node", "shingles")
+    return cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_confirmed, "a long, b long")
 
 
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = WIDE_RADIUS, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """(key, component_id) per row with a key: classes of documents whose shingles of five words have a similarity of about 0.8 or more.
+    """(key, component_id) per row with a key: classes of documents linked by a Jaccard similarity of 0.8 or more of their sets of five-word shingles.
 
-    At that similarity 64 bits differ too much for a search, so fingerprints are 512 bits wide, estimates within 0.04. The embedding is the same;
-    its grid has 32 cells a document, each over ten segments, so a pair at 0.8 meets in one with probability 0.95, one at 0.9 with 0.999. Exact
-    copies always meet. key: an integer. Rows without a key are left out.
+    Search: 128 minhashes of the set; a document has 16 cells of three each, so a pair at 0.8 meets in none with probability 1e-5, wherever its
+    edits are, and one above more rarely. Within cells, sketches as near as ``radius`` bits (six deviations above the mean at 0.8) make groups;
+    within a group the sets themselves decide, all pairs that a class may need. Equal sets always meet. key: an integer. Rows without a key are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = [wide_prints(t) for t in byte_column(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p for p, _ in pairs], pa.binary()), pa.array([s for _, s in pairs], pa.binary())], ["k", "print", "search"])
+            names, sizes, prints = [], [], []
+            for t in byte_column(batch.column(1)):
+                found = shingle_set(t)
+                names.append(_name(found))
+                sizes.append(len(found))
+                prints.append(_sketch(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array([p for p, _ in prints], pa.binary()), pa.array([s for _, s in prints], pa.binary())], ["k", "node", "size", "print", "search"])
 
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    marked = materialize(named.mapInArrow(run, "k long, print binary, search binary"), "wide")
-    nodes = marked.groupBy("print", "search").agg(F.min("k").alias("node"), F.count("*").alias("n"))
-    stars = materialize(components(join_cells(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, WIDE, cell_limit)), "classes")
-    # a root is the smallest node of its class, and a node the smallest key of its copies
-    classes = nodes.join(stars.withColumnRenamed("node", "in_class"), F.col("node") == F.col("in_class"), "left").select("print", "search", F.coalesce("root", "node").alias("component_id"), "n")
-    return name_rows(marked, materialize(classes, "components"), ["print", "search"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
+    marked = materialize(named.mapInArrow(run, "k long, node long, size int, print binary, search binary"), "wide")
+    nodes = materialize(marked.groupBy("node", "size", "print", "search").agg(F.min("k").alias("least"), F.count("*").alias("n")), "sets")
+    near = materialize(components(join_cells(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, WIDE, cell_limit)), "near")
+    groups = near.join(nodes.select("node", "least", "size"), "node")
+    stars = materialize(components(materialize(confirm(groups, named), "confirmed")), "classes")
+    classes = stars.join(nodes.select("node", "least"), "node")
+    classes = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root").select("node", "class_least")
+    per_node = nodes.join(classes, "node", "left").select("node", F.coalesce("class_least", "least").alias("component_id"), "n")
+    return name_rows(marked.select("k", "node"), materialize(per_node, "components"), ["node"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
