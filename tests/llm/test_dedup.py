@@ -171,3 +171,32 @@ def test_pairs_with_one_edited_passage_are_not_lost(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {x.doc_id: x.component_id for x in simhash.similar_classes(docs).collect()}
     assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_links_are_confirmed_on_the_shingle_sets(spark):
+    r = random.Random(12)
+    words = [f"t{i}" for i in range(5000)]
+    texts, line = [], " ".join(r.choice(words) for _ in range(12))
+    for _ in range(60):
+        base = [r.choice(words) for _ in range(150)]
+        k = r.randint(16, 24)
+        texts += [" ".join(base), " ".join([r.choice(words) for _ in range(k)] + base[k:])]
+    # different texts that share a line, repeated often
+    texts += [f"{(line + ' ') * 30}{' '.join(r.choice(words) for _ in range(40))}" for _ in range(6)]
+    want = list(range(len(texts)))
+    for i in range(0, 120, 2):
+        if alike(texts[i], texts[i + 1]) >= 0.8:
+            want[i + 1] = i
+    assert len(set(want)) > 100 and len(set(want)) < len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x.doc_id: x.component_id for x in simhash.similar_classes(docs).collect()} == dict(enumerate(want))
+
+
+def test_large_groups_are_dealt_without_losing_links(spark):
+    texts = [" ".join(f"t{k}" for k in range(i, i + 60)) for i in range(0, 90, 3)]
+    named = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, t string")
+    rows = [(simhash._name(x), 1, i, len(x)) for i, t in enumerate(texts) if (x := simhash.shingle_set(t.encode())) is not None]
+    groups = spark.createDataFrame(rows, "node long, root long, least long, size int")
+    for size in (1 << 24, 1 << 10):
+        got = graph.components(simhash.confirm(groups, named, size)).collect()
+        assert len(got) == 30 and len({x.root for x in got}) == 1
