@@ -102,6 +102,16 @@ def test_urls_against_sql_and_by_hand(spark):
     assert bad == {"block"} and {x.verdict for x in got.values() if "good.example" in x.host} == {"allow"}
 
 
+def test_hosts_without_outcomes_have_the_bound_of_their_domain(spark):
+    hosts = [f"h{i}.{d}" for d in ("bad.org", "good.org") for i in range(4)]
+    rows = [(100 * i + j, f"http://{h}/p{j}", int("bad" in h)) for i, h in enumerate(hosts) for j in range(30)]
+    more = [(9000, "http://new.bad.org/"), (9001, "http://new.good.org/"), (9002, "http://new.other.org/"), (9003, "http://new.other.net/"), (9004, None)]
+    pages = spark.createDataFrame([x[:2] for x in rows] + more, "page_id long, url string")
+    outcomes = spark.createDataFrame([(k, bad) for k, _, bad in rows], "page_id long, bad int")
+    got = {x.page_id: x.verdict for x in urls.judge(pages, outcomes).collect()}
+    assert [got[k] for k, _ in more] == ["block", "allow", "allow", "allow", "allow"] and len(got) == len(rows) + len(more)
+
+
 def test_urls_repeats_nulls_and_empty_tables(spark):
     pages = spark.createDataFrame([(None, "http://a.b/"), (1, "http://a.b/"), (1, "http://a.b/")], "page_id long, url string")
     none = spark.createDataFrame([], "page_id long, bad int")

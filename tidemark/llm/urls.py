@@ -83,11 +83,13 @@ def _strength(units: DataFrame, parent: str) -> DataFrame:
     return sums.select(F.col(parent).alias("name"), "n", "bad", k.cast("double").alias("strength"))
 
 
-def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """outcomes: (host, bad 0/1), null bad counts as no outcome. Per host with outcomes: n, bad, post (posterior bad rate), lower (posterior bound).
+def _bound(z: float) -> Column:
+    a, b = F.col("a"), F.col("b")
+    return a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
 
-    Hosts are summed before anything meets, so a host with a third of all rows is one row from the first shuffle on.
-    """
+
+def _levels(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Hosts with outcomes, and the priors (name, post, strength) that domains, suffixes and the overall rate give to what is below them."""
     hosts = outcomes.where("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
     hosts = hosts.select(F.col("host").alias("name"), domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -95,19 +97,42 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     top = _strength(suffixes, "top").withColumn("post", (F.col("bad") + TOP_PRIOR) / (F.col("n") + 2 * TOP_PRIOR))
     in_suffix = _shrunk(suffixes.select(F.col("suffix").alias("name"), "top", "n", "bad"), top, "top").join(_strength(domains, "suffix").select("name", "strength"), "name")
     in_domain = _shrunk(domains.select(F.col("domain").alias("name"), "suffix", "n", "bad"), in_suffix, "suffix").join(_strength(hosts, "domain").select("name", "strength"), "name")
+    return hosts, in_domain, in_suffix, top
+
+
+def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+    """outcomes: (host, bad 0/1), null bad counts as no outcome. Per host with outcomes: n, bad, post (posterior bad rate), lower (posterior bound).
+
+    Hosts are summed before anything meets, so a host with a third of all rows is one row from the first shuffle on.
+    """
+    hosts, in_domain, _, _ = _levels(outcomes)
     out = _shrunk(hosts.select("name", "domain", "n", "bad"), in_domain, "domain")
-    sd = F.sqrt(F.col("a") * F.col("b") / ((F.col("a") + F.col("b")) * (F.col("a") + F.col("b")) * (F.col("a") + F.col("b") + 1)))
-    return out.select(F.col("name").alias("host"), "n", "bad", "post", (F.col("post") - z * sd).alias("lower"))
+    return out.select(F.col("name").alias("host"), "n", "bad", "post", _bound(z).alias("lower"))
+
+
+def unlabelled(hosts: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+    """hosts: one column ``host``. Those without outcomes, with the posterior bound (lower) that no outcome leaves: of the domain, else the suffix, else the overall rate.
+
+    The empty host is none, and without any outcome there is no bound.
+    """
+    known, *levels = _levels(outcomes)
+    rows = hosts.where("host <> ''").join(known.select(F.col("name").alias("known")), F.col("host") == F.col("known"), "left_anti")
+    for name, key, prior in zip(("d", "s", "t"), (domain_of(F.col("host")), suffix_of(F.col("host")), F.lit("")), levels, strict=True):
+        up = prior.select(F.col("name").alias(name), (F.col("post") * F.col("strength")).alias("a"), ((1 - F.col("post")) * F.col("strength")).alias("b"))
+        rows = rows.join(up.select(name, _bound(z).alias(f"{name}_lower")), key == F.col(name), "left")
+    return rows.select("host", F.coalesce("d_lower", "s_lower", "t_lower").alias("lower"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Iterable[Rule] = (), key: str = "page_id", url: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
-    """One row per page: (key, host, path, rule, verdict). A fitting rule decides; else the host's posterior bound; a host without outcomes is allowed.
+    """One row per page: (key, host, path, rule, verdict). A fitting rule decides; else the host's posterior bound; a host without outcomes has that of its domain, suffix or the overall rate.
 
     outcomes: (key, bad) labelled pages; several outcomes of one key count as bad if any is. Null url: empty host and path, allowed unless
     a rule fits. Repeated pages come back repeated; null keys stay and never meet an outcome. Empty tables are fine.
     """
     named = pages.select(F.col(key).alias("k"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     known = outcomes.select(F.col(key).alias("ok"), "bad").groupBy("ok").agg(F.max("bad").alias("bad"))
-    blocked = reputation(named.join(known, F.col("k") == F.col("ok")).select("host", "bad"), z).where(F.col("lower") > threshold).select(F.col("host").alias("h2"))
+    labelled = named.join(known, F.col("k") == F.col("ok")).select("host", "bad")
+    bounds = reputation(labelled, z).select("host", "lower").unionByName(unlabelled(named.select("host").distinct(), labelled, z))
+    blocked = bounds.where(F.col("lower") > threshold).select(F.col("host").alias("h2"))
     rows = named.join(blocked, F.col("host") == F.col("h2"), "left").withColumn("r", rule_for(F.col("host"), F.col("path"), rules))
     return rows.select(F.col("k").alias(key), "host", "path", F.col("r.rule").alias("rule"), F.coalesce(F.col("r.action"), F.when(F.col("h2").isNotNull(), "block").otherwise("allow")).alias("verdict"))
