@@ -33,3 +33,16 @@ def test_query_matches_sql(spark, db, name):
         assert norm(rows) == norm(db.sql(f"select {', '.join(names)} from ({SQL[name]})").fetchall())
     else:
         assert rows
+
+
+def test_promotion_runs_over_a_store_of_all_documents(spark, monkeypatch):
+    from tidemark import queries
+
+    stored = []
+    replace = queries.store.ChunkStore.replace
+    monkeypatch.setattr(queries.store.ChunkStore, "replace", lambda self, rows, *a, **b: (stored.append(self), replace(self, rows, *a, **b))[1])
+    queries.q30_promotion(spark, D).collect()
+    docs = queries.documents(spark, D)
+    mine = {x.doc_id for x in docs.where("tenant_id = 't1' and repo_id = 'src1'").collect()}
+    assert {x.doc_id for x in stored[0].read().collect()} == {x.doc_id for x in docs.collect()} - mine
+    assert {x.doc_id: x.text for x in stored[-1].read().collect()} == {x.doc_id: x.text for x in docs.collect() if x.doc_id in mine}

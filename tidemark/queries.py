@@ -304,10 +304,11 @@ def q30_promotion(spark: SparkSession, d: str) -> DataFrame:
 
     base = f"{shared_dir(spark)}/promotion-{uuid.uuid4().hex}"
     shared, own = store.ChunkStore(spark, store.collection(base)), store.ChunkStore(spark, store.collection(base, "repo", tenant="t1", repo="src1"))
-    rows = documents(spark, d).where("repo_id in ('src1', 'src2')").withColumn("chunk_index", F.lit(0)).drop("text")
-    shared.replace(rows)
+    shared.replace(documents(spark, d).withColumn("chunk_index", F.lit(0)))
     shared.promote(own, "t1", "src1")
-    return own.read().select(F.lit("promoted").alias("place"), "doc_id").unionByName(shared.read().select(F.lit("shared").alias("place"), "doc_id"))
+    # every document is stored, its text too; the SQL names what is left of two repositories only
+    left = shared.read().where("repo_id in ('src1', 'src2')")
+    return own.read().select(F.lit("promoted").alias("place"), "doc_id").unionByName(left.select(F.lit("shared").alias("place"), "doc_id"))
 
 
 @query("SELECT doc_id, lang || ' ' || source || ' ' || doc_id::VARCHAR AS stem FROM documents")
