@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import duckdb
 import pytest
@@ -31,10 +32,14 @@ def test_chat_round_trip_against_sql(spark):
 
 
 def test_chat_long_conversation(spark):
-    rows = [(1, i, "assistant" if i % 2 else "user", f"say {i} " * 50) for i in range(600)]
-    got = chat.read_back(chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
-    assert (got.n_turns, got.n_examples) == (600, 300)
-    assert got.loss_sha256 == hashlib.sha256("".join(t for _, _, r, t in rows if r == "assistant").encode()).hexdigest()
+    rows = [(1, i, "assistant" if i % 2 else "user", f"say {i} <|") for i in range(100_000)] + [(2, 0, "user", "alone")]
+    began = time.perf_counter()
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {x.conv_id: x for x in chat.read_back(formatted).collect()}
+    assert time.perf_counter() - began < 60
+    assert (got[1].n_turns, got[1].n_examples, got[2].n_turns, got[2].n_examples, got[2].loss_chars, got[2].example_chars) == (100_000, 50_000, 1, 0, 0, 0)
+    assert got[1].loss_sha256 == hashlib.sha256("".join(t for _, _, r, t in rows if r == "assistant").encode()).hexdigest()
+    assert chat.read_back(formatted)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
 def slow_targets(sizes, percent=150, epochs=2):

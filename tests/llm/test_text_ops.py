@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, fingerprint, html, secrets
+from tidemark.llm.common import parts, running
 
 
 def slow_hits(words, items, window=10):
@@ -98,6 +100,59 @@ def test_markov_models_find_random_strings_not_identifiers(spark):
     assert all((x.s, x.e) == (4, 36) for i in range(60) for x in got[i])
 
 
+def test_fifty_thousand_spans_in_one_text(spark):
+    text = "".join(f"é token={i:06d}x{'0f' * 12} " for i in range(25_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    got = secrets.scan(docs).first().spans
+    assert [(x.s, x.k, x.e) for x in got] == slow_secrets(text) and len(got) == 50_000
+    left = secrets.redact(docs).first().text
+    assert left == "é [SECRET] " * 25_000
+    assert time.perf_counter() - began < 60
+
+
+def test_method_spans_meet_no_base_span_and_redaction_follows_spans(spark):
+    r = random.Random(4)
+    pieces = ["token=abcdefgh", "0f" * 13, "AKIA" + "B" * 17, "é", " ", "=", "Zk3", "x9_Q" * 6, "secret: "]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(0, 14))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: [(y.s, y.k, y.e) for y in x.spans] for x in secrets.scan(docs, threshold=-100.0).collect()}
+    clean = {x.doc_id: x.text for x in secrets.redact(docs, threshold=-100.0).collect()}
+    for i, text in enumerate(texts):
+        base = slow_secrets(text)
+        tokens = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
+        assert found[i] == sorted(base + [(s, 3, e) for s, e in tokens if not any(x < e and s < y for x, _, y in base)])
+        out, at = "", 0
+        for s, _, e in found[i]:
+            if s >= at:
+                out += text[at:s] + "[SECRET]"
+            at = max(at, e)
+        assert clean[i] == out + text[at:]
+
+
+def test_models_learn_from_labelled_tokens(spark):
+    r = random.Random(3)
+    odd = ["".join(r.choice("zqxkvwj579") for _ in range(24)) + "q5" for _ in range(3000)]
+    docs = spark.createDataFrame([(1, "see " + odd[5])], "doc_id long, text string")
+    assert secrets.scan(docs).first().spans
+    model = secrets.fit(spark.createDataFrame([(t, 0) for t in odd] + [(None, 0), ("", 1), ("x", None)], "token string, label int"))
+    assert not secrets.scan(docs, model).first().spans
+    corpus = spark.createDataFrame([(i, f"{odd[i]} and ordinary words") for i in range(300)] + [(900, "token=" + "".join(r.choice("0123456789abcdef") for _ in range(32))), (901, None)], "doc_id long, text string")
+    got = {x.label: x.n for x in secrets.samples_of(corpus).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 600, 1: 2}
+    assert secrets.fit(secrets.samples_of(corpus.where("false"))) == secrets.rule_model()
+    assert secrets.samples_of(corpus, fit_texts=30).count() < 200
+
+
+def test_parts_and_running_equal_slices(spark):
+    text = "aé😀\n" * 1000
+    cuts = [(0, 0), (0, 5), (5, 1024), (1024, 2048), (2047, 2049), (2049, 3999), (3000, 4000), (4000, 4000)]
+    row = spark.createDataFrame([(text, cuts, [3, 1, 4, 1, 5])], "t string, c array<struct<s:int,e:int>>, v array<int>")
+    got = row.select(parts(F.col("t"), F.col("c")).alias("p"), running(F.col("v"), lambda a, b: a + b).alias("sum"), running(F.col("v"), F.least, backwards=True).alias("low"), running(F.array().cast("array<int>"), F.greatest).alias("none")).first()
+    assert got.p == [text[s:e] for s, e in cuts]
+    assert got.sum == [3, 4, 8, 9, 14] and got.low == [1, 1, 1, 1, 5] and got.none == []
+
+
 def test_redaction_masks_merged_spans_only(spark):
     docs = spark.createDataFrame([(1, "é token = 'deadbeefdeadbeefdeadbeefdeadbeef' tail"), (2, "clean"), (3, None), (4, "AKIA" + "Z" * 16)], "doc_id long, text string").withColumn("m", F.lit("x"))
     got = {x.doc_id: x.text for x in secrets.redact(docs).collect()}

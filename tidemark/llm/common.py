@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,10 +23,78 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus) == remainder
 
 
+def rate_limit(rate: float) -> int:
+    """Hashes shifted right by one bit that lie below this are a share ``rate`` of all; never none of them."""
+    return max(1, min(2**63 - 1, int(rate * 2**63)))
+
+
+def sampled(rows: DataFrame, h: str, wanted: int, by: str | None = None) -> DataFrame:
+    """Rows of about ``wanted`` different hashes ``h`` (64-bit), in equal shares of the values of ``by`` if given; of all hashes where there are no more.
+
+    Different hashes are counted (by sketches, within a few percent), so copies use up no share; copies of a picked row all come.
+    """
+    counts = rows.groupBy(*([by] if by else [])).agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()  # one row a value
+    if sum(x.n for x in counts) <= wanted:
+        return rows
+    share = wanted / max(1, len(counts))
+    limits = {x[by] if by else None: rate_limit(share / x.n) for x in counts if x.n}
+    if by:
+        limit = F.element_at(F.create_map(*[F.lit(v) for pair in limits.items() for v in pair]), F.col(by))
+    else:
+        limit = F.lit(limits[None])
+    return rows.where(F.shiftrightunsigned(h, 1) < limit)
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for each row, however often body names it, in lambdas too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Powers of two: an array of Spark has fewer than 2^31 elements.
+_SPANS = tuple(1 << b for b in range(31))
+
+
+def running(values: Column, op: Callable[[Column, Column], Column], backwards: bool = False) -> Column:
+    """Array of op over all elements up to each one (or from it on): about n log n steps by doubling, where growing an array inside an aggregate takes n^2."""
+
+    def double(x: Column, d: Column) -> Column:
+        if backwards:
+            return F.transform(x, lambda v, i: F.when(i + d < F.size(x), op(v, F.get(x, i + d))).otherwise(v))
+        return F.transform(x, lambda v, i: F.when(i >= d, op(F.get(x, i - d), v)).otherwise(v))
+
+    def all_of(x: Column) -> Column:
+        return F.aggregate(F.filter(F.array(*[F.lit(d) for d in _SPANS]), lambda d: d < F.size(x)), x, double)
+
+    return let(values, all_of)
+
+
+#: Code points in a block of ``parts``.
+PART_CHARS = 1024
+
+
+def parts(text: Column, cuts: Column) -> Column:
+    """Substrings of a text at ascending cuts, an array of struct<s, e> (code points from 0, end exclusive; int).
+
+    A substring is found by walking from the start of its string, so many of one long text would take quadratic time: the text is first cut into
+    blocks, and each part walks through blocks of its own only.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART_CHARS}}}"), F.lit(0))
+
+    def one(b: Column, c: Column) -> Column:
+        first, last = F.floor(c.s / PART_CHARS).cast("int"), F.floor((c.e - 1) / PART_CHARS).cast("int")
+        start, end = c.s - first * PART_CHARS, c.e - last * PART_CHARS
+        head = F.substring(F.get(b, first), start + 1, F.lit(PART_CHARS))
+        middle = F.array_join(F.slice(b, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        long = F.concat(head, middle, F.substring(F.get(b, last), F.lit(1), end))
+        return F.when(c.e <= c.s, F.lit("")).when(first == last, F.substring(F.get(b, first), start + 1, c.e - c.s)).otherwise(long)
+
+    return let(blocks, lambda b: F.transform(cuts, lambda c: one(b, c)))
+
+
 def byte_column(column: pa.Array) -> list[bytes | None]:
     """UTF-8 of each string, without decoding it."""
     return column.cast(pa.binary()).to_pylist()

@@ -68,7 +68,8 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = secrets.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    got = secrets.scan(docs, secrets.fit(secrets.samples_of(docs)))
     of = lambda k: F.size(F.filter("spans", lambda x: x.k == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
     base = F.filter("spans", lambda x: x.k < 3)
     return got.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.name(base).cast("binary"), 256).alias("base_sha256"), secrets.name(F.col("spans")).alias("spans"))
