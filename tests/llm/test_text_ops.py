@@ -1,8 +1,10 @@
 import hashlib
+import math
 import random
 import re
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -230,3 +232,100 @@ def test_html_content_and_boilerplate(spark):
     assert html.extract_pages(pages.where("false")).count() == 0
     long = "<p>" + "word " * 200_000 + "</p>"
     assert len(html.extract(PAGE % f"<main>{long}</main>")) == 5 * 200_000 - 1
+
+
+def slow_extract(page):
+    """The same rules by loops over lines and ancestors."""
+    p = html._Lines()
+    p.feed(page or "")
+    p.end()
+    lines = p.lines
+    if not lines:
+        return ""
+    ratio = [math.log(1 + len(t) / tags) for t, tags, _, _ in lines]
+    smooth = []
+    for i in range(len(lines)):
+        around = [(math.exp(-0.5 * (i - j) ** 2), ratio[j]) for j in range(len(lines)) if abs(i - j) <= 3]
+        mean = sum(w * x for w, x in around) / sum(w for w, _ in around)
+        smooth.append(min(mean, ratio[i]) if 2 * lines[i][3] >= len(lines[i][0]) else mean)
+    cut, half = sum(smooth) / len(smooth), min(smooth)
+    for _ in range(32):
+        high, low = [x for x in smooth if x >= cut], [x for x in smooth if x < cut]
+        if not high or not low:
+            cut = half = min(smooth)
+            break
+        half = sum(low) / len(low)
+        new = (sum(high) / len(high) + half) / 2
+        if abs(new - cut) < 1e-9:
+            half = (cut + half) / 2
+            break
+        cut = new
+    above = lambda e: [e, *(above(e.up) if e.up else [])]
+    free = [not any(a.hard or a.soft for a in above(e)) for _, _, e, _ in lines]
+    content = []
+    for i in range(len(lines)):
+        j = k = i
+        while j >= 0 and free[j] and smooth[j] >= half:
+            j -= 1
+        while k < len(lines) and free[k] and smooth[k] >= half:
+            k += 1
+        content.append(free[i] and any(x >= cut for x in smooth[j + 1 : k]))
+    at = [i for i, c in enumerate(content) if c] or [i for i, f in enumerate(free) if f]
+    if not at:
+        return ""
+    shared = set.intersection(*({id(a) for a in above(lines[i][2])} for i in at))
+    region = next(a for a in above(lines[at[0]][2]) if id(a) in shared and (a.tag in html.REGIONS or not a.up))
+    out = []
+    for i, (t, _, e, _) in enumerate(lines):
+        path = above(e)
+        if free[i] and region in path:
+            child = path[path.index(region) - 1] if path.index(region) else None
+            if child and child.tag in html.BLOCKS and (i < at[0] or i > at[-1]):
+                mine = [j for j in range(len(lines)) if child in above(lines[j][2])]
+                if not set(mine) & set(at) and 2 * sum(lines[j][3] for j in mine if free[j]) >= sum(len(lines[j][0]) for j in mine if free[j]):
+                    continue
+            out.append(t)
+    return "\n".join(out)
+
+
+MENU = "<div>" + "".join(f"<a href='/{i}'>Item {i}</a><br>" for i in range(12)) + "</div>"
+LONG = "".join(f"<p>{'A sentence of some length stands here. ' * 4}{i}</p>" for i in range(6))
+PLAIN = [
+    f"<body>{MENU}<div><h1>Hi</h1>{LONG}</div>{MENU}</body>",
+    f"<body><div><p>a</p><p>b</p><p>c</p><p>d</p><p>e</p></div><div>{LONG}</div></body>",
+    f"<body><ul><li><a>x</a><li><a>y</a><li><a>z</a><li><a>q</a></ul>{LONG}<p>The end.</p></body>",
+    "<body><p>one</p></body>", "", f"<div>{'<div>' * 300}{LONG}", f"<body><table><tr><td>{MENU}<td>{LONG}</table></body>",
+]
+
+
+def test_html_equals_slow_rules_on_all_small_pages(spark):
+    rows = [x.html for x in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    for page in [*rows, *PLAIN, PAGE % LONG, PAGE % f"<article>{LONG}</article>"]:
+        assert html.extract(page) == slow_extract(page)
+
+
+def test_html_region_comes_from_the_ratios(monkeypatch):
+    text = re.sub("<[^>]*>", "", LONG.replace("</p><p>", "\n")).strip()
+    assert html.extract(PLAIN[0]) == "Hi\n" + re.sub(r" {2,}", " ", text)
+    assert "a\nb" not in html.extract(PLAIN[1]) and html.extract(PLAIN[1]) == re.sub(r" {2,}", " ", text)
+    assert html.extract(PLAIN[2]).endswith("The end.") and not html.extract(PLAIN[2]).startswith("x")
+    want = [html.extract(x) for x in PLAIN]
+    for other in (lambda n, t, _: np.ones(len(n)), lambda n, t, _: np.random.default_rng(0).permutation(np.log1p(n / t)), lambda n, t, _: -np.log1p(n / t)):
+        monkeypatch.setattr(html, "smoothed", other)
+        assert [html.extract(x) for x in PLAIN] != want
+
+
+def test_html_loses_no_content():
+    assert html.extract(f"<html><head><title>T</title>{LONG}").count("\n") == 5
+    assert html.extract(PAGE % f'<div class="content has-sidebar no-header">{LONG}</div>').count("\n") == 5
+    assert "x = 1" in html.extract(PAGE % f"<article>{LONG}<p>so <math><mi>x</mi> = <mn>1</mn></math> it is</p></article>")
+    lead = "<div><p>This lead paragraph stands outside of the block that holds nearly all of the text.</p></div>"
+    assert html.extract(PAGE % f"{lead}<div>{LONG}</div>").startswith("This lead")
+    assert html.extract(PAGE % f'<div class="search page"><div class="sidebar">{MENU}</div><main>{LONG}</main></div>').count("\n") == 5
+    assert html.extract(PAGE % f'<div class="wrap widget">{LONG}</div>').count("\n") == 5
+    assert html.extract(PAGE % f'<p>Short but true.</p><div class="comments">{LONG}{LONG}</div><div class="cookie">{LONG}</div>') == "Short but true."
+    deep = "<div>" * 20_000 + LONG + "</div>" * 20_000 + "</section>" * 20_000
+    began = time.perf_counter()
+    assert html.extract(deep).count("\n") == 5
+    assert html.extract("<div><p>some words here</p>" * 20_000).count("\n") == 19_999
+    assert time.perf_counter() - began < 20

@@ -1,10 +1,10 @@
 """Main text of web pages by text density.
 
 Parser events of the standard library stream into lines, one for each block of the page; a line has its text, the number of tags in it and
-the elements that hold it. The text-to-tag ratios of the lines are smoothed by a Gaussian and clustered into two by threshold; the
-dense lines name the content region: the innermost element that holds four fifths of their text, moved out to the article or main element
-around it. All lines of the region count, but those inside elements that are menus, headers, footers, sidebars, notices,
-adverts, forms or reader comments by tag, role or class.
+the element that holds it. The text-to-tag ratios of the lines are smoothed by a Gaussian and clustered into two by threshold. Content are the lines above
+the threshold, with neighbours that lie above half the way to it; the region is the innermost container that holds all of them. Of the region, all
+lines count, but for blocks of links at its edges that hold no content line. Lists only veto: lines within menus, headers, footers, sidebars, notices, adverts,
+forms or reader comments by tag, role or class are no content and never come back.
 """
 
 from __future__ import annotations
@@ -21,13 +21,17 @@ from pyspark.sql import functions as F
 # Element names and class words of HTML.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NOT_TEXT = frozenset("script style noscript template iframe object svg math head title select textarea button canvas audio video datalist".split())
+NOT_TEXT = frozenset("script style noscript template iframe object svg title select textarea button canvas audio video datalist".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 SCOPES = frozenset("table ul ol dl article section main aside div body html nav form blockquote".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation navigator menu menubar breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup share sharing social comment comments disqus respond replies reply related recommended pagination pager search skip login widget toolbar disclaimer paywall".split())
+#: Of these, layout words alone may stand on what holds the article; they veto nothing that holds more than half of the dense text.
+LAYOUT_WORDS = frozenset("nav navbar navigation navigator menu menubar breadcrumb breadcrumbs sidebar sidebars aside masthead topbar popup modal overlay share sharing social related recommended pagination pager search skip login widget toolbar header".split())
+#: Class words in front of what an element merely has or lacks.
+MERELY = ("has-", "no-", "with-", "without-", "hide-", "not-")
 REGIONS = frozenset("article main section div td body html".split())
 #: Lines on either side that the Gaussian reaches, and its width.
 REACH, SIGMA = 3, 1.0
@@ -36,31 +40,58 @@ _SPLIT = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class _Element:
-    __slots__ = ("tag", "up", "bad", "depth")
+    """start, end: the lines within. hard: vetoed by tag, role or style here or above; soft: words of class or id that veto this element."""
 
-    def __init__(self, tag: str, up: _Element | None, bad: bool):
-        self.tag, self.up, self.bad, self.depth = tag, up, bad, up.depth + 1 if up else 0
+    __slots__ = ("tag", "up", "hard", "soft", "link", "inside", "start", "end", "at", "vetoed")
+
+    def __init__(self, tag: str, up: _Element | None, hard: bool, soft: frozenset[str], start: int, at: int):
+        self.tag, self.up, self.soft, self.start, self.end, self.at = tag, up, soft, start, start, at
+        self.hard = hard or up is not None and up.hard
+        self.link = tag == "a" or up is not None and up.link
+        self.inside = tag in ("article", "main") or up is not None and up.inside
+        self.vetoed = False
 
 
 class _Lines(HTMLParser):
-    """lines: [text, tags, element] in page order."""
+    """lines: (text, tags, element, characters of links) in page order; elements: in order of their starts."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.at = _Element("#page", None, False)
-        self.lines: list[list] = []
+        self.lines: list[tuple[str, int, _Element, int]] = []
+        self.elements: list[_Element] = []
+        self.open: dict[str, int] = {}
         self.text: list[str] = []
-        self.tags = 1
-        self.mute = 0
+        self.tags, self.linked, self.mute = 1, 0, 0
+        self.at: _Element | None = None
+        self._push("#page", False, frozenset())
+
+    def _push(self, tag: str, hard: bool, soft: frozenset[str]) -> None:
+        self.at = _Element(tag, self.at, hard, soft, len(self.lines), len(self.elements))
+        self.elements.append(self.at)
+        self.open[tag] = self.open.get(tag, 0) + 1
+
+    def _pop_to(self, e: _Element) -> None:
+        while self.at is not e:
+            self.at.end = len(self.lines)
+            self.open[self.at.tag] -= 1
+            self.at = self.at.up
 
     def flush(self) -> None:
         line = " ".join("".join(self.text).split())
         if line:
-            self.lines.append([line, self.tags, self.at])
+            self.lines.append((line, self.tags, self.at, self.linked))
             self.tags = 1
-        self.text = []
+        self.text, self.linked = [], 0
 
-    def _up_to(self, names: tuple[str, ...] | frozenset[str], stop: frozenset[str]) -> None:
+    def end(self) -> None:
+        self.close()
+        self.flush()
+        self._pop_to(self.elements[0])
+        self.at.end = len(self.lines)
+
+    def _up_to(self, names: tuple[str, ...], stop: frozenset[str]) -> None:
+        if not any(self.open.get(n) for n in names):
+            return
         e, found = self.at, None
         while e.up and e.tag not in stop:
             if e.tag in names:
@@ -70,7 +101,7 @@ class _Lines(HTMLParser):
             e = e.up
         if found:
             self.flush()
-            self.at = found.up
+            self._pop_to(found.up)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -92,131 +123,142 @@ class _Lines(HTMLParser):
         elif tag in ("br", "img", "wbr"):
             self.text.append(" " if tag == "br" else "")
         if tag not in VOID:
-            bad = self.at.bad or self._bad(tag, attrs)
-            if bad != self.at.bad:
+            hard, soft = self._veto(tag, attrs)
+            if hard > self.at.hard or soft:
                 self.flush()
-            self.at = _Element(tag, self.at, bad)
+            self._push(tag, hard, soft)
 
-    def _bad(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in BOILERPLATE or tag == "header" and not self._inside("article", "main"):
-            return True
+    def _veto(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, frozenset[str]]:
+        if tag in BOILERPLATE or tag == "header" and not self.at.inside:
+            return True, frozenset()
         if tag in ("html", "body", "main", "article"):
-            return False
+            return False, frozenset()
+        words: set[str] = set()
         for name, value in attrs:
             if name == "role" and (value or "").lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name in ("class", "id"):
-                words = _WORDS.findall(_SPLIT.sub(" ", value or "").lower())
-                if not BAD_WORDS.isdisjoint(words) or "header" in words and not self._inside("article", "main"):
-                    return True
+                return True, frozenset()
             if name == "style" and "display:none" in (value or "").replace(" ", "").lower():
-                return True
-        return False
-
-    def _inside(self, *names: str) -> bool:
-        e = self.at
-        while e:
-            if e.tag in names:
-                return True
-            e = e.up
-        return False
+                return True, frozenset()
+            if name in ("class", "id"):
+                for token in (value or "").split():
+                    if not token.lower().startswith(MERELY):
+                        words.update(_WORDS.findall(_SPLIT.sub(" ", token).lower()))
+        return False, frozenset(w for w in words if w in BAD_WORDS or w == "header" and not self.at.inside)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if self.mute:
             self.mute -= tag in NOT_TEXT
             return
-        if tag in BLOCKS:
-            e = self.at
-            while e.up and e.tag != tag:
-                e = e.up
-            if tag == "p" and not e.up:
+        if not self.open.get(tag):
+            if tag == "p":
                 self.flush()  # a stray end of a paragraph is an empty one
-            if e.up:
+            return
+        e = self.at
+        while e.up and e.tag != tag and (tag in BLOCKS or e.tag not in BLOCKS):
+            e = e.up
+        if e.tag == tag and e.up:
+            # what an inline element held keeps its line, but an advert's or a notice's text must not run into its neighbours
+            if tag in BLOCKS or e.hard > e.up.hard or e.soft:
                 self.flush()
-                self.at = e.up
-        else:
-            e = self.at
-            while e.up and e.tag != tag and e.tag not in BLOCKS:
-                e = e.up
-            if e.tag == tag and e.up:
-                # what an inline element held keeps its line, but an advert's or a notice's text must not run into its neighbours
-                if self.at.bad != e.up.bad:
-                    self.flush()
-                self.at = e.up
+            self._pop_to(e.up)
 
     def handle_data(self, data: str) -> None:
         if not self.mute:
             self.text.append(data)
+            if self.at.link:
+                self.linked += len(data.strip())
 
     def unknown_decl(self, data: str) -> None:
         if data.startswith("CDATA[") and not self.mute:
-            self.text.append(data[6:])
+            self.handle_data(data[6:])
 
 
-def dense(lengths: np.ndarray, tags: np.ndarray) -> np.ndarray:
-    """Which lines are content: smoothed text-to-tag ratios above the threshold between two clusters (their means' midpoint, iterated)."""
+def smoothed(lengths: np.ndarray, tags: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """Logarithms of the text-to-tag ratios, each the mean of its neighbours by Gaussian weights. A line that is mostly links is not lifted by its neighbours."""
     ratio = np.log1p(lengths / tags)
-    x = np.arange(-REACH, REACH + 1)
-    kernel = np.exp(-0.5 * (x / SIGMA) ** 2)
-    weight = np.convolve(np.ones(len(ratio)), kernel, "same") if len(ratio) >= len(kernel) else np.convolve(np.ones(len(ratio)), kernel)[REACH : REACH + len(ratio)]
-    smooth = (np.convolve(ratio, kernel, "same") if len(ratio) >= len(kernel) else np.convolve(ratio, kernel)[REACH : REACH + len(ratio)]) / weight
-    cut = smooth.mean()
+    kernel = np.exp(-0.5 * (np.arange(-REACH, REACH + 1) / SIGMA) ** 2)
+    around = lambda x: np.convolve(x, kernel)[REACH : REACH + len(x)]
+    smooth = around(ratio) / around(np.ones(len(ratio)))
+    return np.where(2 * linked >= lengths, np.minimum(smooth, ratio), smooth)
+
+
+def thresholds(smooth: np.ndarray) -> tuple[float, float]:
+    """(threshold between the two clusters of ratios: their means' midpoint, iterated; half the way to it from the lower mean). One cluster: its least ratio twice."""
+    cut = float(smooth.mean())
+    low = least = float(smooth.min())
     for _ in range(32):
         high = smooth >= cut
         if high.all() or not high.any():
-            return np.ones(len(ratio), bool)
-        new = (smooth[high].mean() + smooth[~high].mean()) / 2
+            return least, least
+        low = float(smooth[~high].mean())
+        new = (float(smooth[high].mean()) + low) / 2
         if abs(new - cut) < 1e-9:
             break
         cut = new
-    return smooth >= cut
+    return cut, (cut + low) / 2
+
+
+def _content(smooth: np.ndarray, free: np.ndarray) -> np.ndarray:
+    """Which lines are content: runs of free lines above the lower threshold that reach the upper one somewhere."""
+    cut, half = thresholds(smooth)
+    near = free & (smooth >= half)
+    run = np.cumsum(np.r_[True, near[1:] != near[:-1]])
+    return near & np.isin(run, run[near & (smooth >= cut)])
+
+
+def _veto(page: _Lines, dense: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Which lines are free of vetoes. A layout word does not veto what holds more than half of the dense text, nor the only article or main element."""
+    of = np.array([e.at for _, _, e, _ in page.lines])
+    hard = np.array([e.hard for e in page.elements])
+    mass = np.r_[0, np.cumsum(np.where(dense & ~hard[of], lengths, 0))]
+    mains = [e for e in page.elements if e.tag in ("article", "main") and e.end > e.start and not e.hard]
+
+    def vetoed_without_lifting(e: _Element | None) -> bool:
+        while e:
+            if e.soft:
+                return True
+            e = e.up
+        return False
+
+    lone = len(mains) == 1 and vetoed_without_lifting(mains[0])
+    for e in page.elements:
+        veto = bool(e.soft)
+        if veto and e.soft <= LAYOUT_WORDS:
+            holds = lone and e.start <= mains[0].start and mains[0].end <= e.end
+            veto = not holds and 2 * (mass[e.end] - mass[e.start]) <= mass[-1]
+        e.vetoed = e.hard or veto or e.up is not None and e.up.vetoed
+    return ~np.array([e.vetoed for e in page.elements])[of]
 
 
 def extract(html: str | None) -> str:
     """Main text: blocks joined by line feeds; empty if there is none. Null counts as empty."""
     if not html:
         return ""
-    p = _Lines()
-    p.feed(html)
-    p.close()
-    p.flush()
-    good = [x for x in p.lines if not x[2].bad]
-    if not good:
+    page = _Lines()
+    page.feed(html)
+    page.end()
+    if not page.lines:
         return ""
-    lengths, tags = np.array([len(x[0]) for x in p.lines]), np.array([x[1] for x in p.lines])
-    high = dense(lengths, tags)
-    mass: dict[int, int] = {}
-    seen: dict[int, _Element] = {}
-    total = 0
-    for n, h, (_, _, e) in zip(lengths.tolist(), high.tolist(), p.lines, strict=True):
-        if h and not e.bad:
-            total += n
-            while e:
-                mass[id(e)] = mass.get(id(e), 0) + n
-                seen[id(e)] = e
-                e = e.up
-    if not total:
-        for n, (_, _, e) in zip(lengths.tolist(), p.lines, strict=True):
-            if not e.bad:
-                total += n
-                while e:
-                    mass[id(e)] = mass.get(id(e), 0) + n
-                    seen[id(e)] = e
-                    e = e.up
-    region = max((e for i, e in seen.items() if 10 * mass[i] >= 8 * total and (e.tag in REGIONS or not e.up)), key=lambda e: e.depth)
-    e = region
-    while e:
-        if e.tag in ("article", "main"):
-            region = e
-        e = e.up
-
-    def within(e: _Element) -> bool:
-        while e and e.depth > region.depth:
-            e = e.up
-        return e is region
-
-    return "\n".join(x[0] for x in good if within(x[2]))
+    lengths, tags, linked = np.array([len(x[0]) for x in page.lines]), np.array([x[1] for x in page.lines]), np.array([x[3] for x in page.lines])
+    smooth = smoothed(lengths, tags, linked)
+    free = _veto(page, smooth >= thresholds(smooth)[0], lengths)
+    content = np.flatnonzero(_content(smooth, free))
+    if not len(content):
+        content = np.flatnonzero(free)
+        if not len(content):
+            return ""
+    first, last = int(content[0]), int(content[-1])
+    # elements come in order of their starts, so the last one that holds all content is the innermost
+    region = [e for e in page.elements if e.start <= first and last < e.end and (e.tag in REGIONS or not e.up)][-1]
+    keep = free.copy()
+    keep[: region.start] = keep[region.end :] = False
+    for e in page.elements[region.at + 1 :]:
+        if e.up is region and e.tag in BLOCKS and e.end > e.start and (e.end <= first or e.start > last):
+            own = slice(e.start, e.end)
+            if 2 * linked[own][free[own]].sum() >= lengths[own][free[own]].sum():
+                keep[own] = False
+    return "\n".join(page.lines[i][0] for i in np.flatnonzero(keep))
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
