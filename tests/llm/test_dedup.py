@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import graph, simhash
+from tidemark.llm import common, graph, simhash
 
 
 def slow_simhash(text):
@@ -141,10 +141,10 @@ def test_hot_and_other_keys_are_all_named(spark, monkeypatch):
     marked = spark.createDataFrame(rows, "k long, fp long")
     classes = marked.groupBy("fp").agg(F.min("k").alias("component_id"), F.count("*").alias("n"))
     for hot in (1, 10, 1000):
-        monkeypatch.setattr(simhash, "HOT_KEYS", hot)
-        got = {x.k: x.component_id for x in simhash.name_rows(marked, classes, ["fp"]).collect()}
+        monkeypatch.setattr(common, "HOT_KEYS", hot)
+        got = {x.k: x.component_id for x in common.attach(marked, classes, "fp").collect()}
         assert got == {k: 0 if f == 7 else 1000 + 2 * (f - 100) for k, f in rows}
-    assert simhash.name_rows(marked.where("false"), classes.where("false"), ["fp"]).count() == 0
+    assert common.attach(marked.where("false"), classes.where("false"), "fp").count() == 0
 
 
 def alike(a, b):

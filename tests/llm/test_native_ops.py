@@ -86,9 +86,10 @@ RULES = [urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/
 
 
 def test_urls_against_sql_and_by_hand(spark):
-    hosts = [f"http://h{i % 7}.{d}/p{i}" for i in range(400) for d in ("bad.example.org", "good.example.org", "x.co.uk")]
+    hosts = [f"http://h{i % 7}.{d}/p{i}" for i in range(400) for d in ("bad.example.org", "good.example.org", "x.co.uk", "spam.bad.net")]
+    hosts += ["http://new.bad.net/", "http://new.example.org/", "http://other.net/", "http://a.b.c.dev/", "http://new.x.co.uk/"] * 2
     pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS + hosts)], "page_id long, url string, verdict string")
-    labels = [(i, 0 if "bad" in u and i % 10 else 1, None) for i, u in enumerate(URLS + hosts) if u and i % 2]
+    labels = [(i, 0 if "bad" in u and i % 10 else 1, None) for i, u in enumerate(URLS + hosts) if u and i % 3 and "new." not in u]
     outcomes = spark.createDataFrame([(i, int(q == 0)) for i, q, _ in labels], "page_id long, bad int")
     got = {x.page_id: x for x in urls.judge(pages, outcomes, RULES).collect()}
     db = duckdb.connect()
@@ -124,6 +125,9 @@ def test_urls_repeats_nulls_and_empty_tables(spark):
     some = spark.createDataFrame([(1, None), (1, 1), (None, 1)], none.schema)
     assert urls.judge(pages, some).count() == 3
     assert urls.judge(pages.where("false"), some, RULES).count() == 0
+    hot = spark.createDataFrame([(i, "http://hot.bad.org/") for i in range(400)] + [(1, "http://x.bad.org/")] * 300 + [(None, "http://hot.bad.org/")], pages.schema)
+    judged = urls.judge(hot, spark.createDataFrame([(i, 1) for i in range(200)], none.schema)).groupBy("verdict").count().collect()
+    assert [tuple(x) for x in judged] == [("block", 701)]
     few = urls.reputation(spark.createDataFrame([("a.b", 1)], "host string, bad int")).first()
     assert few.lower < 0.5 < few.post
 

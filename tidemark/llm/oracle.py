@@ -76,19 +76,24 @@ WITH p AS (
 ), k AS (
   SELECT doc_id, max(CASE WHEN quality = 0 THEN 1 WHEN quality IS NOT NULL THEN 0 END) AS bad FROM labels GROUP BY doc_id
 ), h0 AS (
-  SELECT host, count(*) AS n, sum(bad)::BIGINT AS bad FROM p JOIN k ON page_id = doc_id WHERE bad IS NOT NULL GROUP BY host
+  SELECT host, count(*) AS n, sum(bad)::BIGINT AS bad FROM p JOIN k ON page_id = doc_id WHERE bad IS NOT NULL AND host <> '' GROUP BY host
 ), h1 AS (
-  SELECT *, string_split(host, '.') AS parts FROM h0
+  SELECT *, string_split(host, '.') AS parts FROM (SELECT DISTINCT host FROM p WHERE host <> '') LEFT JOIN h0 USING (host)
 ), h2 AS (
   SELECT *, list_aggregate(parts[-2:], 'string_agg', '.') AS two, list_aggregate(parts[-3:], 'string_agg', '.') AS three FROM h1
-), h AS (
+), every AS (
   SELECT host AS name, n, bad, CASE WHEN two IN ({_SECOND}) THEN three ELSE two END AS domain, CASE WHEN two IN ({_SECOND}) THEN two ELSE parts[-1] END AS suffix FROM h2
-), d AS (SELECT domain AS name, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
+), h AS (SELECT * FROM every WHERE n IS NOT NULL),
+d AS (SELECT domain AS name, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix AS name, '' AS top, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
 ks AS ({_strength('s', 'top')}), kd AS ({_strength('d', 'suffix')}), kh AS ({_strength('h', 'domain')}),
-ps AS (SELECT s.name, (s.bad + (ks.bad + {TOP_PRIOR}) / (ks.n + 2 * {TOP_PRIOR}) * ks.strength) / (s.n + ks.strength) AS post FROM s JOIN ks ON s.top = ks.name),
-pd AS (SELECT d.name, (d.bad + ps.post * kd.strength) / (d.n + kd.strength) AS post FROM d JOIN ps ON d.suffix = ps.name JOIN kd ON d.suffix = kd.name),
-ph AS (SELECT h.name, h.bad + pd.post * kh.strength AS a, h.n - h.bad + (1 - pd.post) * kh.strength AS b FROM h JOIN pd ON h.domain = pd.name JOIN kh ON h.domain = kh.name),
+pt AS (SELECT (bad + {TOP_PRIOR}) / (n + 2 * {TOP_PRIOR}) AS post, strength FROM ks),
+ps AS (SELECT s.name, (s.bad + pt.post * pt.strength) / (s.n + pt.strength) AS post, kd.strength FROM s CROSS JOIN pt JOIN kd ON s.name = kd.name),
+pd AS (SELECT d.name, (d.bad + ps.post * ps.strength) / (d.n + ps.strength) AS post, kh.strength FROM d JOIN ps ON d.suffix = ps.name JOIN kh ON d.name = kh.name),
+priors AS (
+  SELECT e.name, coalesce(e.n, 0) AS n, coalesce(e.bad, 0) AS bad, coalesce(pd.post, ps.post, pt.post) AS post, coalesce(pd.strength, ps.strength, pt.strength) AS strength
+  FROM every e LEFT JOIN pd ON e.domain = pd.name LEFT JOIN ps ON e.suffix = ps.name LEFT JOIN pt ON true
+), ph AS (SELECT name, bad + post * strength AS a, n - bad + (1 - post) * strength AS b FROM priors),
 blocked AS (SELECT name FROM ph WHERE a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5),
 rules(action, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
 fit AS (

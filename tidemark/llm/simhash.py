@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, byte_column, word_blocks
+from tidemark.llm.common import LOWER, attach, byte_column, word_blocks
 from tidemark.llm.graph import components
 from tidemark.storage import materialize
 
@@ -228,22 +228,6 @@ def links(distinct: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) ->
     return join_cells(distinct.select("fp").mapInArrow(_grid(radius), "cell long, node long"), radius, 1, cell_limit)
 
 
-#: Keys with more than this share of all rows are hot; there are fewer than ``HOT_KEYS`` of them.
-HOT_KEYS = 1_000
-
-
-def name_rows(marked: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
-    """``marked`` with the component_id of its keys. classes: (keys, component_id, n), n rows of ``marked`` having those keys.
-
-    Hot keys meet their rows where these are, by a broadcast of fewer than HOT_KEYS rows; the others are joined by key, so a
-    task never gets the rows of a large group of copies.
-    """
-    limit = (classes.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
-    hot, rest = (classes.where(c).select(*keys, "component_id") for c in (F.col("n") > limit, F.col("n") <= limit))
-    others = marked.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
-    return marked.join(F.broadcast(hot), keys).unionByName(others)
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """One row per input row: (key, fp long, component_id).
 
@@ -258,7 +242,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = stars.join(least.select(F.col("fp").alias("node"), "least"), "node")
     named = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root")
     per_fp = least.join(named.select(F.col("node").alias("fp"), "class_least"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"), "n")
-    return name_rows(marked, materialize(per_fp, "components"), ["fp"]).select(F.col("k").alias(key), "fp", "component_id")
+    return attach(marked, materialize(per_fp, "components"), "fp").select(F.col("k").alias(key), "fp", "component_id")
 
 
 #: Shingle width in words, and the least Jaccard similarity of two shingle sets that is a link: NUM / DEN.
@@ -420,7 +404,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     classes = stars.join(nodes.select("node", "least"), "node")
     classes = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root").select("node", "class_least")
     per_node = nodes.join(classes, "node", "left").select("node", F.coalesce("class_least", "least").alias("component_id"), "n")
-    return name_rows(marked.select("k", "node"), materialize(per_node, "components"), ["node"]).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
+    return attach(marked.select("k", "node"), materialize(per_node, "components"), "node").select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

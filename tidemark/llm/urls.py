@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import attach, lower_ascii
+from tidemark.storage import materialize
 
 #: Suffixes of two labels that count as one; every other suffix is the last label.
 SECOND_LEVEL = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "co.nz", "com.br", "com.cn", "com.mx", "co.in", "co.kr", "co.za")
@@ -88,10 +89,9 @@ def _bound(z: float) -> Column:
     return a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
 
 
-def _levels(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _levels(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Hosts with outcomes, and the priors (name, post, strength) that domains, suffixes and the overall rate give to what is below them."""
-    hosts = outcomes.where("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = hosts.select(F.col("host").alias("name"), domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
+    hosts = counts.select(F.col("host").alias("name"), domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("top", F.lit(""))
     top = _strength(suffixes, "top").withColumn("post", (F.col("bad") + TOP_PRIOR) / (F.col("n") + 2 * TOP_PRIOR))
@@ -100,27 +100,27 @@ def _levels(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataF
     return hosts, in_domain, in_suffix, top
 
 
-def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """outcomes: (host, bad 0/1), null bad counts as no outcome. Per host with outcomes: n, bad, post (posterior bad rate), lower (posterior bound).
+def posterior(hosts: DataFrame, counts: DataFrame, z: float = 1.645) -> DataFrame:
+    """hosts: (host, ...), one row each. counts: (host, n, bad) of labelled pages. Adds outcomes, bad, post (posterior bad rate) and lower (its bound).
 
-    Hosts are summed before anything meets, so a host with a third of all rows is one row from the first shuffle on.
+    A host's prior is its domain's posterior, where no labelled page knows the domain the suffix's, else the overall rate; a host without outcomes is left with it. The
+    empty host has no name to judge by, and without any outcome nothing has: null.
     """
-    hosts, in_domain, _, _ = _levels(outcomes)
-    out = _shrunk(hosts.select("name", "domain", "n", "bad"), in_domain, "domain")
-    return out.select(F.col("name").alias("host"), "n", "bad", "post", _bound(z).alias("lower"))
-
+    known, *levels = _levels(counts.where("host <> ''"))
+    rows = hosts.join(known.select(F.col("name").alias("h"), F.col("n").alias("known_n"), F.col("bad").alias("known_bad")), F.col("host") == F.col("h"), "left")
+    for name, key, prior in zip("dst", (domain_of(F.col("host")), suffix_of(F.col("host")), F.lit("")), levels, strict=True):
+        up = prior.select(F.col("name").alias(name), F.struct("post", "strength").alias(f"{name}_prior"))
+        rows = rows.join(up, key == F.col(name), "left")
+    prior = F.when(F.col("host") != "", F.coalesce("d_prior", "s_prior", "t_prior"))
+    rows = rows.select(*hosts.columns, prior.alias("prior"), F.coalesce("known_n", F.lit(0)).alias("outcomes"), F.coalesce("known_bad", F.lit(0)).alias("bad"))
+    rows = rows.withColumns({"a": F.col("bad") + F.col("prior.post") * F.col("prior.strength"), "b": F.col("outcomes") - F.col("bad") + (1 - F.col("prior.post")) * F.col("prior.strength")})
+    return rows.select(*hosts.columns, "outcomes", "bad", (F.col("a") / (F.col("a") + F.col("b"))).alias("post"), _bound(z).alias("lower"))
 
-def unlabelled(hosts: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """hosts: one column ``host``. Those without outcomes, with the posterior bound (lower) that no outcome leaves: of the domain, else the suffix, else the overall rate.
 
-    The empty host is none, and without any outcome there is no bound.
-    """
-    known, *levels = _levels(outcomes)
-    rows = hosts.where("host <> ''").join(known.select(F.col("name").alias("known")), F.col("host") == F.col("known"), "left_anti")
-    for name, key, prior in zip(("d", "s", "t"), (domain_of(F.col("host")), suffix_of(F.col("host")), F.lit("")), levels, strict=True):
-        up = prior.select(F.col("name").alias(name), (F.col("post") * F.col("strength")).alias("a"), ((1 - F.col("post")) * F.col("strength")).alias("b"))
-        rows = rows.join(up.select(name, _bound(z).alias(f"{name}_lower")), key == F.col(name), "left")
-    return rows.select("host", F.coalesce("d_lower", "s_lower", "t_lower").alias("lower"))
+def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+    """outcomes: (host, bad 0/1), null bad counts as no outcome. Per host with outcomes: host, outcomes, bad, post, lower as in ``posterior``."""
+    counts = outcomes.where("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    return posterior(counts.select("host"), counts, z)
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Iterable[Rule] = (), key: str = "page_id", url: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
@@ -128,11 +128,13 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Iterable[Rule] = (), key
 
     outcomes: (key, bad) labelled pages; several outcomes of one key count as bad if any is. Null url: empty host and path, allowed unless
     a rule fits. Repeated pages come back repeated; null keys stay and never meet an outcome. Empty tables are fine.
+    Pages are counted by key and host before they meet outcomes, and hosts with many pages meet their verdict where the pages are, so neither a hot host nor a hot key fills a task.
     """
     named = pages.select(F.col(key).alias("k"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    known = outcomes.select(F.col(key).alias("ok"), "bad").groupBy("ok").agg(F.max("bad").alias("bad"))
-    labelled = named.join(known, F.col("k") == F.col("ok")).select("host", "bad")
-    bounds = reputation(labelled, z).select("host", "lower").unionByName(unlabelled(named.select("host").distinct(), labelled, z))
-    blocked = bounds.where(F.col("lower") > threshold).select(F.col("host").alias("h2"))
-    rows = named.join(blocked, F.col("host") == F.col("h2"), "left").withColumn("r", rule_for(F.col("host"), F.col("path"), rules))
-    return rows.select(F.col("k").alias(key), "host", "path", F.col("r.rule").alias("rule"), F.coalesce(F.col("r.action"), F.when(F.col("h2").isNotNull(), "block").otherwise("allow")).alias("verdict"))
+    known = outcomes.where("bad is not null").groupBy(F.col(key).alias("ok")).agg(F.max("bad").cast("long").alias("bad"))
+    seen = named.where("k is not null").groupBy("k", "host").agg(F.count("*").alias("n"))
+    counts = materialize(seen.join(known, F.col("k") == F.col("ok")).groupBy("host").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("bad")).alias("bad")), "outcomes")
+    hosts = posterior(named.groupBy("host").agg(F.count("*").alias("n")), counts, z)
+    verdicts = materialize(hosts.select("host", "n", F.when(F.col("lower") > threshold, "block").otherwise("allow").alias("judged")), "verdicts")
+    rows = attach(named, verdicts, "host").withColumn("r", rule_for(F.col("host"), F.col("path"), rules))
+    return rows.select(F.col("k").alias(key), "host", "path", F.col("r.rule").alias("rule"), F.coalesce(F.col("r.action"), F.col("judged")).alias("verdict"))
