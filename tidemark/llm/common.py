@@ -129,6 +129,17 @@ def steps(texts: list[bytes | None], limit: int = STEP_BYTES) -> Iterator[tuple[
         yield start, len(texts)
 
 
+def safe_pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """The text in pieces of about ``size`` bytes that end behind white space, so no word is cut; a longer word makes a longer piece."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        while end < len(text) and text[end - 1] not in b" \t\n\r\x0b\x0c":
+            end += 1
+        yield text[at:end]
+        at = end
+
+
 def word_blocks(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """Words between bytes 0x09-0x0D and 0x20, in lists that cover the whole text; memory follows ``size``, not the text."""
     if len(text) <= size:

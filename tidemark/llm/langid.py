@@ -9,23 +9,38 @@ numpy arrays of many documents.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_column, steps
+from tidemark.llm.common import byte_column, safe_pieces, sampled, steps
 
 GRAM = 4
 BUCKETS = 1 << 16
-#: Most labelled texts that a fit reads (picked by a hash of the text, alike in each source and language; copies count once).
+#: About so many different labelled texts a fit reads, as many of each language, picked by a hash of the text.
 FIT_ROWS = 20_000
+#: Longer texts are counted in pieces of that many bytes.
+PIECE = 1 << 20
 UND = "und"
 _PLAIN = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: bytes | None) -> bool:
+    """Whether any character is of a letter category (digits, fractions and signs are not)."""
+    return text is not None and any(map(str.isalpha, text.decode("utf-8", "replace")))
+
+
+@dataclass
+class Model:
+    """Languages in code-point order, log probabilities (language, bucket), and how many grams taught each language."""
+
+    names: list[str]
+    logp: np.ndarray
+    taught: np.ndarray
 
 
 def _buckets(text: bytes) -> np.ndarray:
@@ -45,19 +60,27 @@ def _buckets(text: bytes) -> np.ndarray:
 
 
 def _plain(text: bytes) -> bytes:
-    return b" " + text.decode("utf-8", "replace").lower().encode().translate(_PLAIN) + b" "
+    return text.decode("utf-8", "replace").lower().encode().translate(_PLAIN)
+
+
+def _long_counts(text: bytes, size: int) -> np.ndarray:
+    """Counts of all buckets of a text, piece by piece; each piece brings the end of the one before, so no gram is lost or counted twice."""
+    total, tail = np.zeros(BUCKETS, np.int64), b" "
+    for piece in [*safe_pieces(text, size), None]:
+        now = tail + (b" " if piece is None else _plain(piece))
+        h = _buckets(now)
+        total += np.bincount(h[h >= 0], minlength=BUCKETS)
+        tail = now[-(GRAM - 1) :]
+    return total
 
 
 def gram_counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document index, bucket, count) of whole texts, sorted by document. A text over 4 MiB is counted piece by piece."""
-    if sum(len(t or b"") for t in texts) > 4 << 20 and len(texts) == 1:
-        total, t = np.zeros(BUCKETS, np.int64), texts[0]
-        for at in range(0, len(t), 1 << 20):
-            piece = _buckets(_plain(t[at : at + (1 << 20) + GRAM - 1]))
-            total += np.bincount(piece[piece >= 0], minlength=BUCKETS)
+    """(document index, bucket, count) of whole texts, sorted by document. A long text that comes alone is counted in pieces, with the same counts."""
+    if len(texts) == 1 and len(texts[0] or b"") > PIECE:
+        total = _long_counts(texts[0], PIECE)
         found = np.flatnonzero(total)
         return np.zeros(len(found), np.int64), found, total[found]
-    joined = b"\0".join(_plain(t or b"") for t in texts)
+    joined = b"\0".join(b" " + _plain(t or b"") + b" " for t in texts)
     h = _buckets(joined)
     doc = np.cumsum(np.frombuffer(joined, np.uint8) == 0)[: len(h)]
     key = np.sort((doc * BUCKETS + h)[h >= 0])
@@ -67,17 +90,14 @@ def gram_counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.n
     return key[first] // BUCKETS, key[first] % BUCKETS, np.diff(np.r_[first, len(key)])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages in code-point order and log probabilities (language, bucket), add-half smoothed.
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
+    """Add-half smoothed gram frequencies of each language.
 
-    Rows with a null language teach nothing. At most about ``fit_rows`` texts are read: the documented bound of the sample. A text
+    Rows with a null language teach nothing. About ``fit_rows`` texts are read at most, in equal shares of the languages, so a rare one keeps its texts: the documented bound of the sample. A text
     of one language teaches once, however many rows repeat it. With no labelled row the model has no language, and every document is ``und``.
     """
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
-    n = rows.count()
-    if n > fit_rows:
-        rows = rows.where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * fit_rows / n))
-    rows = rows.dropDuplicates(["l", "h"]).select("l", "t")
+    rows = sampled(rows, "h", fit_rows, "l").dropDuplicates(["l", "h"]).select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -100,7 +120,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int =
     at = {x: i for i, x in enumerate(names)}
     counts[[at[x] for x in got.column("l").to_pylist()], got.column("b").to_numpy()] = got.column("n").to_numpy()
     p = counts + 0.5
-    return names, np.log(p / p.sum(axis=1, keepdims=True)).astype(np.float32)
+    return Model(names, np.log(p / p.sum(axis=1, keepdims=True)).astype(np.float32), counts.sum(axis=1))
 
 
 def _mix(q: np.ndarray, c: np.ndarray, starts: np.ndarray, total: np.ndarray, doc: np.ndarray, pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,12 +181,15 @@ def infer(texts: list[bytes | None], logp: np.ndarray, rounds: int = 20, penalty
     return out
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> Column:
+def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """A struct column expression over ``docs``: lang_pred, score (its share of the text), langs (those of the set, by share).
 
-    Null text, or no letter in it: ``und``, 0.0, no languages. A text whose letters form no known gram is given the best single language.
+    Null text, or no letter in it: ``und``, 0.0, no languages. A text whose letters form no gram at all has the language most was learned of, with that
+    language's share of what was learned as its score; one whose grams are all unknown has the best single language.
     """
-    names, logp = model
+    names, logp = model.names, model.logp
+    most = int(model.taught.argmax()) if names else 0
+    prior = float(model.taught[most] / max(1.0, model.taught.sum())) if names else 0.0
     held = docs.sparkSession.sparkContext.broadcast(logp)  # languages x BUCKETS floats: bounded by the number of languages
 
     @F.arrow_udf("lang_pred string, score double, langs array<string>")
@@ -176,8 +199,10 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
             share = infer(texts[s:e], held.value)
             best = share.argmax(axis=1) if names else np.zeros(e - s, int)
             for t, p, k in zip(texts[s:e], share, best, strict=True):
-                if t is None or not names or not p[k] or not _LETTER.search(t.decode("utf-8", "replace")):
+                if not names or not has_letter(t):
                     rows.append((UND, 0.0, []))
+                elif not p[k]:
+                    rows.append((names[most], prior, [names[most]]))
                 else:
                     rows.append((names[k], float(min(1.0, p[k])), [names[j] for j in np.argsort(-p, kind="stable") if p[j] > 0]))
         cols = list(zip(*rows, strict=True)) or [[], [], []]
@@ -186,7 +211,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     return run(F.col(text))
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", min_share: float = 0.2) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, text: str = "text", min_share: float = 0.2) -> DataFrame:
     """The input rows, columns untouched, whose text has a language that fills at least ``min_share`` of it. ``und`` goes."""
     marked = docs.withColumn("__tm_language", predict(docs, model, text))
     return marked.where((F.col("__tm_language.lang_pred") != UND) & (F.col("__tm_language.score") >= min_share)).drop("__tm_language")

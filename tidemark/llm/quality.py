@@ -8,6 +8,7 @@ the two classes' outputs), so a whole corpus costs one look-up a feature.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -16,21 +17,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_column, steps
+from tidemark.llm.common import byte_column, safe_pieces, sampled, steps
 
 BUCKETS = 1 << 17
+#: Lengths of the character n-grams.
+GRAMS = (3, 4)
 #: Distances at which a word that comes again is a feature; each has a row of its own behind the buckets.
 LAGS = (1, 2, 3, 4)
 ROWS = BUCKETS + len(LAGS)
 DIM = 8
-#: Most labelled texts that a fit reads, picked by a hash of the text, copies counted once: the documented bound of the sample.
+#: About so many different labelled texts a fit reads, as many of each label, picked by a hash of the text: the documented bound of the sample.
 FIT_ROWS = 6_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACES = (9, 10, 11, 12, 13, 32)
+#: Longer texts are counted in pieces of that many bytes.
 PIECE = 2 << 20
-
-
 _STEP = 0x100000001B3
 
 
@@ -44,31 +45,51 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.multiply.accumulate(r) for r in rows)
 
 
-def features(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(document, row) of every word, of every byte 3-gram and 4-gram, and of every word that comes again at one of LAGS; joined: documents between zero bytes. Case and signs count."""
-    a = np.frombuffer(joined, np.uint8)
-    doc = np.cumsum(a == 0)
-    x = a.astype(np.uint32)
-    out_d, out_b = [], []
-    for n in (3, 4):
-        if len(a) >= n:
-            code = x[: len(a) - n + 1].copy()
-            ok = a[: len(a) - n + 1] != 0
-            for k in range(1, n):
-                code |= x[k : len(a) - n + 1 + k] << np.uint32(8 * k)
-                ok &= a[k : len(a) - n + 1 + k] != 0
-            h = ((code + np.uint32(n)) * np.uint32(2654435761)) >> np.uint32(32 - 17)
-            out_d.append(doc[: len(h)][ok])
-            out_b.append(h[ok])
-    gap = _SPACE[a] | (a == 0)
+def _points(text: bytes) -> np.ndarray:
+    return np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+
+
+def _grams(a: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and buckets of the n-grams of code points that hold no zero."""
+    m = len(a) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    code, ok = np.full(m, n, np.uint32), np.ones(m, bool)
+    for k in range(n):
+        code = code * np.uint32(0x01000193) + a[k : m + k]
+        ok &= a[k : m + k] != 0
+    code ^= code >> np.uint32(15)
+    at = np.flatnonzero(ok)
+    return at, (code * np.uint32(2654435761) >> np.uint32(32 - 17))[at]
+
+
+def _words(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words between white space."""
+    gap = np.isin(a, (0, *_SPACES))
     starts = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
     ends = np.flatnonzero(~gap & np.r_[gap[1:], True]) + 1
     up, down = _powers(max(10, len(a).bit_length()))
     total = np.r_[np.uint64(0), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * up[: len(a)], dtype=np.uint64)]
-    word = (total[ends] - total[starts]) * down[starts]
-    out_d.append(doc[starts])
-    out_b.append(((word ^ (word >> np.uint64(29))) * _ODD >> np.uint64(64 - 17)).astype(np.uint32))
+    return starts, (total[ends] - total[starts]) * down[starts]
+
+
+def _word_bucket(word: np.ndarray) -> np.ndarray:
+    return ((word ^ (word >> np.uint64(29))) * _ODD >> np.uint64(64 - 17)).astype(np.uint32)
+
+
+def features(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(document, row) of every word, of every 3-gram and 4-gram of characters, and of every word that comes again at one of LAGS; joined: documents between zero bytes. Case and signs count."""
+    a = _points(joined)
+    doc = np.cumsum(a == 0)
+    out_d, out_b = [], []
+    for n in GRAMS:
+        at, b = _grams(a, n)
+        out_d.append(doc[at])
+        out_b.append(b)
+    starts, word = _words(a)
     of = doc[starts]
+    out_d.append(of)
+    out_b.append(_word_bucket(word))
     for k, lag in enumerate(LAGS):
         again = of[lag:][(word[lag:] == word[:-lag]) & (of[lag:] == of[:-lag])]
         out_d.append(again)
@@ -76,6 +97,34 @@ def features(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out_d), np.concatenate(out_b)
 
 
+def _long_rows(text: bytes, size: int) -> Iterator[np.ndarray]:
+    """The rows of one text's features, piece by piece; each piece brings the last characters and words of the one before, so that all are as in the whole."""
+    tail, before = np.zeros(0, np.uint32), np.zeros(0, np.uint64)
+    for piece in safe_pieces(text, size):
+        a = _points(piece)
+        near = np.r_[tail, a]
+        for n in GRAMS:
+            yield _grams(near[max(0, len(tail) - n + 1) :], n)[1]
+        _, word = _words(a)
+        yield _word_bucket(word)
+        words = np.r_[before, word]
+        for k, lag in enumerate(LAGS):
+            at = np.arange(len(before), len(words))
+            at = at[at >= lag]
+            yield np.full(int((words[at] == words[at - lag]).sum()), BUCKETS + k, np.uint32)
+        tail, before = near[-max(GRAMS) + 1 :], words[-max(LAGS) :]
+
+
+def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a text's features, ascending, and how often each occurs."""
+    text = text.replace(b"\0", b" ")
+    if len(text) <= PIECE:
+        return np.unique(features(text)[1], return_counts=True)
+    total = sum((np.bincount(b, minlength=ROWS) for b in _long_rows(text, PIECE)), np.zeros(ROWS, np.int64))
+    found = np.flatnonzero(total)
+    return found.astype(np.uint32), total[found]
+
+
 @dataclass
 class Model:
     """weight: of each row, for label 1 against label 0; bias likewise."""
@@ -85,30 +134,27 @@ class Model:
 
 
 def scores(texts: list[bytes | None], model: Model) -> np.ndarray:
-    """Probability of label 1. No feature (null, empty): that of the bias alone. Longer texts than PIECE are summed piece by piece."""
+    """Probability of label 1. No feature (null, empty): that of the bias alone."""
     out = np.empty(len(texts))
     for s, e in steps(texts, PIECE):
         part = [(t or b"").replace(b"\0", b" ") for t in texts[s:e]]
-        total, n = np.zeros(e - s), np.zeros(e - s)
-        jobs = [b"\0".join(part)] if len(part) > 1 or len(part[0]) <= 2 * PIECE else [part[0][i : i + PIECE] for i in range(0, len(part[0]), PIECE)]
-        for joined in jobs:
-            d, b = features(joined)
-            total += np.bincount(d, model.weight[b], e - s)
-            n += np.bincount(d, minlength=e - s)
+        if len(part) == 1 and len(part[0]) > PIECE:
+            total = n = np.zeros(1)
+            for b in _long_rows(part[0], PIECE):
+                total, n = total + model.weight[b].sum(dtype=np.float64), n + len(b)
+        else:
+            d, b = features(b"\0".join(part))
+            total, n = np.bincount(d, model.weight[b], e - s), np.bincount(d, minlength=e - s)
         out[s:e] = 1 / (1 + np.exp(-(total / np.maximum(n, 1) + model.bias)))
     return out
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 1.0, batch: int = 16, seed: int = 5) -> Model:
-    """Embeddings (ROWS x DIM) and a softmax layer of two classes, by mini-batch stochastic gradient descent with a falling rate."""
+def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, rate: float = 1.0, batch: int = 16, seed: int = 5) -> Model:
+    """Embeddings (ROWS x DIM) and a softmax layer of two classes, by mini-batch stochastic gradient descent with a falling rate. docs: rows and counts, as by ``counted``."""
     rng = np.random.default_rng(seed)
     embedding = rng.uniform(-1 / DIM, 1 / DIM, (ROWS, DIM)).astype(np.float32)
     layer, bias = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
-    docs = []
-    for t in texts:
-        _, b = features(t.replace(b"\0", b" "))
-        ids, n = np.unique(b, return_counts=True)
-        docs.append((ids, (n / max(1, n.sum())).astype(np.float32)))
+    docs = [(ids, (n / max(1, n.sum())).astype(np.float32)) for ids, n in docs]
     y = labels.astype(int)
     classes = np.maximum(np.bincount(y, minlength=2), 1)
     at = 0
@@ -142,15 +188,21 @@ def fit(docs: DataFrame, text: str = "text", label: str = "label", fit_rows: int
     Without both labels: every score is the share of label 1, or one half of none.
     """
     rows = docs.where(F.col(label).isin(0, 1) & F.col(text).isNotNull()).select(F.col(text).cast("binary").alias("t"), F.col(label).cast("int").alias("y"), F.xxhash64(text).alias("h"))
-    n = rows.count()
-    if n > fit_rows:
-        rows = rows.where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * fit_rows / n))
-    got = rows.dropDuplicates(["h", "y"]).toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
+    rows = sampled(rows, "h", fit_rows, "y").dropDuplicates(["h", "y"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, t in enumerate(batch.column(2).to_pylist()):
+                ids, n = counted(t)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([ids.astype(np.int32).tobytes()]), pa.array([n.astype(np.int32).tobytes()])], ["h", "y", "ids", "n"])
+
+    # counts, not texts: a text of any length gives ROWS of them at most
+    got = rows.select("h", "y", "t").mapInArrow(count, "h long, y int, ids binary, n binary").toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
     y = got.column("y").to_numpy().astype(int)
     if len(set(y.tolist())) < 2:
         share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
         return Model(np.zeros(ROWS, np.float32), float(np.log(share / (1 - share))))
-    return train(got.column("t").to_pylist(), y)
+    return train([tuple(np.frombuffer(x, np.int32) for x in pair) for pair in zip(got.column("ids").to_pylist(), got.column("n").to_pylist(), strict=True)], y)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
