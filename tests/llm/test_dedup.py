@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -77,23 +78,36 @@ def test_dense_cells_lose_no_link(spark, limit):
     assert [stars.get(p, p) for p in prints] == want
 
 
+@pytest.mark.parametrize("groups", [6, 9, 12])
+def test_groups_change_no_class(spark, groups):
+    r = np.random.default_rng(5)
+    base = [int(x) for x in r.integers(0, 2**62, 30)]
+    prints = sorted({b ^ sum(1 << int(x) for x in r.choice(64, r.integers(0, 4), replace=False) if x < 63) for b in base for _ in range(6)})
+    stars = {x.node: x.root for x in graph.components(simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), groups=groups)).collect()}
+    assert [stars.get(p, p) for p in prints] == [prints[i] for i in slow_classes(prints, 3)]
+    assert [simhash.groups_for(n, 3) for n in (0, 10**7, 10**10, 10**13)] == [6, 6, 9, 12]
+
+
 def test_grid_meets_every_pair_within_the_radius():
     r = np.random.default_rng(4)
-    masks = simhash.cell_masks(3)
-    for _ in range(300):
-        a = r.integers(0, 2**63, dtype=np.uint64)
-        b = a
-        for bit in r.choice(64, 3, replace=False):
-            b = b ^ np.uint64(1 << int(bit))
-        x, y = simhash.embed(np.array([a, b]))
-        assert np.bitwise_count(x ^ y) <= 3
-        assert any((x & m) == (y & m) for m in masks)
+    for groups, axes in ((6, 32), (9, 32), (12, 32), (6, 64), (12, 64)):
+        masks = simhash.cell_masks(3, groups, axes)
+        assert len(masks) == math.comb(groups, 3) and all(int(m).bit_count() >= 30 for m in masks)
+        near = embedded = 0
+        for _ in range(60):
+            a = r.integers(0, 2**63, dtype=np.uint64)
+            b = a ^ np.uint64(sum(1 << int(bit) for bit in r.choice(64, 3, replace=False)))
+            x, y = simhash.embed(np.array([a, b])) if axes == 32 else (a, b)
+            near += any((x & m) == (y & m) for m in masks)
+            embedded += np.bitwise_count(x ^ y) <= 3
+        assert near == embedded == 60
 
 
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (41, 40)] * 2
     got = {x.node: x.root for x in graph.components(spark.createDataFrame(pairs, "a long, b long"), limit=5).collect()}
     assert all(got[i] == 0 for i in range(42)) and all(got[100 + i] == 100 for i in range(60)) and len(got) == 102
+    assert graph.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
 def test_null_keys_repeats_and_empty_table(spark):

@@ -49,13 +49,13 @@ def sampled(rows: DataFrame, h: str, wanted: int, by: str | None = None) -> Data
 HOT_KEYS = 1_000
 
 
-def attach(rows: DataFrame, values: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the columns of their key, an inner join. values: (key, n, ...), one row a key, n rows of ``rows`` having that key; n goes.
+def attach(rows: DataFrame, values: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """``rows`` with the columns of their key, an inner join. values: (key, n, ...), one row a key, n rows of ``rows`` having that key; n goes. total: the sum of n, if known.
 
     Hot keys meet their rows where these are, by a broadcast of fewer than HOT_KEYS rows; the others are joined by key, so a
     task never gets the rows of a hot key.
     """
-    limit = (values.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
+    limit = (values.agg(F.sum("n")).first()[0] or 0 if total is None else total) / HOT_KEYS
     hot, rest = (values.where(c).drop("n") for c in (F.col("n") > limit, F.col("n") <= limit))
     others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
     return rows.join(F.broadcast(hot), key).unionByName(others)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import attach
 from tidemark.storage import materialize
 
 
@@ -45,19 +46,26 @@ def _contract(limit: int):
 
 
 def components(pairs: DataFrame, limit: int = 500_000) -> DataFrame:
-    """pairs: two long columns, any names. Returns (node, root) for every node of a pair; root is the component's smallest node."""
+    """pairs: two long columns, any names. Returns (node, root) for every node of a pair; root is the component's smallest node.
+
+    Links are contracted where they lie before anything is shuffled, so of a node with many links only one a part is left unless it is a root; roots
+    with many nodes meet these by a broadcast (see ``attach``).
+    """
     a, b = pairs.columns
     edges = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").mapInArrow(_contract(limit), "v long, u long").where("v <> u").distinct()
-    edges, before = materialize(edges, "edges"), None
-    while True:
+    edges = materialize(edges, "edges")
+    state = lambda e: tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")), F.lit(0))).first())
+    before = state(edges)
+    while before[0]:
         both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u").distinct()
+        low = both.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")).select("v", F.least("v", "m").alias("m"), "n")
+        large = attach(both.where("u > v"), low, "v", 2 * before[0]).select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u").distinct()
         ordered = large.select(F.greatest("v", "u").alias("v"), F.least("v", "u").alias("u"))
         low = ordered.groupBy("v").agg(F.min("u").alias("m"))
         moved = ordered.join(low, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = materialize(moved.union(low.select("v", F.col("m").alias("u"))).where("v <> u").distinct(), "edges")
-        now = tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")), F.lit(0))).first())
+        now = state(edges)
         if now == before:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+            break
         before = now
+    return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())

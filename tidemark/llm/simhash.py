@@ -3,16 +3,18 @@
 Fingerprints: 64 bits, majority vote over XXH64 (seed 42) of word shingles. Search: every fingerprint is
 embedded by the bit counts of its 32 two-bit segments; the Manhattan distance of two embeddings never exceeds
 the Hamming distance of the fingerprints. The range join lays a grid over the embedding: the 32 axes form
-2 r groups, so two points within Manhattan distance r agree in at least r whole groups and meet in a cell named
-by some choice of r groups. Within a cell, Manhattan distance filters and Hamming distance decides. A cell emits
-a spanning forest of its links, never all pairs, so dense groups cost rows in proportion to their members and
-no class is split. Cells above ``cell_limit`` members are dealt out again as pairs of blocks.
+g groups, so two points within Manhattan distance r agree in at least g - r whole groups and meet in a cell named
+by some choice of g - r groups; the more fingerprints there are, the more groups make a cell, so that chance meetings stay few. Within a
+cell, Manhattan distance filters and Hamming distance decides. A cell emits a spanning forest of its links, never all pairs, so dense groups cost
+rows in proportion to their members and no class is split. Cells above ``cell_limit`` members are dealt again by groups of bits instead of counts, first half
+of all bits, then three quarters: what is left in a cell then are fingerprints that differ in 16 bits only, 65,536 at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -83,10 +85,16 @@ def embed(fp: np.ndarray) -> np.ndarray:
     return either | (both << np.uint64(1))
 
 
-def cell_masks(radius: int) -> list[np.uint64]:
-    """One mask for each choice of ``radius`` of 2 ``radius`` groups of segments."""
-    groups = [sum(3 << (2 * s) for s in range(32) if s % (2 * radius) == g) for g in range(2 * radius)]
-    return [np.uint64(sum(groups[g] for g in chosen)) for chosen in combinations(range(2 * radius), radius)]
+def cell_masks(radius: int, groups: int | None = None, axes: int = 32) -> list[np.uint64]:
+    """One mask for each choice of all but ``radius`` of the groups (2 ``radius`` if not given) of the axes: 32 segments or 64 bits."""
+    groups, width = groups or 2 * radius, 64 // axes
+    bits = [sum(((1 << width) - 1) << (width * s) for s in range(axes) if s % groups == g) for g in range(groups)]
+    return [np.uint64(sum(bits[g] for g in chosen)) for chosen in combinations(range(groups), groups - radius)]
+
+
+def groups_for(n: int, radius: int) -> int:
+    """How many groups make the cells for ``n`` fingerprints cheapest: a fingerprint has comb(groups, radius) cells and compares itself to what meets it there by chance, a segment's counts being equal in 3 of 8 cases."""
+    return min((2 * radius, 3 * radius, 4 * radius), key=lambda g: comb(g, radius) * (1 + 0.01 * n * (3 / 8) ** (32 * (g - radius) / g)))
 
 
 def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -130,9 +138,8 @@ def _hash(x: np.ndarray, salt: int) -> np.ndarray:
     return (cell ^ (cell >> np.uint64(32))).view(np.int64)
 
 
-def _grid(radius: int):
-    """Cells of single 64-bit fingerprints, by all choices of groups."""
-    masks = cell_masks(radius)
+def _grid(masks: list[np.uint64]):
+    """Cells of 64-bit fingerprints by the counts of the chosen groups of segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,6 +152,19 @@ def _grid(radius: int):
     return run
 
 
+def _refined(masks: list[np.uint64]):
+    """Cells of 64-bit fingerprints within a cell, by the chosen groups of bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, fp = (batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (0, 1))
+            for at in range(0, len(fp), 4096):
+                c, part = cell[at : at + 4096], fp[at : at + 4096]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_hash(_hash(part & m, k + 1).view(np.uint64) ^ c, 0) for k, m in enumerate(masks)])), pa.array(np.tile(part, len(masks)).view(np.int64))], ["cell", "node"])
+
+    return run
+
+
 def _matrix(column: pa.Array, words: int) -> np.ndarray:
     flat = b"".join(column.to_pylist())
     return np.frombuffer(flat, np.uint64).reshape(-1, words)
@@ -204,28 +224,33 @@ def _links(radius: int, limit: int, words: int):
     return run
 
 
-def join_cells(cells: DataFrame, radius: int, words: int = 1, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """cells: (cell, node) for 64-bit fingerprints that are their own nodes, or (cell, node, print binary). Returns (a, b) whose connected classes are those of all links within cells."""
-    spark = cells.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = "cell long, a long, b long, print binary"
-    found = materialize(cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, cell_limit, words), kind), "links")
-    out = found.where("b is not null").select("a", "b")
-    dense = found.where("b is null").select("cell", F.col("a").alias("node"), "print")
-    if not dense.isEmpty():
-        # a dense cell is dealt out as pairs of blocks; every two members meet in at least one
-        blocks = dense.groupBy("cell").agg(F.ceil(F.count("*") * 2 / cell_limit).alias("n"))
-        dealt = dense.join(blocks, "cell").withColumn("i", F.pmod(F.xxhash64("node"), "n"))
-        dealt = dealt.select("cell", "node", "print", "i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
-        dealt = dealt.select(F.xxhash64("cell", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "node", "print")
-        again = dealt.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, 2**62, words), kind)
-        out = out.union(again.select("a", "b"))
-    return out
+_LINKS = "cell long, a long, b long, print binary"
+
+
+def _joined(cells: DataFrame, radius: int, limit: int, words: int) -> DataFrame:
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_links(radius, limit, words), _LINKS)
+
 
+def links(distinct: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT, groups: int | None = None) -> DataFrame:
+    """(a, b) links whose connected classes are those of all pairs within ``radius`` bits. distinct: one column ``fp`` of different longs. groups: chosen by their number if not given."""
+    masks = cell_masks(radius, groups or groups_for(distinct.count(), radius))
+    cells, out = distinct.select("fp").mapInArrow(_grid(masks), "cell long, node long"), None
+    for finer in (2 * radius, 4 * radius, None):
+        found = materialize(_joined(cells, radius, cell_limit if finer else 2**62, 1), "links")
+        near, dense = found.where("b is not null").select("a", "b"), found.where("b is null").select("cell", F.col("a").alias("node"))
+        out = near if out is None else out.union(near)
+        if not finer or dense.isEmpty():
+            return out
+        cells = dense.mapInArrow(_refined(cell_masks(radius, finer, 64)), "cell long, node long")
+    raise AssertionError("unreachable")
 
-def links(distinct: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """(a, b) links whose connected classes are those of all pairs within ``radius`` bits. distinct: one column ``fp`` of different longs."""
-    return join_cells(distinct.select("fp").mapInArrow(_grid(radius), "cell long, node long"), radius, 1, cell_limit)
+
+def _named(stars: DataFrame, least: DataFrame) -> DataFrame:
+    """(node, class_least): the smallest key of each node's class. stars: (node, root); least: (node, least). A class may hold a third of all nodes."""
+    classes = materialize(stars.join(least, "node"), "classes")
+    roots = materialize(classes.groupBy("root").agg(F.min("least").alias("class_least"), F.count("*").alias("n")), "roots")
+    return attach(classes, roots, "root").select("node", "class_least")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
@@ -237,11 +262,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     empty result; other columns are ignored, whatever their names.
     """
     marked = materialize(fingerprints(docs, key, text, width).withColumnRenamed(key, "k"), "simhash")
-    least = marked.groupBy("fp").agg(F.min("k").alias("least"), F.count("*").alias("n"))
-    stars = materialize(components(links(least.select("fp"), radius, cell_limit)), "classes")
-    classes = stars.join(least.select(F.col("fp").alias("node"), "least"), "node")
-    named = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root")
-    per_fp = least.join(named.select(F.col("node").alias("fp"), "class_least"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"), "n")
+    least = materialize(marked.groupBy("fp").agg(F.min("k").alias("least"), F.count("*").alias("n")), "prints")
+    stars = components(links(least.select("fp"), radius, cell_limit))
+    named = _named(stars, least.select(F.col("fp").alias("node"), "least"))
+    per_fp = least.join(named.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"), "n")
     return attach(marked, materialize(per_fp, "components"), "fp").select(F.col("k").alias(key), "fp", "component_id")
 
 
@@ -307,6 +331,21 @@ def _wide_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.concat_arrays([part.column(0)] * BANDS), pa.concat_arrays([part.column(1)] * BANDS)], ["cell", "node", "print"])
 
 
+def wide_links(cells: DataFrame, radius: int, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """(a, b) whose connected classes are those of all pairs of sketches within ``radius`` bits in a cell. cells: (cell, node, print). Cells above ``cell_limit`` are dealt out as pairs of blocks."""
+    found = materialize(_joined(cells, radius, cell_limit, WIDE), "links")
+    out = found.where("b is not null").select("a", "b")
+    dense = found.where("b is null").select("cell", F.col("a").alias("node"), "print")
+    if dense.isEmpty():
+        return out
+    # every two members of a dense cell meet in at least one pair of blocks
+    blocks = dense.groupBy("cell").agg(F.ceil(F.count("*") * 2 / cell_limit).alias("n"))
+    dealt = dense.join(blocks, "cell").withColumn("i", F.pmod(F.xxhash64("node"), "n"))
+    dealt = dealt.select("cell", "node", "print", "i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    dealt = dealt.select(F.xxhash64("cell", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "node", "print")
+    return out.union(_joined(dealt, radius, 2**62, WIDE).select("a", "b"))
+
+
 def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Spanning forest of the pairs whose sets have a Jaccard similarity of NUM / DEN at least, by counting: no estimate."""
     size = np.array([len(x) for x in sets])
@@ -398,11 +437,10 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     marked = materialize(named.mapInArrow(run, "k long, node long, size int, print binary, search binary"), "wide")
     nodes = materialize(marked.groupBy("node", "size", "print", "search").agg(F.min("k").alias("least"), F.count("*").alias("n")), "sets")
-    near = materialize(components(join_cells(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, WIDE, cell_limit)), "near")
+    near = materialize(components(wide_links(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, cell_limit)), "near")
     groups = near.join(nodes.select("node", "least", "size"), "node")
-    stars = materialize(components(materialize(confirm(groups, named), "confirmed")), "classes")
-    classes = stars.join(nodes.select("node", "least"), "node")
-    classes = classes.join(classes.groupBy("root").agg(F.min("least").alias("class_least")), "root").select("node", "class_least")
+    stars = components(materialize(confirm(groups, named), "confirmed"))
+    classes = _named(stars, nodes.select("node", "least"))
     per_node = nodes.join(classes, "node", "left").select("node", F.coalesce("class_least", "least").alias("component_id"), "n")
     return attach(marked.select("k", "node"), materialize(per_node, "components"), "node").select(F.col("k").cast(docs.schema[key].dataType).alias(key), "component_id")
 
