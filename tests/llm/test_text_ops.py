@@ -189,6 +189,17 @@ def test_neighbours_with_null_and_repeated_keys(spark):
     assert fingerprint.with_neighbours(docs.where("false")).count() == 0
 
 
+def test_hot_and_null_keys_are_cut_into_ranges(spark):
+    r = random.Random(13)
+    rows = [(None if i % 3 == 0 else 77 if i % 3 == 1 else i, " ".join(r.choice("abcde") * 2 for _ in range(r.randint(0, 30)))) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    kept.sort(key=lambda x: (x.doc_id is None, -(x.doc_id or 0), x.h, x.text))
+    want = sorted((str(a.doc_id), len(a.text), hashlib.sha256(fingerprint.edited(a.text, b.text).encode()).hexdigest()) for a, b in zip(kept, kept[1:] + kept[:1], strict=True))
+    for size in (10, 100_000):
+        assert sorted((str(x.doc_id), x.n_chars, x.edited_sha256) for x in fingerprint.with_neighbours(docs, rows_per_range=size).collect()) == want
+
+
 def test_parsing_is_locally_consistent():
     r = random.Random(5)
     words = [f"word{i}" for i in range(500)]
@@ -201,6 +212,10 @@ def test_parsing_is_locally_consistent():
     assert fingerprint.likeness(x[0], x[1]) == 0 and fingerprint.likeness(x[1], x[1]) == 1
     other = fingerprint.sketches([" ".join(r.choice(words) for _ in range(400)).encode()])[0]
     assert fingerprint.likeness(x[0], other) < 0.1
+    # a passage inside one long word shares its phrases with the same passage in others, whatever their lengths
+    passage = "".join(r.choice("abcdefghij") for _ in range(90))
+    names = [set(fingerprint.tokens([x.encode()])[1].tolist()) for x in (passage, "zz" + passage + "y", passage * 3)]
+    assert len(names[0] & names[1]) >= len(names[0]) - 2 and len(names[0] & names[2]) >= len(names[0]) - 2 and len(names[0]) > 3
     unspaced = "".join(r.choice("abcdefghij") for _ in range(5000))
     y = fingerprint.sketches([unspaced.encode(), ("zz" + unspaced).encode()])
     assert fingerprint.likeness(*y) > 0.9

@@ -1,6 +1,7 @@
 """Document fingerprints by locally consistent parsing.
 
-A text is cut into words (single characters for scripts without spaces and inside very long tokens); each has a name, the hash of its bytes.
+A text is cut into tokens: at white space, at every character of scripts without spaces, and inside words where a hash of the last three bytes says so, whatever the
+word's length, so that unspaced text is cut alike wherever it stands. A token's name is the hash of its bytes.
 Level by level, deterministic coin tossing groups names into phrases: a run of one name is a phrase; elsewhere names are
 reduced to labels below six by the lowest bit in which neighbours differ, and phrases start at local maxima of the labels
 and at minima between them. A phrase's name is the hash of its parts, and phrases of a level are the next level's text. Where to cut
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import STEP_BYTES
 
 K = 64
-#: Tokens of more bytes than this are parsed character by character.
-LONG_TOKEN = 96
+#: One in so many places inside a word is a cut.
+CUT_ONE_IN = 16
 _STEP = 0x100000001B3
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -64,10 +66,16 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     gap = _SPACE[a]
     inside = ~gap
     start = inside & np.r_[True, gap[:-1]]
-    # every code point of these scripts, and what follows one, is a token of its own: lead bytes E2 BA and above
+    lead = (a & 0xC0) != 0x80
+    if len(a) > 3:
+        # three bytes of the word itself stand before a cut
+        within = inside[:-3] & inside[1:-2] & inside[2:-1] & inside[3:] & lead[3:]
+        x = a.astype(np.uint32)
+        last = x[:-3] | x[1:-2] << np.uint32(8) | x[2:-1] << np.uint32(16)
+        start[3:] |= within & ((last * np.uint32(2654435761)) >> np.uint32(16) < np.uint32((1 << 16) // CUT_ONE_IN))
+    # every code point of these scripts, and what follows one, is a token of its own: lead bytes E3 and above
     wide = a >= 0xE3
     if wide.any():
-        lead = (a & 0xC0) != 0x80
         owner = np.maximum.accumulate(np.where(lead, np.arange(len(a)), 0))
         of_wide = wide[owner]
         start |= inside & lead & (wide | np.r_[False, of_wide[:-1]])
@@ -77,14 +85,6 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     stop = np.flatnonzero(gap)
     n = np.searchsorted(stop, at)
     ends = np.minimum(np.r_[at[1:], len(a)], np.r_[stop, len(a)][n])
-    long = ends - at > LONG_TOKEN
-    if long.any():
-        marks = np.zeros(len(a) + 1, np.int32)
-        np.add.at(marks, at[long], 1)
-        np.add.at(marks, ends[long], -1)
-        start |= (np.cumsum(marks)[:-1] > 0) & ((a & 0xC0) != 0x80)
-        at = np.flatnonzero(start)
-        ends = np.minimum(np.r_[at[1:], len(a)], np.r_[stop, len(a)][np.searchsorted(stop, at)])
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
     return np.searchsorted(bounds, at, side="right") - 1, _ranges(a.astype(np.uint64), at, ends)
 
@@ -263,33 +263,48 @@ def _literal(values: list[int | None]) -> Column:
     return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
 
 
+def _share(h: Column, n: Column) -> Column:
+    """0 to n - 1: in which of n equal parts of its range a 64-bit hash lies."""
+    return F.least(F.floor((h.cast("double") / 2.0**64 + 0.5) * n), n - 1).cast("int")
+
+
 def with_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, rows_per_range: int = 1500, max_ranges: int = 20_000) -> DataFrame:
     """One row per input row: (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
     The next document stands by descending integer key, and the first after the last. Edited: the last half of the code points
     (rounded down) replaced by the first as many of the next text, or all. Keys are cut into ranges by quantiles; a text
     travels once, to its range, and the first of a range also to the range before, so texts are neither joined nor gathered.
-    Null keys stand last; rows that share a key by their text; a lone row's next is itself. Null text: empty. An empty table
+    Null keys stand last; rows that share a key stand by the hash of their text, then the text. A key with the rows of several ranges, null too, is cut into ranges of that hash, so only
+    rows alike in key and text share a task. A lone row's next is itself. Null text: empty. An empty table
     gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    n = rows.count()
+    n, known = rows.agg(F.count("*"), F.count("k")).first()
     wanted = min(max_ranges, max(64, n // rows_per_range))
-    got = rows.select(F.col("k").cast("long").alias("k")).approxQuantile("k", [i / wanted for i in range(1, wanted)], 0.2 / wanted) if n else []
-    cuts = sorted({int(x) for x in got})  # at most max_ranges numbers
-    # range 0 has the largest keys, null keys the last range
-    rows = rows.withColumn("r", F.when(F.col("k").isNull(), F.lit(len(cuts) + 1)).otherwise(F.lit(len(cuts)) - _position(F.col("k").cast("long"), _literal(cuts), len(cuts))))
-    first = dict(rows.groupBy("r").agg(F.max(F.col("k").cast("long"))).collect())  # one row a range
+    got = rows.select(F.col("k").cast("long").alias("k")).approxQuantile("k", [i / wanted for i in range(1, wanted)], 0.2 / wanted) if known else []
+    met = Counter(int(x) for x in got)
+    # at most twice max_ranges numbers; a key that is several quantiles has ranges of its own, as many as quantiles
+    cuts = sorted({*met, *(c + 1 for c, m in met.items() if m > 1 and c < 2**63 - 1)})
+    slots = [1, *(max(1, met[c]) for c in cuts)]
+    below = np.r_[0, np.cumsum(slots[::-1])].tolist()
+    nulls = max(1, -(-(n - known) * wanted // max(1, n)))
+    # range 0 has the largest keys, null keys the last ranges
+    at = _position(F.col("k").cast("long"), _literal(cuts), len(cuts))
+    start = F.get(_literal(below), F.lit(len(cuts)) - at).cast("int")
+    rows = rows.withColumn("h", F.xxhash64("t")).withColumn("r", F.when(F.col("k").isNull(), F.lit(below[-1]) + _share(F.col("h"), F.lit(nulls))).otherwise(start + _share(F.col("h"), F.get(_literal(slots), at))))
+    # the first row of each range: largest key, least hash
+    first = {x.r: (x.f.k, x.f.h) for x in rows.groupBy("r").agg(F.min_by(F.struct(F.col("k").cast("long").alias("k"), "h"), F.struct(-F.col("k").cast("decimal(20,0)"), F.col("h"))).alias("f")).collect()}  # one row a range
     order = sorted(first)
     before = {r: order[i - 1] for i, r in enumerate(order)}  # the last range ends with the first row of all
-    spread = range(len(cuts) + 2)
-    top, to = _literal([first.get(r) for r in spread]), _literal([before.get(r, 0) for r in spread])
+    spread = range(below[-1] + nulls)
+    top = _literal([first[r][0] if r in first else None for r in spread]), _literal([first[r][1] if r in first else None for r in spread])
+    to = _literal([before.get(r, 0) for r in spread])
     stay = F.struct(F.col("r"), F.lit(0).alias("g"))
     guest = F.struct(F.get(to, F.col("r")).cast("int").alias("r"), F.lit(1).alias("g"))
-    copies = F.when(F.col("k").cast("long").eqNullSafe(F.get(top, F.col("r"))), F.array(stay, guest)).otherwise(F.array(stay))
-    dealt = rows.select("k", "t", F.explode(copies).alias("c")).select("k", "t", "c.r", "c.g")
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "r").sortWithinPartitions("r", "g", F.col("k").desc_nulls_last(), "t")
+    leads = F.col("k").cast("long").eqNullSafe(F.get(top[0], F.col("r"))) & (F.col("h") == F.get(top[1], F.col("r")))
+    dealt = rows.select("k", "t", "h", F.explode(F.when(leads, F.array(stay, guest)).otherwise(F.array(stay))).alias("c")).select("k", "t", "h", "c.r", "c.g")
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "r").sortWithinPartitions("r", "g", F.col("k").desc_nulls_last(), "h", "t").drop("h")
     names = ["k", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     return dealt.mapInArrow(_pairs(k, names), _schema(kind)).withColumnRenamed("k", key)
