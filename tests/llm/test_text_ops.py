@@ -63,7 +63,29 @@ def test_removal_leaves_no_window_and_keeps_clean_text(spark):
     got = {x.doc_id: x for x in decontaminate.remove(docs, a).collect()}
     assert set(got) == {1, 2, 4, 5} and got[1].text == "Clean, text!" and got[4].text is None and got[2].extra == 2
     assert got[2].text == f"{'lead ' * 40}, and {'tail ' * 40}"
-    assert not any(decontaminate.match(a[0], decontaminate.normal_words(got[i].text.encode()))[0] for i in (2, 5))
+    assert not any(decontaminate.match(a.single(), decontaminate.normal_words(got[i].text.encode()))[0] for i in (2, 5))
+
+
+def test_removal_in_blocks_equals_one_block(spark):
+    r = random.Random(21)
+    words = [f"w{i}" for i in range(40)]
+    items = [" ".join(r.choice(words) for _ in range(r.choice([4, 11, 14, 25]))) for _ in range(12)]
+    bench = spark.createDataFrame([*enumerate(items), (99, None)], "item_id long, text string")
+    texts = [None, "", "clean, and short"]
+    for i in range(60):
+        body = [r.choice([" ".join(r.choice(words) for _ in range(30)), r.choice(items), f"Free text {i}."]) for _ in range(5)]
+        if i % 7 == 0:  # a cut joins the halves of one item around another
+            half = items[i % 12].split()
+            body.append(" ".join([*half[:3], items[(i + 1) % 12], *half[3:]]))
+        texts.append(" ".join(body))
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)] + [(3, texts[3], 3)] * 3, "doc_id long, text string, row int")
+    one, many = decontaminate.automata(bench), decontaminate.automata(bench, block_words=50)
+    assert one.single() is not None and many.single() is None and len(list(many)) >= 3
+    assert sorted(map(str, decontaminate.scan(docs, one).collect())) == sorted(map(str, decontaminate.scan(docs, many).collect()))
+    for min_span in (1, 12):
+        a, b = (decontaminate.remove(docs, x, min_span=min_span) for x in (one, many))
+        assert a.columns == b.columns == docs.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert decontaminate.remove(docs.where("false"), many).count() == 0
 
 
 def slow_secrets(text):
