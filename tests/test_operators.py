@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, tables
-from tidemark.operators.store import ChunkStore, duplicates
+from tidemark.operators.store import ChunkStore, Conflict, duplicates
+from tidemark import storage
 from tidemark.plans import search
 from tidemark.plans.config import ApiConfig, FilterRequest, MetadataField, RetrievalConfig, merge_settings, resolve_api
-from tidemark.plans.ingest import Plan, run
+from tidemark.plans.ingest import Plan, run, run_job
 from tidemark.sources import office, scan
 from tidemark.streaming.ingest import RegistryTable, apply_stream
 
@@ -30,6 +31,8 @@ def one(spark, column):
 
 def test_table_examples():
     assert tables.tables_to_prose("# Team\nContacts\n| Role | Name |\n|---|---|\n| Primary | Ann |\n| Backup | |") == "# Team\n\nContacts — Role: Primary | Name: Ann\nContacts — Role: Backup"
+    assert tables.tables_to_prose("Para\n\n# H\n| a | b |\n| 1 | 2 |") == "\n\n# H\nPara — a: 1 | b: 2"
+    assert tables.tables_to_prose("# G\n# H\n| a | b |\n| 1 | 2 |") == "# G\n\nH — a: 1 | b: 2"
     wide = "# T\n| a | b | c | d | e |\n|---|---|---|---|---|\n| 1 | 2 | 3 | 4 | 5 |"
     assert tables.tables_to_prose(wide) == wide.replace("# T", "", 1) and tables.tables_to_prose(wide, keep_context=True) == wide
     assert tables.tables_to_prose("## h\n| Column | Value |\n|---|---|\n| name | x\\|y |") == "\nh — Column: name | Value: x\\"
@@ -104,10 +107,12 @@ def test_settings_merge():
 
 
 def test_record_markdown():
-    assert render.record_markdown("c — 1", '{"_id": 1, "ok": true, "n": null, "s": "x", "d": {"a": [1, {"b": {"c": {"e": 1}}}]}, "l": %s}' % list(range(22))) == "\n".join(
-        ["## c — 1", "", "### Fields", "- **ok**: true", "- **n**: _null_", "- **s**: x", "", "### d", "- **a**:", "  - 1", "    - **b**:", '      - {"c": {"e": 1}}', "", "### l", *(f"- {i}" for i in range(20)), "_... 2 more items_"]
+    got = render.record_markdown("d.c — 1", '{"_id": 1, "ok": true, "n": null, "s": "x", "d": {"__v": 1, "a": [1, {"b": {"c": {"e": 1}}}, [2, "z"]]}, "l": %s}' % list(range(22)))
+    assert got == "\n".join(
+        ["## d.c — 1", "", "### Fields", "", "- **ok**: true", "- **n**: _null_", "- **s**: x", "", "### d", "", "- **a**:", "  - 1", "  - Item 2:", "    - **b**:", '      - {"c": {"e": 1}}', "  - [2, 'z']", "", "### l", "", *(f"- {i}" for i in range(20)), "- _... 2 more items_", ""]
     )
-    assert render.record_markdown("t", "[1]") is None and render.record_markdown("t", None) is None and render.record_markdown("t", "{bad") is None
+    assert all(render.record_markdown("t", x) is None and render.row_record_markdown("t", x) is None for x in ("[1]", None, "{bad", "{}"))
+    assert render.row_record_markdown("s.t — 2", '{"a": "x|y", "b": null, "c": [1, "z"], "d": 1.50}') == "## s.t — 2\n\n| Column | Value |\n| --- | --- |\n| a | x\\|y |\n| b | _null_ |\n| c | 1, z |\n| d | 1.5 |"
 
 
 def packed(files):
@@ -150,7 +155,7 @@ def test_load_routes_and_reports(spark):
     docs = spark.createDataFrame([(*r[:5], r[5], r[4]) for r in rows], "content_type string, mime_type string, structured_source_type string, content binary, full_path string, record string, source_id string")
     got = {x.full_path: (x.status, x.markdown) for x in load.load(docs).collect()}
     assert got["/a/q1.xlsx"][1].startswith("# q1") and got["/b.docx"][0] == "failed" and got["/c.txt"] == (None, "ok �")
-    assert got["/d.pdf"][0] == got["/e.html"][0] == "skipped" and got["/f"] == (None, "## /f\n\n### Fields\n- **a**: 1") and got["/g"][0] == "failed"
+    assert got["/d.pdf"][0] == got["/e.html"][0] == "skipped" and got["/f"] == (None, "## /f\n\n### Fields\n\n- **a**: 1\n") and got["/g"][0] == "failed"
     pages = lambda c: ["", "x" * 60, ""]
     assert load.load(docs.where("mime_type like '%pdf'"), pages, lambda c, i: f"page {i}").first().markdown == "page 0\n\n" + "x" * 60 + "\n\npage 2"
     assert load.is_scanned([10, 60]) is False and load.is_scanned([10, 20, 60]) is True
@@ -251,6 +256,22 @@ def test_four_runs(spark, tmp_path):
     assert {y.source_id: y.status for y in reg.collect()} == {"/en/f0.md": "active", "/en/f1.md": "active", "/en/f2.md": "deleted"}
 
 
+def test_run_uses_rows_hooks_extras_and_context(spark, tmp_path):
+    table = spark.createDataFrame([(1, "pipes | here", None), (2, "plain", 3)], "id int, v string, n int")
+    feed = scan.scan(spark, "sql", {"table": "items", "primary_key": "id", "dataframe": table, "schema": "s"}).unionByName(scan.scan(spark, "mongodb", {"database": "d", "collection": "c", "dataframe": spark.createDataFrame([('{"_id": 5, "a": "b"}',)], "j string"), "column": "j"}))
+    pdf = feed.limit(1).withColumns({"content_type": F.lit("file"), "mime_type": F.lit("application/pdf"), "structured_source_type": F.lit(None).cast("string"), "source_id": F.lit("p"), "full_path": F.lit("/p.pdf"), "file_name": F.lit("p.pdf"), "content": F.lit(b"%PDF"), "content_hash": F.lit("h")})
+    settings = merge_settings({"contextual_enrichment_enabled": True, "contextual_enrichment_mode": "all_chunks"}, None, "m")
+    plan = Plan(*KEY, settings=settings, provider=embed.HashingProvider(dimensions=4), pdf=lambda b: ["page one " * 9], context=lambda b: ["This chunk is part of a record."] * len(b), extras=("table_name", "database"))
+    store = ChunkStore(spark, str(tmp_path / "s"))
+    _, stats = run(feed.unionByName(pdf), spark.createDataFrame([], delta.REGISTRY), store, plan, "j", F.lit("2024-01-01").cast("timestamp"))
+    assert stats.first().documents_new == 4
+    got = {x.source_id: x for x in store.read().collect()}
+    head = "s.items — 1 — Column: "
+    assert got["items/1"].text == f"[items]\nThis chunk is part of a record.\n\n{head}id | Value: 1\n{head}v | Value: pipes \\\n{head}n | Value: _null_"
+    assert (got["items/1"].table_name, got["items/1"].database, got["d/c/5"].database) == ("items", None, "d")
+    assert "## d.c — 5" in got["d/c/5"].text and got["p"].text.endswith("page one") and "This chunk" in got["p"].text
+
+
 def test_sources(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", datetime.datetime(2024, 1, 1), "x"), (2, None, datetime.datetime(2024, 2, 1), "y")], "id int, v string, at timestamp, drop string")
     cfg = {"table": "t", "primary_key": "id", "delta_column": "at", "dataframe": rows, "exclude": ["drop"]}
@@ -268,6 +289,87 @@ def test_sources(spark, tmp_path):
         scan.scan(spark, "ftp", {})
 
 
+def test_local_listing_filters_before_it_reads(spark, tmp_path):
+    for name in ("_part.md", "a.md", ".hid.md", "~$x.md", "big.tmp", "sub/b.TXT", "sub/_dir/c.md", "long.md"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name * (100 if name == "long.md" else 1))
+    (tmp_path / "big.tmp").chmod(0)
+    (tmp_path / "gone.md").symlink_to(tmp_path / "nowhere")
+    got = {x.source_id: x for x in scan.scan(spark, "local", {"path": str(tmp_path), "max_bytes": 100}).collect()}
+    assert set(got) == {"/_part.md", "/a.md", "/sub/b.TXT", "/sub/_dir/c.md"} and got["/sub/b.TXT"].mime_type == "text/plain" and bytes(got["/a.md"].content) == b"a.md"
+    assert {x.source_id for x in scan.scan(spark, "local", {"path": str(tmp_path), "recursive": False, "include": [".md"]}).collect()} == {"/_part.md", "/a.md", "/long.md"}
+    assert scan.scan(spark, "local", {"path": str(tmp_path), "include": [".none"]}).count() == 0
+
+
+def test_document_store_filters_and_skips(spark, tmp_path):
+    lines = ['{"_id": 1, "s": "on", "n": {"k": 5}, "__v": 3, "x": 1.50}', '{"_id": 2, "s": "off", "n": {"k": 5}}', '{"_id": 3, "s": "on", "n": {"k": 6}, "secret": "q"}', '{"_id": 4, "s": "on", "n": {"k": 5}}']
+    (tmp_path / "c.json").write_text("\n".join(lines))
+    cfg = {"database": "d", "collection": "c", "path": str(tmp_path / "c.json")}
+    got = {x.source_id: json.loads(x.record) for x in scan.scan(spark, "mongodb", {**cfg, "filter_query": {"s": "on", "$.n.k": [5, 7]}}).collect()}
+    assert got == {"d/c/1": {"_id": 1, "s": "on", "n": {"k": 5}, "x": 1.5}, "d/c/4": json.loads(lines[3])}
+    got = scan.scan(spark, "mongodb", {**cfg, "skip_fields": ["secret", "n"]}).where("source_id = 'd/c/3'").first()
+    assert json.loads(got.record) == {"_id": 3, "s": "on"}
+
+
+def test_store_versions_conflicts_and_vacuum(spark, tmp_path):
+    kind = "tenant_id string, repo_id string, source_id string, chunk_index int, text string"
+    row = lambda r, s, t="007": (t, r, s, 0, f"{r}{s}")
+    store = ChunkStore(spark, str(tmp_path / "s"))
+    assert store.read() is None and store.vacuum() == 0
+    store.replace(spark.createDataFrame([row("a", "1"), row("b", "1"), row("a/b=c", "1", "x y")], kind))
+    store.replace(spark.createDataFrame([(*row("a", "2"), 5)], kind + ", more int"))
+    assert sorted((x.tenant_id, x.repo_id, x.source_id, x.more) for x in store.read().collect()) == [("007", "a", "1", None), ("007", "a", "2", 5), ("007", "b", "1", None), ("x y", "a/b=c", "1", None)]
+    assert store.vacuum() == 1 and store.vacuum() == 0 and store.read().count() == 4
+    seen = store._last()
+    one, other = (spark.createDataFrame([row(r, "9")], kind) for r in ("a", "z"))
+    store.replace(one)
+    with pytest.raises(Conflict):
+        store._publish(one, one, seen)
+    store._publish(other, other, seen)
+    assert store.read("007", "z").count() == 1 and store.read("007", "a").count() == 3
+
+
+def test_job_error_is_an_outcome(spark, tmp_path):
+    reg = spark.createDataFrame([(*KEY, "s", *[None] * 10)], delta.REGISTRY)
+
+    def broken():
+        raise OSError("no route")
+
+    got, stats = run_job(broken, reg, ChunkStore(spark, str(tmp_path)), Plan(*KEY), "j", F.current_timestamp())
+    assert got is reg and (stats.first().status, stats.first().error, stats.first().documents_scanned) == ("failed", "OSError: no route", 0)
+
+
+def test_registry_versions_hold_changes_only(spark, tmp_path):
+    reg = RegistryTable(spark, str(tmp_path / "reg"), whole_every=3)
+    row = lambda s, h: spark.createDataFrame([(*KEY, s, "j", *[None] * 4, h, *[None] * 3, "active")], delta.REGISTRY)
+    for n, (s, h) in enumerate([("a", "1"), ("b", "1"), ("a", "2"), ("c", "1"), ("a", "3")]):
+        reg.write(row(s, h), n)
+        reg.write(row(s, h), n)
+    assert [n for n, whole in reg.versions() if whole] == [2] and reg.version() == 4
+    assert {x.source_id: x.content_hash for x in reg.read().collect()} == {"a": "3", "b": "1", "c": "1"}
+    assert {x.source_id: x.content_hash for x in reg.read(2).collect()} == {"a": "2", "b": "1"}
+
+
+def test_scratch_tables_go_and_kept_ones_stay(spark):
+    rows = spark.range(3)
+    with storage.scratch(spark):
+        gone, kept = storage.materialize(rows, "gone"), storage.materialize(rows, "kept", keep=True)
+        assert gone.count() == 3
+    assert kept.count() == 3 and storage.materialize(rows, "later").count() == 3
+    with pytest.raises(Exception, match="NOT_EXIST|not exist|NOT_FOUND"):
+        gone.count()
+
+
+def test_bm25_terms_of_any_script(spark):
+    docs = spark.createDataFrame([(1, "Das ist für Sie"), (2, "f und r"), (3, "слово здесь"), (4, None)], "id int, text string")
+    assert [x.id for x in retrieve.bm25(docs, "FÜR", 5, "id").collect()] == [1] and [x.id for x in retrieve.bm25(docs, "Слово", 5, "id").collect()] == [3]
+
+
+def test_header_rules():
+    assert office.header_row([["Name", "http://a.b"], ["Name", "Score"]]) == 1 and office.header_row([["12", "13"]]) is None
+    assert office.header_row([["a", "b"], ["a", "b"]]) == 0 and office.header_row([["x" * 61, "y" * 61], ["only", ""]]) is None
+
+
 def test_drive_feeds(spark):
     base = {"path": "/Docs/Sub", "size": 10, "eTag": "e", "sha256": "s", "sha1": None, "webUrl": "w", "folder": False, "deleted": None, "content": bytearray(b"c"), "lastModified": None}
     rows = [{**base, "id": "1", "name": "a.md"}, {**base, "id": "2", "name": "a.md", "path": "/docs"}, {**base, "id": "3", "name": "a.exe"}, {**base, "id": "4", "name": "big.md", "size": 99 << 20}, {**base, "id": "5", "name": None, "deleted": True}, {**base, "id": "6", "name": "d", "folder": True}, {**base, "id": "7", "name": "o.md", "path": "/Docs2"}]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +19,11 @@ def standard(rows: DataFrame, job_id: str, ingested_at: Column) -> DataFrame:
     return rows.withColumns({k: v for k, v in fields.items() if k not in rows.columns})
 
 
+def extras(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """What a source tells of its documents beside the standard fields, as columns; they win over standard fields of the same name."""
+    return rows.withColumns({n: F.try_element_at("extra_metadata", F.lit(n)) for n in names}) if names else rows
+
+
 def custom(rows: DataFrame, schema: list[MetadataField]) -> DataFrame:
     """Declared fields as columns; they win over whatever has their name."""
     return rows.withColumns(metadata(schema, F.col("full_path"), file_name(F.col("full_path")))) if schema else rows
@@ -55,7 +60,7 @@ def contextualise(chunks: DataFrame, model: Callable[[pd.DataFrame], pd.Series],
     return done.select(chunks.columns).unionByName(rows.where(~wanted).select(chunks.columns))
 
 
-def identity(chunks: DataFrame, retrieval: RetrievalConfig, schema: list[MetadataField], extra: list[str] = ()) -> DataFrame:
+def identity(chunks: DataFrame, retrieval: RetrievalConfig, schema: list[MetadataField], extra: Sequence[str] = ()) -> DataFrame:
     """Text under its identity prefix. Values: extractable fields, else filterable ones but for access, else all others in the schema's order."""
     if retrieval.extractable_fields:
         names = retrieval.extractable_fields

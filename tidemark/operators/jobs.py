@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT = "tenant_id string, repo_id string, source_id string, full_path string, status string, chunks_created int, chunks_deleted int, error string"
@@ -22,6 +22,12 @@ def stats(results: DataFrame, deletions: DataFrame | None = None, by: list[str]
     return got.withColumn("status", F.when(F.col("documents_failed") > 0, "partial").otherwise(F.lit("completed")))
 
 
+def failed(spark: SparkSession, error: str) -> DataFrame:
+    """The statistics row of a job that itself failed, whatever its documents came to: zeros, the status and the error."""
+    counters = ["documents_scanned", "documents_new", "documents_updated", "documents_skipped", "documents_failed", "documents_deleted", "chunks_created", "chunks_deleted"]
+    return spark.range(1).select(*[F.lit(0).cast("long").alias(c) for c in counters], F.lit("failed").alias("status"), F.lit(error[:500]).alias("error"))
+
+
 def rollup_stats(results: DataFrame) -> DataFrame:
     """Scanned documents by tenant and repository, with subtotals; an extension."""
     return results.rollup("tenant_id", "repo_id").agg(F.count("*").alias("documents_scanned"), F.grouping_id().alias("level"))

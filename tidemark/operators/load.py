@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import file_name, loader, stem
-from tidemark.operators.render import records_markdown
+from tidemark.operators.render import records_markdown, row_records_markdown
 from tidemark.sources import office
 
 #: PDF bytes to the texts of their pages; given by the caller, as no PDF reader is at hand.
@@ -41,6 +41,13 @@ def decode(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
+def title(docs: DataFrame) -> Column:
+    """Of a record: ``[schema.]table — key`` or ``[database.]collection — id`` from what its source tells of it, else from its id."""
+    extra = lambda *names: F.coalesce(*[F.try_element_at("extra_metadata", F.lit(n)) for n in names]) if "extra_metadata" in docs.columns else F.lit(None).cast("string")
+    place = F.concat(F.coalesce(F.concat(F.nullif(extra("schema", "database"), F.lit("")), F.lit(".")), F.lit("")), extra("table_name", "collection"))
+    return F.coalesce(F.concat(place, F.lit(" — "), extra("primary_key", "document_id")), F.col("source_id"))
+
+
 def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = None, repair: Callable[[str], str] | None = None) -> DataFrame:
     """Documents with loader, markdown, status and error. content: bytes of files; record: JSON of structured ones.
 
@@ -50,7 +57,8 @@ def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = Non
     rows = with_loader(docs)
     none = F.lit(None).cast("string")
     text = rows.where("loader = 'text'").withColumns({"markdown": decode(F.col("content")), "error": none})
-    flat = rows.where("loader in ('sql', 'mongodb')").withColumn("markdown", records_markdown(F.col("source_id"), F.col("record"))).withColumn("error", F.when(F.col("markdown").isNull(), "no fields"))
+    records = [rows.where(F.col("loader") == kind).withColumn("markdown", render(title(rows), F.col("record"))) for kind, render in (("sql", row_records_markdown), ("mongodb", records_markdown))]
+    flat = records[0].unionByName(records[1]).withColumn("error", F.when(F.col("markdown").isNull(), "no fields"))
     lost = rows.where("loader is null").withColumns({"markdown": none, "error": none})
 
     def parse(kind: str, content: bytes, name: str) -> tuple[str | None, str | None, str | None]:

@@ -47,44 +47,66 @@ def pairs_prose(names: Column, values: Column, context: Column | None = None) ->
     return body if context is None else F.when(body != "", F.concat(context, F.lit(" — "), body)).otherwise(body)
 
 
+#: Levels below a top-level key that are written out, items of a list that are, and characters of what lies deeper.
+MAX_DEPTH, MAX_ITEMS, MAX_JSON = 3, 20, 200
+_TOP_SKIPPED = ("_id", "__v")
+
+
 def _scalar(v: object) -> str:
     return "_null_" if v is None else str(v).lower() if isinstance(v, bool) else str(v)
 
 
-def _nested(v: object, depth: int) -> list[str]:
-    pad = "  " * depth
-    if depth >= 3:
-        text = json.dumps(v, ensure_ascii=False, default=str)
-        return [f"{pad}- {text[:200]}"]
-    out = []
+def _bullets(v: object, depth: int) -> list[str]:
+    """Bullets of a nested value; objects in lists are numbered items, lists in lists one line each."""
+    pad = "  " * (depth - 1) + "- "
+    if depth > MAX_DEPTH:
+        return [pad + json.dumps(v, default=str)[:MAX_JSON]]
     if isinstance(v, dict):
-        for k, x in v.items():
-            out += [f"{pad}- **{k}**:", *_nested(x, depth + 1)] if isinstance(x, (dict, list)) else [f"{pad}- **{k}**: {_scalar(x)}"]
+        named = [(f"**{k}**:", x, isinstance(x, (dict, list))) for k, x in v.items() if k not in _TOP_SKIPPED]
+        more = 0
     else:
-        for x in v[:20]:
-            out += _nested(x, depth + 1) if isinstance(x, (dict, list)) else [f"{pad}- {_scalar(x)}"]
-        if len(v) > 20:
-            out.append(f"{pad}_... {len(v) - 20} more items_")
-    return out
+        named = [(f"Item {n}:" if isinstance(x, dict) else "", x, isinstance(x, dict)) for n, x in enumerate(v[:MAX_ITEMS], 1)]
+        more = len(v) - MAX_ITEMS
+    out = []
+    for label, x, deep in named:
+        out += [pad + label, *_bullets(x, depth + 1)] if deep else [pad + f"{label} {_scalar(x)}".lstrip()]
+    return [*out, f"{pad}_... {more} more items_"] if more > 0 else out
 
 
-def record_markdown(title: str, record: str | None) -> str | None:
-    """A JSON object as Markdown: scalars under ``### Fields``, a section for each nested key. Null or no object: null."""
+def _object(record: str | None) -> dict | None:
     try:
         value = json.loads(record) if record else None
     except ValueError:
         return None
-    if not isinstance(value, dict):
+    return value if isinstance(value, dict) and value else None
+
+
+def record_markdown(title: str, record: str | None) -> str | None:
+    """A JSON object as Markdown: scalars under ``### Fields``, a section for each nested key. Null, empty or no object: null."""
+    value = _object(record)
+    if value is None:
+        return None
+    value = {k: v for k, v in value.items() if k not in _TOP_SKIPPED}
+    nested = {k: v for k, v in value.items() if isinstance(v, (dict, list))}
+    flat = [f"- **{k}**: {_scalar(v)}" for k, v in value.items() if k not in nested]
+    parts = [[f"## {title}"], *([["### Fields", "", *flat]] if flat else []), *([f"### {k}", "", *_bullets(v, 1)] for k, v in nested.items())]
+    return "\n\n".join("\n".join(p) for p in parts) + "\n"
+
+
+def row_record_markdown(title: str, record: str | None) -> str | None:
+    """The same of a table's row, in the form of ``row_markdown``: lists comma-joined. Null, empty or no object: null."""
+    value = _object(record)
+    if value is None:
         return None
-    value = {k: v for k, v in value.items() if k not in ("_id", "__v")}
-    flat = [f"- **{k}**: {_scalar(v)}" for k, v in value.items() if not isinstance(v, (dict, list))]
-    out = [f"## {title}", *(["", "### Fields", *flat] if flat else [])]
-    for k, v in value.items():
-        if isinstance(v, (dict, list)):
-            out += ["", f"### {k}", *_nested(v, 0)]
-    return "\n".join(out)
+    shown = lambda v: "_null_" if v is None else ", ".join(map(str, v)) if isinstance(v, list) else str(v) if isinstance(v, dict) else _scalar(v).replace("|", "\\|")
+    return "\n".join([f"## {title}", "", "| Column | Value |", "| --- | --- |", *(f"| {k} | {shown(v)} |" for k, v in value.items())])
 
 
 @F.arrow_udf(StringType())
 def records_markdown(title: pa.Array, record: pa.Array) -> pa.Array:
     return pa.array([record_markdown(t, r) for t, r in zip(title.to_pylist(), record.to_pylist(), strict=True)], pa.string())
+
+
+@F.arrow_udf(StringType())
+def row_records_markdown(title: pa.Array, record: pa.Array) -> pa.Array:
+    return pa.array([row_record_markdown(t, r) for t, r in zip(title.to_pylist(), record.to_pylist(), strict=True)], pa.string())

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.config import FilterRequest, RetrievalConfig
+from tidemark.storage import materialize
 
 RRF = 60
 
@@ -106,11 +107,15 @@ def merged(candidates: DataFrame, k: int, key: str) -> DataFrame:
 
 
 def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(key, score) of the best ``k`` by Okapi BM25. Documents are reduced to counts of the query's few terms where they lie; nothing else moves."""
-    terms = sorted(set(re.findall(r"[a-z0-9]+", query.lower())))
+    """(key, score) of the best ``k`` by Okapi BM25. Terms are runs of letters and digits of any script, without regard to case.
+
+    Documents are reduced to counts of the query's few terms where they lie, once; these counts are written, as totals and scores both need them, and nothing else moves.
+    """
+    terms = sorted(set(re.findall(r"[^\W_]+", query.lower())))
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    count = lambda t: F.regexp_count(low, F.lit(f"(?<![a-z0-9]){t}(?![a-z0-9])"))
-    rows = docs.select(key, F.regexp_count(low, F.lit("[a-z0-9]+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)])
+    own = r"[\p{L}\p{N}]"
+    count = lambda t: F.when(F.contains(low, F.lit(t)), F.regexp_count(low, F.lit(f"(?<!{own}){t}(?!{own})"))).otherwise(0)
+    rows = materialize(docs.select(key, F.regexp_count(low, F.lit(f"{own}+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]), "terms")
     totals = rows.agg(F.count("*").alias("_docs"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(terms))])
     score = F.lit(0.0)
     for i in range(len(terms)):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tidemark.storage import create, delete
 
 KEYS = ["tenant_id", "repo_id", "source_id"]
 PARTS = ["tenant_id", "repo_id"]
@@ -19,55 +23,104 @@ def collection(base: str, mode: str = "shared", name: str | None = None, tenant:
     return {"shared": f"{base}/vector_store", "tenant": f"{base}/vector_store_{tenant}", "repo": f"{base}/vector_store_{tenant}_{repo}"}[mode]
 
 
+class Conflict(RuntimeError):
+    """Another writer has published one of the same repositories since this one read them."""
+
+
+def _key(*names: str) -> Column:
+    return F.concat_ws("\x1f", *[F.coalesce(F.col(n), F.lit("\x1e")) for n in names])
+
+
 @dataclass
 class ChunkStore:
-    """Versions of a partition lie beside each other; the table of versions names the live one, and a write becomes visible when that table has its row.
+    """Versions of a partition lie beside each other in ``data``; the log names the live one, and a write becomes visible when its log file is there.
 
-    A crash before it leaves the old version; ``vacuum`` removes what no row names.
+    A crash before it leaves the old version; ``vacuum`` removes what no log file names any more. A log file is created under its number or not at all, so of two writers
+    with the same number one tries the next, unless they wrote the same repository: that is a ``Conflict``.
     """
 
     spark: SparkSession
     path: str
 
-    def _versions(self) -> DataFrame:
-        kind = "tenant_id string, repo_id string, version string, n long"
+    @property
+    def _log(self) -> str:
+        return f"{self.path}/_log_versions"
+
+    def _published(self) -> DataFrame:
+        kind = "tenant_id string, repo_id string, version string, n long, columns string"
         try:
-            return self.spark.read.schema(kind).parquet(f"{self.path}/_log_versions/*")
+            return self.spark.read.schema(kind).json(f"{self._log}/*.json")
         except Exception as e:
             if "PATH_NOT_FOUND" in str(e):
                 return self.spark.createDataFrame([], kind)
             raise
 
-    def live(self) -> list[tuple[str, str, str]]:
-        """(tenant, repository, version): one row a repository."""
-        rows = self._versions().groupBy(*PARTS).agg(F.max_by("version", "n").alias("version")).collect()
-        return [(r.tenant_id, r.repo_id, r.version) for r in rows]
-
-    def read(self, tenant: str | None = None, repo: str | None = None) -> DataFrame | None:
-        paths = [f"{self.path}/data/{v}" for t, r, v in self.live() if tenant in (None, t) and repo in (None, r)]
-        return self.spark.read.parquet(*sorted(set(paths))) if paths else None
-
-    def _publish(self, rows: DataFrame, repos: list[tuple[str, str]]) -> None:
-        n = (self._versions().agg(F.max("n")).first()[0] or 0) + 1
-        log = []
-        for t, r in repos:
-            version = uuid.uuid4().hex
-            rows.where((F.col("tenant_id") == t) & (F.col("repo_id") == r)).write.parquet(f"{self.path}/data/{version}")
-            log.append((t, r, version, n))
-        if log:
-            self.spark.createDataFrame(log, "tenant_id string, repo_id string, version string, n long").coalesce(1).write.parquet(f"{self.path}/_log_versions/{n:012d}")
+    def live(self) -> DataFrame:
+        """(tenant_id, repo_id, version, n, columns): one row a repository."""
+        return self._published().groupBy(*PARTS).agg(F.max_by(F.struct("version", "n", "columns"), "n").alias("_r")).select(*PARTS, "_r.*")
+
+    def read(self, tenant: str | None = None, repo: str | None = None, among: DataFrame | None = None) -> DataFrame | None:
+        """Live chunks of all, a tenant's or one repository, or of those (tenant_id, repo_id) ``among``; None without any. Partitions are pruned by name."""
+        live = self.live()
+        for name, value in zip(PARTS, (tenant, repo), strict=True):
+            live = live if value is None else live.where(F.col(name) == value)
+        if among is not None:
+            live = live.join(among.select(*PARTS).distinct(), PARTS, "left_semi")
+        found = live.select(_key("version", *PARTS).alias("key"), "columns").collect()  # one row a repository
+        if not found:
+            return None
+        fields: dict[str, StructField] = {}
+        for columns in sorted({x.columns for x in found}):
+            for f in StructType.fromJson(json.loads(columns)):
+                fields.setdefault(f.name, f)
+        kind = StructType([*fields.values(), StructField("version", StringType())])
+        rows = self.spark.read.schema(kind).parquet(f"{self.path}/data")
+        return rows.where(_key("version", *PARTS).isin([x.key for x in found])).drop("version")
+
+    def _publish(self, rows: DataFrame, repos: DataFrame, seen: int) -> None:
+        """Writes all repositories at once and names them in one log file. repos: (tenant_id, repo_id) of the write, also of those that have no rows left; seen: the last number when they were read."""
+        touched = [(r.tenant_id, r.repo_id) for r in repos.select(*PARTS).distinct().collect()]  # one row a repository
+        if not touched:
+            return
+        version = uuid.uuid4().hex
+        rows.write.partitionBy(*PARTS).parquet(f"{self.path}/data/version={version}")
+        n = seen + 1
+        while True:
+            log = "".join(json.dumps({"tenant_id": t, "repo_id": r, "version": version, "n": n, "columns": rows.schema.json()}) + "\n" for t, r in touched)
+            if create(self.spark, f"{self._log}/{n:012d}.json", log.encode()):
+                return
+            others = {(r.tenant_id, r.repo_id) for r in self._published().where(F.col("n") == n).collect()}
+            if others & set(touched):
+                raise Conflict(f"version {n} of {self.path} was published meanwhile")
+            n += 1
+
+    def _last(self) -> int:
+        return self._published().agg(F.max("n")).first()[0] or 0
+
+    def vacuum(self) -> int:
+        """Deletes partitions that are not live; how many. Not while others read older versions or write."""
+        live = {(r.version, r.tenant_id, r.repo_id) for r in self.live().collect()}
+        kind = StructType([StructField(n, StringType()) for n in ("version", *PARTS)])
+        try:
+            there = self.spark.read.schema(kind).parquet(f"{self.path}/data").select("version", *PARTS, F.regexp_replace(F.input_file_name(), "/[^/]*$", "").alias("folder")).distinct().collect()
+        except Exception as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return 0
+            raise
+        dead = {r.folder for r in there if (r.version, r.tenant_id, r.repo_id) not in live}
+        for folder in dead:
+            delete(self.spark, folder)
+        return len(dead)
 
     def replace(self, chunks: DataFrame, gone: DataFrame | None = None) -> None:
         """Chunks take the place of all former ones of their documents; documents of ``gone`` (keys) lose theirs. Only touched repositories are rewritten."""
+        seen = self._last()
         keys = chunks.select(*KEYS).distinct()
         keys = keys if gone is None else keys.unionByName(gone.select(*KEYS)).distinct()
-        repos = [(r.tenant_id, r.repo_id) for r in keys.select(*PARTS).distinct().collect()]
-        live = {(t, r): v for t, r, v in self.live()}
-        old = [f"{self.path}/data/{live[k]}" for k in repos if k in live]
-        rows = chunks
-        if old:
-            rows = self.spark.read.parquet(*old).join(keys, KEYS, "left_anti").unionByName(chunks, allowMissingColumns=True)
-        self._publish(rows, repos)
+        old, rows = self.read(among=keys), chunks
+        if old is not None:
+            rows = old.join(keys, KEYS, "left_anti").unionByName(chunks, allowMissingColumns=True)
+        self._publish(rows, keys, seen)
 
     def delete(self, gone: DataFrame) -> int:
         """How many chunks went."""
@@ -81,10 +134,10 @@ class ChunkStore:
 
     def promote(self, target: ChunkStore, tenant: str, repo: str) -> None:
         """Moves a repository to a table of its own: written there first, then emptied here."""
-        rows = self.read(tenant, repo)
+        seen, rows = self._last(), self.read(tenant, repo)
         if rows is not None:
             target.replace(rows)
-            self._publish(rows.where("false"), [(tenant, repo)])
+            self._publish(rows.where("false"), rows.select(*PARTS), seen)
 
 
 def duplicates(chunks: DataFrame) -> DataFrame:

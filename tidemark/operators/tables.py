@@ -26,13 +26,17 @@ def _cells(line: str) -> list[str]:
 
 
 def _context(out: list[str]) -> tuple[str, int | None]:
-    """The caption: the nearest plain line above, else the nearest heading; and where it stands."""
+    """The caption: the nearest plain line above, however far, even behind a nearer heading; the nearest heading where there is none. And where it stands."""
+    heading: tuple[str, int | None] = "", None
     for i in range(len(out) - 1, -1, -1):
         s = out[i].strip()
         if not s or s.startswith("*") and s.endswith("*") or " | " in s and ":" in s:
             continue
-        return (s.lstrip("#").strip() if s.startswith("#") else s), i
-    return "", None
+        if not s.startswith("#"):
+            return s, i
+        if heading[1] is None:
+            heading = s.lstrip("#").strip(), i
+    return heading
 
 
 def tables_to_prose(text: str | None, keep_context: bool = False) -> str | None:

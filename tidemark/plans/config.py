@@ -19,7 +19,7 @@ class IngestionSettings:
     contextual_concurrency: int
     embedding_model: str
     contextual: bool = False
-    contextual_mode: str = "all"
+    contextual_mode: str = "all_chunks"
 
 
 def merge_settings(overrides: dict[str, Any] | None, tenant: dict[str, Any] | None, llm_model: str | None = None) -> IngestionSettings:
@@ -28,7 +28,7 @@ def merge_settings(overrides: dict[str, Any] | None, tenant: dict[str, Any] | No
     merged = {k: over.get(k) or base.get(k) or v for k, v in DEFAULTS.items()}
     on = over.get("contextual_enrichment_enabled")
     on = base.get("contextual_enrichment_enabled", False) if on is None else on
-    return IngestionSettings(**merged, contextual=bool(on and llm_model), contextual_mode=over.get("contextual_enrichment_mode") or base.get("contextual_enrichment_mode") or "all")
+    return IngestionSettings(**merged, contextual=bool(on and llm_model), contextual_mode=over.get("contextual_enrichment_mode") or base.get("contextual_enrichment_mode") or "all_chunks")
 
 
 @dataclass(frozen=True)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +25,25 @@ class Plan:
     schema: list[MetadataField] = field(default_factory=list)
     retrieval: RetrievalConfig = field(default_factory=RetrievalConfig)
     provider: embed.Provider = field(default_factory=embed.HashingProvider)
+    #: Hooks: PDF pages, their OCR, repair of complex documents, a model's sentence for a chunk (used where the settings ask for it).
+    pdf: load.PdfExtractor | None = None
+    ocr: load.Ocr | None = None
+    repair: Callable[[str], str] | None = None
+    context: Callable[[pd.DataFrame], pd.Series] | None = None
+    #: Keys of the source's extra_metadata that become columns (see ``scan.EXTRAS``).
+    extras: Sequence[str] = ()
 
 
 def prepare(changed: DataFrame, plan: Plan, job_id: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """(results, chunks) of changed documents: one result a document, whatever happens to it."""
-    loaded = materialize(load.load(changed).drop("content").withColumn("markdown", tables.to_prose(F.col("markdown"))), "loaded")
+    loaded = materialize(load.load(changed, plan.pdf, plan.ocr, plan.repair).drop("content").withColumn("markdown", tables.to_prose(F.col("markdown"))), "loaded")
     blank = ~F.rlike(F.coalesce(F.col("markdown"), F.lit("")), F.lit(r"\S"))
     loaded = loaded.withColumn("status", F.coalesce("status", F.when(blank, "skipped"), F.when(F.col("decision") == "new", "new").otherwise("updated")))
     chunks = chunk.chunk(loaded.where("status in ('new', 'updated')"), "markdown", plan.settings.chunk_size, plan.settings.chunk_overlap)
-    chunks = enrich.identity(enrich.custom(enrich.standard(chunks, job_id, now), plan.schema), plan.retrieval, plan.schema)
+    if plan.settings.contextual and plan.context:
+        chunks = enrich.contextualise(chunks, plan.context, KEYS, tables_only=plan.settings.contextual_mode == "tables_only")
+    chunks = enrich.extras(enrich.standard(chunks, job_id, now), plan.extras)
+    chunks = enrich.identity(enrich.custom(chunks, plan.schema), plan.retrieval, plan.schema, plan.extras)
     chunks = embed.embed(chunks, plan.provider, batch=plan.settings.embedding_batch_size)
     return loaded, chunks.drop("decision", "loader", "status", "error", "record", "change")
 
@@ -58,3 +70,11 @@ def run(feed: DataFrame, registry: DataFrame, store: ChunkStore, plan: Plan, job
     new_registry = materialize(delta.mark_deleted(delta.upsert(registry, rows), gone, now), "registry")
     store.replace(chunks, gone.unionByName(written.select(*KEYS)))
     return new_registry, stats
+
+
+def run_job(feed: Callable[[], DataFrame], registry: DataFrame, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool = True, native_deletes: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``run`` as a job: an error of the source or of the run itself leaves registry and store as they were and makes a statistics row with status ``failed``."""
+    try:
+        return run(feed(), registry, store, plan, job_id, now, full_listing, native_deletes)
+    except Exception as e:  # whatever stops a job is its outcome
+        return registry, jobs.failed(registry.sparkSession, f"{type(e).__name__}: {e}")

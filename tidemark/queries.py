@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, store, tables
-from tidemark.plans import search
+from tidemark.plans import ingest, search
 from tidemark.plans.config import FilterRequest, MetadataField, RetrievalConfig, resolve_schema
 from tidemark.sources import scan
 from tidemark.storage import shared_dir
@@ -167,11 +167,11 @@ def q13_kv_prose(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", render.pairs_prose(names, values, F.lit("Orders")).alias("prose"))
 
 
-@query(f"""WITH {_DOCS}, files AS (SELECT 'd' || doc_id::VARCHAR AS id, 'text/markdown' AS mime_type, 'text' AS loader FROM docs UNION ALL SELECT 'p' || page_id::VARCHAR, 'text/html', NULL FROM pages)
+@query(f"""WITH {_DOCS}, files AS (SELECT 'd' || doc_id::VARCHAR AS id, 'text/markdown' AS mime_type, 'text' AS loader FROM docs UNION ALL SELECT 'p' || page_id::VARCHAR, CASE WHEN regexp_matches(lower(regexp_extract(url, '^[^?#]*')), '\\.html?$') THEN 'text/html' ELSE 'application/octet-stream' END, NULL FROM pages)
 SELECT id, mime_type, loader, CASE WHEN loader IS NULL THEN 'skipped' END AS status FROM files""")
 def q14_loader_routing(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select(F.concat(F.lit("d"), F.col("source_id")).alias("id"), C.file_name(F.col("full_path")).alias("name"))
-    pages = table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), F.lit("index.HTML").alias("name"))
+    pages = table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), C.file_name(F.regexp_extract("url", "^[^?#]*", 0)).alias("name"))
     rows = docs.unionByName(pages).withColumns({"content_type": F.lit("file"), "mime_type": C.mime_type(F.col("name")), "structured_source_type": F.lit(None).cast("string")})
     return load.with_loader(rows).select("id", "mime_type", "loader", "status")
 
@@ -192,9 +192,9 @@ def _headed(spark: SparkSession, d: str) -> DataFrame:
     return documents(spark, d).withColumns({"h1": named(2, "Part ", 4), "h2": named(3, "Section ", 6), "h3": F.when(F.col("doc_id") % 5 == 0, "general"), "h4": F.lit(None).cast("string")})
 
 
-@query(f"""WITH {_DOCS}, {_HEADED} SELECT d.doc_id, '[' || concat_ws(' | ', d.source, d.lang, 'doc ' || d.doc_id::VARCHAR, coalesce(h2, h1)) || ']' || chr(10) || 'body' AS text FROM docs d JOIN heads h ON d.doc_id = h.doc_id""")
+@query(f"""WITH {_DOCS}, {_HEADED} SELECT d.doc_id, '[' || concat_ws(' | ', d.source, d.lang, 'doc ' || d.doc_id::VARCHAR, coalesce(h2, h1)) || ']' || chr(10) || d.text AS text FROM docs d JOIN heads h ON d.doc_id = h.doc_id""")
 def q16_prefix(spark: SparkSession, d: str) -> DataFrame:
-    rows = _headed(spark, d).withColumn("text", F.lit("body")).withColumn("flag", F.lit("general"))
+    rows = _headed(spark, d).withColumn("flag", F.lit("general"))
     return enrich.identity(rows, RetrievalConfig(extractable_fields=("source", "flag", "lang")), []).select("doc_id", "text")
 
 
@@ -255,7 +255,7 @@ def q24_known_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 _TERMS = ("erheble", "stupid", "the", "zu")
-_BM25 = """toks AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents),
+_BM25 = """toks AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM documents),
 tf AS (SELECT doc_id, len(t) AS n, """ + ", ".join(f"len(list_filter(t, lambda x: x = '{t}')) AS f{i}" for i, t in enumerate(_TERMS)) + """ FROM toks),
 tot AS (SELECT count(*) AS nn, avg(n) AS av, """ + ", ".join(f"count(*) FILTER (f{i} > 0) AS d{i}" for i in range(len(_TERMS))) + """ FROM tf),
 bm AS (SELECT doc_id, """ + " + ".join(f"ln(1 + (nn - d{i} + 0.5) / (d{i} + 0.5)) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * n / av))" for i in range(len(_TERMS))) + """ AS score FROM tf, tot)"""
@@ -298,7 +298,7 @@ def q29_notify_predicate(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("repo_id", on("on_failure").alias("on_failure"), on("on_change").alias("on_change"), on().alias("always"))
 
 
-@query(f"WITH {_DOCS} SELECT 'promoted' AS place, doc_id FROM docs WHERE tenant_id = 't1' AND repo_id = 'src1' UNION ALL SELECT 'shared', doc_id FROM docs WHERE repo_id IN ('src1', 'src2') AND NOT (tenant_id = 't1' AND repo_id = 'src1')")
+@query(f"WITH {_DOCS} SELECT 'promoted' AS place, doc_id FROM docs WHERE tenant_id = 't1' AND repo_id = 'src1' UNION ALL SELECT 'shared', doc_id FROM docs WHERE NOT (tenant_id = 't1' AND repo_id = 'src1')")
 def q30_promotion(spark: SparkSession, d: str) -> DataFrame:
     import uuid
 
@@ -306,9 +306,7 @@ def q30_promotion(spark: SparkSession, d: str) -> DataFrame:
     shared, own = store.ChunkStore(spark, store.collection(base)), store.ChunkStore(spark, store.collection(base, "repo", tenant="t1", repo="src1"))
     shared.replace(documents(spark, d).withColumn("chunk_index", F.lit(0)))
     shared.promote(own, "t1", "src1")
-    # every document is stored, its text too; the SQL names what is left of two repositories only
-    left = shared.read().where("repo_id in ('src1', 'src2')")
-    return own.read().select(F.lit("promoted").alias("place"), "doc_id").unionByName(left.select(F.lit("shared").alias("place"), "doc_id"))
+    return own.read().select(F.lit("promoted").alias("place"), "doc_id").unionByName(shared.read().select(F.lit("shared").alias("place"), "doc_id"))
 
 
 @query("SELECT doc_id, lang || ' ' || source || ' ' || doc_id::VARCHAR AS stem FROM documents")
@@ -323,20 +321,26 @@ def q32_recursive_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunk.chunk(rows).select("doc_id", "chunk_index", "chunk_total", "start_index", "text")
 
 
-@query()
+@query("""SELECT c_custkey, chr(10) || chr(10) || string_agg('customer — ' || c_custkey::VARCHAR || ' — Column: ' || name || ' | Value: ' || value, chr(10) ORDER BY n) AS prose
+FROM (SELECT c_custkey, unnest([1, 2, 3]) AS n, unnest(['c_name', 'c_acctbal', 'c_mktsegment']) AS name, unnest([c_name, c_acctbal::VARCHAR, c_mktsegment]) AS value FROM customer) GROUP BY c_custkey""")
 def q33_table_to_prose(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer")
     md = render.row_markdown(F.lit("customer"), F.col("c_custkey"), {n: F.col(n) for n in ("c_name", "c_acctbal", "c_mktsegment")})
     return rows.select("c_custkey", tables.to_prose(md).alias("prose"))
 
 
-@query()
+@query("""SELECT event_id, '## app.events — ' || event_id::VARCHAR || chr(10) || chr(10) || '### Fields' || chr(10) || chr(10) || '- **user**: ' || user_id::VARCHAR || chr(10) || chr(10)
+|| '### detail' || chr(10) || chr(10) || '- **k**: ' || json_extract_string(props, '$.k') || chr(10) || chr(10)
+|| '### marks' || chr(10) || chr(10) || '- ' || event_id::VARCHAR || chr(10) || '- Item 2:' || chr(10) || '  - **kind**: ' || event_type || chr(10) AS markdown FROM events""")
 def q34_nested_document_markdown(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events")
-    return rows.select("event_id", render.records_markdown(F.concat(F.lit("app.events — "), F.col("event_id").cast("string")), F.col("props")).alias("markdown"))
+    number = lambda c: F.col(c).cast("string")
+    record = F.concat(F.lit('{"_id": 1, "user": '), number("user_id"), F.lit(', "detail": '), F.col("props"), F.lit(', "marks": ['), number("event_id"), F.lit(', {"kind": "'), F.col("event_type"), F.lit('"}]}'))
+    return rows.select("event_id", render.records_markdown(F.concat(F.lit("app.events — "), number("event_id")), record).alias("markdown"))
 
 
-@query()
+@query("""SELECT user_id::VARCHAR AS source_id, sha256(props) AS content_hash, ts AS last_modified_at_source, 'new' AS decision FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type = 'logout' DESC, sha256(props) DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'logout'""")
 def q35_stream_delta(spark: SparkSession, d: str) -> DataFrame:
     import uuid
 
@@ -367,9 +371,33 @@ class _Question:
 
 
 @query(f"""WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id::VARCHAR) AS n FROM scored WHERE label IN (0, 1, 2) AND vec_id % 3 IN (0, 1))
-SELECT vec_id, 'r' || label::VARCHAR AS repo_id, round(score, 6) AS score FROM r WHERE n <= 10 ORDER BY r.score DESC, repo_id, vec_id::VARCHAR LIMIT 5""")
+SELECT vec_id, 'r' || label::VARCHAR AS repo_id, round(score, 6) AS score, length(text)::BIGINT AS n_chars FROM r LEFT JOIN documents ON doc_id = vec_id WHERE n <= 10 ORDER BY r.score DESC, repo_id, vec_id::VARCHAR LIMIT 5""")
 def q37_search(spark: SparkSession, d: str) -> DataFrame:
-    chunks = table(spark, d, "embeddings").select("vec_id", F.lit("t").alias("tenant_id"), F.concat(F.lit("r"), F.col("label").cast("string")).alias("repo_id"), F.col("vec_id").cast("string").alias("source_id"), F.lit(0).alias("chunk_index"), F.lit("").alias("text"), (F.col("vec_id") % 3).cast("string").alias("rest"), "embedding")
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    chunks = table(spark, d, "embeddings").join(texts, "vec_id", "left").select("vec_id", F.lit("t").alias("tenant_id"), F.concat(F.lit("r"), F.col("label").cast("string")).alias("repo_id"), F.col("vec_id").cast("string").alias("source_id"), F.lit(0).alias("chunk_index"), "text", (F.col("vec_id") % 3).cast("string").alias("rest"), "embedding")
     config = RetrievalConfig(filterable_fields=("rest",))
     found = search.search(chunks, "t", {f"r{n}": config for n in range(3)}, "", _Question(), 5, FilterRequest(must={"rest": ["0", "1"]}))
-    return found.select("vec_id", "repo_id", F.round("score", 6).alias("score"))
+    return found.select("vec_id", "repo_id", F.round("score", 6).alias("score"), F.length("text").cast("long").alias("n_chars"))
+
+
+@query(f"""WITH {_DOCS}, known AS (SELECT doc_id::VARCHAR AS source_id, CASE WHEN doc_id % 10 = 1 THEN 'stale' ELSE content_hash END AS content_hash, 'active' AS status FROM docs WHERE doc_id % 10 <> 0
+  UNION ALL SELECT (doc_id + 1000000)::VARCHAR, 'ghost', CASE WHEN doc_id % 40 = 3 THEN 'deleted' ELSE 'active' END FROM docs WHERE doc_id % 20 = 3),
+seen AS (SELECT source_id, content_hash, regexp_matches(coalesce(text, ''), '\\S') AS filled FROM docs)
+SELECT coalesce(s.source_id, k.source_id) AS source_id, CASE WHEN s.filled THEN s.content_hash ELSE k.content_hash END AS content_hash, CASE WHEN s.source_id IS NULL THEN 'deleted' ELSE 'active' END AS status,
+  coalesce(s.filled AND s.content_hash IS DISTINCT FROM k.content_hash, false) AS in_store
+FROM seen s FULL JOIN known k ON s.source_id = k.source_id WHERE s.filled OR k.source_id IS NOT NULL""")
+def q38_ingest_run(spark: SparkSession, d: str) -> DataFrame:
+    """One ingestion of all documents into one repository: the registry that it leaves, and which documents have chunks in the store."""
+    import uuid
+
+    rows = documents(spark, d)
+    known = registry(rows).withColumns({"tenant_id": F.lit("t"), "repo_id": F.lit("all")})
+    kinds = [x.strip().split(" ", 1) for x in delta.REGISTRY.split(",")]
+    known = known.select(*[F.col(n) if n in known.columns else F.lit(None).cast(kind).alias(n) for n, kind in kinds])
+    feed = scan.feed(rows, "file", {"content": F.col("text").cast("binary"), "mime_type": F.lit("text/markdown"), "source_id": F.col("source_id"), "file_name": C.file_name(F.col("full_path")), "full_path": F.col("full_path"), "source_url": F.col("full_path"), "content_hash": F.col("content_hash")})
+    chunks = store.ChunkStore(spark, f"{shared_dir(spark)}/run-{uuid.uuid4().hex}")
+    plan = ingest.Plan("t", "all", provider=embed.HashingProvider(dimensions=8))
+    after, _ = ingest.run(feed, known, chunks, plan, "job-1", F.lit("2024-01-01").cast("timestamp"))
+    stored = chunks.read()
+    held = (after.limit(0) if stored is None else stored).select("source_id").distinct().withColumn("held", F.lit(True))
+    return after.join(held, "source_id", "left").select("source_id", "content_hash", "status", F.coalesce("held", F.lit(False)).alias("in_store"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,14 +36,55 @@ def allowed(name: Column, include: list[str], exclude: list[str], hidden: tuple[
     return ok
 
 
+_LISTED = "path string, name string, length long, modified double"
+
+
+def _names(root: str, recursive: bool, wanted: Callable[[str, int], bool]) -> Iterator[tuple[str, str, int, float]]:
+    for folder, below, files in os.walk(root):
+        if not recursive:
+            below.clear()
+        for name in sorted(files):
+            path = os.path.join(folder, name)
+            try:
+                found = os.stat(path)
+            except OSError:
+                continue  # gone since it was listed
+            if wanted(name, found.st_size):
+                yield path, name, found.st_size, found.st_mtime
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contents, one file at a time; null for a file that can't be read, which then is a failed document and not a missing one."""
+    for batch in batches:
+        for i, path in enumerate(batch.column(0).to_pylist()):
+            try:
+                with open(path, "rb") as f:
+                    content = f.read()
+            except OSError:
+                content = None
+            one = batch.slice(i, 1)
+            yield pa.RecordBatch.from_arrays([*one.columns, pa.array([content], pa.binary())], [*one.schema.names, "content"])
+
+
 def local_files(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
-    """Files under a folder. Names, sizes and extensions are filtered before contents are read. Spark hides names that start with ``_``."""
-    root = cfg["path"].rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(cfg.get("recursive", True)).lower()).load(root)
-    rel = F.regexp_replace("path", f"^(file:/*)?.*?{root.lstrip('/').split('://')[-1]}/", "/")
-    name = file_name(F.col("path"))
-    rows = files.where(allowed(name, cfg.get("include", []), cfg.get("exclude", [".tmp", ".log"]), (".", "~$")))
-    return feed(rows, "file", {"content": F.col("content"), "mime_type": mime_type(name), "source_id": rel, "file_name": name, "full_path": rel, "source_url": F.col("path"), "content_hash": content_hash(F.col("content")), "last_modified_at_source": F.col("modificationTime")})
+    """Files under a folder that driver and executors see. The driver lists names and sizes and filters them; only what is left is opened, in the tasks.
+
+    Names that start with ``.`` or ``~$`` are hidden (``_`` is a name like others); ``max_bytes`` is without limit unless given.
+    """
+    root = cfg["path"].removeprefix("file://").rstrip("/")
+    include, exclude, most = cfg.get("include", []), cfg.get("exclude", [".tmp", ".log"]), cfg.get("max_bytes")
+
+    def wanted(name: str, size: int) -> bool:
+        ext = f".{name.rpartition('.')[2].lower()}" if "." in name else ""
+        return not name.startswith((".", "~$")) and ext not in exclude and (not include or ext in include) and (most is None or size <= most)
+
+    listed = list(_names(root, cfg.get("recursive", True), wanted))
+    files = spark.createDataFrame(listed, _LISTED)
+    if listed:
+        files = files.repartition(min(len(listed), max(spark.sparkContext.defaultParallelism, sum(x[2] for x in listed) >> 26)))
+    files = files.mapInArrow(_read, f"{_LISTED}, content binary")
+    rel = F.substring("path", len(root) + 1, 2**31 - 1)
+    return feed(files, "file", {"content": F.col("content"), "mime_type": mime_type(F.col("name")), "source_id": rel, "file_name": F.col("name"), "full_path": rel, "source_url": F.concat(F.lit("file:"), F.col("path")), "content_hash": content_hash(F.col("content")), "last_modified_at_source": F.timestamp_seconds("modified")})
 
 
 def blobs(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
@@ -57,24 +100,42 @@ def blobs(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> Dat
 
 
 def table_rows(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
-    """Rows of a table: a DataFrame, a Parquet path, or a JDBC table read in partitions of its key. Columns and the delta predicate reach the scan."""
+    """Rows of a table: a DataFrame, a Parquet path, or a JDBC table. Columns and the delta predicate reach the scan.
+
+    A JDBC table is read in ``partitions`` ranges of ``partition_column`` (the key if not given) between the bounds that the database is asked for; 1: by one task, as a key that is no number, date or time needs.
+    """
     table, key, delta = cfg["table"], cfg["primary_key"], cfg.get("delta_column")
     if "dataframe" in cfg:
         rows = cfg["dataframe"]
     elif "path" in cfg:
         rows = spark.read.parquet(cfg["path"])
     else:
-        rows = spark.read.format("jdbc").options(**cfg["jdbc"]).option("dbtable", table).load()
+        reader = spark.read.format("jdbc").options(**cfg["jdbc"])
+        if (parts := cfg.get("partitions", 1)) > 1:
+            column = cfg.get("partition_column", key)
+            low, high = reader.option("query", f"SELECT min({column}) AS low, max({column}) AS high FROM {table}").load().first()
+            if low is not None:
+                reader = spark.read.format("jdbc").options(**cfg["jdbc"]).options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+        rows = reader.option("dbtable", table).load()
     names = list(dict.fromkeys([*(cfg.get("columns") or rows.columns), key, *([delta] if delta else [])]))
     names = [n for n in names if n not in cfg.get("exclude", [])]
     if delta and last_run is not None:
         rows = rows.where(F.col(delta) > F.lit(last_run))
     path = F.concat(F.lit(f"{table}/"), F.col(key).cast("string"))
-    return feed(rows, "structured", {"structured_source_type": F.lit("sql"), "record": F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), "source_id": path, "file_name": path, "full_path": F.concat(F.lit("/"), path), "source_url": F.concat(F.lit("sql://"), path), "content_hash": row_hash({n: F.col(n) for n in names}), "last_modified_at_source": F.col(delta).cast("timestamp") if delta else F.lit(None).cast("timestamp")})
+    return feed(rows, "structured", {"structured_source_type": F.lit("sql"), "record": F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), "source_id": path, "file_name": path, "full_path": F.concat(F.lit("/"), path), "source_url": F.concat(F.lit("sql://"), path), "content_hash": row_hash({n: F.col(n) for n in names}), "last_modified_at_source": F.col(delta).cast("timestamp") if delta else F.lit(None).cast("timestamp"), "extra_metadata": F.create_map(F.lit("table_name"), F.lit(table), F.lit("primary_key"), F.col(key).cast("string"), F.lit("schema"), F.lit(cfg.get("schema", "")))})
+
+
+def _stripped(value: Column, skip: list[str]) -> Column:
+    """A JSON object without some of its top-level keys; as it is if it has none of them."""
+    kept = F.map_filter(F.from_json(value, "map<string,variant>"), lambda k, v: ~k.isin(*skip))
+    return F.when(F.exists(F.json_object_keys(value), lambda k: k.isin(*skip)), F.to_json(kept)).otherwise(value)
 
 
 def json_records(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
-    """Documents of a collection, one JSON object a line. The text stays as it is; only key and delta field are parsed."""
+    """Documents of a collection, one JSON object a line. The text stays as it is but for ``skip_fields`` (``__v`` if not given), which neither the record nor its hash holds.
+
+    ``filter_query``: values by JSON path (``status`` or ``$.a.b``; a list means any of them) that a document must have.
+    """
     where = f"{cfg['database']}/{cfg['collection']}"
     rows = spark.read.text(cfg["path"]).where(F.rlike("value", F.lit(r"\S"))) if "path" in cfg else cfg["dataframe"].select(F.col(cfg["column"]).alias("value"))
     rows = rows.withColumn("id", F.coalesce(F.get_json_object("value", "$._id.$oid"), F.get_json_object("value", "$._id")))
@@ -82,6 +143,10 @@ def json_records(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None)
     rows = rows.withColumn("at", delta)
     if cfg.get("delta_field") and last_run is not None:
         rows = rows.where(F.col("at") > F.lit(last_run))
+    for name, wanted in cfg.get("filter_query", {}).items():
+        known = F.get_json_object("value", name if name.startswith("$") else f"$.{name}")
+        rows = rows.where(known.isin(*[str(x).lower() if isinstance(x, bool) else str(x) for x in (wanted if isinstance(wanted, list) else [wanted])]))
+    rows = rows.withColumn("value", _stripped(F.col("value"), cfg.get("skip_fields", ["__v"])))
     path = F.concat(F.lit(f"{where}/"), F.col("id"))
     meta = F.create_map(F.lit("database"), F.lit(cfg["database"]), F.lit("collection"), F.lit(cfg["collection"]), F.lit("document_id"), F.col("id"))
     return feed(rows, "structured", {"structured_source_type": F.lit("mongodb"), "record": F.col("value"), "source_id": path, "file_name": path, "full_path": F.concat(F.lit("/"), path), "source_url": F.concat(F.lit("mongodb://"), path), "content_hash": content_hash(F.col("value")), "last_modified_at_source": F.col("at"), "extra_metadata": meta})
@@ -132,6 +197,8 @@ def paged_records(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None
 SOURCES: dict[str, Callable[..., DataFrame]] = {"local": local_files, "sql": table_rows, "mongodb": json_records, "azure_blob": blobs, "sharepoint": drive, "onedrive": drive, "servicenow": paged_records}
 #: What tells a source's changes: by hash only, by a time, or by the source's own feed with deletions.
 NATIVE_DELETES = frozenset({"sharepoint", "onedrive"})
+#: Keys of extra_metadata that each source gives, to be columns of its chunks.
+EXTRAS = {"mongodb": ("database", "collection", "document_id"), "sql": ("table_name", "primary_key", "schema")}
 
 
 def scan(spark: SparkSession, source_type: str, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:

@@ -4,22 +4,63 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OPEN: ContextVar[list[str] | None] = ContextVar("tidemark_scratch", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where the session names none (local runs, tests)."""
+    """The cluster's ``spark.checkpoint.dir``. Only a local master may do without: it has a temporary folder then; elsewhere a local folder would lose rows, so that is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = spark.conf.get("tidemark.local.shared.dir", "") or tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("tidemark.local.shared.dir", found)
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def create(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Whether the file could be created; False if it is there already."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, False)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or "already exists" in str(e):
+            return False
+        raise
+    out.write(bytearray(content))
+    out.close()
+    return True
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes within go when the block ends, but for those to ``keep``: what is read later must be written out before."""
+    made: list[str] = []
+    token = _OPEN.set(made)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: its plan restarts there, and no lost executor takes it along."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    if not keep and (made := _OPEN.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

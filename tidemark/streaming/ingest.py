@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,31 +19,51 @@ def drive_stream(spark: SparkSession, cfg: dict[str, Any]) -> DataFrame:
 
 
 class RegistryTable:
-    """The registry as a folder of whole versions; a batch number names its version, so a batch that runs again writes the same one."""
+    """The registry as a folder of versions, one a batch. A version holds the rows that its batch changed, each ``whole_every``-th one all rows; so a batch writes what it touches.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    A batch number names its version, so a batch that runs again writes the same one.
+    """
 
-    def version(self) -> int:
+    def __init__(self, spark: SparkSession, path: str, whole_every: int = 16):
+        self.spark, self.path, self.whole_every = spark, path, whole_every
+
+    def versions(self) -> list[tuple[int, bool]]:
+        """(number, whether it holds all rows) of what has been written to its end, in order."""
         fs = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         files = fs.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not files.exists(fs):
-            return -1
-        done = [int(s.getPath().getName()) for s in files.listStatus(fs) if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{s.getPath().getName()}/_SUCCESS"))]
-        return max(done, default=-1)
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(fs)]
+        done = [n for n in names if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        return sorted((int(n.split("-")[0]), n.endswith("-whole")) for n in done)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        n = self.version() if before is None else before
-        return self.spark.read.schema(delta.REGISTRY).parquet(f"{self.path}/{n}") if n >= 0 else self.spark.createDataFrame([], delta.REGISTRY)
+    def version(self) -> int:
+        return max((n for n, _ in self.versions()), default=-1)
 
-    def write(self, rows: DataFrame, n: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{n}")
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows as of a version, the last one if not given."""
+        known = [(n, whole) for n, whole in self.versions() if before is None or n <= before]
+        start = max((n for n, whole in known if whole), default=-1)
+        parts = [self.spark.read.schema(delta.REGISTRY).parquet(f"{self.path}/{n}{'-whole' if whole else ''}").withColumn("_n", F.lit(n)) for n, whole in known if n > start or whole and n == start]
+        if not parts:
+            return self.spark.createDataFrame([], delta.REGISTRY)
+        rows = reduce(DataFrame.unionByName, parts)
+        names = [c for c in rows.columns if c not in (*delta.KEYS, "_n")]
+        return rows.groupBy(*delta.KEYS).agg(F.max_by(F.struct(*names), "_n").alias("_r")).select(*delta.KEYS, "_r.*")
+
+    def write(self, changed: DataFrame, n: int) -> None:
+        """The rows that a batch changed, whole rows of different keys."""
+        if (n + 1) % self.whole_every:
+            changed.write.mode("overwrite").parquet(f"{self.path}/{n}")
+        else:
+            delta.upsert(self.read(n - 1), changed).write.mode("overwrite").parquet(f"{self.path}/{n}-whole")
 
 
 def latest(batch: DataFrame, order: str) -> DataFrame:
-    """One row a document: of several in a batch the last one counts."""
+    """One row a document: of several in a batch the last one counts; of those of one time a deletion, else the largest hash."""
     names = [c for c in batch.columns if c not in delta.KEYS]
-    return batch.groupBy(*delta.KEYS).agg(F.max_by(F.struct(*names), F.col(order)).alias("_r")).select(*delta.KEYS, "_r.*")
+    rank = F.struct(F.col(order), (F.col("change") == "deleted").alias("gone"), F.col("content_hash"), F.to_json(F.struct(*names)).alias("row"))
+    return batch.groupBy(*delta.KEYS).agg(F.max_by(F.struct(*names), rank).alias("_r")).select(*delta.KEYS, "_r.*")
 
 
 def apply_stream(feed: DataFrame, registry: RegistryTable, decisions: str, checkpoint: str, order: str = "last_modified_at_source") -> StreamingQuery:
@@ -57,6 +78,7 @@ def apply_stream(feed: DataFrame, registry: RegistryTable, decisions: str, check
         kinds = {f.name: f.dataType for f in known.schema}
         new = rows.where("change = 'upsert'").withColumns({"status": F.lit("active"), "last_ingested_at": F.col(order)})
         new = new.select(*[F.col(c).cast(kinds[c]) if c in new.columns else F.lit(None).cast(kinds[c]).alias(c) for c in known.columns])
-        registry.write(delta.mark_deleted(delta.upsert(known, new), gone, F.lit(None).cast("timestamp")), n)
+        left = delta.mark_deleted(known.join(gone.select(*delta.KEYS), delta.KEYS, "left_semi"), gone, F.lit(None).cast("timestamp"))
+        registry.write(new.unionByName(left), n)
 
     return feed.writeStream.queryName(f"delta-{uuid.uuid4().hex[:8]}").foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
