@@ -353,7 +353,7 @@ def test_registry_versions_hold_changes_only(spark, tmp_path):
 def test_scratch_tables_go_and_kept_ones_stay(spark):
     rows = spark.range(3)
     with storage.scratch(spark):
-        gone, kept = storage.materialize(rows, "gone"), storage.materialize(rows, "kept", keep=True)
+        gone, kept = storage.materialize(rows, "gone"), storage.written(storage.materialize(rows, "step"), storage.fresh(spark, "kept"))
         assert gone.count() == 3
     assert kept.count() == 3 and storage.materialize(rows, "later").count() == 3
     with pytest.raises(Exception, match="NOT_EXIST|not exist|NOT_FOUND"):

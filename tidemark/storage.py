@@ -45,7 +45,7 @@ def create(spark: SparkSession, path: str, content: bytes) -> bool:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``materialize`` writes within go when the block ends, but for those to ``keep``: what is read later must be written out before."""
+    """Tables that ``materialize`` writes within go when the block ends: what is read later must be ``written`` before."""
     made: list[str] = []
     token = _OPEN.set(made)
     try:
@@ -56,11 +56,19 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
-def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def fresh(spark: SparkSession, label: str) -> str:
+    """A name in the shared folder that nothing has yet."""
+    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: its plan restarts there, and no lost executor takes it along."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
-    if not keep and (made := _OPEN.get()) is not None:
+    path = fresh(df.sparkSession, label)
+    if (made := _OPEN.get()) is not None:
         made.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, path)
