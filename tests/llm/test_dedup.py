@@ -207,10 +207,43 @@ def test_links_are_confirmed_on_the_shingle_sets(spark):
 
 
 def test_large_groups_are_dealt_without_losing_links(spark):
-    texts = [" ".join(f"t{k}" for k in range(i, i + 60)) for i in range(0, 90, 3)]
-    named = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, t string")
+    r = random.Random(14)
+    chain = [" ".join(f"t{k}" for k in range(i, i + 60)) for i in range(0, 90, 3)]
+    base = [f"b{i}" for i in range(200)]
+    copies = [" ".join([*base[:i], "new", *base[i + 1 :]]) for i in range(0, 200, 2)]
+    # alone, in pairs, and one text that only a single copy is alike to
+    rest = [" ".join(f"r{r.randrange(10**6)}" for _ in range(60)) for _ in range(20)]
+    rest += [x + " end" for x in rest[:8]] + [" ".join([*copies[50].split()[:185], *(f"e{i}" for i in range(15))])]
+    texts = [*chain, *copies, *rest]
+    want, seen = list(range(len(texts))), [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(seen[i] & seen[j]) >= 4 * len(seen[i] | seen[j]) and want[i] != want[j]:
+                old, new = max(want[i], want[j]), min(want[i], want[j])
+                want = [new if x == old else x for x in want]
+    assert want[29] == 0 and want[129] == 30 and len(set(want)) > 12
+    named = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
     rows = [(simhash._name(x), 1, i, len(x)) for i, t in enumerate(texts) if (x := simhash.shingle_set(t.encode())) is not None]
-    groups = spark.createDataFrame(rows, "node long, root long, least long, size int")
-    for size in (1 << 24, 1 << 10):
-        got = graph.components(simhash.confirm(groups, named, size)).collect()
-        assert len(got) == 30 and len({x.root for x in got}) == 1
+    groups, node = spark.createDataFrame(rows, "node long, root long, least long, size int"), {x[0]: x[2] for x in rows}
+    for size in (1 << 24, 1 << 15, 1 << 12):
+        got = {node[x.node]: x.root for x in graph.components(simhash.confirm(groups, named, size)).collect()}
+        classes = {}
+        for i in range(len(texts)):
+            classes.setdefault(got.get(i, ("alone", i)), set()).add(i)
+        assert sorted(map(sorted, classes.values())) == sorted([i for i in range(len(texts)) if want[i] == w] for w in set(want))
+
+
+@pytest.mark.parametrize("limit", [4, 30])
+def test_dense_cells_of_sketches_are_dealt_without_losing_links(spark, limit):
+    r = np.random.default_rng(15)
+    base = r.integers(0, 2**63, simhash.WIDE, dtype=np.uint64)
+    prints = []
+    for _ in range(90):
+        x = base.copy()
+        for bit in r.choice(512, int(r.choice([2, 5, 60])), replace=False):
+            x[bit // 64] ^= np.uint64(1 << int(bit % 64))
+        prints.append(x)
+    cells = spark.createDataFrame([(7, i, bytearray(x.tobytes())) for i, x in enumerate(prints)], "cell long, node long, print binary")
+    got = {x.node: x.root for x in graph.components(simhash.wide_links(cells, 9, limit)).collect()}
+    want = slow_classes([int.from_bytes(x.tobytes(), "little") for x in prints], 9)
+    assert [got.get(i, i) for i in range(90)] == want and 2 < len(set(want)) < 80

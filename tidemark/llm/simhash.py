@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, attach, byte_column, word_blocks
+from tidemark.llm.dealing import in_blocks, links_in_large_groups
 from tidemark.llm.graph import components
 from tidemark.storage import materialize
 
@@ -331,19 +332,22 @@ def _wide_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.concat_arrays([part.column(0)] * BANDS), pa.concat_arrays([part.column(1)] * BANDS)], ["cell", "node", "print"])
 
 
+def _wide_forest(radius: int):
+    """Links among sketches given as bytes, whose classes are those of all pairs within ``radius`` bits."""
+
+    def run(sketches: list[bytes]) -> list[tuple[int, int]]:
+        prints = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+        return [(int(i), int(j)) for x, y in _within(prints, np.arange(len(sketches)), radius) for i, j in zip(x, y, strict=True)]
+
+    return run
+
+
 def wide_links(cells: DataFrame, radius: int, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """(a, b) whose connected classes are those of all pairs of sketches within ``radius`` bits in a cell. cells: (cell, node, print). Cells above ``cell_limit`` are dealt out as pairs of blocks."""
+    """(a, b) whose connected classes are those of all pairs of sketches within ``radius`` bits in a cell. cells: (cell, node, print). Cells above ``cell_limit`` are dealt in blocks (see ``dealing``)."""
     found = materialize(_joined(cells, radius, cell_limit, WIDE), "links")
     out = found.where("b is not null").select("a", "b")
-    dense = found.where("b is null").select("cell", F.col("a").alias("node"), "print")
-    if dense.isEmpty():
-        return out
-    # every two members of a dense cell meet in at least one pair of blocks
-    blocks = dense.groupBy("cell").agg(F.ceil(F.count("*") * 2 / cell_limit).alias("n"))
-    dealt = dense.join(blocks, "cell").withColumn("i", F.pmod(F.xxhash64("node"), "n"))
-    dealt = dealt.select("cell", "node", "print", "i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
-    dealt = dealt.select(F.xxhash64("cell", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "node", "print")
-    return out.union(_joined(dealt, radius, 2**62, WIDE).select("a", "b"))
+    dense = found.where("b is null").select("cell", F.col("a").alias("node"), F.col("print").alias("payload"))
+    return out if dense.isEmpty() else out.union(links_in_large_groups(dense, _wide_forest(radius), cell_limit * (8 * WIDE + 16)))
 
 
 def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -371,49 +375,33 @@ def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows (cell, node, shingles) sorted by cell: the links (a, b) of each cell's exact forest."""
-
-    def links(nodes: list[int], sets: list[bytes]) -> pa.RecordBatch:
-        found = exact_forest([np.frombuffer(x, np.uint64) for x in sets])
-        return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], ["a", "b"])
-
-    cell, nodes, sets = None, [], []
-    for batch in batches:
-        for c, n, x in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if c != cell:
-                if len(nodes) > 1:
-                    yield links(nodes, sets)
-                cell, nodes, sets = c, [], []
-            nodes.append(n)
-            sets.append(x)
-    if len(nodes) > 1:
-        yield links(nodes, sets)
+def _exact(sets: list[bytes]) -> list[tuple[int, int]]:
+    return exact_forest([np.frombuffer(x, np.uint64) for x in sets])
 
 
 def confirm(groups: DataFrame, texts: DataFrame, set_bytes: int = SET_BYTES) -> DataFrame:
     """(a, b) links whose connected classes are those of all pairs within a group that are NUM / DEN alike, exactly.
 
     groups: (node, root, least, size), a node being the name of a shingle set, ``least`` the key of a text that has it. texts: (k, t). Groups
-    of more than ``set_bytes`` are dealt out as pairs of blocks; every two members meet in at least one.
+    of more than ``set_bytes`` are dealt in blocks (see ``dealing``).
     """
-    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t) for t in byte_column(batch.column(2))]
             # a key that is repeated may have other texts
             mine = [x.tobytes() if _name(x) == y else None for x, y in zip(sets, batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mine, pa.binary())], ["root", "node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mine, pa.binary())], ["cell", "node", "payload"])
+
+    def sets(some: DataFrame) -> DataFrame:
+        rows = texts.join(some.select("node", "root", "least"), F.col("k") == F.col("least")).select("root", "node", "t")
+        return rows.mapInArrow(run, "cell long, node long, payload binary").where("payload is not null")
 
-    sets = texts.join(groups.select("node", "root", "least"), F.col("k") == F.col("least")).select("root", "node", "t")
-    sets = sets.mapInArrow(run, "root long, node long, shingles binary").where("shingles is not null")
     # fewer rows than the corpus has pieces of set_bytes
-    large = groups.groupBy("root").agg(F.ceil(F.sum(F.col("size").cast("long")) * 16 / set_bytes).alias("n")).where("n > 2").withColumnRenamed("root", "large")
-    dealt = sets.join(F.broadcast(large), F.col("root") == F.col("large"), "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("i", F.pmod(F.xxhash64("node"), "n"))
-    dealt = dealt.select("root", "node", "shingles", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j"))
-    cells = dealt.select(F.xxhash64("root", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "node", "shingles")
-    return cells.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_confirmed, "a long, b long")
+    large = materialize(groups.groupBy(F.col("root").alias("large")).agg(F.sum((F.col("size") * 8 + 16).cast("long")).alias("bytes")).where(F.col("bytes") > set_bytes).select("large"), "large")
+    marked = groups.join(F.broadcast(large), F.col("root") == F.col("large"), "left")
+    out = in_blocks(sets(marked.where("large is null")).withColumn("block", F.col("cell")), _exact).select("a", "b")
+    return out if large.isEmpty() else out.union(links_in_large_groups(sets(marked.where("large is not null")), _exact, set_bytes))
 
 
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = WIDE_RADIUS, cell_limit: int = CELL_LIMIT) -> DataFrame:
