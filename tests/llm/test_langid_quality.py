@@ -117,6 +117,16 @@ def test_quality_held_out_accuracy_and_edges(spark):
     assert np.array_equal(again.weight, model.weight)
 
 
+def test_labels_of_a_table_teach_like_labels_in_rows(spark):
+    r = random.Random(15)
+    rows = [(i, None if i == 3 else prose("aa" if i % 3 else "bb", 20, r), int(i % 3 > 0)) for i in range(90)]
+    docs = spark.createDataFrame([*rows, (None, "no key", 1)], "doc_id long, text string, label int")
+    labels = spark.createDataFrame([(i, y, "clash") for i, _, y in rows] + [(5000, 1, "z"), (7, None, "z"), (None, 0, "z")], "doc_id long, label int, text string")
+    for most in (6000, 40):
+        inside, outside = quality.fit(docs.where("doc_id is not null"), fit_rows=most), quality.fit(docs.drop("label"), labels, fit_rows=most)
+        assert np.array_equal(inside.weight, outside.weight) and inside.bias == outside.bias
+
+
 def test_quality_without_both_labels(spark):
     one = spark.createDataFrame([(1, "x", 1)], "doc_id long, text string, label int")
     assert quality.scores([b"abc"], quality.fit(one))[0] > 0.9

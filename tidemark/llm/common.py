@@ -28,21 +28,27 @@ def rate_limit(rate: float) -> int:
     return max(1, min(2**63 - 1, int(rate * 2**63)))
 
 
-def sampled(rows: DataFrame, h: str, wanted: int, by: str | None = None) -> DataFrame:
-    """Rows of about ``wanted`` different hashes ``h`` (64-bit), in equal shares of the values of ``by`` if given; of all hashes where there are no more.
+def sample_limits(rows: DataFrame, h: str, wanted: int, by: str | None = None) -> dict | None:
+    """Below which shifted hash rows of each value of ``by`` (None: of all rows) are in a sample of about ``wanted`` different hashes ``h`` (64-bit), in equal shares; None where there are no more.
 
     Different hashes are counted (by sketches, within a few percent), so copies use up no share; copies of a picked row all come.
     """
     counts = rows.groupBy(*([by] if by else [])).agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()  # one row a value
     if sum(x.n for x in counts) <= wanted:
-        return rows
+        return None
     share = wanted / max(1, len(counts))
-    limits = {x[by] if by else None: rate_limit(share / x.n) for x in counts if x.n}
-    if by:
-        limit = F.element_at(F.create_map(*[F.lit(v) for pair in limits.items() for v in pair]), F.col(by))
-    else:
-        limit = F.lit(limits[None])
-    return rows.where(F.shiftrightunsigned(h, 1) < limit)
+    return {x[by] if by else None: rate_limit(share / x.n) for x in counts if x.n}
+
+
+def in_sample(limits: dict, h: str, by: str | None = None) -> Column:
+    limit = F.element_at(F.create_map(*[F.lit(v) for pair in limits.items() for v in pair]), F.col(by)) if by else F.lit(limits[None])
+    return F.shiftrightunsigned(h, 1) < limit
+
+
+def sampled(rows: DataFrame, h: str, wanted: int, by: str | None = None) -> DataFrame:
+    """The rows of such a sample."""
+    limits = sample_limits(rows, h, wanted, by)
+    return rows if limits is None else rows.where(in_sample(limits, h, by))
 
 
 #: Keys with more than this share of all rows are hot; there are fewer than ``HOT_KEYS`` of them.

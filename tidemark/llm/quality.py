@@ -8,6 +8,7 @@ the two classes' outputs), so a whole corpus costs one look-up a feature.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_column, safe_pieces, sampled, steps
+from tidemark.llm.common import byte_column, in_sample, safe_pieces, sample_limits, steps
 
 BUCKETS = 1 << 17
 #: Lengths of the character n-grams.
@@ -182,27 +183,42 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     return Model(fold.astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "label", fit_rows: int = FIT_ROWS) -> Model:
-    """From rows with label 0 or 1; null texts and labels teach nothing, and a text of one label teaches once, however many rows repeat it.
+def _packed(ids: np.ndarray, n: np.ndarray) -> bytes:
+    return zlib.compress(np.stack([np.diff(ids.astype(np.int32), prepend=np.int32(0)), n.astype(np.int32)]).tobytes(), 1)
 
-    Without both labels: every score is the share of label 1, or one half of none.
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps_, n = np.frombuffer(zlib.decompress(packed), np.int32).reshape(2, -1)
+    return np.cumsum(steps_, dtype=np.int32), n
+
+
+def fit(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", label: str = "label", fit_rows: int = FIT_ROWS) -> Model:
+    """From rows with label 0 or 1, which docs carry or ``labels`` (key, label) give; null texts and labels teach nothing, and a text of one label teaches once, however many rows repeat it.
+
+    Without both labels: every score is the share of label 1, or one half of none. Labels meet hashes of texts first; of the texts, only those of the sample are moved.
     """
-    rows = docs.where(F.col(label).isin(0, 1) & F.col(text).isNotNull()).select(F.col(text).cast("binary").alias("t"), F.col(label).cast("int").alias("y"), F.xxhash64(text).alias("h"))
-    rows = sampled(rows, "h", fit_rows, "y").dropDuplicates(["h", "y"])
+    kind = F.col(label).cast("int").alias("y")
+    known = docs.where(F.col(text).isNotNull()).select(*([F.col(key).alias("k")] if labels is not None else [F.when(F.col(label).isin(0, 1), kind).alias("y")]), F.col(text).cast("binary").alias("t"), F.xxhash64(text).alias("h"))
+    marks = None if labels is None else labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("label_of"), kind)
+    with_label = lambda rows: rows.where("y is not null") if marks is None else rows.join(marks, F.col("k") == F.col("label_of"))
+    limits = sample_limits(with_label(known.drop("t")), "h", fit_rows, "y")
+    if limits:
+        known = known.where(F.shiftrightunsigned("h", 1) < max(limits.values()))
+    rows = with_label(known)
+    rows = (rows.where(in_sample(limits, "h", "y")) if limits else rows).dropDuplicates(["h", "y"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, t in enumerate(batch.column(2).to_pylist()):
-                ids, n = counted(t)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([ids.astype(np.int32).tobytes()]), pa.array([n.astype(np.int32).tobytes()])], ["h", "y", "ids", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([_packed(*counted(t))])], ["h", "y", "counts"])
 
     # counts, not texts: a text of any length gives ROWS of them at most
-    got = rows.select("h", "y", "t").mapInArrow(count, "h long, y int, ids binary, n binary").toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
+    got = rows.select("h", "y", "t").mapInArrow(count, "h long, y int, counts binary").toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
     y = got.column("y").to_numpy().astype(int)
     if len(set(y.tolist())) < 2:
         share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
         return Model(np.zeros(ROWS, np.float32), float(np.log(share / (1 - share))))
-    return train([tuple(np.frombuffer(x, np.int32) for x in pair) for pair in zip(got.column("ids").to_pylist(), got.column("n").to_pylist(), strict=True)], y)
+    return train([_unpacked(x) for x in got.column("counts").to_pylist()], y)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:

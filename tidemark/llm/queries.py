@@ -47,9 +47,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), F.col("quality").alias("label"))
     out = held_out("doc_id", 3, 1)
-    model = quality.fit(docs.where(~out).join(labels, F.col("doc_id") == F.col("label_id")))
+    model = quality.fit(docs.where(~out), table(spark, sf_dir, "labels"), label="quality")
     got = docs.select("doc_id", out.alias("held_out"), quality.score(docs, model).alias("score"))
     return got.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
