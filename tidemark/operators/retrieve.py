@@ -116,14 +116,13 @@ def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1:
     own = r"[\p{L}\p{N}]"
     count = lambda t: F.when(F.contains(low, F.lit(t)), F.regexp_count(low, F.lit(f"(?<!{own}){t}(?!{own})"))).otherwise(0)
     rows = materialize(docs.select(key, F.regexp_count(low, F.lit(f"{own}+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]), "terms")
-    totals = rows.agg(F.count("*").alias("_docs"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(terms))])
+    totals = rows.agg(F.count("*").alias("docs"), F.avg("_len").alias("length"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"d{i}") for i in range(len(terms))]).first()
     score = F.lit(0.0)
     for i in range(len(terms)):
-        idf = F.log(1 + (F.col("_docs") - F.col(f"_d{i}") + 0.5) / (F.col(f"_d{i}") + 0.5))
+        idf = F.log(F.lit(1 + (totals["docs"] - totals[f"d{i}"] + 0.5) / (totals[f"d{i}"] + 0.5)))
         f = F.col(f"_f{i}")
-        score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / F.greatest(F.col("_avg"), F.lit(1e-9))))
-    # totals is one row by construction
-    return rows.join(F.broadcast(totals), how="cross").select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)
+        score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / max(totals["length"] or 0.0, 1e-9)))
+    return rows.select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)
 
 
 def fuse(vectors: DataFrame, words: DataFrame, key: str, alpha: float = 0.7) -> DataFrame:
