@@ -397,9 +397,9 @@ def confirm(groups: DataFrame, texts: DataFrame, set_bytes: int = SET_BYTES) ->
         rows = texts.join(some.select("node", "root", "least"), F.col("k") == F.col("least")).select("root", "node", "t")
         return rows.mapInArrow(run, "cell long, node long, payload binary").where("payload is not null")
 
-    # fewer rows than the corpus has pieces of set_bytes
+    # broadcast by Spark if it is small, else joined by key, hot keys split by AQE
     large = materialize(groups.groupBy(F.col("root").alias("large")).agg(F.sum((F.col("size") * 8 + 16).cast("long")).alias("bytes")).where(F.col("bytes") > set_bytes).select("large"), "large")
-    marked = groups.join(F.broadcast(large), F.col("root") == F.col("large"), "left")
+    marked = groups.join(large, F.col("root") == F.col("large"), "left")
     out = in_blocks(sets(marked.where("large is null")).withColumn("block", F.col("cell")), _exact).select("a", "b")
     return out if large.isEmpty() else out.union(links_in_large_groups(sets(marked.where("large is not null")), _exact, set_bytes))
 
