@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -72,3 +72,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     if (made := _OPEN.get()) is not None:
         made.append(path)
     return written(df, path)
+
+
+def contained(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written to one table; all tables that it materialized on the way are gone."""
+    path = fresh(spark, label)
+    with scratch(spark):
+        out = written(make(), path)
+    if (made := _OPEN.get()) is not None:
+        made.append(path)
+    return out
