@@ -121,5 +121,60 @@ FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id =
 """
 
 
+IMPACT = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+total AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, len(w) AS n, t, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS t FROM d) GROUP BY doc_id, len(w), t),
+df AS (SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+q AS (
+  SELECT item_id, t, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY item_id, t
+), s AS (
+  SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * tf.n * total.n) // total.l)))))::BIGINT AS score
+  FROM q JOIN df USING (t) JOIN tf USING (t), total GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+AUDIT = r"""
+WITH l AS (SELECT doc_id AS id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), m AS (
+  SELECT part, doc_id, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM d
+), h AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM m LEFT JOIN l ON doc_id = id GROUP BY part, mask
+), f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (
+  SELECT [a.bit, b.bit, c.bit, e.bit, g.bit] AS bits, a.letter || b.letter || c.letter || e.letter || g.letter AS filter_order
+  FROM f a, f b, f c, f e, f g WHERE (a.bit | b.bit | c.bit | e.bit | g.bit) = 31
+), s AS (
+  SELECT filter_order, i::INTEGER AS step, bits[i] AS bit, coalesce(list_sum(bits[1 : i - 1]), 0)::INTEGER AS earlier FROM o, range(1, 6) t(i)
+), r AS (
+  SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER ((mask & (bit | earlier)) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER ((mask & bit) > 0 AND (mask & earlier) = 0), 0)::BIGINT AS removed, coalesce(sum(n) FILTER ((mask & bit) > 0 AND (mask & earlier) > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER ((mask & bit) > 0 AND (mask & earlier) = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER ((mask & bit) > 0 AND (mask & earlier) = 0), 0)::BIGINT AS toxic_lost
+  FROM h, s GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
+# Base32 digits are read five bits at a time from the bits of the digest.
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (
+  SELECT page_id, strlen(t)::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY t) AS first,
+    list_reduce(list_transform(string_split(sha1(t), ''), lambda c: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', c)]), lambda x, y: x || y) AS bits FROM p
+)
+SELECT page_id, payload_bytes,
+  list_reduce(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(16 * bits[5 * i + 1]::INTEGER + 8 * bits[5 * i + 2]::INTEGER + 4 * bits[5 * i + 3]::INTEGER + 2 * bits[5 * i + 4]::INTEGER + bits[5 * i + 5]::INTEGER + 1)::INTEGER]), lambda x, y: x || y) AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": CHAT, "op3_mixing": MIXING, "op4_urls": URLS, "op5_decontaminate": DECONTAMINATE}
+    return {"op2_chat": CHAT, "op3_mixing": MIXING, "op4_urls": URLS, "op5_decontaminate": DECONTAMINATE, "op11_impact": IMPACT, "op12_audit": AUDIT, "op13_warc": WARC}

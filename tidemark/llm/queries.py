@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, fingerprint, html, langid, mixing, quality, secrets, simhash, urls
+from tidemark.llm import audit, chat, decontaminate, fingerprint, html, impact, langid, mixing, quality, secrets, simhash, urls, warc
 from tidemark.llm.common import held_out, table
 
 #: Conversation -1 of the formatting query: control strings inside texts.
@@ -74,6 +74,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.name(base).cast("binary"), 256).alias("base_sha256"), secrets.name(F.col("spans")).alias("spans"))
 
 
+def op11_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = impact.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+    return got.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,5 +94,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_langid, op2_chat, op3_mixing, op4_urls, op5_decontaminate, op6_quality, op7_fingerprint, op8_simhash, op9_html, op10_secrets, pipeline)
+    named = (op1_langid, op2_chat, op3_mixing, op4_urls, op5_decontaminate, op6_quality, op7_fingerprint, op8_simhash, op9_html, op10_secrets, op11_impact, op12_audit, op13_warc, pipeline)
     return {f.__name__: f for f in named}
