@@ -72,8 +72,8 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     marked = materialize(named.select("id", "digest", "k", "url", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("sha1")), "digests")
     # copies are reduced where they lie
     order = F.struct(F.col("k").isNull().alias("no"), "k", F.col("url").isNull().alias("none"), "url", "id")
-    first = marked.groupBy("digest").agg(F.min(order).alias("f"), F.count("*").alias("n"))
-    first = materialize(first.select("digest", F.col("f.id").alias("first"), F.col("f.k").alias("fk"), "n"), "first")
+    first = marked.groupBy("digest").agg(F.min(order).alias("f"))
+    first = materialize(first.select("digest", F.col("f.id").alias("first"), F.col("f.k").alias("fk")), "first")
     # the row that a payload is stored from is found by its name, so no task gets a payload's copies
     chosen = named.select("id", "digest", "payload").join(first.select(F.col("first").alias("id")), "id", "left_semi")
     chosen.groupBy("id").agg(F.any_value("digest").alias("digest"), F.any_value("payload").alias("payload")).drop("id").write.parquet(f"{path}/payloads")
@@ -87,15 +87,14 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
 
 
 def _met(rows: DataFrame, values: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the columns of their key; values: one row a key, n rows of ``rows`` having it. A hot key's value is copied, one copy for each share of the rows, so no task gets them all and nothing is broadcast."""
-    total = values.agg(F.sum("n")).first()[0] or 0
-    share = max(LEAST, total // SHARE)
-    copies = F.ceil(F.col("n") / share).cast("int")
-    spread = values.withColumn("copy", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1)))
-    hot = values.where(F.col("n") > share).select(key, copies.alias("copies"))
-    # hot keys are fewer than SHARE, their copies numbers
-    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("copy", F.when(F.col("copies").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("copies"))).cast("int"))
-    return dealt.drop("copies").join(spread.drop("n"), [key, "copy"]).drop("copy")
+    """``rows`` with the columns of their key; values: one row a key. A hot key's value is copied, one copy for each share of the rows, so no task gets them all; only the numbers of copies are broadcast."""
+    share = max(LEAST, rows.count() // SHARE)
+    found = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("copies"))
+    hot = F.broadcast(rows.sparkSession.createDataFrame(found.collect(), found.schema))  # fewer than SHARE rows
+    copies = F.coalesce("copies", F.lit(1))
+    spread = values.join(hot, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
+    dealt = rows.join(hot, key, "left").withColumn("copy", F.pmod(F.xxhash64(*rows.columns), copies).cast("int")).drop("copies")
+    return dealt.join(spread, [key, "copy"]).drop("copy")
 
 
 def read(spark: SparkSession, path: str, key_type: str = "long") -> DataFrame:
@@ -104,8 +103,7 @@ def read(spark: SparkSession, path: str, key_type: str = "long") -> DataFrame:
     refers_to: the key of the response that a revisit refers to. verified: the payload's SHA-256 is the one it is stored under, and its SHA-1 is that of the header.
     """
     records, payloads = spark.read.schema("digest string, header binary").parquet(f"{path}/records"), spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
-    counts = records.groupBy("digest").agg(F.count("*").alias("n"))
-    rows = _met(records, payloads.join(counts, "digest"), "digest")
+    rows = _met(records, payloads, "digest")
     page = lambda name: F.nullif(F.regexp_extract(field(F.col("header"), name), f"^<{ID}(.*)>$", 1), F.lit(""))
     right = (F.sha2("payload", 256) == F.col("digest")) & F.coalesce(field(F.col("header"), "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), base32(F.sha1("payload"))), F.lit(False))
     return rows.select(page("WARC-Record-ID").cast(key_type).alias("key"), field(F.col("header"), "WARC-Target-URI").alias("url"), field(F.col("header"), "WARC-Type").alias("record_type"), page("WARC-Refers-To").cast(key_type).alias("refers_to"), "header", "payload", right.alias("verified"))
