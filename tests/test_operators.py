@@ -1,22 +1,25 @@
 import datetime
+import hashlib
 import http.server
 import io
 import json
 import threading
 import urllib.parse
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, tables
-from tidemark.operators.store import ChunkStore, Conflict, duplicates
+from tidemark.operators.store import ChunkStore, Conflict, bins_of, duplicates
 from tidemark import storage
-from tidemark.plans import search
+from tidemark.plans import ingest, search
 from tidemark.plans.config import ApiConfig, FilterRequest, MetadataField, RetrievalConfig, merge_settings, resolve_api
 from tidemark.plans.ingest import Plan, run, run_job
 from tidemark.sources import office, scan
@@ -256,6 +259,96 @@ def test_four_runs(spark, tmp_path):
     assert {y.source_id: y.status for y in reg.collect()} == {"/en/f0.md": "active", "/en/f1.md": "active", "/en/f2.md": "deleted"}
 
 
+def test_run_writes_what_changed(spark, tmp_path):
+    words = lambda n, v: hashlib.sha256(f"{n} {v}".encode()).hexdigest() * 40
+    kind = "id string, text string"
+
+    def feed(rows, name):
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        return scan.feed(docs, "file", {"content": F.col("text").cast("binary"), "mime_type": F.lit("text/plain"), "source_id": F.col("id"), "file_name": F.col("id"), "full_path": F.concat(F.lit("/"), F.col("id")), "source_url": F.col("id"), "content_hash": C.content_hash(F.col("text"))})
+
+    shared = Path(storage.shared_dir(spark)) / "tidemark"
+    sizes = lambda: {str(f): f.stat().st_size for d in (shared, tmp_path) for f in d.rglob("*") if f.is_file()}
+    plan, now = Plan("t", "r", provider=embed.HashingProvider(dimensions=8)), F.lit("2024-01-01").cast("timestamp")
+    store, reg = ChunkStore(spark, str(tmp_path / "store")), RegistryTable(spark, str(tmp_path / "registry"), whole_every=2)
+    rows = {f"d{n}": words(n, 0) for n in range(300)}
+    _, stats = run(feed(list(rows.items()), "in1"), reg, store, plan, "j1", now)
+    assert stats.first().documents_new == 300
+    first = feed([*rows.items(), ("extra", words(1, 1))], "in2")
+    run(first, reg, store, plan, "j2", now)
+    assert reg.versions() == [(0, False), (1, True)]
+    rows |= {"d7": words(7, 1), "d8": "now short"}
+    del rows["d9"]
+    source = feed([*rows.items(), ("extra", words(1, 1))], "in3")
+    before, held = sizes(), sum(len(t) for t in rows.values())
+    written = []
+    write = DataFrameWriter.parquet
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: (write(self, path, *a, **b), written.append(sum(f.stat().st_size for f in Path(path).rglob("*") if f.is_file())))[0])
+        after, stats = run(source, reg, store, plan, "j3", now)
+    got = stats.first()
+    assert (got.documents_updated, got.documents_skipped, got.documents_deleted, got.documents_failed) == (2, 298, 1, 0)
+    # what was unchanged is in no table that the run wrote, intermediate ones included, but for keys and hashes
+    assert len(written) > 8 and sum(written) < held / 4
+    assert {x.source_id: (x.content_hash, x.status) for x in after.collect()} == {n: (hashlib.sha256(t.encode()).hexdigest(), "active") for n, t in {**rows, "extra": words(1, 1)}.items()} | {"d9": (hashlib.sha256(words(9, 0).encode()).hexdigest(), "deleted")}
+    assert {x.source_id for x in store.read().select("source_id").distinct().collect()} == {*rows, "extra"} and store.read("t", "r").where("source_id = 'd8'").count() == 1
+    left = {f.split("/tidemark/")[1].split("-")[0] for f in sizes() if f not in before and "/tidemark/" in f}
+    assert left == {"stats"}
+
+
+def test_a_document_that_changes_while_it_is_read_fails_for_this_run(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.md").write_text("one")
+    (tmp_path / "f" / "b.md").write_text("two")
+    feed = scan.scan(spark, "local", {"path": str(tmp_path / "f")})
+    real, store = ingest.changed_contents, ChunkStore(spark, str(tmp_path / "s"))
+
+    def slow(*args):
+        (tmp_path / "f" / "b.md").write_text("three")
+        return real(*args)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ingest, "changed_contents", slow)
+        reg, stats = run(feed, spark.createDataFrame([], delta.REGISTRY), store, Plan("t", "r", provider=embed.HashingProvider(dimensions=4)), "j", F.lit("2024-01-01").cast("timestamp"))
+    assert (stats.first().documents_new, stats.first().documents_failed, stats.first().status) == (1, 1, "partial")
+    assert [x.source_id for x in reg.collect()] == [x.source_id for x in store.read().collect()] == ["/a.md"]
+
+
+def test_registry_is_met_where_it_lies(spark, tmp_path):
+    kinds = [x.strip().split(" ") for x in delta.REGISTRY.split(",")]
+    given = {"tenant_id": F.lit("t"), "repo_id": F.lit("r"), "source_id": F.col("id").cast("string"), "status": F.lit("active")}
+    rows = lambda a, b, h: spark.range(a, b).select(*[(given | {"content_hash": F.lit(h)}).get(n, F.lit(None)).cast(k).alias(n) for n, k in kinds])
+    reg = RegistryTable(spark, str(tmp_path / "reg"), whole_every=2, bucket_rows=1000)
+    reg.write(rows(0, 3000, "0"), 0)
+    reg.write(rows(2990, 3100, "1"), 1)
+    assert len(list((tmp_path / "reg" / "1-whole-4").glob("*.parquet"))) == 4  # one a bucket
+    reg.write(rows(10, 20, "2"), 2)
+    rows(0, 3200, "x").write.parquet(str(tmp_path / "scan"))
+    scanned = spark.read.parquet(str(tmp_path / "scan"))
+    assert {(x.content_hash, x.n) for x in reg.rows_of(scanned).groupBy("content_hash").agg(F.count("*").alias("n")).collect()} == {("0", 2980), ("1", 110), ("2", 10)}
+    assert reg.absent(rows(0, 3000, ""), F.lit(True)).count() == 100
+    assert {(x.source_id, x.content_hash) for x in reg.rows_of(rows(8, 12, "")).collect()} == {("8", "0"), ("9", "0"), ("10", "2"), ("11", "2")}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for plan in (reg.rows_of(scanned), reg.absent(scanned, F.lit(True))):
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            at = text.index("tidemark_registry_")
+            # from the registry's scan up to the union or the root: sorts and joins, no exchange
+            depth, above = [len(x) - len(x.lstrip(" :+-")) for x in text.splitlines()], []
+            line = text[:at].count("\n")
+            for i in range(line, -1, -1):
+                if depth[i] < depth[line] or i == line:
+                    line = i
+                    above.append(text.splitlines()[i])
+            assert "Bucketed: true" in text and not any("Exchange" in x for x in above)
+        reg.write(rows(5, 6, "3"), 3)
+        assert reg.versions()[-1] == (3, True) and reg.read().count() == 3100 and len(list((tmp_path / "reg" / "3-whole-4").glob("*.parquet"))) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_run_uses_rows_hooks_extras_and_context(spark, tmp_path):
     table = spark.createDataFrame([(1, "pipes | here", None), (2, "plain", 3)], "id int, v string, n int")
     feed = scan.scan(spark, "sql", {"table": "items", "primary_key": "id", "dataframe": table, "schema": "s"}).unionByName(scan.scan(spark, "mongodb", {"database": "d", "collection": "c", "dataframe": spark.createDataFrame([('{"_id": 5, "a": "b"}',)], "j string"), "column": "j"}))
@@ -319,16 +412,69 @@ def test_store_versions_conflicts_and_vacuum(spark, tmp_path):
     store.replace(spark.createDataFrame([row("a", "1"), row("b", "1"), row("a/b=c", "1", "x y")], kind))
     store.replace(spark.createDataFrame([(*row("a", "2"), 5)], kind + ", more int"))
     assert sorted((x.tenant_id, x.repo_id, x.source_id, x.more) for x in store.read().collect()) == [("007", "a", "1", None), ("007", "a", "2", 5), ("007", "b", "1", None), ("x y", "a/b=c", "1", None)]
-    assert store.vacuum() == 1 and store.vacuum() == 0 and store.read().count() == 4
-    seen = store._last()
+    assert store.vacuum() == 0 and store.read().count() == 4
+    seen = store.last()
     one, other = (spark.createDataFrame([row(r, "9")], kind) for r in ("a", "z"))
     store.replace(one)
     with pytest.raises(Conflict):
-        store._publish(one, one, seen)
-    store._publish(other, other, seen)
+        store.replace(one, seen=seen)
+    store.replace(other, seen=seen)
     assert store.read("007", "z").count() == 1 and store.read("007", "a").count() == 3
 
 
+def tree(path):
+    return {str(f): f.stat().st_size for f in path.rglob("*.parquet")}
+
+
+def test_store_writes_what_changed_and_readers_keep_their_snapshot(spark, tmp_path):
+    kind = "tenant_id string, repo_id string, source_id string, chunk_index int, text string"
+    store = ChunkStore(spark, str(tmp_path / "s"), checkpoint_every=3)
+    text = lambda s, v: hashlib.sha256(f"{s}-{v}".encode()).hexdigest() * 20
+    chunks = lambda docs, v, n=3: spark.createDataFrame([("t", r, str(s), i, text(s, v)) for r in ("a", "b") for s in docs for i in range(n)], kind)
+    store.replace(chunks(range(400), 0).coalesce(1))
+    whole = sum(tree(tmp_path).values())
+    want = {(r, str(s), i): text(s, 0) for r in ("a", "b") for s in range(400) for i in range(3)}
+    held = lambda df: {(x.repo_id, x.source_id, x.chunk_index): x.text for x in df.collect()}
+    snapshots = [(store.last(), dict(want))]
+    for n in range(1, 8):
+        before = tree(tmp_path)
+        docs = [n, n + 1, 400 + n]
+        gone = spark.createDataFrame([("t", "a", str(n + 100)), ("t", "a", "unknown")], "tenant_id string, repo_id string, source_id string")
+        store.replace(chunks(docs, n, 2).coalesce(1), gone)
+        want = {k: v for k, v in want.items() if int(k[1]) not in docs and k[:2] != ("a", str(n + 100))} | {(r, str(s), i): text(s, n) for r in ("a", "b") for s in docs for i in range(2)}
+        now = tree(tmp_path)
+        assert all(now[f] == size for f, size in before.items())
+        assert sum(size for f, size in now.items() if f not in before and ".checkpoint" not in f) < whole / 10
+        assert held(store.read()) == want
+        snapshots.append((store.last(), dict(want)))
+    for n, rows in snapshots:
+        assert held(store.read(upto=n)) == rows
+    assert "Join" not in ChunkStore(spark, store.path).read(upto=1)._jdf.queryExecution().executedPlan().toString()
+    files = store.files().count()
+    assert store.compact(small=1 << 20, target=1 << 20) > 2 and held(store.read()) == want and store.files().count() < files
+    assert held(store.read(upto=snapshots[-1][0])) == want and store.compact(small=1, target=1) == 0
+    assert "Join" not in store.read()._jdf.queryExecution().executedPlan().toString()
+    assert store.vacuum() > 0 and store.vacuum() == 0 and held(store.read()) == want
+    assert store.delete(spark.createDataFrame([("t", "a", "1"), ("t", "b", "nobody")], "tenant_id string, repo_id string, source_id string")) == 2
+    assert held(store.read()) == {k: v for k, v in want.items() if k[:2] != ("a", "1")}
+
+
+def test_compaction_is_in_nobodys_way_but_keeps_what_came_meanwhile(spark, tmp_path):
+    kind = "tenant_id string, repo_id string, source_id string, chunk_index int, text string"
+    row = lambda s, text: spark.createDataFrame([("t", "r", s, 0, text)], kind)
+    store = ChunkStore(spark, str(tmp_path / "s"))
+    store.replace(row("a", "1"))
+    store.replace(row("b", "1"))
+    seen = store.last()
+    assert store.compact() == 3
+    store.replace(row("a", "2"), seen=seen)
+    assert sorted((x.source_id, x.text) for x in store.read().collect()) == [("a", "2"), ("b", "1")]
+    lines = store._lines(store.last(), store.last() - 1).where("kind = 'data'").collect()
+    with pytest.raises(Conflict):
+        store._publish([x.asDict() for x in lines], seen, "compact")
+    assert bins_of([("a", 5), ("b", 4), ("c", 3), ("d", 9)], 8) == [["d"], ["a", "c"], ["b"]]
+
+
 def test_job_error_is_an_outcome(spark, tmp_path):
     reg = spark.createDataFrame([(*KEY, "s", *[None] * 10)], delta.REGISTRY)
 

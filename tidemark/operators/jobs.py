@@ -25,7 +25,7 @@ def stats(results: DataFrame, deletions: DataFrame | None = None, by: list[str]
 def failed(spark: SparkSession, error: str) -> DataFrame:
     """The statistics row of a job that itself failed, whatever its documents came to: zeros, the status and the error."""
     counters = ["documents_scanned", "documents_new", "documents_updated", "documents_skipped", "documents_failed", "documents_deleted", "chunks_created", "chunks_deleted"]
-    return spark.range(1).select(*[F.lit(0).cast("long").alias(c) for c in counters], F.lit("failed").alias("status"), F.lit(error[:500]).alias("error"))
+    return spark.range(1).select(*[F.lit(0).cast("long").alias(c) for c in counters], F.lit("failed").alias("status"), F.lit(error).alias("error"))
 
 
 def rollup_stats(results: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = Non
             got = "\n\n".join(p.strip() for p in pages if p.strip())
             return (got, None, None) if got else (None, "failed", "no text in the file")
         except Exception as e:  # any broken file is a failed row
-            return None, "failed", f"{type(e).__name__}: {e}"[:500]
+            return None, "failed", f"{type(e).__name__}: {e}"
 
     @F.arrow_udf("markdown string, status string, error string")
     def run(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:

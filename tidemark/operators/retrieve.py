@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.config import FilterRequest, RetrievalConfig
-from tidemark.storage import materialize
+from tidemark.storage import contained, materialize
 
 RRF = 60
 
@@ -111,18 +111,22 @@ def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1:
 
     Documents are reduced to counts of the query's few terms where they lie, once; these counts are written, as totals and scores both need them, and nothing else moves.
     """
-    terms = sorted(set(re.findall(r"[^\W_]+", query.lower())))
+    spark, terms = docs.sparkSession, sorted(set(re.findall(r"[^\W_]+", query.lower())))
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     own = r"[\p{L}\p{N}]"
     count = lambda t: F.when(F.contains(low, F.lit(t)), F.regexp_count(low, F.lit(f"(?<!{own}){t}(?!{own})"))).otherwise(0)
-    rows = materialize(docs.select(key, F.regexp_count(low, F.lit(f"{own}+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]), "terms")
-    totals = rows.agg(F.count("*").alias("docs"), F.avg("_len").alias("length"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"d{i}") for i in range(len(terms))]).first()
-    score = F.lit(0.0)
-    for i in range(len(terms)):
-        idf = F.log(F.lit(1 + (totals["docs"] - totals[f"d{i}"] + 0.5) / (totals[f"d{i}"] + 0.5)))
-        f = F.col(f"_f{i}")
-        score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / max(totals["length"] or 0.0, 1e-9)))
-    return rows.select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)
+
+    def best() -> DataFrame:
+        rows = materialize(docs.select(key, F.regexp_count(low, F.lit(f"{own}+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]), "terms")
+        totals = rows.agg(F.count("*").alias("docs"), F.avg("_len").alias("length"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"d{i}") for i in range(len(terms))]).first()
+        score = F.lit(0.0)
+        for i in range(len(terms)):
+            idf = F.log(F.lit(1 + (totals["docs"] - totals[f"d{i}"] + 0.5) / (totals[f"d{i}"] + 0.5)))
+            f = F.col(f"_f{i}")
+            score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / max(totals["length"] or 0.0, 1e-9)))
+        return rows.select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)
+
+    return contained(spark, "ranked", best)
 
 
 def fuse(vectors: DataFrame, words: DataFrame, key: str, alpha: float = 0.7) -> DataFrame:

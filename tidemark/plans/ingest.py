@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, tables
+from tidemark.operators.registry import RegistryTable
 from tidemark.operators.store import ChunkStore
 from tidemark.plans.config import IngestionSettings, MetadataField, RetrievalConfig, merge_settings
-from tidemark.storage import materialize
+from tidemark.storage import fresh, materialize, scratch, written
 
 KEYS = delta.KEYS
 
@@ -48,33 +49,75 @@ def prepare(changed: DataFrame, plan: Plan, job_id: str, now: Column) -> tuple[D
     return loaded, chunks.drop("decision", "loader", "status", "error", "record", "change")
 
 
-def run(feed: DataFrame, registry: DataFrame, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool = True, native_deletes: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Applies a feed. Returns (registry, statistics row); the store is replaced along the way, after everything that can fail has run."""
-    feed = materialize(feed.withColumns({"tenant_id": F.lit(plan.tenant), "repo_id": F.lit(plan.repo)}), "feed")
-    mine = registry.where((F.col("tenant_id") == plan.tenant) & (F.col("repo_id") == plan.repo))
-    upserts = feed.where("change = 'upsert'")
-    decided = delta.decide(upserts, mine)
-    loaded, chunks = prepare(decided.where("decision <> 'unchanged'"), plan, job_id, now)
+#: Changed keys that are sent to the feed's rows; more are joined by key, which moves the contents of the feed once.
+SENT_KEYS = 1_000_000
+_BODY = ["content", "record"]
+
+
+def changed_contents(feed: DataFrame, changed: DataFrame) -> DataFrame:
+    """Rows of the feed that are among the changed ones (keys, content_hash, decision), read from the source again, with their decision. What reads otherwise than it did when it was decided is left out."""
+    few = changed.count() <= SENT_KEYS
+    asked = changed.select(*KEYS, F.col("content_hash").alias("_hash"), "decision")
+    same = F.col("content_hash").eqNullSafe(F.col("_hash"))
+    return feed.where("change = 'upsert'").join(F.broadcast(asked) if few else asked, KEYS).where(same).drop("_hash")
+
+
+def run(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool = True, native_deletes: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Applies a feed. Returns (registry, statistics row); the store is replaced along the way, after everything that can fail has run.
+
+    A registry given as a table gets a version of the rows that changed; one given as rows comes back whole. The feed is read for keys and hashes first; contents are read again, and written, of changed documents only. A document that changes between the two readings
+    fails in this run and is changed for the next one. Intermediate tables are gone when this returns.
+    """
+    spark, table = feed.sparkSession, registry if isinstance(registry, RegistryTable) else None
+    registry_path, stats_path = fresh(spark, "registry"), fresh(spark, "stats")
+    with scratch(spark):
+        changed, gone, stats, seen, chunks, good = _decided(feed, registry, store, plan, job_id, now, full_listing, native_deletes, stats_path)
+        if table:
+            left = delta.mark_deleted(table.rows_of(gone), gone, now)
+            table.write(changed.unionByName(left), table.version() + 1)
+        else:
+            registry = written(delta.mark_deleted(delta.upsert(registry, changed), gone, now), registry_path)
+        store.replace(chunks, gone.unionByName(good.select(*KEYS)), seen)
+    return table.read() if table else registry, stats
+
+
+def _decided(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool, native_deletes: bool, stats_path: str) -> tuple[DataFrame, DataFrame, DataFrame, int, DataFrame, DataFrame]:
+    """(rows for the registry, keys that go, statistics, the store's number, chunks, documents ingested)."""
+    feed = feed.withColumns({"tenant_id": F.lit(plan.tenant), "repo_id": F.lit(plan.repo)})
+    own = (F.col("tenant_id") == plan.tenant) & (F.col("repo_id") == plan.repo)
+    seen = store.last()
+    listed = materialize(feed.drop(*_BODY), "listed")
+    upserts = listed.where("change = 'upsert'")
+    mine = registry.rows_of(listed) if isinstance(registry, RegistryTable) else registry.where(own)
+    decided = materialize(delta.decide(upserts, mine).select(*upserts.columns, "decision"), "decided")
+    changed = decided.where("decision <> 'unchanged'")
+    loaded, chunks = prepare(changed_contents(feed, changed.select(*KEYS, "content_hash", "decision").distinct()), plan, job_id, now)
     chunks = materialize(chunks, "chunks")
-    gone = delta.native_deletes(feed, mine) if native_deletes else delta.implicit_deletes(mine, upserts, full_listing)
+    lost = changed.join(loaded.select(*KEYS), KEYS, "left_anti").select(*KEYS, "full_path", F.lit("failed").alias("status"))
+    if native_deletes:
+        gone = delta.native_deletes(listed, mine)
+    elif isinstance(registry, RegistryTable) and full_listing:
+        gone = registry.absent(upserts, own)
+    else:
+        gone = delta.implicit_deletes(mine, upserts, full_listing)
     gone = materialize(gone.select(*KEYS).distinct(), "gone")
-    written = loaded.where("status in ('new', 'updated')")
-    live = store.read(plan.tenant, plan.repo)
-    none = chunks.select(*KEYS).where("false").groupBy(*KEYS).agg(F.count("*").cast("int").alias("chunks_deleted"))
-    old = none if live is None else materialize(live.groupBy(*KEYS).agg(F.count("*").cast("int").alias("chunks_deleted")), "old")
+    good = loaded.where("status in ('new', 'updated')")
+    live = store.read(plan.tenant, plan.repo, upto=seen)
+    touched = loaded.select(*KEYS).unionByName(gone).distinct()
+    none = touched.where("false").withColumn("chunks_deleted", F.lit(0))
+    # old chunks are counted for what changes, by the keys alone
+    old = none if live is None else materialize(live.select(*KEYS).join(touched, KEYS, "left_semi").groupBy(*KEYS).agg(F.count("*").cast("int").alias("chunks_deleted")), "old")
     counts = chunks.groupBy(*KEYS).agg(F.count("*").cast("int").alias("chunks_created"))
     unchanged = decided.where("decision = 'unchanged'").select(*KEYS, "full_path", F.lit("skipped").alias("status"))
-    results = loaded.select(*KEYS, "full_path", "status").unionByName(unchanged).join(counts, KEYS, "left").join(old, KEYS, "left").na.fill(0, ["chunks_created", "chunks_deleted"])
-    stats = materialize(jobs.stats(results, gone.join(old, KEYS, "left").na.fill(0, ["chunks_deleted"])), "stats")
-    rows = written.join(counts, KEYS, "left").select(*KEYS, F.lit(job_id).alias("job_id"), "file_name", "full_path", "source_url", "mime_type", "content_hash", "last_modified_at_source", now.alias("last_ingested_at"), F.coalesce("chunks_created", F.lit(0)).alias("chunk_count"), F.lit("active").alias("status"))
-    new_registry = materialize(delta.mark_deleted(delta.upsert(registry, rows), gone, now), "registry")
-    store.replace(chunks, gone.unionByName(written.select(*KEYS)))
-    return new_registry, stats
+    results = loaded.select(*KEYS, "full_path", "status").unionByName(lost).join(counts, KEYS, "left").join(old, KEYS, "left").unionByName(unchanged, allowMissingColumns=True).na.fill(0, ["chunks_created", "chunks_deleted"])
+    stats = written(jobs.stats(results, gone.join(old, KEYS, "left").na.fill(0, ["chunks_deleted"])), stats_path)
+    rows = good.join(counts, KEYS, "left").select(*KEYS, F.lit(job_id).alias("job_id"), "file_name", "full_path", "source_url", "mime_type", "content_hash", "last_modified_at_source", now.alias("last_ingested_at"), F.coalesce("chunks_created", F.lit(0)).alias("chunk_count"), F.lit("active").alias("status"))
+    return materialize(rows, "rows"), gone, stats, seen, chunks, good
 
 
-def run_job(feed: Callable[[], DataFrame], registry: DataFrame, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool = True, native_deletes: bool = False) -> tuple[DataFrame, DataFrame]:
+def run_job(feed: Callable[[], DataFrame], registry: DataFrame | RegistryTable, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool = True, native_deletes: bool = False) -> tuple[DataFrame, DataFrame]:
     """``run`` as a job: an error of the source or of the run itself leaves registry and store as they were and makes a statistics row with status ``failed``."""
     try:
         return run(feed(), registry, store, plan, job_id, now, full_listing, native_deletes)
     except Exception as e:  # whatever stops a job is its outcome
-        return registry, jobs.failed(registry.sparkSession, f"{type(e).__name__}: {e}")
+        return registry.read() if isinstance(registry, RegistryTable) else registry, jobs.failed(store.spark, f"{type(e).__name__}: {e}")

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, store, tables
+from tidemark.operators.registry import RegistryTable
 from tidemark.plans import ingest, search
 from tidemark.plans.config import FilterRequest, MetadataField, RetrievalConfig, resolve_schema
 from tidemark.sources import scan
-from tidemark.storage import shared_dir
+from tidemark.storage import contained, folder, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -300,13 +301,14 @@ def q29_notify_predicate(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_DOCS} SELECT 'promoted' AS place, doc_id FROM docs WHERE tenant_id = 't1' AND repo_id = 'src1' UNION ALL SELECT 'shared', doc_id FROM docs WHERE NOT (tenant_id = 't1' AND repo_id = 'src1')")
 def q30_promotion(spark: SparkSession, d: str) -> DataFrame:
-    import uuid
+    def promoted() -> DataFrame:
+        base = folder(spark, "promotion")
+        shared, own = store.ChunkStore(spark, store.collection(base)), store.ChunkStore(spark, store.collection(base, "repo", tenant="t1", repo="src1"))
+        shared.replace(documents(spark, d).withColumn("chunk_index", F.lit(0)))
+        shared.promote(own, "t1", "src1")
+        return own.read().select(F.lit("promoted").alias("place"), "doc_id").unionByName(shared.read().select(F.lit("shared").alias("place"), "doc_id"))
 
-    base = f"{shared_dir(spark)}/promotion-{uuid.uuid4().hex}"
-    shared, own = store.ChunkStore(spark, store.collection(base)), store.ChunkStore(spark, store.collection(base, "repo", tenant="t1", repo="src1"))
-    shared.replace(documents(spark, d).withColumn("chunk_index", F.lit(0)))
-    shared.promote(own, "t1", "src1")
-    return own.read().select(F.lit("promoted").alias("place"), "doc_id").unionByName(shared.read().select(F.lit("shared").alias("place"), "doc_id"))
+    return contained(spark, "promoted", promoted)
 
 
 @query("SELECT doc_id, lang || ' ' || source || ' ' || doc_id::VARCHAR AS stem FROM documents")
@@ -342,17 +344,19 @@ def q34_nested_document_markdown(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT user_id::VARCHAR AS source_id, sha256(props) AS content_hash, ts AS last_modified_at_source, 'new' AS decision FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type = 'logout' DESC, sha256(props) DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'logout'""")
 def q35_stream_delta(spark: SparkSession, d: str) -> DataFrame:
-    import uuid
+    from tidemark.streaming.ingest import apply_stream
 
-    from tidemark.streaming.ingest import RegistryTable, apply_stream
-
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     kind = table(spark, d, "events").schema
     rows = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{d}/events.parquet*")
     change = F.when(F.col("event_type") == "logout", "deleted").otherwise("upsert")
     feed = rows.select(F.lit("t0").alias("tenant_id"), F.lit("events").alias("repo_id"), F.col("user_id").cast("string").alias("source_id"), change.alias("change"), C.content_hash(F.col("props")).alias("content_hash"), F.col("ts").alias("last_modified_at_source"))
-    apply_stream(feed, RegistryTable(spark, f"{base}/registry"), f"{base}/decisions", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/decisions").select("source_id", "content_hash", "last_modified_at_source", "decision")
+
+    def decided() -> DataFrame:
+        base = folder(spark, "stream")
+        apply_stream(feed, RegistryTable(spark, f"{base}/registry"), f"{base}/decisions", f"{base}/checkpoint").awaitTermination()
+        return spark.read.parquet(f"{base}/decisions").select("source_id", "content_hash", "last_modified_at_source", "decision")
+
+    return contained(spark, "decided", decided)
 
 
 @query()
@@ -388,16 +392,54 @@ SELECT coalesce(s.source_id, k.source_id) AS source_id, CASE WHEN s.filled THEN
 FROM seen s FULL JOIN known k ON s.source_id = k.source_id WHERE s.filled OR k.source_id IS NOT NULL""")
 def q38_ingest_run(spark: SparkSession, d: str) -> DataFrame:
     """One ingestion of all documents into one repository: the registry that it leaves, and which documents have chunks in the store."""
-    import uuid
-
     rows = documents(spark, d)
     known = registry(rows).withColumns({"tenant_id": F.lit("t"), "repo_id": F.lit("all")})
     kinds = [x.strip().split(" ", 1) for x in delta.REGISTRY.split(",")]
     known = known.select(*[F.col(n) if n in known.columns else F.lit(None).cast(kind).alias(n) for n, kind in kinds])
     feed = scan.feed(rows, "file", {"content": F.col("text").cast("binary"), "mime_type": F.lit("text/markdown"), "source_id": F.col("source_id"), "file_name": C.file_name(F.col("full_path")), "full_path": F.col("full_path"), "source_url": F.col("full_path"), "content_hash": F.col("content_hash")})
-    chunks = store.ChunkStore(spark, f"{shared_dir(spark)}/run-{uuid.uuid4().hex}")
-    plan = ingest.Plan("t", "all", provider=embed.HashingProvider(dimensions=8))
-    after, _ = ingest.run(feed, known, chunks, plan, "job-1", F.lit("2024-01-01").cast("timestamp"))
-    stored = chunks.read()
-    held = (after.limit(0) if stored is None else stored).select("source_id").distinct().withColumn("held", F.lit(True))
-    return after.join(held, "source_id", "left").select("source_id", "content_hash", "status", F.coalesce("held", F.lit(False)).alias("in_store"))
+
+    def ingested() -> DataFrame:
+        chunks = store.ChunkStore(spark, folder(spark, "run"))
+        plan = ingest.Plan("t", "all", provider=embed.HashingProvider(dimensions=8))
+        after, _ = ingest.run(feed, known, chunks, plan, "job-1", F.lit("2024-01-01").cast("timestamp"))
+        stored = chunks.read()
+        held = (after.limit(0) if stored is None else stored).select("source_id").distinct().withColumn("held", F.lit(True))
+        return after.join(held, "source_id", "left").select("source_id", "content_hash", "status", F.coalesce("held", F.lit(False)).alias("in_store"))
+
+    return contained(spark, "ingested", ingested)
+
+
+_RUNS = """WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source, coalesce(lang, '') AS lang FROM documents),
+run(n) AS (VALUES (1), (2), (3)),
+seen AS (SELECT n, doc_id, source, sha256(CASE WHEN n = 2 AND lang = 'de' OR n = 3 AND source = 'src3' THEN text || ' run ' || n::VARCHAR ELSE text END) AS content_hash FROM d, run
+  WHERE CASE n WHEN 1 THEN source <> 'src1' WHEN 2 THEN lang <> 'fr' ELSE source <> 'src2' END)"""
+
+
+@query(f"""{_RUNS} SELECT s.doc_id::VARCHAR AS source_id, s.content_hash, s.source FROM seen s WHERE s.n = 3""")
+def q39_store_after_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Three full listings of the documents, each decided against the registry as a table and put in one store: what is new, changed and gone differs each time. The store holds the last listing, each document once, however it came there (one that went and comes back is new again); compaction between the runs changes nothing."""
+
+    def stored() -> DataFrame:
+        base = folder(spark, "runs")
+        docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_id"), "doc_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "source", "lang")])
+        held, known = store.ChunkStore(spark, f"{base}/store", checkpoint_every=2), RegistryTable(spark, f"{base}/registry", whole_every=2)
+        there = (F.col("source") != "src1", F.col("lang") != "fr", F.col("source") != "src2")
+        edited = (F.lit(False), F.col("lang") == "de", F.col("source") == "src3")
+        for n, (listed, new) in enumerate(zip(there, edited, strict=True), 1):
+            text = F.when(new, F.concat("text", F.lit(f" run {n}"))).otherwise(F.col("text"))
+            rows = docs.where(listed).withColumns({"tenant_id": F.lit("t"), "repo_id": F.col("source"), "text": text, "content_hash": C.content_hash(text), "chunk_index": F.lit(0)})
+            keys = rows.select(*delta.KEYS, "content_hash")
+            seen = held.last()
+            decided = delta.decide(keys, known.rows_of(keys), revive_deleted=True).where("decision <> 'unchanged'")
+            gone = materialize(known.absent(keys, F.lit(True)).select(*delta.KEYS), "gone")
+            held.replace(rows.join(decided.select(*delta.KEYS), delta.KEYS, "left_semi"), gone, seen)
+            kinds = {x.split()[0]: x.split()[1] for x in delta.REGISTRY.split(", ")}
+            new_rows = decided.withColumn("status", F.lit("active"))
+            new_rows = new_rows.select(*[F.col(c) if c in new_rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()])
+            known.write(new_rows.unionByName(delta.mark_deleted(known.rows_of(gone), gone, F.lit(None).cast("timestamp"))), n)
+            if n == 2:
+                held.compact()
+        known.close()
+        return held.read().select("source_id", "content_hash", "source")
+
+    return contained(spark, "stored", stored)

@@ -8,6 +8,7 @@ import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
+from email.message import Message
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -15,6 +16,27 @@ ATTEMPTS = 3
 TIMEOUT_SECONDS = 60
 
 
+class Gone(RuntimeError):
+    """The service no longer knows what the address names."""
+
+
+def fetch(url: str, headers: dict[str, str] | None = None) -> tuple[bytes, Message]:
+    """(body, headers) of an answer. Overload and faults of the service are tried again, after the pause it asks for; other refusals are final."""
+    request = urllib.request.Request(url, headers=headers or {})
+    for attempt in range(1, ATTEMPTS + 1):
+        try:
+            with urllib.request.urlopen(request, timeout=TIMEOUT_SECONDS) as answer:
+                return answer.read(), answer.headers
+        except urllib.error.HTTPError as e:
+            if e.code == 410:
+                raise Gone(url) from e
+            if attempt == ATTEMPTS or e.code != 429 and e.code < 500:
+                raise
+            wait = e.headers.get("Retry-After") or ""
+            time.sleep(float(wait) if wait.isdigit() else 2**attempt)
+    raise AssertionError("unreachable")
+
+
 class Page(InputPartition):
     """Records from ``offset``; ``last`` pages go on until the service has no more."""
 
@@ -47,19 +69,9 @@ class PagedReader(DataSourceReader):
         self.headers = json.loads(options.get("headers", "{}"))
 
     def _get(self, offset: int, limit: int) -> tuple[list[dict], str | None]:
-        """One page. Overload and faults of the service are tried again, after the pause it asks for; other refusals are final."""
         asked = {"sysparm_offset": offset, "sysparm_limit": limit} | ({"sysparm_query": self.query} if self.query else {})
-        request = urllib.request.Request(f"{self.url}?{urllib.parse.urlencode(asked)}", headers={"Accept": "application/json"} | self.headers)
-        for attempt in range(1, ATTEMPTS + 1):
-            try:
-                with urllib.request.urlopen(request, timeout=TIMEOUT_SECONDS) as answer:
-                    return json.load(answer)["result"], answer.headers.get("X-Total-Count")
-            except urllib.error.HTTPError as e:
-                if attempt == ATTEMPTS or e.code != 429 and e.code < 500:
-                    raise
-                wait = e.headers.get("Retry-After") or ""
-                time.sleep(float(wait) if wait.isdigit() else 2**attempt)
-        raise AssertionError("unreachable")
+        body, headers = fetch(f"{self.url}?{urllib.parse.urlencode(asked)}", {"Accept": "application/json"} | self.headers)
+        return json.loads(body)["result"], headers.get("X-Total-Count")
 
     def partitions(self) -> list[Page]:
         total = self._get(0, 1)[1]

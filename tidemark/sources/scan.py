@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import content_hash, etag_hash, extension, file_name, mime_type, row_hash
 from tidemark.functions.values import HIDDEN, MAX_FILE_BYTES, MIME
+from tidemark.sources import drive as drive_service
 from tidemark.sources.paged import PagedSource
 
 FEED = ["change", "content_type", "content", "mime_type", "record", "structured_source_type", "source_id", "file_name", "full_path", "source_url", "content_hash", "last_modified_at_source", "extra_metadata"]
 
 
-def feed(rows: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:
+def feed(rows: DataFrame, kind: str, values: dict[str, Column], more: list[Column] | None = None) -> DataFrame:
     null = F.lit(None)
     base = {"change": F.lit("upsert"), "content_type": F.lit(kind), "content": null.cast("binary"), "mime_type": null.cast("string"), "record": null.cast("string"), "structured_source_type": null.cast("string"), "last_modified_at_source": null.cast("timestamp"), "extra_metadata": null.cast("map<string,string>"), "content_hash": null.cast("string")}
-    return rows.select(*[(base | values)[c].alias(c) for c in FEED])
+    return rows.select(*[(base | values)[c].alias(c) for c in FEED], *(more or []))
 
 
 def allowed(name: Column, include: list[str], exclude: list[str], hidden: tuple[str, ...]) -> Column:
@@ -94,7 +95,10 @@ def blobs(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> Dat
     if last_run is not None:
         reader = reader.option("modifiedAfter", str(last_run).replace(" ", "T"))
     name = file_name(F.col("path"))
-    rel = F.element_at(F.split("path", f"/{root.rsplit('/', 1)[-1]}/", 2), -1)
+    # paths come with scheme and authority, as the file system itself names the root
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString().rstrip("/")
+    rel = F.substring("path", len(base) + 2, 2**31 - 1)
     rows = reader.load(root).where(F.col("length").between(1, cfg.get("max_bytes", MAX_FILE_BYTES)) & allowed(name, cfg.get("include") or list(MIME), cfg.get("exclude", []), HIDDEN))
     return feed(rows, "file", {"content": F.col("content"), "mime_type": mime_type(name), "source_id": F.concat(F.lit(f"azureblob:{cfg.get('container', '')}:"), rel), "file_name": name, "full_path": F.concat(F.lit("/"), rel), "source_url": F.col("path"), "content_hash": content_hash(F.col("content")), "last_modified_at_source": F.col("modificationTime")})
 
@@ -163,6 +167,9 @@ def drive_items(items: DataFrame, cfg: dict[str, Any]) -> DataFrame:
     """
     user = cfg.get("kind") == "user"
     root = "/" + cfg.get("root_folder", "").strip("/")
+    listing = [F.col("listing")] if "listing" in items.columns else []
+    # the mark at the end of a full listing
+    mark = F.col("id").isNull() & listing[0].isNotNull() if listing else F.lit(False)
     rows = items.where(~F.coalesce(F.col("folder"), F.lit(False)))
     deleted = F.coalesce(F.col("deleted"), F.lit(False))
     path = F.concat(F.lit("/"), F.ltrim(F.coalesce(F.col("path"), F.lit("")), F.lit("/")))
@@ -170,15 +177,17 @@ def drive_items(items: DataFrame, cfg: dict[str, Any]) -> DataFrame:
     inside = F.lit(True) if root == "/" else F.startswith(F.concat(path, F.lit("/")), F.lit(root + "/")) if user else F.startswith(F.lower(F.concat(path, F.lit("/"))), F.lit(root.lower() + "/"))
     include = cfg.get("include") or (list(MIME) if user else [])
     good = inside & allowed(F.col("name"), include, cfg.get("exclude", []), HIDDEN) & (F.col("size") <= cfg.get("max_bytes", MAX_FILE_BYTES)) & (F.col("name") != "root" if user else F.lit(True))
-    rows = rows.where(deleted | F.coalesce(good, F.lit(False)))
-    shown = F.substring(full, len(root) + 1, 10_000) if user and root != "/" else full
+    rows = rows.where(deleted | F.coalesce(good, F.lit(False)) | mark)
+    shown = F.substring(full, len(root) + 1, 2**31 - 1) if user and root != "/" else full
     digest = F.when(F.col("eTag").isNotNull(), etag_hash(F.col("eTag"), F.col("size"))).otherwise(content_hash(F.col("content"))) if user else F.coalesce("sha256", "sha1", content_hash(F.col("content")))
     keep = lambda c: F.when(~deleted, c)
-    return feed(rows, "file", {"change": F.when(deleted, "deleted").otherwise("upsert"), "content": keep(F.col("content")), "mime_type": keep(mime_type(F.col("name"))), "source_id": F.col("id"), "file_name": F.col("name"), "full_path": keep(shown), "source_url": F.col("webUrl"), "content_hash": keep(digest), "last_modified_at_source": F.col("lastModified")})
+    return feed(rows, "file", {"change": F.when(mark, "listed").when(deleted, "deleted").otherwise("upsert"), "content": keep(F.col("content")), "mime_type": keep(mime_type(F.col("name"))), "source_id": F.col("id"), "file_name": F.col("name"), "full_path": keep(shown), "source_url": F.col("webUrl"), "content_hash": keep(digest), "last_modified_at_source": F.col("lastModified")}, listing)
 
 
 def drive(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
-    """Delta pages that a downloader has left as JSON files; as a stream, the reader's checkpoint is the delta token (see ``streaming``)."""
+    """A drive's delta pages: of the service itself (``url``, from ``token`` on; see ``drive.items`` for the next token), or as JSON files that a downloader has left."""
+    if "url" in cfg:
+        return drive_items(drive_service.items(spark, cfg, cfg.get("token"))[0].drop("listing").where("id is not null"), cfg)
     return drive_items(spark.read.schema(DRIVE_ITEM).json(cfg["path"]), cfg)
 
 

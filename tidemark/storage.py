@@ -29,6 +29,13 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it isn't there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
 def create(spark: SparkSession, path: str, content: bytes) -> bool:
     """Whether the file could be created; False if it is there already."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -61,6 +68,14 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def folder(spark: SparkSession, label: str) -> str:
+    """A name like that of ``fresh``; what is put there goes with the tables of the scratch block around, if there is one."""
+    path = fresh(spark, label)
+    if (made := _OPEN.get()) is not None:
+        made.append(path)
+    return path
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -68,17 +83,11 @@ def written(df: DataFrame, path: str) -> DataFrame:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: its plan restarts there, and no lost executor takes it along."""
-    path = fresh(df.sparkSession, label)
-    if (made := _OPEN.get()) is not None:
-        made.append(path)
-    return written(df, path)
+    return written(df, folder(df.sparkSession, label))
 
 
 def contained(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
     """What ``make`` returns, written to one table; all tables that it materialized on the way are gone."""
-    path = fresh(spark, label)
+    path = folder(spark, label)
     with scratch(spark):
-        out = written(make(), path)
-    if (made := _OPEN.get()) is not None:
-        made.append(path)
-    return out
+        return written(make(), path)

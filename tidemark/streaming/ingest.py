@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import delta
+from tidemark.operators.registry import RegistryTable
+from tidemark.sources.drive import items_stream
 from tidemark.sources.scan import DRIVE_ITEM, drive_items
 
 
@@ -18,45 +19,9 @@ def drive_stream(spark: SparkSession, cfg: dict[str, Any]) -> DataFrame:
     return drive_items(spark.readStream.schema(DRIVE_ITEM).json(cfg["path"]), cfg)
 
 
-class RegistryTable:
-    """The registry as a folder of versions, one a batch. A version holds the rows that its batch changed, each ``whole_every``-th one all rows; so a batch writes what it touches.
-
-    A batch number names its version, so a batch that runs again writes the same one.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, whole_every: int = 16):
-        self.spark, self.path, self.whole_every = spark, path, whole_every
-
-    def versions(self) -> list[tuple[int, bool]]:
-        """(number, whether it holds all rows) of what has been written to its end, in order."""
-        fs = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = fs.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(fs):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(fs)]
-        done = [n for n in names if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted((int(n.split("-")[0]), n.endswith("-whole")) for n in done)
-
-    def version(self) -> int:
-        return max((n for n, _ in self.versions()), default=-1)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """All rows as of a version, the last one if not given."""
-        known = [(n, whole) for n, whole in self.versions() if before is None or n <= before]
-        start = max((n for n, whole in known if whole), default=-1)
-        parts = [self.spark.read.schema(delta.REGISTRY).parquet(f"{self.path}/{n}{'-whole' if whole else ''}").withColumn("_n", F.lit(n)) for n, whole in known if n > start or whole and n == start]
-        if not parts:
-            return self.spark.createDataFrame([], delta.REGISTRY)
-        rows = reduce(DataFrame.unionByName, parts)
-        names = [c for c in rows.columns if c not in (*delta.KEYS, "_n")]
-        return rows.groupBy(*delta.KEYS).agg(F.max_by(F.struct(*names), "_n").alias("_r")).select(*delta.KEYS, "_r.*")
-
-    def write(self, changed: DataFrame, n: int) -> None:
-        """The rows that a batch changed, whole rows of different keys."""
-        if (n + 1) % self.whole_every:
-            changed.write.mode("overwrite").parquet(f"{self.path}/{n}")
-        else:
-            delta.upsert(self.read(n - 1), changed).write.mode("overwrite").parquet(f"{self.path}/{n}-whole")
+def drive_delta_stream(spark: SparkSession, cfg: dict[str, Any], checkpoint: str) -> DataFrame:
+    """A drive's changes from the service itself (see ``sources.drive``), going on where the checkpoint ends; ``listing`` tells rows of a full listing."""
+    return drive_items(items_stream(spark, cfg, checkpoint), cfg)
 
 
 def latest(batch: DataFrame, order: str) -> DataFrame:
@@ -67,18 +32,29 @@ def latest(batch: DataFrame, order: str) -> DataFrame:
 
 
 def apply_stream(feed: DataFrame, registry: RegistryTable, decisions: str, checkpoint: str, order: str = "last_modified_at_source") -> StreamingQuery:
-    """feed: keys, change, content_hash and the registry's other source fields. Writes each batch's decisions to ``decisions`` and the new registry, then stops when all that is there has been read."""
+    """feed: keys, change, content_hash and the registry's other source fields. Writes each batch's decisions to ``decisions`` and the new registry, then stops when all that is there has been read.
+
+    With a column ``listing``, rows of change ``listed`` end a full listing: active documents of its repository that none of its batches held are deleted.
+    """
+    listed = "listing" in feed.columns
 
     def one(batch: DataFrame, n: int) -> None:
-        known = registry.read(n - 1)
-        rows = latest(batch, order)
-        got = delta.decide(rows.where("change = 'upsert'"), known).select(*delta.KEYS, "content_hash", order, "decision")
-        gone = delta.native_deletes(rows, known).select(*delta.KEYS, "content_hash", order, F.lit("deleted").alias("decision"))
+        spark, rows = batch.sparkSession, latest(batch.where("change <> 'listed'"), order)
+        known = registry.rows_of(rows, n - 1)
+        more = [F.col("listing")] if listed else []
+        got = delta.decide(rows.where("change = 'upsert'"), known).select(*delta.KEYS, "content_hash", order, "decision", *more)
+        gone = delta.native_deletes(rows, known).select(*delta.KEYS, "content_hash", order, F.lit("deleted").alias("decision"), *more)
         got.unionByName(gone).withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{decisions}/batch={n}")
-        kinds = {f.name: f.dataType for f in known.schema}
+        kinds = {x.split()[0]: x.split()[1] for x in delta.REGISTRY.split(", ")}
         new = rows.where("change = 'upsert'").withColumns({"status": F.lit("active"), "last_ingested_at": F.col(order)})
-        new = new.select(*[F.col(c).cast(kinds[c]) if c in new.columns else F.lit(None).cast(kinds[c]).alias(c) for c in known.columns])
-        left = delta.mark_deleted(known.join(gone.select(*delta.KEYS), delta.KEYS, "left_semi"), gone, F.lit(None).cast("timestamp"))
+        new = new.select(*[F.col(c).cast(kinds[c]) if c in new.columns else F.lit(None).cast(kinds[c]).alias(c) for c in kinds])
+        gone = gone.select(*delta.KEYS)
+        for end in batch.where("change = 'listed'").select("tenant_id", "repo_id", "listing").distinct().collect() if listed else []:  # one row a repository
+            own = (F.col("tenant_id") == end.tenant_id) & (F.col("repo_id") == end.repo_id)
+            seen = spark.read.parquet(decisions).where((F.col("listing") == end.listing) & (F.col("batch") <= n) & own)
+            lost = registry.absent(seen, own, n - 1).join(new.select(*delta.KEYS), delta.KEYS, "left_anti")
+            gone = gone.unionByName(lost.select(*delta.KEYS))
+        left = delta.mark_deleted(registry.rows_of(gone, n - 1), gone, F.lit(None).cast("timestamp"))
         registry.write(new.unionByName(left), n)
 
     return feed.writeStream.queryName(f"delta-{uuid.uuid4().hex[:8]}").foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
