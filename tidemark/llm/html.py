@@ -2,9 +2,10 @@
 
 Parser events of the standard library stream into lines, one for each block of the page; a line has its text, the number of tags in it and
 the element that holds it. The text-to-tag ratios of the lines are smoothed by a Gaussian and clustered into two by threshold. Content are the lines above
-the threshold, with neighbours that lie above half the way to it; the region is the innermost container that holds all of them. Of the region, all
-lines count, but for blocks of links at its edges that hold no content line. Lists only veto: lines within menus, headers, footers, sidebars, notices, adverts,
-forms or reader comments by tag, role or class are no content and never come back.
+the threshold, with neighbours that lie above half the way to it. The region is the only article or main element if that holds most of them, else the innermost container that holds
+all, with a heading that stands beside it and what lies between. Of the region, all lines count, but for blocks of links at its edges that hold no content line. Lists only veto: lines within menus, headers,
+footers, sidebars, notices, adverts, forms or reader comments by tag, role or class are no content and never come back. A class that only has such a word among others (notice-period) vetoes
+what is no text by its ratios or mostly links.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation navigator menu menubar breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup share sharing social comment comments disqus respond replies reply related recommended pagination pager search skip login widget toolbar disclaimer paywall".split())
 #: Of these, layout words alone may stand on what holds the article; they veto nothing that holds more than half of the dense text.
 LAYOUT_WORDS = frozenset("nav navbar navigation navigator menu menubar breadcrumb breadcrumbs sidebar sidebars aside masthead topbar popup modal overlay share sharing social related recommended pagination pager search skip login widget toolbar header".split())
+#: Words that may stand beside one of these in a class without making it another thing.
+STRUCTURE_WORDS = frozenset("area article author bar block body bottom box btn button buttons col column container content count desktop entry form google group header info inner item items law left link links list main message meta mobile outer page panel post primary right row secondary section site slot text thread title top unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3".split())
 #: Class words in front of what an element merely has or lacks.
 MERELY = ("has-", "no-", "with-", "without-", "hide-", "not-")
 REGIONS = frozenset("article main section div td body html".split())
@@ -40,12 +44,12 @@ _SPLIT = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class _Element:
-    """start, end: the lines within. hard: vetoed by tag, role or style here or above; soft: words of class or id that veto this element."""
+    """start, end: the lines within. hard: vetoed by tag, role or style here or above; soft: words of class or id that veto this element; weak: such words among others."""
 
-    __slots__ = ("tag", "up", "hard", "soft", "link", "inside", "start", "end", "at", "vetoed")
+    __slots__ = ("tag", "up", "hard", "soft", "weak", "link", "inside", "start", "end", "at", "vetoed")
 
-    def __init__(self, tag: str, up: _Element | None, hard: bool, soft: frozenset[str], start: int, at: int):
-        self.tag, self.up, self.soft, self.start, self.end, self.at = tag, up, soft, start, start, at
+    def __init__(self, tag: str, up: _Element | None, hard: bool, soft: frozenset[str], weak: bool, start: int, at: int):
+        self.tag, self.up, self.soft, self.weak, self.start, self.end, self.at = tag, up, soft, weak, start, start, at
         self.hard = hard or up is not None and up.hard
         self.link = tag == "a" or up is not None and up.link
         self.inside = tag in ("article", "main") or up is not None and up.inside
@@ -63,10 +67,10 @@ class _Lines(HTMLParser):
         self.text: list[str] = []
         self.tags, self.linked, self.mute = 1, 0, 0
         self.at: _Element | None = None
-        self._push("#page", False, frozenset())
+        self._push("#page", False, frozenset(), False)
 
-    def _push(self, tag: str, hard: bool, soft: frozenset[str]) -> None:
-        self.at = _Element(tag, self.at, hard, soft, len(self.lines), len(self.elements))
+    def _push(self, tag: str, hard: bool, soft: frozenset[str], weak: bool) -> None:
+        self.at = _Element(tag, self.at, hard, soft, weak, len(self.lines), len(self.elements))
         self.elements.append(self.at)
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -123,27 +127,35 @@ class _Lines(HTMLParser):
         elif tag in ("br", "img", "wbr"):
             self.text.append(" " if tag == "br" else "")
         if tag not in VOID:
-            hard, soft = self._veto(tag, attrs)
-            if hard > self.at.hard or soft:
+            hard, soft, weak = self._veto(tag, attrs)
+            if hard > self.at.hard or soft or weak:
                 self.flush()
-            self._push(tag, hard, soft)
+            self._push(tag, hard, soft, weak)
 
-    def _veto(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, frozenset[str]]:
+    def _veto(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, frozenset[str], bool]:
         if tag in BOILERPLATE or tag == "header" and not self.at.inside:
-            return True, frozenset()
+            return True, frozenset(), False
         if tag in ("html", "body", "main", "article"):
-            return False, frozenset()
-        words: set[str] = set()
+            return False, frozenset(), False
+        soft: set[str] = set()
+        weak = False
         for name, value in attrs:
             if name == "role" and (value or "").lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-                return True, frozenset()
+                return True, frozenset(), False
             if name == "style" and "display:none" in (value or "").replace(" ", "").lower():
-                return True, frozenset()
+                return True, frozenset(), False
             if name in ("class", "id"):
                 for token in (value or "").split():
-                    if not token.lower().startswith(MERELY):
-                        words.update(_WORDS.findall(_SPLIT.sub(" ", token).lower()))
-        return False, frozenset(w for w in words if w in BAD_WORDS or w == "header" and not self.at.inside)
+                    if token.lower().startswith(MERELY):
+                        continue
+                    words = _WORDS.findall(_SPLIT.sub(" ", token).lower())
+                    bad = [w for w in words if w in BAD_WORDS or w == "header" and not self.at.inside]
+                    # letters alone and in twos are sizes and prefixes
+                    if bad and any(len(w) > 2 and w not in BAD_WORDS and w not in STRUCTURE_WORDS for w in words):
+                        weak = True
+                    else:
+                        soft.update(bad)
+        return False, frozenset(soft), weak
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -159,7 +171,7 @@ class _Lines(HTMLParser):
             e = e.up
         if e.tag == tag and e.up:
             # what an inline element held keeps its line, but an advert's or a notice's text must not run into its neighbours
-            if tag in BLOCKS or e.hard > e.up.hard or e.soft:
+            if tag in BLOCKS or e.hard > e.up.hard or e.soft or e.weak:
                 self.flush()
             self._pop_to(e.up)
 
@@ -207,8 +219,10 @@ def _content(smooth: np.ndarray, free: np.ndarray) -> np.ndarray:
     return near & np.isin(run, run[near & (smooth >= cut)])
 
 
-def _veto(page: _Lines, dense: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Which lines are free of vetoes. A layout word does not veto what holds more than half of the dense text, nor the only article or main element."""
+def _veto(page: _Lines, smooth: np.ndarray, lengths: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """Which lines are free of vetoes. A layout word does not veto what holds more than half of the dense text, nor the only article or main element; weak words veto nothing that reaches the lower threshold and isn't mostly links."""
+    cut, half = thresholds(smooth)
+    dense = smooth >= cut
     of = np.array([e.at for _, _, e, _ in page.lines])
     hard = np.array([e.hard for e in page.elements])
     mass = np.r_[0, np.cumsum(np.where(dense & ~hard[of], lengths, 0))]
@@ -227,10 +241,65 @@ def _veto(page: _Lines, dense: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         if veto and e.soft <= LAYOUT_WORDS:
             holds = lone and e.start <= mains[0].start and mains[0].end <= e.end
             veto = not holds and 2 * (mass[e.end] - mass[e.start]) <= mass[-1]
+        if e.weak and not veto:
+            own = slice(e.start, e.end)
+            veto = 2 * linked[own].sum() >= lengths[own].sum() or not (smooth[own] >= half).any()
         e.vetoed = e.hard or veto or e.up is not None and e.up.vetoed
     return ~np.array([e.vetoed for e in page.elements])[of]
 
 
+def _only(page: _Lines, free: np.ndarray, content: np.ndarray, lengths: np.ndarray) -> _Element | None:
+    """The only article, else the only main element, if it holds more than half of the content's characters. Articles in an article are parts of it."""
+    held = np.r_[0, np.cumsum(np.where(free, 1, 0))]
+    mass = np.zeros(len(free) + 1, np.int64)
+    mass[content + 1] = lengths[content]
+    mass = np.cumsum(mass)
+    for tag in ("article", "main"):
+        found, end = [], 0
+        for e in page.elements:
+            if e.tag == tag and e.start >= end and held[e.end] > held[e.start]:
+                found.append(e)
+                end = e.end
+        if len(found) == 1 and 2 * (mass[found[0].end] - mass[found[0].start]) > mass[-1]:
+            return found[0]
+    return None
+
+
+def _headed(page: _Lines, region: _Element, free: np.ndarray, lengths: np.ndarray, linked: np.ndarray) -> tuple[_Element, int]:
+    """(region, first line) with the heading that stands beside the region: the parent that holds both, below the page's body, or the run of lines from the heading on.
+
+    What comes along is no longer than the region and not mostly links.
+    """
+
+    def heads(a: int, b: int) -> list[int]:
+        out = []
+        for i in range(a, b):
+            e = page.lines[i][2]
+            while free[i] and e and e.tag not in HEADINGS:
+                e = e.up
+            if free[i] and e and 2 * linked[i] < lengths[i]:
+                out.append(i)
+        return out
+
+    def fits(a: int, b: int) -> bool:
+        outside = free[a:b].copy()
+        outside[max(0, region.start - a) : max(0, region.end - a)] = False
+        chars = lengths[a:b][outside].sum()
+        return 2 * linked[a:b][outside].sum() < chars <= lengths[region.start : region.end][free[region.start : region.end]].sum()
+
+    e = region.up
+    while e and e.tag not in ("body", "html", "#page"):
+        if e.start < region.start and heads(e.start, region.start) and fits(e.start, e.end):
+            region = e
+        e = e.up
+    # a page's own heading lies further off than a screen of lines
+    near = heads(max(0, region.start - 16), region.start)
+    first = near[-1] if near else region.start
+    if near and any(page.lines[i][2].tag == "h1" for i in near):
+        first = max(i for i in near if page.lines[i][2].tag == "h1")
+    return region, first if first < region.start and fits(first, region.end) else region.start
+
+
 def extract(html: str | None) -> str:
     """Main text: blocks joined by line feeds; empty if there is none. Null counts as empty."""
     if not html:
@@ -242,17 +311,22 @@ def extract(html: str | None) -> str:
         return ""
     lengths, tags, linked = np.array([len(x[0]) for x in page.lines]), np.array([x[1] for x in page.lines]), np.array([x[3] for x in page.lines])
     smooth = smoothed(lengths, tags, linked)
-    free = _veto(page, smooth >= thresholds(smooth)[0], lengths)
+    free = _veto(page, smooth, lengths, linked)
     content = np.flatnonzero(_content(smooth, free))
     if not len(content):
         content = np.flatnonzero(free)
         if not len(content):
             return ""
     first, last = int(content[0]), int(content[-1])
-    # elements come in order of their starts, so the last one that holds all content is the innermost
-    region = [e for e in page.elements if e.start <= first and last < e.end and (e.tag in REGIONS or not e.up)][-1]
+    region = _only(page, free, content, lengths)
+    if region:
+        begin = region.start
+    else:
+        # elements come in order of their starts, so the last one that holds all content is the innermost
+        region = [e for e in page.elements if e.start <= first and last < e.end and (e.tag in REGIONS or not e.up)][-1]
+        region, begin = _headed(page, region, free, lengths, linked)
     keep = free.copy()
-    keep[: region.start] = keep[region.end :] = False
+    keep[:begin] = keep[region.end :] = False
     for e in page.elements[region.at + 1 :]:
         if e.up is region and e.tag in BLOCKS and e.end > e.start and (e.end <= first or e.start > last):
             own = slice(e.start, e.end)
