@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -247,3 +248,57 @@ def test_dense_cells_of_sketches_are_dealt_without_losing_links(spark, limit):
     got = {x.node: x.root for x in graph.components(simhash.wide_links(cells, 9, limit)).collect()}
     want = slow_classes([int.from_bytes(x.tobytes(), "little") for x in prints], 9)
     assert [got.get(i, i) for i in range(90)] == want and 2 < len(set(want)) < 80
+
+
+def template(r, n, shared=180, own=60):
+    base = r.integers(0, 2**63, shared, dtype=np.uint64)
+    return [np.unique(np.concatenate([base, r.integers(0, 2**63, own, dtype=np.uint64)])) for _ in range(n)]
+
+
+def test_exact_links_equal_brute_force_over_all_pairs():
+    r = np.random.default_rng(4)
+
+    def classes(n, pairs):
+        up = list(range(n))
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in pairs:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+        return [root(i) for i in range(n)]
+
+    for _ in range(150):
+        bases = [r.choice(40, size=r.integers(1, 40), replace=False) for _ in range(4)]
+        sets = []
+        for _ in range(24):
+            x = bases[r.integers(4)]
+            x = x[r.random(len(x)) >= r.choice([0, 0.05, 0.1, 0.2])]
+            x = np.unique(np.concatenate([x, r.integers(0, 60, r.integers(0, 3))])).astype(np.uint64)
+            sets += [x] if len(x) else []
+        alike = lambda x, y: 5 * (both := len(np.intersect1d(x, y))) >= 4 * (len(x) + len(y) - both)
+        every = [(i, j) for i in range(len(sets)) for j in range(i) if alike(sets[i], sets[j])]
+        found = simhash.exact_forest(sets)
+        assert classes(len(sets), found) == classes(len(sets), every) and all(alike(sets[a], sets[b]) for a, b in found)
+    assert simhash.exact_forest([np.zeros(0, np.uint64)]) == []
+
+
+def test_templates_below_the_threshold_cost_their_own_size():
+    """20,000 sets of 0.6 similarity in one group: all pairs would be 2e8 comparisons."""
+    r = np.random.default_rng(5)
+    sets = template(r, 20_000) + template(r, 2, 228, 12)
+    began = time.perf_counter()
+    found = simhash.exact_forest(sets)
+    assert found == [(20_000, 20_001)] and time.perf_counter() - began < 30
+
+
+def test_documents_of_one_template_stay(spark):
+    r = random.Random(6)
+    base = [f"t{i}" for i in range(180)]
+    rows = [(i, " ".join([*(f"d{i}w{j}" for j in range(60)), *base])) for i in range(3000)]
+    rows += [(5000, rows[7][1] + " more"), (5001, rows[8][1].replace("t90", "other"))]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id for x in simhash.keep_one(docs).collect()} == set(range(3000))

@@ -351,27 +351,67 @@ def wide_links(cells: DataFrame, radius: int, cell_limit: int = CELL_LIMIT) -> D
 
 
 def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Spanning forest of the pairs whose sets have a Jaccard similarity of NUM / DEN at least, by counting: no estimate."""
-    size = np.array([len(x) for x in sets])
-    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    """Spanning forest of the pairs whose sets have a Jaccard similarity of NUM / DEN at least, by counting: no estimate.
+
+    Candidates by prefix: with the rarest shingles first, two such sets have one in common among the first of each (all but NUM / DEN of them, and one more), and at the first one that they
+    have in common enough must still follow in both. What is left out so cannot be that similar; so sets that share a template, but not enough, cost no more than their own size. What is linked is taken off
+    the lists of shingles, so near copies are not compared again.
+    """
+    size = np.array([len(x) for x in sets], np.int64)
+    found, code, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(found), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(found))
+    owner, code = np.repeat(np.arange(len(sets)), size), rank[code]
+    code = code[np.lexsort((code, owner))]
     upto = np.r_[0, np.cumsum(size)]
-    marked = np.zeros(int(code.max(initial=-1)) + 1, bool)
-    out, todo = [], np.arange(len(sets))
-    while len(todo) > 1:
-        queue, todo = [int(todo[0])], todo[1:]
-        while queue and len(todo):
+    place = np.arange(len(code)) - upto[owner]
+    first = size - -(-size * NUM // DEN) + 1
+    often = np.sort(often, kind="stable")
+    listed = np.flatnonzero((place < first[owner]) & (often[code] > 1))
+    listed = listed[np.argsort(code[listed], kind="stable")]
+    starts = np.flatnonzero(np.r_[True, code[listed][1:] != code[listed][:-1]]) if len(listed) else np.zeros(0, np.int64)
+    lists = {c: (owner[x], place[x]) for c, x in zip(code[listed[starts]].tolist(), np.split(listed, starts[1:]), strict=True)} if len(listed) else {}
+    marked, todo, met = np.zeros(len(found), bool), np.ones(len(sets), bool), np.full(len(sets), -1)
+    out = []
+
+    def candidates(at: int) -> np.ndarray:
+        some = [np.zeros(0, np.int64)]
+        for i, c in enumerate(code[upto[at] : upto[at] + first[at]].tolist()):
+            held = lists.get(c)
+            if held is None:
+                continue
+            own, where = held
+            left = todo[own]
+            if not left.all():
+                own, where = own[left], where[left]
+                if not len(own):
+                    del lists[c]
+                    continue
+                lists[c] = own, where
+            new = met[own] != at
+            own, where = own[new], where[new]
+            met[own] = at
+            most = np.minimum(size[at] - i, size[own] - where)
+            some.append(own[most * (NUM + DEN) >= NUM * (size[at] + size[own])])
+        return np.concatenate(some)
+
+    for seed in range(len(sets)):
+        queue = [seed] if todo[seed] else []
+        todo[seed] = False
+        while queue:
             at = queue.pop()
+            fits = candidates(at)
+            if not len(fits):
+                continue
             mine = code[upto[at] : upto[at + 1]]
-            fits = todo[(size[todo] * DEN >= size[at] * NUM) & (size[at] * DEN >= size[todo] * NUM)]
             marked[mine] = True
             both = np.array([np.count_nonzero(marked[code[upto[i] : upto[i + 1]]]) for i in fits.tolist()], np.int64)
             marked[mine] = False
             # both / (a + b - both) >= NUM / DEN
-            found = fits[both * (NUM + DEN) >= NUM * (size[fits] + size[at])]
-            if len(found):
-                out += [(at, i) for i in found.tolist()]
-                queue += found.tolist()
-                todo = todo[~np.isin(todo, found)]
+            linked = fits[both * (NUM + DEN) >= NUM * (size[fits] + size[at])].tolist()
+            out += [(at, i) for i in linked]
+            queue += linked
+            todo[linked] = False
     return out
 
 
