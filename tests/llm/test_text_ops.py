@@ -2,7 +2,10 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -444,3 +447,21 @@ def test_html_long_page():
     page = PAGE % ("<article><h1>Head</h1><div>" + "<p>A sentence of some length stands here, and goes on.</p>" * 100_000 + "</div></article>")
     began = time.perf_counter()
     assert html.extract(page).count("\n") == 100_000 and time.perf_counter() - began < 30
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abé漢 \n1", max_size=80), min_size=1, max_size=4), st.sampled_from(["", "ab", "a", "aa ", "漢字"]), st.integers(1, 200), st.sampled_from([7, 16, 50, 101]))
+def test_sketches_of_pieces_are_those_of_the_whole(texts, more, times, size):
+    raw = [t.encode() for t in texts] + [(more * times).encode()]
+    whole = fingerprint.sketches(raw)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(fingerprint, "PIECE", size)
+        assert fingerprint.sketches(raw) == whole
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    """40 MB of words, of one letter, and without spaces; each in a process of its own."""
+    code = "import resource, sys; from tidemark.llm import fingerprint; t = {} * {}; before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; fingerprint.sketches([t]); print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)"
+    for text, times in ((b"some words that come again and again, ", 1_050_000), (b"a", 40_000_000), ("漢字かな".encode(), 3_300_000)):
+        got = subprocess.run([sys.executable, "-c", code.format(text, times)], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+        assert int(got.stdout.split()[-1]) < 600

@@ -7,7 +7,7 @@ reduced to labels below six by the lowest bit in which neighbours differ, and ph
 and at minima between them. A phrase's name is the hash of its parts, and phrases of a level are the next level's text. Where to cut
 depends on a few neighbours only, so equal substrings have equal phrases inside, at any offset, on every level.
 The fingerprint holds the top name and the ``k`` smallest hashes among the phrase names of all levels, each occurrence counted. All documents of a
-block are parsed at once in numpy.
+block are parsed at once in numpy, a long text in pieces.
 """
 
 from __future__ import annotations
@@ -49,20 +49,61 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[s:e] for each range, alike at every offset."""
+#: Bytes or names that one numpy step of parsing holds; on either side of a step, more than a cut depends on.
+PIECE, MARGIN = 1 << 20, 16
+
+
+def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomials of values[s:e] for each range, alike at every offset."""
     up, down = _powers(max(10, len(values).bit_length() + 1))
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values + np.uint64(1)) * up[: len(values)], out=total[1:])
-    return _scramble((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (total[ends] - total[starts]) * down[starts]
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(document, name) of every token, in order."""
-    joined = b" ".join(texts)
-    a = np.frombuffer(joined, np.uint8)
-    if not len(a):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _hashed(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return _scramble(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+class _Names:
+    """Names of consecutive ranges that come in pieces; the last one of a piece may go on in the next."""
+
+    def __init__(self) -> None:
+        self.sum = self.length = 0
+
+    def add(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray, goes_on: bool) -> np.ndarray:
+        """Names of the ranges that end here. goes_on: the first range continues the one left open; the last one is left open if it reaches the end of ``values``."""
+        sums, lengths = _sums(values, starts, ends), ends - starts
+        if goes_on and len(sums):
+            sums[0] = np.uint64((self.sum + pow(_STEP, self.length, 2**64) * int(sums[0])) % 2**64)
+            lengths[0] += self.length
+        if len(ends) and ends[-1] == len(values):
+            self.sum, self.length = int(sums[-1]), int(lengths[-1])
+            sums, lengths = sums[:-1], lengths[:-1]
+        return _hashed(sums, lengths)
+
+    def close(self) -> np.ndarray:
+        return _hashed(np.array([self.sum], np.uint64), np.array([self.length]))
+
+
+def _ranges(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Names of the ranges that start there and end at the next start."""
+    if len(values) <= PIECE:
+        return _hashed(_sums(values, starts, ends := np.r_[starts[1:], len(values)]), ends - starts)
+    names, out = _Names(), []
+    for at in range(0, len(values), PIECE):
+        end = min(at + PIECE, len(values))
+        own = starts[np.searchsorted(starts, at) : np.searchsorted(starts, end)] - at
+        if at and len(own) and not own[0]:
+            out.append(names.close())
+        goes_on = bool(at) and not (len(own) and not own[0])
+        begin = np.r_[0, own] if goes_on else own
+        out.append(names.add(values[at:end], begin, np.r_[begin[1:], end - at], goes_on))
+    return np.concatenate([*out, names.close()])
+
+
+def _cuts(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where a token starts, where there is none) in bytes that start at a text or three bytes and a code point before what counts."""
     gap = _SPACE[a]
     inside = ~gap
     start = inside & np.r_[True, gap[:-1]]
@@ -79,14 +120,40 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         owner = np.maximum.accumulate(np.where(lead, np.arange(len(a)), 0))
         of_wide = wide[owner]
         start |= inside & lead & (wide | np.r_[False, of_wide[:-1]])
-    at = np.flatnonzero(start)
-    if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    stop = np.flatnonzero(gap)
-    n = np.searchsorted(stop, at)
-    ends = np.minimum(np.r_[at[1:], len(a)], np.r_[stop, len(a)][n])
+    return start, gap
+
+
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(document, name) of every token, in order. Memory follows ``PIECE`` and the number of tokens."""
+    a = np.frombuffer(b" ".join(texts), np.uint8)
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return np.searchsorted(bounds, at, side="right") - 1, _ranges(a.astype(np.uint64), at, ends)
+    docs, out, names, open_at = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], _Names(), None
+    owner = lambda at: (np.searchsorted(bounds, at, side="right") - 1).astype(np.int32)
+    for p in range(0, len(a), PIECE):
+        end, low = min(p + PIECE, len(a)), max(0, p - MARGIN)
+        start, gap = (x[p - low :] for x in _cuts(a[low:end]))
+        at, stop = np.flatnonzero(start), np.flatnonzero(gap)
+        if open_at is not None and (start[0] or gap[0]):
+            out.append(names.close())
+            docs.append(owner(np.array([open_at])))
+            open_at = None
+        goes_on = open_at is not None
+        if goes_on:
+            at = np.r_[0, at]
+        if not len(at):
+            continue
+        ends = np.minimum(np.r_[at[1:], end - p], np.r_[stop, end - p][np.searchsorted(stop, at)])
+        found = names.add(a[p:end].astype(np.uint64), at, ends, goes_on)
+        where = at + p
+        if goes_on:
+            where[0] = open_at
+        out.append(found)
+        docs.append(owner(where[: len(found)]))
+        open_at = int(where[-1]) if len(found) < len(where) else None
+    if open_at is not None:
+        out.append(names.close())
+        docs.append(owner(np.array([open_at])))
+    return np.concatenate(docs), np.concatenate(out)
 
 
 def _toss(now: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -98,7 +165,18 @@ def _toss(now: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 
 def phrases(doc: np.ndarray, name: np.ndarray) -> np.ndarray:
-    """Starts of the phrases of one level."""
+    """Starts of the phrases of one level, in pieces: a cut depends on a few neighbours only."""
+    if len(name) <= PIECE:
+        return _starts(doc, name)
+    out = []
+    for at in range(0, len(name), PIECE):
+        low, end = max(0, at - MARGIN), min(len(name), at + PIECE)
+        found = _starts(doc[low : end + MARGIN], name[low : end + MARGIN]) + low
+        out.append(found[np.searchsorted(found, at) : np.searchsorted(found, end)])
+    return np.concatenate(out)
+
+
+def _starts(doc: np.ndarray, name: np.ndarray) -> np.ndarray:
     n = len(name)
     first = np.r_[True, doc[1:] != doc[:-1]]
     same = np.r_[False, (name[1:] == name[:-1])] & ~first
@@ -128,36 +206,45 @@ def sketches(texts: list[bytes], k: int = K) -> list[str]:
     docs, kept, level = [], [], 0
     if len(doc):
         size = np.bincount(doc, minlength=len(texts))
-        lone = size[doc] == 1  # a single token is its own phrase
+        lone = (size == 1)[doc]  # a single token is its own phrase
         docs.append(doc[lone])
         kept.append(name[lone])
     while len(doc):
         size = np.bincount(doc, minlength=len(texts))
-        done = size[doc] == 1
-        top[doc[done]] = _scramble(name[done] + np.uint64(level))
-        doc, name = doc[~done], name[~done]
-        if not len(doc):
-            break
+        done = (size == 1)[doc]
+        if done.any():
+            top[doc[done]] = _scramble(name[done] + np.uint64(level))
+            doc, name = doc[~done], name[~done]
+            if not len(doc):
+                break
         at = phrases(doc, name)
-        name = _ranges(name, at, np.r_[at[1:], len(name)])
+        name = _ranges(name, at)
         doc = doc[at]
         level += 1
         docs.append(doc)
         kept.append(name)
     if not docs:
         return ["0" * 16] * len(texts)
-    d, h = np.concatenate(docs), (_scramble(np.concatenate(kept)) >> np.uint64(32)).astype(np.int64)
-    key = np.sort(d << 32 | h)
-    # a phrase counts as often as it occurs: its n-th occurrence has a hash of its own
-    first = np.r_[True, key[1:] != key[:-1]]
-    nth = np.arange(len(key)) - np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-    h = _scramble((key & 0xFFFFFFFF).astype(np.uint64) + (nth.astype(np.uint64) << np.uint64(32))) >> np.uint64(32)
-    key = np.sort((key >> 32) << 32 | h.astype(np.int64))
-    key = key[np.r_[True, key[1:] != key[:-1]]]
-    d = key >> 32
+    key = np.concatenate([d.astype(np.int64) << 32 | (_scramble(n) >> np.uint64(32)).astype(np.int64) for d, n in zip(docs, kept, strict=True)])
+    del docs, kept
+    key.sort()
+    least = np.zeros(0, np.int64)
+    for at in range(0, len(key), PIECE):
+        part = key[at : at + PIECE]
+        # a phrase counts as often as it occurs: its n-th occurrence has a hash of its own
+        first = np.r_[True, part[1:] != part[:-1]]
+        nth = np.arange(len(part)) - np.maximum.accumulate(np.where(first, np.arange(len(part)), 0))
+        before = at - int(np.searchsorted(key, part[0]))
+        nth[part == part[0]] += before
+        h = _scramble((part & 0xFFFFFFFF).astype(np.uint64) + (nth.astype(np.uint64) << np.uint64(32))) >> np.uint64(32)
+        both = np.unique(np.concatenate([least, (part >> 32) << 32 | h.astype(np.int64)]))
+        # the smallest of each document are enough to go on with
+        own = np.searchsorted(both >> 32, both >> 32)
+        least = both[np.arange(len(both)) - own < k]
+    d = least >> 32
     bounds = np.searchsorted(d, np.arange(len(texts) + 1))
-    h = (key & 0xFFFFFFFF).astype(">u4")
-    return [f"{int(t):016x}" + h[s : min(e, s + k)].tobytes().hex() for t, s, e in zip(top, bounds, bounds[1:], strict=False)]
+    h = (least & 0xFFFFFFFF).astype(">u4")
+    return [f"{int(t):016x}" + h[s:e].tobytes().hex() for t, s, e in zip(top, bounds, bounds[1:], strict=False)]
 
 
 def likeness(a: str, b: str, k: int = K) -> float:
