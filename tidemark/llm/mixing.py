@@ -60,7 +60,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select("source", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("before"))
     # target = whole * source_size + left, in exact fractions of share_den
-    per_source = per_source.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("share_num") / (F.col("share_den") * F.col("source_size")))).otherwise(F.lit(0)))
+    per_source = per_source.withColumn("whole", F.when(F.col("source_size") > 0, F.expr("cast(share_num as decimal(38,0)) div (cast(share_den as decimal(18,0)) * cast(source_size as decimal(19,0)))")).otherwise(F.lit(0)))
     big = lambda c: F.col(c).cast("decimal(38,0)")
     per_source = per_source.withColumn("left", big("share_num") - big("whole") * (F.col("share_den").cast("decimal(18,0)") * F.col("source_size").cast("decimal(19,0)")))
     ranges = ranges.withColumnRenamed("source", "s2").join(per_source, F.col("s2").eqNullSafe(F.col("source")))

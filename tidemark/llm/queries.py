@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import audit, chat, decontaminate, fingerprint, html, impact, langid, mixing, quality, secrets, simhash, urls, warc
 from tidemark.llm.common import held_out, table
+from tidemark.storage import contained
 
 #: Conversation -1 of the formatting query: control strings inside texts.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -31,13 +32,13 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = mixing.mix(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "size", "source", "source_size", "target", "epochs", "taken")
+    names = ["doc_id", "size", "source", "source_size", "target", "epochs", "taken"]
+    return contained(spark, "mix", lambda: mixing.mix(table(spark, sf_dir, "documents")).select(names))
 
 
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.when(F.col("quality") == 0, 1).when(F.col("quality").isNotNull(), 0).alias("bad"))
-    return urls.judge(table(spark, sf_dir, "pages"), outcomes, RULES)
+    return contained(spark, "verdicts", lambda: urls.judge(table(spark, sf_dir, "pages"), outcomes, RULES))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +59,7 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    got = contained(spark, "classes", lambda: simhash.near_duplicates(table(spark, sf_dir, "documents")))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
