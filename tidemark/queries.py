@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, store, tables
+from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, store, tables, textindex, vectorindex
 from tidemark.operators.registry import RegistryTable
 from tidemark.plans import ingest, search
 from tidemark.plans.config import FilterRequest, MetadataField, RetrievalConfig, resolve_schema
@@ -229,6 +229,18 @@ def q20_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     return retrieve.vector_topk(table(spark, d, "embeddings"), _VECTOR, 10, "vec_id", by=None).select("vec_id", F.round("score", 6).alias("score"))
 
 
+@query(f"WITH {_SCORED} SELECT vec_id, round(score, 6) AS score FROM scored ORDER BY scored.score DESC, vec_id LIMIT 10")
+def q41_vector_index(spark: SparkSession, d: str) -> DataFrame:
+    """The question of q20 asked of an index, which reads cells until no other can hold a nearer vector."""
+
+    def nearest() -> DataFrame:
+        index = vectorindex.VectorIndex(spark, folder(spark, "vectors"))
+        index.build(table(spark, d, "embeddings"))
+        return index.topk(_VECTOR, 10, "vec_id", exact=True).select("vec_id", F.round("score", 6).alias("score"))
+
+    return contained(spark, "nearest", nearest)
+
+
 @query(f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS n FROM scored) SELECT vec_id, label, round(score, 6) AS score FROM r WHERE n <= 10 ORDER BY r.score DESC, vec_id LIMIT 5")
 def q21_per_repo_topk_merge(spark: SparkSession, d: str) -> DataFrame:
     rows = retrieve.vector_topk(table(spark, d, "embeddings"), _VECTOR, 10, "vec_id", by="label")
@@ -268,6 +280,21 @@ def q25_bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     return got.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(20).select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query(f"WITH {_BM25} SELECT doc_id, round(score, 6) AS score FROM bm WHERE score > 0 ORDER BY round(bm.score, 9) DESC, doc_id LIMIT 20")
+def q40_index_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The question of q25 asked of an inverted index that was written three times: all documents, some with another text; some deleted; both put right again."""
+
+    def ranked() -> DataFrame:
+        docs, index = table(spark, d, "documents").select("doc_id", "text", "source", "lang"), textindex.TextIndex(spark, folder(spark, "index"), buckets=8)
+        index.put(docs.withColumn("text", F.when(F.col("source") == "src1", F.concat(F.lit("stupid the the "), "text")).otherwise(F.col("text"))), "doc_id", "text")
+        index.put(docs.where("false"), "doc_id", "text", gone=docs.where("lang = 'fr'"))
+        index.put(docs.where("lang = 'fr' or source = 'src1'"), "doc_id", "text")
+        return index.topk(" ".join(_TERMS), 60).select(F.col("key").cast("long").alias("doc_id"), "score")
+
+    got = contained(spark, "ranked", ranked)
+    return got.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(20).select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query(f"""WITH {_BM25}, {_SCORED}, w AS (SELECT doc_id, row_number() OVER (ORDER BY s DESC, doc_id) AS r FROM (SELECT doc_id, round(score, 9) AS s FROM bm WHERE score > 0 ORDER BY s DESC, doc_id LIMIT 20)),
 v AS (SELECT vec_id AS doc_id, row_number() OVER (ORDER BY score DESC, vec_id) AS r FROM (SELECT * FROM scored ORDER BY score DESC, vec_id LIMIT 20))
 SELECT coalesce(v.doc_id, w.doc_id) AS doc_id, round(coalesce(0.7 / (60 + v.r), 0) + coalesce((1 - 0.7) / (60 + w.r), 0), 6) AS score FROM v FULL JOIN w ON v.doc_id = w.doc_id""")
