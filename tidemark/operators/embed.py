@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.calls import in_groups
+
 BATCH = 512
 _WORD = re.compile(r"\w+")
 
@@ -43,18 +45,18 @@ class HashingProvider:
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def embed(chunks: DataFrame, provider: Provider, text: str = "text", batch: int = BATCH) -> DataFrame:
-    """Chunks with ``embedding``, in calls of at most ``batch`` texts, order kept; null texts have null."""
+def embed(chunks: DataFrame, provider: Provider, text: str = "text", batch: int = BATCH, concurrency: int = 1, rate: float | None = None) -> DataFrame:
+    """Chunks with ``embedding``, in calls of at most ``batch`` texts, ``concurrency`` of them at once, order kept; null texts have null. A call that fails is made again text by text; a text that fails then fails the job."""
 
     @F.arrow_udf("array<float>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
             texts, out = part.to_pylist(), [None] * len(part)
             known = [i for i, t in enumerate(texts) if t is not None]
-            for s in range(0, len(known), batch):
-                rows = known[s : s + batch]
-                for i, v in zip(rows, provider.embed_documents([texts[i] for i in rows]), strict=True):
-                    out[i] = v
+            for i, (v, error) in zip(known, in_groups([texts[i] for i in known], provider.embed_documents, batch, concurrency, rate), strict=True):
+                if error:
+                    raise error
+                out[i] = v
             yield pa.array(out, pa.list_(pa.float32()))
 
     return chunks.withColumn("embedding", run(F.col(text)))

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import extension, file_name, metadata, prefix, section_path, table_like
 from tidemark.functions.values import ACCESS_FIELDS, SYSTEM_KEYS
+from tidemark.operators.calls import in_groups
 from tidemark.plans.config import MetadataField, RetrievalConfig
 
 
 def standard(rows: DataFrame, job_id: str, ingested_at: Column) -> DataFrame:
     """Fields that every chunk has; a column of the same name that is there already (an extra of the source) stays."""
-    fields = {"job_id": F.lit(job_id), "file_name": file_name(F.col("full_path")), "file_extension": F.substring(extension(file_name(F.col("full_path"))), 2, 1000), "ingested_at": ingested_at}
+    fields = {"job_id": F.lit(job_id), "file_name": file_name(F.col("full_path")), "file_extension": F.substring(extension(file_name(F.col("full_path"))), 2, 2**31 - 1), "ingested_at": ingested_at}
     return rows.withColumns({k: v for k, v in fields.items() if k not in rows.columns})
 
 
@@ -37,10 +38,11 @@ def neighbours(chunks: DataFrame, doc: list[str], index: str = "chunk_index", te
     return chunks.withColumn("window", F.concat_ws("\n\n---\n\n", *around))
 
 
-def contextualise(chunks: DataFrame, model: Callable[[pd.DataFrame], pd.Series], doc: list[str], tables_only: bool = False) -> DataFrame:
+def contextualise(chunks: DataFrame, model: Callable[[pd.DataFrame], pd.Series], doc: list[str], tables_only: bool = False, concurrency: int = 3, batch: int = 16, rate: float | None = None) -> DataFrame:
     """Chunks with a model's sentence in front. model: from rows (section, window, text up to 1,500 characters) to texts or nulls.
 
-    Under 20 characters count as none, 500 are kept; a batch whose call fails keeps its chunks as they are. Only chunks that need it reach the model.
+    Under 20 characters count as none, 500 are kept. A task makes ``concurrency`` calls of ``batch`` rows at once, ``rate`` a second at most; a call that fails is made again row by row, and a row whose
+    call fails keeps its chunk as it is. Only chunks that need it reach the model.
     """
     rows = neighbours(chunks, doc).withColumn("section", section_path(*(F.col(f"h{n}") for n in range(1, 5))))
     wanted = table_like(F.col("text")) if tables_only else F.lit(True)
@@ -48,11 +50,11 @@ def contextualise(chunks: DataFrame, model: Callable[[pd.DataFrame], pd.Series],
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            try:
-                got = model(b[["section", "window"]].assign(text=b["text"].str.slice(0, 1500)))
-            except Exception:  # the hook is foreign code, and a chunk without context is still a chunk
-                got = pd.Series([None] * len(b), index=b.index, dtype=object)
-            yield b.assign(context=got)
+            asked = b[["section", "window"]].assign(text=b["text"].str.slice(0, 1500))
+            parts = lambda some: list(model(asked.iloc[some]))  # noqa: B023, E731  called before the next batch
+            # the hook is foreign code, and a chunk without context is still a chunk
+            got = [x for x, _ in in_groups(list(range(len(b))), parts, batch, concurrency, rate)]
+            yield b.assign(context=pd.Series(got, index=b.index, dtype=object))
 
     said = F.regexp_replace(F.col("context"), r"(?U)^\s+|\s+$", "")
     done = rows.where(wanted).mapInPandas(call, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import file_name, loader, stem
+from tidemark.operators.calls import in_order
 from tidemark.operators.render import records_markdown, row_records_markdown
 from tidemark.sources import office
 
@@ -48,7 +49,7 @@ def title(docs: DataFrame) -> Column:
     return F.coalesce(F.concat(place, F.lit(" — "), extra("primary_key", "document_id")), F.col("source_id"))
 
 
-def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = None, repair: Callable[[str], str] | None = None) -> DataFrame:
+def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = None, repair: Callable[[str], str] | None = None, concurrency: int = 1) -> DataFrame:
     """Documents with loader, markdown, status and error. content: bytes of files; record: JSON of structured ones.
 
     Rows go to the branch of their loader before anything runs, so Python sees office files and PDFs only. No loader, or a PDF without an
@@ -83,7 +84,8 @@ def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = Non
     @F.arrow_udf("markdown string, status string, error string")
     def run(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for kinds, contents, names in parts:
-            got = [parse(*x) for x in zip(kinds.to_pylist(), contents.to_pylist(), names.to_pylist(), strict=True)]
+            # hooks may wait for services; ``parse`` raises nothing
+            got = [x for x, _ in in_order(zip(kinds.to_pylist(), contents.to_pylist(), names.to_pylist(), strict=True), lambda x: parse(*x), concurrency if pdf or ocr or repair else 1)]
             yield pa.array([dict(zip(("markdown", "status", "error"), g, strict=True)) for g in got], pa.struct([(n, pa.string()) for n in ("markdown", "status", "error")]))
 
     office_rows = rows.where("loader in ('xlsx', 'pptx', 'docx', 'pdf')").withColumn("_p", run.asNondeterministic()(F.col("loader"), F.col("content"), stem(file_name(F.col("full_path")))))

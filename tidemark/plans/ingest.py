@@ -37,15 +37,15 @@ class Plan:
 
 def prepare(changed: DataFrame, plan: Plan, job_id: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """(results, chunks) of changed documents: one result a document, whatever happens to it."""
-    loaded = materialize(load.load(changed, plan.pdf, plan.ocr, plan.repair).drop("content").withColumn("markdown", tables.to_prose(F.col("markdown"))), "loaded")
+    loaded = materialize(load.load(changed, plan.pdf, plan.ocr, plan.repair, plan.settings.document_concurrency).drop("content").withColumn("markdown", tables.to_prose(F.col("markdown"))), "loaded")
     blank = ~F.rlike(F.coalesce(F.col("markdown"), F.lit("")), F.lit(r"\S"))
     loaded = loaded.withColumn("status", F.coalesce("status", F.when(blank, "skipped"), F.when(F.col("decision") == "new", "new").otherwise("updated")))
     chunks = chunk.chunk(loaded.where("status in ('new', 'updated')"), "markdown", plan.settings.chunk_size, plan.settings.chunk_overlap)
     if plan.settings.contextual and plan.context:
-        chunks = enrich.contextualise(chunks, plan.context, KEYS, tables_only=plan.settings.contextual_mode == "tables_only")
+        chunks = enrich.contextualise(chunks, plan.context, KEYS, tables_only=plan.settings.contextual_mode == "tables_only", concurrency=plan.settings.contextual_concurrency)
     chunks = enrich.extras(enrich.standard(chunks, job_id, now), plan.extras)
     chunks = enrich.identity(enrich.custom(chunks, plan.schema), plan.retrieval, plan.schema, plan.extras)
-    chunks = embed.embed(chunks, plan.provider, batch=plan.settings.embedding_batch_size)
+    chunks = embed.embed(chunks, plan.provider, batch=plan.settings.embedding_batch_size, concurrency=plan.settings.embedding_concurrency)
     return loaded, chunks.drop("decision", "loader", "status", "error", "record", "change")
 
 
