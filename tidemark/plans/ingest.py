@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunk, delta, embed, enrich, jobs, load, tables
+from tidemark.operators.known import KnownValues
 from tidemark.operators.registry import RegistryTable
 from tidemark.operators.store import ChunkStore
 from tidemark.plans.config import IngestionSettings, MetadataField, RetrievalConfig, merge_settings
@@ -31,6 +32,8 @@ class Plan:
     ocr: load.Ocr | None = None
     repair: Callable[[str], str] | None = None
     context: Callable[[pd.DataFrame], pd.Series] | None = None
+    #: The view of known values that a run keeps up with its chunks.
+    known: KnownValues | None = None
     #: Keys of the source's extra_metadata that become columns (see ``scan.EXTRAS``).
     extras: Sequence[str] = ()
 
@@ -77,7 +80,11 @@ def run(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore,
             table.write(changed.unionByName(left), table.version() + 1)
         else:
             registry = written(delta.mark_deleted(delta.upsert(registry, changed), gone, now), registry_path)
-        store.replace(chunks, gone.unionByName(good.select(*KEYS)), seen)
+        out = gone.unionByName(good.select(*KEYS))
+        before = store.read(plan.tenant, plan.repo, upto=seen) if plan.known else None
+        store.replace(chunks, out, seen)
+        if plan.known:
+            plan.known.update(chunks, None if before is None else before.join(out.distinct(), KEYS, "left_semi"))
     return table.read() if table else registry, stats
 
 

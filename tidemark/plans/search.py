@@ -11,32 +11,34 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import retrieve
 from tidemark.operators.embed import Provider
+from tidemark.operators.known import KnownValues
 from tidemark.plans.config import FilterRequest, RetrievalConfig
 
 KEY = "chunk_key"
 
 
-def _filters(rows: DataFrame, question: str, repos: dict[str, RetrievalConfig], request: FilterRequest) -> Column:
+def _filters(rows: DataFrame, question: str, repos: dict[str, RetrievalConfig], request: FilterRequest, tenant: str, view: KnownValues | None) -> Column:
     """Each repository's own predicate. Known values are looked up only if there is no other scope to extract from."""
     known = {}
     if request.auto_extract and not request.should:
         fields = {f for c in repos.values() for f in c.extractable_fields or c.filterable_fields} & set(rows.columns)
-        known = retrieve.named_values(rows, sorted(fields - set(request.must)), question)
+        asked = sorted(fields - set(request.must))
+        known = view.named(question, asked, tenant, list(repos)) if view else retrieve.named_values(rows, asked, question)
     return reduce(lambda a, b: a | b, [(F.col("repo_id") == r) & retrieve.predicate(request, c, question, known) for r, c in repos.items()])
 
 
 def search(
     chunks: DataFrame, tenant: str, repos: dict[str, RetrievalConfig], question: str, provider: Provider, top_k: int = 10,
-    request: FilterRequest | None = None, scorer: Callable[[pd.DataFrame], list[float]] | None = None,
+    request: FilterRequest | None = None, scorer: Callable[[pd.DataFrame], list[float]] | None = None, known: KnownValues | None = None,
 ) -> DataFrame:
     """The ``top_k`` best chunks with ``chunk_key`` and ``score``; fewer if fewer may answer, none if no repository admits the filters.
 
     Every repository gives twice ``top_k`` candidates. If one of them is hybrid, all scores are reciprocal ranks within their repository, so that they
     compare; else they are cosines. A scorer sees the candidates of ``retrieve.rerank_candidates``; whole texts come back. Ties go by key.
-    chunks: tenant_id, repo_id, source_id, chunk_index, text, embedding, and the fields of the filters.
+    known: the view of known values; without it they are looked for among the chunks. chunks: tenant_id, repo_id, source_id, chunk_index, text, embedding, and the fields of the filters.
     """
     rows = retrieve.scoped(chunks, tenant, list(repos))
-    rows = rows.where(_filters(rows, question, repos, request or FilterRequest()))
+    rows = rows.where(_filters(rows, question, repos, request or FilterRequest(), tenant, known))
     rows = rows.withColumn(KEY, F.concat_ws("\x1f", "repo_id", "source_id", F.lpad(F.col("chunk_index").cast("string"), 10, "0")))
     vector = [float(x) for x in provider.embed_documents([question])[0]]
     near = retrieve.vector_topk(rows, vector, 2 * top_k, KEY)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators import chunk, delta, embed, enrich, jobs, load, render, retrieve, store, tables, textindex, vectorindex
+from tidemark.operators import chunk, delta, embed, enrich, jobs, known, load, render, retrieve, store, tables, textindex, vectorindex
 from tidemark.operators.registry import RegistryTable
 from tidemark.plans import ingest, search
 from tidemark.plans.config import FilterRequest, MetadataField, RetrievalConfig, resolve_schema
@@ -267,6 +267,21 @@ def q24_known_values(spark: SparkSession, d: str) -> DataFrame:
     return retrieve.known_values(documents(spark, d), ["lang", "source"])
 
 
+@query("SELECT DISTINCT 'lang' AS field, lang AS value FROM documents WHERE lang IS NOT NULL UNION ALL SELECT DISTINCT 'source', source FROM documents WHERE source IS NOT NULL")
+def q42_known_values_view(spark: SparkSession, d: str) -> DataFrame:
+    """The values of q24 from a view that has seen more: all documents, those of one language under another name, and their retraction."""
+
+    def values() -> DataFrame:
+        docs, view = documents(spark, d).select("tenant_id", "repo_id", "lang", "source"), known.KnownValues(spark, folder(spark, "known"), ["lang", "source"], fold_every=2)
+        other = docs.where("lang = 'de'").withColumn("lang", F.lit("xx"))
+        view.update(docs.where("lang is null or lang <> 'de'").unionByName(other))
+        view.update(docs.where("lang = 'de'"), other)
+        view.update(other, other)
+        return view.values()
+
+    return contained(spark, "values", values)
+
+
 _TERMS = ("erheble", "stupid", "the", "zu")
 _BM25 = """toks AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM documents),
 tf AS (SELECT doc_id, len(t) AS n, """ + ", ".join(f"len(list_filter(t, lambda x: x = '{t}')) AS f{i}" for i, t in enumerate(_TERMS)) + """ FROM toks),
@@ -449,7 +464,7 @@ def q39_store_after_runs(spark: SparkSession, d: str) -> DataFrame:
     def stored() -> DataFrame:
         base = folder(spark, "runs")
         docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_id"), "doc_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "source", "lang")])
-        held, known = store.ChunkStore(spark, f"{base}/store", checkpoint_every=2), RegistryTable(spark, f"{base}/registry", whole_every=2)
+        held, listed_before = store.ChunkStore(spark, f"{base}/store", checkpoint_every=2), RegistryTable(spark, f"{base}/registry", whole_every=2)
         there = (F.col("source") != "src1", F.col("lang") != "fr", F.col("source") != "src2")
         edited = (F.lit(False), F.col("lang") == "de", F.col("source") == "src3")
         for n, (listed, new) in enumerate(zip(there, edited, strict=True), 1):
@@ -457,16 +472,16 @@ def q39_store_after_runs(spark: SparkSession, d: str) -> DataFrame:
             rows = docs.where(listed).withColumns({"tenant_id": F.lit("t"), "repo_id": F.col("source"), "text": text, "content_hash": C.content_hash(text), "chunk_index": F.lit(0)})
             keys = rows.select(*delta.KEYS, "content_hash")
             seen = held.last()
-            decided = delta.decide(keys, known.rows_of(keys), revive_deleted=True).where("decision <> 'unchanged'")
-            gone = materialize(known.absent(keys, F.lit(True)).select(*delta.KEYS), "gone")
+            decided = delta.decide(keys, listed_before.rows_of(keys), revive_deleted=True).where("decision <> 'unchanged'")
+            gone = materialize(listed_before.absent(keys, F.lit(True)).select(*delta.KEYS), "gone")
             held.replace(rows.join(decided.select(*delta.KEYS), delta.KEYS, "left_semi"), gone, seen)
             kinds = {x.split()[0]: x.split()[1] for x in delta.REGISTRY.split(", ")}
             new_rows = decided.withColumn("status", F.lit("active"))
             new_rows = new_rows.select(*[F.col(c) if c in new_rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()])
-            known.write(new_rows.unionByName(delta.mark_deleted(known.rows_of(gone), gone, F.lit(None).cast("timestamp"))), n)
+            listed_before.write(new_rows.unionByName(delta.mark_deleted(listed_before.rows_of(gone), gone, F.lit(None).cast("timestamp"))), n)
             if n == 2:
                 held.compact()
-        known.close()
+        listed_before.close()
         return held.read().select("source_id", "content_hash", "source")
 
     return contained(spark, "stored", stored)
