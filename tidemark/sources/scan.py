@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import json
 import os
 from collections.abc import Callable, Iterator
@@ -103,10 +105,22 @@ def blobs(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> Dat
     return feed(rows, "file", {"content": F.col("content"), "mime_type": mime_type(name), "source_id": F.concat(F.lit(f"azureblob:{cfg.get('container', '')}:"), rel), "file_name": name, "full_path": F.concat(F.lit("/"), rel), "source_url": F.col("path"), "content_hash": content_hash(F.col("content")), "last_modified_at_source": F.col("modificationTime")})
 
 
+def _quantiles(reader: Callable[[], Any], table: str, column: str, parts: int) -> list[str]:
+    """SQL literals of values that cut a column's rows in ``parts`` of about equal size; fewer where values repeat."""
+    n = reader().option("query", f"SELECT count({column}) AS n FROM {table}").load().first()[0]
+    found = []
+    for i in range(1, parts):
+        at = f"SELECT {column} AS v FROM {table} WHERE {column} IS NOT NULL ORDER BY {column} OFFSET {i * n // parts} ROWS FETCH NEXT 1 ROWS ONLY"
+        found += [r[0] for r in reader().option("query", at).load().collect()]  # one row
+    quoted = lambda v: str(v) if isinstance(v, (int, float, decimal.Decimal)) else f"{{ts '{v}'}}" if isinstance(v, datetime.datetime) else f"{{d '{v}'}}" if isinstance(v, datetime.date) else "'" + str(v).replace("'", "''") + "'"
+    return [quoted(v) for v in dict.fromkeys(found)]
+
+
 def table_rows(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
     """Rows of a table: a DataFrame, a Parquet path, or a JDBC table. Columns and the delta predicate reach the scan.
 
-    A JDBC table is read in ``partitions`` ranges of ``partition_column`` (the key if not given) between the bounds that the database is asked for; 1: by one task, as a key that is no number, date or time needs.
+    A JDBC table is read in ``partitions`` ranges of ``partition_column`` (the key if not given) of about equal numbers of rows: their ends are values that the database is asked for, so neither
+    skewed numbers nor strings make a range larger than its share. Rows without a value are in the first one.
     """
     table, key, delta = cfg["table"], cfg["primary_key"], cfg.get("delta_column")
     if "dataframe" in cfg:
@@ -114,13 +128,15 @@ def table_rows(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -
     elif "path" in cfg:
         rows = spark.read.parquet(cfg["path"])
     else:
-        reader = spark.read.format("jdbc").options(**cfg["jdbc"])
-        if (parts := cfg.get("partitions", 1)) > 1:
-            column = cfg.get("partition_column", key)
-            low, high = reader.option("query", f"SELECT min({column}) AS low, max({column}) AS high FROM {table}").load().first()
-            if low is not None:
-                reader = spark.read.format("jdbc").options(**cfg["jdbc"]).options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
-        rows = reader.option("dbtable", table).load()
+        reader = lambda: spark.read.format("jdbc").options(**cfg["jdbc"])
+        parts, column = cfg.get("partitions", 1), cfg.get("partition_column", key)
+        ends = _quantiles(reader, table, column, parts) if parts > 1 else []
+        if ends:
+            bounds = [f"{column} < {ends[0]} OR {column} IS NULL", *(f"{column} >= {a} AND {column} < {b}" for a, b in zip(ends, ends[1:], strict=False)), f"{column} >= {ends[-1]}"]
+            rest = {k: v for k, v in cfg["jdbc"].items() if k != "url"}
+            rows = spark.read.jdbc(cfg["jdbc"]["url"], table, predicates=bounds, properties=rest)
+        else:
+            rows = reader().option("dbtable", table).load()
     names = list(dict.fromkeys([*(cfg.get("columns") or rows.columns), key, *([delta] if delta else [])]))
     names = [n for n in names if n not in cfg.get("exclude", [])]
     if delta and last_run is not None:
@@ -192,10 +208,10 @@ def drive(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> Dat
 
 
 def paged_records(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
-    """Records of a table behind a paged HTTP interface (see ``paged``). The delta field is asked of the service, so unchanged records are never sent."""
+    """Records of a table behind a paged HTTP interface (see ``paged``). The delta field is asked of the service, so unchanged records are never sent. ``keyset``: by ranges of the key instead of offsets."""
     table, key, delta = cfg["table"], cfg.get("primary_key", "sys_id"), cfg.get("delta_field", "sys_updated_on")
     spark.dataSource.register(PagedSource)
-    options = {"url": cfg["url"], "pagesize": str(cfg.get("page_size", 500)), "headers": json.dumps(cfg.get("headers", {}))}
+    options = {"url": cfg["url"], "pagesize": str(cfg.get("page_size", 500)), "headers": json.dumps(cfg.get("headers", {}))} | ({"key": key, "ranges": str(cfg.get("ranges", 8))} if cfg.get("keyset") else {})
     if last_run is not None:
         options |= {"query": cfg.get("delta_query", "{field}>{value}").format(field=delta, value=last_run)}
     rows = spark.read.format(PagedSource.name()).options(**options).load().select("record", F.get_json_object("record", f"$.{key}").alias("id"), F.get_json_object("record", f"$.{delta}").cast("timestamp").alias("at"))
