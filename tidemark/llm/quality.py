@@ -222,6 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", t
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """Probability of label 1 for each row's whole text, by that text alone. Null and empty texts, and those without a word, have the probability of the bias; repeated rows have equal ones, and no row is dropped. Other columns are ignored."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # one float for each of ROWS, whatever the corpus
 
     @F.arrow_udf("double")
