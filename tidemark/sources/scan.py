@@ -6,6 +6,7 @@ import datetime
 import decimal
 import json
 import os
+from collections import deque
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -17,6 +18,7 @@ from tidemark.functions.columns import content_hash, etag_hash, extension, file_
 from tidemark.functions.values import HIDDEN, MAX_FILE_BYTES, MIME
 from tidemark.sources import drive as drive_service
 from tidemark.sources.paged import PagedSource
+from tidemark.storage import materialize
 
 FEED = ["change", "content_type", "content", "mime_type", "record", "structured_source_type", "source_id", "file_name", "full_path", "source_url", "content_hash", "last_modified_at_source", "extra_metadata"]
 
@@ -42,18 +44,54 @@ def allowed(name: Column, include: list[str], exclude: list[str], hidden: tuple[
 _LISTED = "path string, name string, length long, modified double"
 
 
-def _names(root: str, recursive: bool, wanted: Callable[[str, int], bool]) -> Iterator[tuple[str, str, int, float]]:
-    for folder, below, files in os.walk(root):
-        if not recursive:
-            below.clear()
-        for name in sorted(files):
-            path = os.path.join(folder, name)
-            try:
-                found = os.stat(path)
-            except OSError:
-                continue  # gone since it was listed
-            if wanted(name, found.st_size):
-                yield path, name, found.st_size, found.st_mtime
+#: Names that the driver lists itself; what is below the folders left then is listed by tasks, one level of folders a round.
+DRIVER_NAMES = 10_000
+
+
+def _entries(folder: str, wanted: Callable[[str, int], bool]) -> tuple[list[tuple[str, str, int, float]], list[str]]:
+    """(files, folders) in a folder. Links to files count as files, links to folders as nothing; what can't be read or is gone by now is left out."""
+    files, folders = [], []
+    try:
+        with os.scandir(folder) as found:
+            for x in found:
+                try:
+                    if x.is_dir():
+                        folders += [] if x.is_symlink() else [x.path]
+                    elif wanted(x.name, (of := x.stat()).st_size):
+                        files.append((x.path, x.name, of.st_size, of.st_mtime))
+                except OSError:
+                    continue
+    except OSError:
+        pass
+    return files, folders
+
+
+def _listing(spark: SparkSession, root: str, recursive: bool, wanted: Callable[[str, int], bool]) -> DataFrame:
+    """Files below a folder: by the driver as long as they are few, else level by level in tasks, so that no process holds all names."""
+    files, todo = [], deque([root])
+    while todo and len(files) + len(todo) <= DRIVER_NAMES:
+        own, below = _entries(todo.popleft(), wanted)
+        files += own
+        todo.extend(below if recursive else [])
+    out = spark.createDataFrame(files, _LISTED)
+
+    def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                own, below = _entries(folder, wanted)
+                rows = [(*f, False) for f in own] + [(f, None, None, None, True) for f in below if recursive]
+                for at in range(0, len(rows), DRIVER_NAMES):
+                    part = list(zip(*rows[at : at + DRIVER_NAMES], strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, (pa.string(), pa.string(), pa.int64(), pa.float64(), pa.bool_()), strict=True)], ["path", "name", "length", "modified", "folder"])
+
+    folders = spark.createDataFrame([(f,) for f in todo], "path string")
+    while todo:
+        found = materialize(folders.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(level, f"{_LISTED}, folder boolean"), "listing")
+        out = out.unionByName(found.where("not folder").drop("folder"))
+        folders = found.where("folder").select("path")
+        if folders.isEmpty():
+            break
+    return out
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +108,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def local_files(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None) -> DataFrame:
-    """Files under a folder that driver and executors see. The driver lists names and sizes and filters them; only what is left is opened, in the tasks.
+    """Files under a folder that driver and executors see, listed with sizes and times and filtered first; only what is left is opened, in the tasks.
 
     Names that start with ``.`` or ``~$`` are hidden (``_`` is a name like others); ``max_bytes`` is without limit unless given.
     """
@@ -81,10 +119,10 @@ def local_files(spark: SparkSession, cfg: dict[str, Any], last_run: Any = None)
         ext = f".{name.rpartition('.')[2].lower()}" if "." in name else ""
         return not name.startswith((".", "~$")) and ext not in exclude and (not include or ext in include) and (most is None or size <= most)
 
-    listed = list(_names(root, cfg.get("recursive", True), wanted))
-    files = spark.createDataFrame(listed, _LISTED)
-    if listed:
-        files = files.repartition(min(len(listed), max(spark.sparkContext.defaultParallelism, sum(x[2] for x in listed) >> 26)))
+    files = _listing(spark, root, cfg.get("recursive", True), wanted)
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    if n:
+        files = files.repartition(min(n, max(spark.sparkContext.defaultParallelism, size >> 26)))
     files = files.mapInArrow(_read, f"{_LISTED}, content binary")
     rel = F.substring("path", len(root) + 1, 2**31 - 1)
     return feed(files, "file", {"content": F.col("content"), "mime_type": mime_type(F.col("name")), "source_id": rel, "file_name": F.col("name"), "full_path": rel, "source_url": F.concat(F.lit("file:"), F.col("path")), "content_hash": content_hash(F.col("content")), "last_modified_at_source": F.timestamp_seconds("modified")})
