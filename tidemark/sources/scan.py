@@ -80,8 +80,8 @@ def _listing(spark: SparkSession, root: str, recursive: bool, wanted: Callable[[
             for folder in batch.column(0).to_pylist():
                 own, below = _entries(folder, wanted)
                 rows = [(*f, False) for f in own] + [(f, None, None, None, True) for f in below if recursive]
-                for at in range(0, len(rows), DRIVER_NAMES):
-                    part = list(zip(*rows[at : at + DRIVER_NAMES], strict=True))
+                for at in range(0, len(rows), 4096):
+                    part = list(zip(*rows[at : at + 4096], strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, (pa.string(), pa.string(), pa.int64(), pa.float64(), pa.bool_()), strict=True)], ["path", "name", "length", "modified", "folder"])
 
     folders = spark.createDataFrame([(f,) for f in todo], "path string")
