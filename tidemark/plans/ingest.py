@@ -14,7 +14,7 @@ from tidemark.operators.known import KnownValues
 from tidemark.operators.registry import RegistryTable
 from tidemark.operators.store import ChunkStore
 from tidemark.plans.config import IngestionSettings, MetadataField, RetrievalConfig, merge_settings
-from tidemark.storage import fresh, materialize, scratch, written
+from tidemark.storage import folder, materialize, scratch, written
 
 KEYS = delta.KEYS
 
@@ -72,7 +72,7 @@ def run(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore,
     fails in this run and is changed for the next one. Intermediate tables are gone when this returns.
     """
     spark, table = feed.sparkSession, registry if isinstance(registry, RegistryTable) else None
-    registry_path, stats_path = fresh(spark, "registry"), fresh(spark, "stats")
+    registry_path, stats_path = folder(spark, "registry"), folder(spark, "stats")
     with scratch(spark):
         changed, gone, stats, seen, chunks, good = _decided(feed, registry, store, plan, job_id, now, full_listing, native_deletes, stats_path)
         if table:
