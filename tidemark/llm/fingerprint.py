@@ -50,7 +50,7 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 
 
 #: Bytes or names that one numpy step of parsing holds; on either side of a step, more than a cut depends on.
-PIECE, MARGIN = 1 << 20, 16
+PIECE, MARGIN = 3 << 20, 16
 
 
 def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -237,10 +237,13 @@ def sketches(texts: list[bytes], k: int = K) -> list[str]:
         before = at - int(np.searchsorted(key, part[0]))
         nth[part == part[0]] += before
         h = _scramble((part & 0xFFFFFFFF).astype(np.uint64) + (nth.astype(np.uint64) << np.uint64(32))) >> np.uint64(32)
-        both = np.unique(np.concatenate([least, (part >> 32) << 32 | h.astype(np.int64)]))
+        both = np.concatenate([least, (part >> 32) << 32 | h.astype(np.int64)])
+        both.sort()
+        both = both[np.r_[True, both[1:] != both[:-1]]]
         # the smallest of each document are enough to go on with
-        own = np.searchsorted(both >> 32, both >> 32)
-        least = both[np.arange(len(both)) - own < k]
+        new = np.r_[True, (both[1:] ^ both[:-1]) >> 32 != 0]
+        place = np.arange(len(both))
+        least = both[place - np.maximum.accumulate(np.where(new, place, 0)) < k]
     d = least >> 32
     bounds = np.searchsorted(d, np.arange(len(texts) + 1))
     h = (least & 0xFFFFFFFF).astype(">u4")
