@@ -106,8 +106,8 @@ def merged(candidates: DataFrame, k: int, key: str) -> DataFrame:
     return candidates.orderBy(F.desc("score"), key).limit(k)
 
 
-def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(key, score) of the best ``k`` by Okapi BM25. Terms are runs of letters and digits of any script, without regard to case.
+def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1: float = 1.2, b: float = 0.75, by: str | None = None) -> DataFrame:
+    """(key, score) of the best ``k`` by Okapi BM25; with ``by``, (by, key, score) of each of its values, with that value's own statistics, in the same pass. Terms are runs of letters and digits of any script, without regard to case.
 
     Documents are reduced to counts of the query's few terms where they lie, once; these counts are written, as totals and scores both need them, and nothing else moves.
     """
@@ -116,24 +116,37 @@ def bm25(docs: DataFrame, query: str, k: int, key: str, text: str = "text", k1:
     own = r"[\p{L}\p{N}]"
     count = lambda t: F.when(F.contains(low, F.lit(t)), F.regexp_count(low, F.lit(f"(?<!{own}){t}(?!{own})"))).otherwise(0)
 
+    own_by = [by] if by else []
+
     def best() -> DataFrame:
-        rows = materialize(docs.select(key, F.regexp_count(low, F.lit(f"{own}+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]), "terms")
-        totals = rows.agg(F.count("*").alias("docs"), F.avg("_len").alias("length"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"d{i}") for i in range(len(terms))]).first()
+        rows = materialize(docs.select(*own_by, key, F.regexp_count(low, F.lit(f"{own}+")).alias("_len"), *[count(t).alias(f"_f{i}") for i, t in enumerate(terms)]), "terms")
+        totals = rows.groupBy(*own_by).agg(F.count("*").alias("_docs"), F.avg("_len").alias("_length"), *[F.count_if(F.col(f"_f{i}") > 0).alias(f"_d{i}") for i in range(len(terms))])
+        if by:
+            # a row for each value, as many as a question has repositories
+            rows = rows.join(F.broadcast(totals), by)
+            known = {n: F.col(n) for n in totals.columns}
+        else:
+            known = {n: F.lit(v) for n, v in totals.first().asDict().items()}
         score = F.lit(0.0)
         for i in range(len(terms)):
-            idf = F.log(F.lit(1 + (totals["docs"] - totals[f"d{i}"] + 0.5) / (totals[f"d{i}"] + 0.5)))
+            idf = F.log(1 + (known["_docs"] - known[f"_d{i}"] + 0.5) / (known[f"_d{i}"] + 0.5))
             f = F.col(f"_f{i}")
-            score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / max(totals["length"] or 0.0, 1e-9)))
-        return rows.select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)
+            score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_len") / F.greatest(F.coalesce(known["_length"], F.lit(0.0)), F.lit(1e-9))))
+        found = rows.select(*own_by, key, score.alias("score")).where("score > 0")
+        if not by:
+            return found.orderBy(F.desc("score"), key).limit(k)
+        order = Window.partitionBy(by).orderBy(F.desc("score"), key)
+        return found.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n")
 
     return contained(spark, "ranked", best)
 
 
-def fuse(vectors: DataFrame, words: DataFrame, key: str, alpha: float = 0.7) -> DataFrame:
-    """(key, score): reciprocal rank fusion of two top-k lists (key, score). Both are as short as their k."""
-    ranked = lambda d, n: d.select(key, F.row_number().over(Window.orderBy(F.desc("score"), key)).alias(n))
+def fuse(vectors: DataFrame, words: DataFrame, key: str, alpha: float | Column = 0.7, by: str | None = None) -> DataFrame:
+    """(key, score): reciprocal rank fusion of two top-k lists (key, score), of each value of ``by`` if given. Both are as short as their k; alpha: the share of the vectors, a number or by ``by``."""
+    own, weight = [by] if by else [], alpha if isinstance(alpha, Column) else F.lit(alpha)
+    ranked = lambda d, n: d.select(*own, key, F.row_number().over(Window.partitionBy(*own).orderBy(F.desc("score"), key)).alias(n))
     part = lambda r, w: F.coalesce(w / (RRF + F.col(r)), F.lit(0.0))
-    return ranked(vectors, "_v").join(ranked(words, "_w"), key, "full").select(key, (part("_v", alpha) + part("_w", 1 - alpha)).alias("score"))
+    return ranked(vectors, "_v").join(ranked(words, "_w"), [*own, key], "full").select(key, (part("_v", weight) + part("_w", 1 - weight)).alias("score"))
 
 
 def rerank_candidates(rows: DataFrame, top_k: int, key: str, text: str = "text") -> DataFrame:

@@ -43,12 +43,10 @@ def search(
     vector = [float(x) for x in provider.embed_documents([question])[0]]
     near = retrieve.vector_topk(rows, vector, 2 * top_k, KEY)
     if any(c.hybrid_enabled for c in repos.values()):
-        parts = []
-        for r, c in repos.items():
-            v = near.where(F.col("repo_id") == r).select(KEY, "score")
-            words = retrieve.bm25(rows.where(F.col("repo_id") == r), question, 2 * top_k, KEY) if c.hybrid_enabled else v.where("false")
-            parts.append(retrieve.fuse(v, words, KEY, c.hybrid_alpha if c.hybrid_enabled else 1.0))
-        near = reduce(DataFrame.unionByName, parts)
+        hybrid = [r for r, c in repos.items() if c.hybrid_enabled]
+        words = retrieve.bm25(rows.where(F.col("repo_id").isin(*hybrid)), question, 2 * top_k, KEY, by="repo_id")
+        share = reduce(lambda a, r: a.when(F.col("repo_id") == r, F.lit(float(repos[r].hybrid_alpha))), hybrid, F).otherwise(F.lit(1.0))
+        near = retrieve.fuse(near.select("repo_id", KEY, "score"), words, KEY, share, by="repo_id")
     best = retrieve.merged(near.select(KEY, "score"), max(min(max(3 * top_k, 20), 30), top_k) if scorer else top_k, KEY)
     # the list is as short as the limit above
     found = rows.drop("score").join(F.broadcast(best), KEY)
