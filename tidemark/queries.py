@@ -426,6 +426,26 @@ def q37_search(spark: SparkSession, d: str) -> DataFrame:
     return found.select("vec_id", "repo_id", F.round("score", 6).alias("score"), F.length("text").cast("long").alias("n_chars"))
 
 
+_WORD_COUNTS = ", ".join(f"len(list_filter(t, lambda x: x = '{t}')) AS f{i}" for i, t in enumerate(_TERMS))
+_HOLDERS = ", ".join(f"count(*) FILTER (f{i} > 0) AS d{i}" for i in range(len(_TERMS)))
+_SUM = " + ".join(f"ln(1 + (nn - d{i} + 0.5) / (d{i} + 0.5)) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * n / av))" for i in range(len(_TERMS)))
+
+
+@query(f"""WITH {_SCORED}, t AS (SELECT vec_id, 'r' || label::VARCHAR AS repo_id, score, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS t FROM scored LEFT JOIN documents ON doc_id = vec_id WHERE label IN (0, 1, 2)),
+tf AS (SELECT vec_id, repo_id, score, len(t) AS n, {_WORD_COUNTS} FROM t), tot AS (SELECT repo_id, count(*) AS nn, avg(n) AS av, {_HOLDERS} FROM tf GROUP BY repo_id),
+bm AS (SELECT vec_id, repo_id, {_SUM} AS bm FROM tf JOIN tot USING (repo_id) WHERE repo_id <> 'r2'),
+v AS (SELECT vec_id, repo_id, row_number() OVER (PARTITION BY repo_id ORDER BY score DESC, vec_id::VARCHAR) AS r FROM t QUALIFY r <= 10),
+w AS (SELECT vec_id, repo_id, row_number() OVER (PARTITION BY repo_id ORDER BY bm DESC, vec_id::VARCHAR) AS r FROM bm WHERE bm > 0 QUALIFY r <= 10),
+f AS (SELECT vec_id, repo_id, CASE WHEN repo_id = 'r2' THEN coalesce(1.0 / (60 + v.r), 0) ELSE coalesce(0.7 / (60 + v.r), 0) + coalesce((1 - 0.7) / (60 + w.r), 0) END AS score FROM v FULL JOIN w USING (vec_id, repo_id))
+SELECT vec_id, repo_id, round(score, 6) AS score FROM f ORDER BY round(f.score, 12) DESC, repo_id, vec_id::VARCHAR LIMIT 5""")
+def q43_hybrid_search(spark: SparkSession, d: str) -> DataFrame:
+    """A question with words over three repositories, two of them hybrid: each with its own statistics and ranks, fused, then merged."""
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    chunks = table(spark, d, "embeddings").join(texts, "vec_id", "left").select("vec_id", F.lit("t").alias("tenant_id"), F.concat(F.lit("r"), F.col("label").cast("string")).alias("repo_id"), F.col("vec_id").cast("string").alias("source_id"), F.lit(0).alias("chunk_index"), "text", "embedding")
+    found = search.search(chunks, "t", {f"r{n}": RetrievalConfig(hybrid_enabled=n < 2) for n in range(3)}, " ".join(_TERMS), _Question(), 5)
+    return found.select("vec_id", "repo_id", F.round("score", 6).alias("score"))
+
+
 @query(f"""WITH {_DOCS}, known AS (SELECT doc_id::VARCHAR AS source_id, CASE WHEN doc_id % 10 = 1 THEN 'stale' ELSE content_hash END AS content_hash, 'active' AS status FROM docs WHERE doc_id % 10 <> 0
   UNION ALL SELECT (doc_id + 1000000)::VARCHAR, 'ghost', CASE WHEN doc_id % 40 = 3 THEN 'deleted' ELSE 'active' END FROM docs WHERE doc_id % 20 = 3),
 seen AS (SELECT source_id, content_hash, regexp_matches(coalesce(text, ''), '\\S') AS filled FROM docs)
