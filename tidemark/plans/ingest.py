@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import chunk, delta, embed, enrich, jobs, load, tables
+from tidemark.operators import chunk, delta, embed, enrich, jobs, load, notify, tables
 from tidemark.operators.known import KnownValues
 from tidemark.operators.registry import RegistryTable
 from tidemark.operators.store import ChunkStore
@@ -36,6 +37,10 @@ class Plan:
     known: KnownValues | None = None
     #: Keys of the source's extra_metadata that become columns (see ``scan.EXTRAS``).
     extras: Sequence[str] = ()
+    #: Where a run puts its messages for the channels of its repository (rows as of ``notify.CHANNEL``).
+    outbox: notify.Outbox | None = None
+    channels: DataFrame | None = None
+    trigger: str = "manual"
 
 
 def prepare(changed: DataFrame, plan: Plan, job_id: str, now: Column) -> tuple[DataFrame, DataFrame]:
@@ -71,10 +76,10 @@ def run(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore,
     A registry given as a table gets a version of the rows that changed; one given as rows comes back whole. The feed is read for keys and hashes first; contents are read again, and written, of changed documents only. A document that changes between the two readings
     fails in this run and is changed for the next one. Intermediate tables are gone when this returns.
     """
-    spark, table = feed.sparkSession, registry if isinstance(registry, RegistryTable) else None
+    spark, table, began = feed.sparkSession, registry if isinstance(registry, RegistryTable) else None, time.time()
     registry_path, stats_path = folder(spark, "registry"), folder(spark, "stats")
     with scratch(spark):
-        changed, gone, stats, seen, chunks, good = _decided(feed, registry, store, plan, job_id, now, full_listing, native_deletes, stats_path)
+        changed, gone, stats, seen, chunks, good, documents = _decided(feed, registry, store, plan, job_id, now, full_listing, native_deletes, stats_path)
         if table:
             left = delta.mark_deleted(table.rows_of(gone), gone, now)
             table.write(changed.unionByName(left), table.version() + 1)
@@ -85,11 +90,22 @@ def run(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore,
         store.replace(chunks, out, seen)
         if plan.known:
             plan.known.update(chunks, None if before is None else before.join(out.distinct(), KEYS, "left_semi"))
+        if plan.outbox:
+            _notify(plan, stats, documents, job_id, began)
     return table.read() if table else registry, stats
 
 
-def _decided(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool, native_deletes: bool, stats_path: str) -> tuple[DataFrame, DataFrame, DataFrame, int, DataFrame, DataFrame]:
-    """(rows for the registry, keys that go, statistics, the store's number, chunks, documents ingested)."""
+def _notify(plan: Plan, stats: DataFrame, documents: DataFrame | None, job_id: str, began: float) -> None:
+    """Messages of a run that is over, or failed, to its outbox; posting them is not part of the run."""
+    if plan.outbox is None or plan.channels is None:
+        return
+    job = {"tenant_id": F.lit(plan.tenant), "repo_id": F.lit(plan.repo), "job_id": F.lit(job_id)}
+    row = stats.withColumns(job | {"trigger": F.lit(plan.trigger), "started_at": F.timestamp_seconds(F.lit(began)), "completed_at": F.timestamp_seconds(F.lit(time.time()))})
+    plan.outbox.put(notify.messages(row, plan.channels, None if documents is None else documents.withColumns(job)))
+
+
+def _decided(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool, native_deletes: bool, stats_path: str) -> tuple[DataFrame, DataFrame, DataFrame, int, DataFrame, DataFrame, DataFrame]:
+    """(rows for the registry, keys that go, statistics, the store's number, chunks, documents ingested, what a notification lists)."""
     feed = feed.withColumns({"tenant_id": F.lit(plan.tenant), "repo_id": F.lit(plan.repo)})
     own = (F.col("tenant_id") == plan.tenant) & (F.col("repo_id") == plan.repo)
     seen = store.last()
@@ -119,12 +135,19 @@ def _decided(feed: DataFrame, registry: DataFrame | RegistryTable, store: ChunkS
     results = loaded.select(*KEYS, "full_path", "status").unionByName(lost).join(counts, KEYS, "left").join(old, KEYS, "left").unionByName(unchanged, allowMissingColumns=True).na.fill(0, ["chunks_created", "chunks_deleted"])
     stats = written(jobs.stats(results, gone.join(old, KEYS, "left").na.fill(0, ["chunks_deleted"])), stats_path)
     rows = good.join(counts, KEYS, "left").select(*KEYS, F.lit(job_id).alias("job_id"), "file_name", "full_path", "source_url", "mime_type", "content_hash", "last_modified_at_source", now.alias("last_ingested_at"), F.coalesce("chunks_created", F.lit(0)).alias("chunk_count"), F.lit("active").alias("status"))
-    return materialize(rows, "rows"), gone, stats, seen, chunks, good
+    documents = loaded.select("source_id", "full_path", "status", "error").unionByName(lost.select("source_id", "full_path", "status", F.lit("changed while it was read").alias("error")))
+    if plan.outbox:
+        paths = gone.join(mine.select(*KEYS, "full_path"), KEYS, "left").select("source_id", "full_path", F.lit("deleted").alias("status"), F.lit(None).cast("string").alias("error"))
+        documents = materialize(documents.unionByName(paths), "documents")
+    return materialize(rows, "rows"), gone, stats, seen, chunks, good, documents
 
 
 def run_job(feed: Callable[[], DataFrame], registry: DataFrame | RegistryTable, store: ChunkStore, plan: Plan, job_id: str, now: Column, full_listing: bool = True, native_deletes: bool = False) -> tuple[DataFrame, DataFrame]:
     """``run`` as a job: an error of the source or of the run itself leaves registry and store as they were and makes a statistics row with status ``failed``."""
+    began = time.time()
     try:
         return run(feed(), registry, store, plan, job_id, now, full_listing, native_deletes)
     except Exception as e:  # whatever stops a job is its outcome
-        return registry.read() if isinstance(registry, RegistryTable) else registry, jobs.failed(store.spark, f"{type(e).__name__}: {e}")
+        stats = jobs.failed(store.spark, f"{type(e).__name__}: {e}")
+        _notify(plan, stats, None, job_id, began)
+        return registry.read() if isinstance(registry, RegistryTable) else registry, stats

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators import chunk, delta, embed, enrich, jobs, known, load, render, retrieve, store, tables, textindex, vectorindex
+from tidemark.operators import chunk, delta, embed, enrich, jobs, known, load, notify, render, retrieve, store, tables, textindex, vectorindex
 from tidemark.operators.registry import RegistryTable
 from tidemark.plans import ingest, search
 from tidemark.plans.config import FilterRequest, MetadataField, RetrievalConfig, resolve_schema
@@ -341,6 +341,39 @@ def q29_notify_predicate(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("repo_id", on("on_failure").alias("on_failure"), on("on_change").alias("on_change"), on().alias("always"))
 
 
+_HOOK_KEY = b"not a secret"
+_PADDED = {n: bytes(b ^ n for b in _HOOK_KEY.ljust(64, b"\0")).hex() for n in (0x36, 0x5C)}
+_COUNTS = ["documents_scanned", "documents_new", "documents_updated", "documents_skipped", "documents_deleted", "documents_failed", "chunks_created", "chunks_deleted"]
+_BODY = " || ',' || ".join(f"""'"{c}":' || {c}""" for c in _COUNTS)
+_DIGEST = "count(*)::BIGINT AS n, sum(('0x' || substr(md5(entry), 1, 8))::BIGINT)::VARCHAR AS digest"
+
+
+@query(f"""{_STATS}, bodies AS (SELECT repo_id, '{{"event":"ingestion.completed","tenant_id":"all","repo_id":"' || repo_id || '","job_id":"job-1","trigger":"manual","status":"' || status
+    || '","started_at":"2024-01-01T00:00:00Z","completed_at":"2024-01-01T00:01:30Z","duration_seconds":90,"summary":{{' || {_BODY} || '}}}}' AS body FROM stats WHERE repo_id IS NOT NULL),
+  listed AS (SELECT repo_id, CASE status WHEN 'failed' THEN 'errors' ELSE status END AS kind, CASE status WHEN 'failed' THEN full_path || ': ' || error ELSE full_path END AS entry FROM results WHERE status <> 'skipped'
+    UNION ALL SELECT r.repo_id, 'deleted', r.source_id FROM registry r ANTI JOIN docs d USING (tenant_id, repo_id, source_id) WHERE status = 'active')
+SELECT repo_id, 'signature' AS kind, 1::BIGINT AS n, sha256(unhex('{_PADDED[0x5C]}') || unhex(sha256(unhex('{_PADDED[0x36]}') || encode(body)))) AS digest FROM bodies
+UNION ALL SELECT repo_id, kind, {_DIGEST} FROM listed WHERE repo_id IS NOT NULL AND repo_id IN (SELECT repo_id FROM stats WHERE documents_failed > 0) GROUP BY repo_id, kind""")
+def q44_notifications(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of a job of each repository: the signed summary, and what all parts of the full ones list."""
+    results, gone = _results(spark, d)
+    job = {"tenant_id": F.lit("all"), "job_id": F.lit("job-1")}
+    at = lambda t: F.lit(t).cast("timestamp")
+    stats = jobs.stats(results, gone, by=["repo_id"]).withColumns(job | {"trigger": F.lit("manual"), "started_at": at("2024-01-01 00:00:00"), "completed_at": at("2024-01-01 00:01:30")})
+    listed = results.select("repo_id", "source_id", "full_path", "status", "error").unionByName(gone.select("repo_id", "source_id", F.col("source_id").alias("full_path"), F.lit("deleted").alias("status"), F.lit(None).cast("string").alias("error")))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("detail"), F.array(*map(F.lit, t)).cast("array<string>").alias("triggers"), F.lit(s).alias("secret")) for k, t, s in (("summary", [], _HOOK_KEY), ("full", ["on_failure"], None))]))
+    channels = stats.select("tenant_id", "repo_id", F.concat(F.lit("https://hooks.example/"), F.col("repo_id")).alias("url"), kinds.alias("c")).select("tenant_id", "repo_id", "url", "c.*")
+    got = notify.messages(stats, channels, listed.withColumns(job), listed=50)
+    names = "new array<string>, updated array<string>, deleted array<string>, errors array<struct<file: string, error: string>>"
+    body = got.select("signature", F.from_json("body", f"repo_id string, documents struct<{names.replace(' array', ': array')}>").alias("b")).select("signature", "b.*")
+    signed = body.where("signature is not null").select("repo_id", F.lit("signature").alias("kind"), F.lit(1).cast("long").alias("n"), F.col("signature").alias("digest"))
+    errors = F.transform("documents.errors", lambda e: F.concat(e.file, F.lit(": "), e.error))
+    entries = F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in ("new", "updated", "deleted", "errors")]), F.array("documents.new", "documents.updated", "documents.deleted", errors))).alias("kind", "entries")
+    entries = body.where("signature is null").select("repo_id", entries).select("repo_id", "kind", F.explode("entries").alias("entry"))
+    number = F.conv(F.substring(F.md5("entry"), 1, 8), 16, 10).cast("long")
+    return signed.unionByName(entries.groupBy("repo_id", "kind").agg(F.count("*").alias("n"), F.sum(number).cast("string").alias("digest")))
+
+
 @query(f"WITH {_DOCS} SELECT 'promoted' AS place, doc_id FROM docs WHERE tenant_id = 't1' AND repo_id = 'src1' UNION ALL SELECT 'shared', doc_id FROM docs WHERE NOT (tenant_id = 't1' AND repo_id = 'src1')")
 def q30_promotion(spark: SparkSession, d: str) -> DataFrame:
     def promoted() -> DataFrame:
