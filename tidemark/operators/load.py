@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +19,9 @@ PdfExtractor = Callable[[bytes], list[str]]
 #: Page images that hold too little text, to their texts.
 Ocr = Callable[[bytes, int], str]
 SPARSE_CHARS, SPARSE_SHARE, OCR_PAGES = 50, 0.5, 30
+#: Images of a file in the order of their places.
+IMAGES = "array<struct<place: int, label: string, otherwise: string, sha: string, content: binary>>"
+_IMAGES = pa.list_(pa.struct([("place", pa.int32()), ("label", pa.string()), ("otherwise", pa.string()), ("sha", pa.string()), ("content", pa.binary())]))
 
 
 def is_scanned(chars: list[int]) -> bool:
@@ -49,12 +53,14 @@ def title(docs: DataFrame) -> Column:
     return F.coalesce(F.concat(place, F.lit(" — "), extra("primary_key", "document_id")), F.col("source_id"))
 
 
-def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = None, repair: Callable[[str], str] | None = None, concurrency: int = 1) -> DataFrame:
+def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = None, repair: Callable[[str], str] | None = None, concurrency: int = 1, images: bool = False) -> DataFrame:
     """Documents with loader, markdown, status and error. content: bytes of files; record: JSON of structured ones.
 
     Rows go to the branch of their loader before anything runs, so Python sees office files and PDFs only. No loader, or a PDF without an
-    extractor: skipped. No text, or a broken file: failed, with the reason.
+    extractor: skipped. No text, or a broken file: failed, with the reason. images: slides and documents have a column ``images`` more, for ``images.described``.
     """
+    kinds_ = "markdown string, status string, error string" + (f", images {IMAGES}" if images else "")
+    more = {"images": F.lit(None).cast(IMAGES)} if images else {}
     rows = with_loader(docs)
     none = F.lit(None).cast("string")
     text = rows.where("loader = 'text'").withColumns({"markdown": decode(F.col("content")), "error": none})
@@ -62,14 +68,20 @@ def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = Non
     flat = records[0].unionByName(records[1]).withColumn("error", F.when(F.col("markdown").isNull(), "no fields"))
     lost = rows.where("loader is null").withColumns({"markdown": none, "error": none})
 
-    def parse(kind: str, content: bytes, name: str) -> tuple[str | None, str | None, str | None]:
+    def parse(kind: str, content: bytes, name: str) -> tuple[str | None, str | None, str | None, list[dict]]:
+        found: list[office.Image] | None = [] if images else None
+        got = markdown(kind, content, name, found)
+        numbered = enumerate(found or ()) if got[0] is not None else ()
+        return *got, [{"place": i, "label": x.label, "otherwise": x.otherwise, "sha": hashlib.sha256(x.content).hexdigest() if x.content else None, "content": x.content or None} for i, x in numbered]
+
+    def markdown(kind: str, content: bytes, name: str, found: list[office.Image] | None) -> tuple[str | None, str | None, str | None]:
         try:
             if kind == "xlsx":
                 return office.workbook(content, name), None, None
             if kind == "pptx":
-                return office.slides(content), None, None
+                return office.slides(content, found), None, None
             if kind == "docx":
-                got, complex_ = office.document(content)
+                got, complex_ = office.document(content, found)
                 return (repair(got) if complex_ and repair else got), None, None
             if pdf is None:
                 return None, "skipped", None
@@ -81,14 +93,15 @@ def load(docs: DataFrame, pdf: PdfExtractor | None = None, ocr: Ocr | None = Non
         except Exception as e:  # any broken file is a failed row
             return None, "failed", f"{type(e).__name__}: {e}"
 
-    @F.arrow_udf("markdown string, status string, error string")
+    @F.arrow_udf(kinds_)
     def run(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for kinds, contents, names in parts:
             # hooks may wait for services; ``parse`` raises nothing
             got = [x for x, _ in in_order(zip(kinds.to_pylist(), contents.to_pylist(), names.to_pylist(), strict=True), lambda x: parse(*x), concurrency if pdf or ocr or repair else 1)]
-            yield pa.array([dict(zip(("markdown", "status", "error"), g, strict=True)) for g in got], pa.struct([(n, pa.string()) for n in ("markdown", "status", "error")]))
+            names = ["markdown", "status", "error", *(["images"] if images else [])]
+            yield pa.array([dict(zip(names, g[: len(names)], strict=True)) for g in got], pa.struct([(n, pa.string() if n != "images" else _IMAGES) for n in names]))
 
     office_rows = rows.where("loader in ('xlsx', 'pptx', 'docx', 'pdf')").withColumn("_p", run.asNondeterministic()(F.col("loader"), F.col("content"), stem(file_name(F.col("full_path")))))
-    office_rows = office_rows.withColumns({"status": F.col("_p.status"), "markdown": F.col("_p.markdown"), "error": F.col("_p.error")}).drop("_p")
-    done = text.unionByName(flat).unionByName(lost).unionByName(office_rows)
+    office_rows = office_rows.withColumns({"status": F.col("_p.status"), "markdown": F.col("_p.markdown"), "error": F.col("_p.error")} | ({"images": F.col("_p.images")} if images else {})).drop("_p")
+    done = text.unionByName(flat).unionByName(lost).withColumns(more).unionByName(office_rows) if images else text.unionByName(flat).unionByName(lost).unionByName(office_rows)
     return done.withColumn("status", F.when(F.col("error").isNotNull(), "failed").otherwise(F.col("status")))

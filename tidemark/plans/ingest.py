@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import chunk, delta, embed, enrich, jobs, load, notify, tables
+from tidemark.operators import chunk, delta, embed, enrich, images, jobs, load, notify, tables
 from tidemark.operators.known import KnownValues
 from tidemark.operators.registry import RegistryTable
 from tidemark.operators.store import ChunkStore
@@ -28,10 +28,11 @@ class Plan:
     schema: list[MetadataField] = field(default_factory=list)
     retrieval: RetrievalConfig = field(default_factory=RetrievalConfig)
     provider: embed.Provider = field(default_factory=embed.HashingProvider)
-    #: Hooks: PDF pages, their OCR, repair of complex documents, a model's sentence for a chunk (used where the settings ask for it).
+    #: Hooks: PDF pages, their OCR, repair of complex documents, descriptions of images, a model's sentence for a chunk (used where the settings ask for it).
     pdf: load.PdfExtractor | None = None
     ocr: load.Ocr | None = None
     repair: Callable[[str], str] | None = None
+    describe: images.Describe | None = None
     context: Callable[[pd.DataFrame], pd.Series] | None = None
     #: The view of known values that a run keeps up with its chunks.
     known: KnownValues | None = None
@@ -45,7 +46,9 @@ class Plan:
 
 def prepare(changed: DataFrame, plan: Plan, job_id: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """(results, chunks) of changed documents: one result a document, whatever happens to it."""
-    loaded = materialize(load.load(changed, plan.pdf, plan.ocr, plan.repair, plan.settings.document_concurrency).drop("content").withColumn("markdown", tables.to_prose(F.col("markdown"))), "loaded")
+    loaded = materialize(load.load(changed, plan.pdf, plan.ocr, plan.repair, plan.settings.document_concurrency, bool(plan.describe)).drop("content").withColumn("markdown", tables.to_prose(F.col("markdown"))), "loaded")
+    if plan.describe:
+        loaded = materialize(images.described(loaded, KEYS, plan.describe, plan.settings.document_concurrency), "loaded")
     blank = ~F.rlike(F.coalesce(F.col("markdown"), F.lit("")), F.lit(r"\S"))
     loaded = loaded.withColumn("status", F.coalesce("status", F.when(blank, "skipped"), F.when(F.col("decision") == "new", "new").otherwise("updated")))
     chunks = chunk.chunk(loaded.where("status in ('new', 'updated')"), "markdown", plan.settings.chunk_size, plan.settings.chunk_overlap)
