@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators import images, load
+from tidemark.operators import embed, images, load
+from tidemark.plans.ingest import Plan, prepare
 from tidemark.sources import office
 
 REL = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
@@ -78,3 +79,12 @@ def test_limits_of_size_and_numbers():
     found = []
     text = office.slides(deck([b"x" * 2048, b"x" * 2047]), found)
     assert [x.content is not None for x in found] == [True, False] and text.endswith("\0" + "0\0\n\0" + "1\0")
+
+
+def test_ingestion_uses_the_hook(spark, docs):
+    more = {"tenant_id": F.lit("t"), "repo_id": F.lit("r"), "decision": F.lit("new"), "change": F.lit("upsert"), "file_name": F.element_at(F.split("full_path", "/"), -1), "source_url": F.lit(None).cast("string"), "content_hash": F.lit("h"), "last_modified_at_source": F.lit("2024-01-01").cast("timestamp")}
+    plan = Plan("t", "r", provider=embed.HashingProvider(dimensions=4), describe=lambda b: f"shows {len(b)}")
+    loaded, chunks = prepare(docs.withColumns(more), plan, "j", F.lit("2024-01-01").cast("timestamp"))
+    assert {r.source_id: r.status for r in loaded.collect()} == {"deck": "new", "letter": "new", "plain": "new", "broken": "failed", "text": "new"}
+    text = "\n".join(str(r.asDict()) for r in chunks.where("source_id = 'deck'").collect())
+    assert "**[Image 1, Slide 1]**: shows 3004" in text and "\0" not in text and "images" not in chunks.columns
