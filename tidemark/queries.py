@@ -356,10 +356,18 @@ SELECT repo_id, 'signature' AS kind, 1::BIGINT AS n, sha256(unhex('{_PADDED[0x5C
 UNION ALL SELECT repo_id, kind, {_DIGEST} FROM listed WHERE repo_id IS NOT NULL AND repo_id IN (SELECT repo_id FROM stats WHERE documents_failed > 0) GROUP BY repo_id, kind""")
 def q44_notifications(spark: SparkSession, d: str) -> DataFrame:
     """Messages of a job of each repository: the signed summary, and what all parts of the full ones list."""
+    return contained(spark, "notifications", lambda: _notifications(spark, d))
+
+
+def _notifications(spark: SparkSession, d: str) -> DataFrame:
     results, gone = _results(spark, d)
+    # read for the statistics, the number of parts and the lists
+    results = materialize(results.select("repo_id", "source_id", "full_path", "status", "chunks_created", "chunks_deleted", "error"), "results")
+    gone = materialize(gone.select("repo_id", "source_id", "chunks_deleted"), "gone")
     job = {"tenant_id": F.lit("all"), "job_id": F.lit("job-1")}
     at = lambda t: F.lit(t).cast("timestamp")
     stats = jobs.stats(results, gone, by=["repo_id"]).withColumns(job | {"trigger": F.lit("manual"), "started_at": at("2024-01-01 00:00:00"), "completed_at": at("2024-01-01 00:01:30")})
+    stats = materialize(stats, "stats")
     listed = results.select("repo_id", "source_id", "full_path", "status", "error").unionByName(gone.select("repo_id", "source_id", F.col("source_id").alias("full_path"), F.lit("deleted").alias("status"), F.lit(None).cast("string").alias("error")))
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("detail"), F.array(*map(F.lit, t)).cast("array<string>").alias("triggers"), F.lit(s).alias("secret")) for k, t, s in (("summary", [], _HOOK_KEY), ("full", ["on_failure"], None))]))
     channels = stats.select("tenant_id", "repo_id", F.concat(F.lit("https://hooks.example/"), F.col("repo_id")).alias("url"), kinds.alias("c")).select("tenant_id", "repo_id", "url", "c.*")
