@@ -24,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, that of the smallest doc_id. Links are 0.8 alike in five-word shingles, which three bits of a 64-bit fingerprint do not tell (README)."""
+    """One document of each class stays, that of the smallest doc_id. SimHash fingerprints within three bits are candidates, as in op8, and minhash cells bring those that more bits part (README); links are 0.8 alike in five-word shingles, by the sets themselves."""
     return simhash.keep_one(docs)
 
 

@@ -188,6 +188,25 @@ def test_pairs_with_one_edited_passage_are_not_lost(spark):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+def test_fingerprints_within_three_bits_meet_without_the_wide_search(spark, monkeypatch):
+    r = random.Random(21)
+    words = [f"t{i}" for i in range(5000)]
+    texts, line = [], " ".join(r.choice(words) for _ in range(13))
+    for _ in range(30):
+        base = [r.choice(words) for _ in range(300)]
+        texts += [" ".join(base), " ".join([*base, r.choice(words)])]
+    # alike in fingerprints, not in sets
+    texts += [f"{(line + ' ') * 200}{' '.join(r.choice(words) for _ in range(20))}" for _ in range(2)]
+    prints = [simhash.simhash(t.encode()) for t in texts]
+    bits = [((prints[i] ^ prints[i + 1]) & (2**64 - 1)).bit_count() for i in range(0, len(texts), 2)]
+    near = [b <= 3 for b in bits]
+    assert near[30] and sum(near[:30]) >= 20 and alike(*texts[60:]) < 0.8
+    monkeypatch.setattr(simhash, "wide_links", lambda cells, *_: cells.select("node", "node").toDF("a", "b").where("false"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.similar_classes(docs).collect()}
+    assert got == {i: i - i % 2 if i < 60 and near[i // 2] else i for i in range(len(texts))}
+
+
 def test_links_are_confirmed_on_the_shingle_sets(spark):
     r = random.Random(12)
     words = [f"t{i}" for i in range(5000)]

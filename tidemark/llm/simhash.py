@@ -263,11 +263,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     empty result; other columns are ignored, whatever their names.
     """
     marked = materialize(fingerprints(docs, key, text, width).withColumnRenamed(key, "k"), "simhash")
+    return print_classes(marked, radius, cell_limit).withColumnRenamed("k", key)
+
+
+def print_classes(marked: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """(k, fp, component_id) of marked rows (k, fp): the smallest k whose fingerprint is reachable over links of at most ``radius`` bits."""
     least = materialize(marked.groupBy("fp").agg(F.min("k").alias("least"), F.count("*").alias("n")), "prints")
     stars = components(links(least.select("fp"), radius, cell_limit))
     named = _named(stars, least.select(F.col("fp").alias("node"), "least"))
     per_fp = least.join(named.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("class_least", "least").alias("component_id"), "n")
-    return attach(marked, materialize(per_fp, "components"), "fp").select(F.col("k").alias(key), "fp", "component_id")
+    return attach(marked, materialize(per_fp, "components"), "fp").select("k", "fp", "component_id")
 
 
 #: Shingle width in words, and the least Jaccard similarity of two shingle sets that is a link: NUM / DEN.
@@ -454,18 +459,22 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sizes, prints = [], [], []
+            names, sizes, prints, fps = [], [], [], []
             for t in byte_column(batch.column(1)):
                 found = shingle_set(t)
+                fps.append(simhash(t))
                 names.append(_name(found))
                 sizes.append(len(found))
                 prints.append(_sketch(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array([p for p, _ in prints], pa.binary()), pa.array([s for _, s in prints], pa.binary())], ["k", "node", "size", "print", "search"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array([p for p, _ in prints], pa.binary()), pa.array([s for _, s in prints], pa.binary()), pa.array(fps, pa.int64())], ["k", "node", "size", "print", "search", "fp"])
 
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    marked = materialize(named.mapInArrow(run, "k long, node long, size int, print binary, search binary"), "wide")
+    marked = materialize(named.mapInArrow(run, "k long, node long, size int, print binary, search binary, fp long"), "wide")
     nodes = materialize(marked.groupBy("node", "size", "print", "search").agg(F.min("k").alias("least"), F.count("*").alias("n")), "sets")
-    near = materialize(components(wide_links(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, cell_limit)), "near")
+    wide = wide_links(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, cell_limit)
+    # texts of one set may have several fingerprints, as these count repeats
+    hashed = print_classes(materialize(marked.select(F.col("node").alias("k"), "fp").distinct(), "simhash"), cell_limit=cell_limit)
+    near = materialize(components(wide.union(hashed.select("k", "component_id").where("k <> component_id"))), "near")
     groups = near.join(nodes.select("node", "least", "size"), "node")
     stars = components(materialize(confirm(groups, named), "confirmed"))
     classes = _named(stars, nodes.select("node", "least"))
