@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.batches import by_known
 from tidemark.operators.calls import in_groups
 
 BATCH = 512
@@ -40,7 +41,7 @@ class HashingProvider:
     def embed_documents(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dimensions), np.float32)
         for i, t in enumerate(texts):
-            h = np.array([zlib.crc32(w.encode()) for w in _WORD.findall(t.lower())], np.int64)
+            h = np.fromiter((zlib.crc32(m[0].encode()) for m in _WORD.finditer(t.lower())), np.int64)
             np.add.at(out[i], h % self.dimensions, np.where(h >> 31 & 1, 1, -1))
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
@@ -50,7 +51,8 @@ def embed(chunks: DataFrame, provider: Provider, text: str = "text", batch: int
 
     @F.arrow_udf("array<float>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
+        # with one call at a time a step is a call; else there is enough in a step to keep all calls busy
+        for part in (x for p in parts for x in by_known(p, batch if concurrency <= 1 else 4 * batch * concurrency)):
             texts, out = part.to_pylist(), [None] * len(part)
             known = [i for i, t in enumerate(texts) if t is not None]
             for i, (v, error) in zip(known, in_groups([texts[i] for i in known], provider.embed_documents, batch, concurrency, rate), strict=True):
