@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import breadcrumb
+from tidemark.operators.batches import by_bytes
 
 _HEADING = re.compile(r"^(#{1,4})[ \t]+(.*\S)\s*$")
 CHUNKS = "array<struct<chunk_index:int,text:string,start_index:int,h1:string,h2:string,h3:string,h4:string>>"
@@ -74,8 +76,9 @@ def chunk(docs: DataFrame, text: str = "markdown", size: int = 1024, overlap: in
     """One row per chunk: the document's columns without its text, chunk_index, chunk_total, text with its breadcrumb, start_index, h1 to h4. Blank texts have none."""
 
     @F.arrow_udf(CHUNKS)
-    def run(column: pa.Array) -> pa.Array:
-        return pa.array([split(t, size, overlap) for t in column.to_pylist()], _KIND)
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in (x for column in columns for x in by_bytes(column)):
+            yield pa.array([split(t, size, overlap) for t in part.to_pylist()], _KIND)
 
     rows = docs.where(F.rlike(F.col(text), F.lit(r"\S"))).withColumn("_chunks", run(F.col(text))).drop(text)
     rows = rows.withColumn("chunk_total", F.size("_chunks"))
