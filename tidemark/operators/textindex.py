@@ -8,7 +8,9 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +32,31 @@ def terms_of(text: str | None) -> list[str]:
 def _blocks():
     """(bucket, term, block, keys, counts, lengths, most, least): a row for each term of a block; documents of a length share a block, so that the bounds of blocks differ. Rows without a term are those of the documents themselves, with their terms in ``keys``."""
 
+    kind = pa.schema([("term", pa.string()), ("block", pa.string()), ("keys", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())), ("most", pa.int32()), ("least", pa.int32())])
+
+    def offsets(sizes: np.ndarray) -> pa.Array:
+        return pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+
     def close(docs: list[tuple[int, str, Counter]]) -> Iterator[pa.RecordBatch]:
         docs.sort(key=lambda x: (x[0], x[1]))
-        for at in range(0, len(docs), BLOCK):
-            block, lists = uuid.uuid4().hex, {}
-            for n, key, counts in docs[at : at + BLOCK]:
-                for term, f in counts.items():
-                    lists.setdefault(term, []).append((key, f, n))
-            rows = [{"term": t, "block": block, "keys": [x[0] for x in held], "counts": [x[1] for x in held], "lengths": [x[2] for x in held], "most": max(x[1] for x in held), "least": min(x[2] for x in held)} for t, held in lists.items()]
-            rows += [{"term": None, "block": key, "keys": list(counts), "counts": None, "lengths": [n], "most": None, "least": None} for n, key, counts in docs[at : at + BLOCK]]
-            kind = pa.schema([("term", pa.string()), ("block", pa.string()), ("keys", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())), ("most", pa.int32()), ("least", pa.int32())])
-            for i in range(0, len(rows), 4096):
-                yield pa.RecordBatch.from_pylist(rows[i : i + 4096], kind)
+        keys, length, sizes = pa.array([k for _, k, _ in docs], pa.string()), np.array([n for n, _, _ in docs], np.int32), np.array([len(c) for _, _, c in docs], np.int64)
+        terms = pa.array(list(chain.from_iterable(c for _, _, c in docs)), pa.string())
+        counts = np.fromiter(chain.from_iterable(c.values() for _, _, c in docs), np.int32, len(terms))
+        parts = [pa.RecordBatch.from_arrays([pa.nulls(len(docs), pa.string()), keys, pa.ListArray.from_arrays(offsets(sizes), terms), pa.nulls(len(docs), kind.field("counts").type), pa.ListArray.from_arrays(offsets(np.ones(len(docs))), pa.array(length)), *[pa.nulls(len(docs), pa.int32())] * 2], schema=kind)]
+        if len(terms):
+            found, doc = terms.dictionary_encode(), np.repeat(np.arange(len(docs)), sizes)
+            list_ = doc // BLOCK * len(found.dictionary) + found.indices.to_numpy()
+            order = np.argsort(list_, kind="stable")  # by block and term, documents in their order
+            list_, doc, counts = list_[order], doc[order], counts[order]
+            starts = np.flatnonzero(np.r_[True, list_[1:] != list_[:-1]])
+            at = pa.array(np.r_[starts, len(doc)], pa.int32())
+            names = pa.array([uuid.uuid4().hex for _ in range(0, len(docs), BLOCK)])
+            lists = [pa.ListArray.from_arrays(at, x) for x in (keys.take(pa.array(doc)), pa.array(counts), pa.array(length[doc]))]
+            bounds = [pa.array(np.maximum.reduceat(counts, starts)), pa.array(np.minimum.reduceat(length[doc], starts))]
+            parts.append(pa.RecordBatch.from_arrays([found.dictionary.take(pa.array(list_[starts] % len(found.dictionary))), names.take(pa.array(doc[starts] // BLOCK)), *lists, *bounds], schema=kind))
+        for part in parts:
+            for i in range(0, part.num_rows, 4096):
+                yield part.slice(i, 4096)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, held = [], 0
