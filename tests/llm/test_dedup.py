@@ -8,7 +8,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, graph, simhash
+from tidemark.llm import common, dealing, graph, simhash
+from tidemark.storage import materialize
 
 
 def slow_simhash(text):
@@ -111,6 +112,24 @@ def test_components_of_chains_and_stars(spark):
     assert graph.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
+def test_written_steps_keep_small_plans(spark, monkeypatch):
+    """The driver keeps every plan, described anew for each stage that ends: a round as one plan had 29 exchanges here."""
+    seen = []
+
+    def spied(df, label):
+        seen.append((label, len(re.findall(r"\bExchange\b|ReusedExchange|BroadcastExchange", df._jdf.queryExecution().executedPlan().toString()))))
+        return materialize(df, label)
+
+    for module in (graph, simhash, dealing):
+        monkeypatch.setattr(module, "materialize", spied)
+    r = random.Random(3)
+    texts = corpus(r, 200)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {x.doc_id for x in simhash.keep_one(docs).collect()} <= set(range(200))
+    assert {x.component_id for x in simhash.near_duplicates(docs).collect()} <= set(range(200))
+    assert sum(label == "edges" for label, _ in seen) >= 6 and max(n for _, n in seen) <= 12, seen
+
+
 def test_null_keys_repeats_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "same text here"), (5, "same text here"), (5, "same text here"), (9, "same text here"), (2, "quite another story told")], "doc_id long, text string")
     got = sorted((x.doc_id is None, x.doc_id, x.component_id) for x in simhash.near_duplicates(docs).collect())

@@ -49,7 +49,8 @@ def components(pairs: DataFrame, limit: int = 500_000) -> DataFrame:
     """pairs: two long columns, any names. Returns (node, root) for every node of a pair; root is the component's smallest node.
 
     Links are contracted where they lie before anything is shuffled, so of a node with many links only one a part is left unless it is a root; roots
-    with many nodes meet these by a broadcast (see ``attach``).
+    with many nodes meet these by a broadcast (see ``attach``). Each step of a round is written: a round as one plan has
+    about 30 exchanges, and Spark's driver keeps every plan, described anew for each stage that ends.
     """
     a, b = pairs.columns
     edges = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").mapInArrow(_contract(limit), "v long, u long").where("v <> u").distinct()
@@ -58,10 +59,10 @@ def components(pairs: DataFrame, limit: int = 500_000) -> DataFrame:
     before = state(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        low = both.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")).select("v", F.least("v", "m").alias("m"), "n")
+        low = materialize(both.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")).select("v", F.least("v", "m").alias("m"), "n"), "low")
         large = attach(both.where("u > v"), low, "v", 2 * before[0]).select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u").distinct()
-        ordered = large.select(F.greatest("v", "u").alias("v"), F.least("v", "u").alias("u"))
-        low = ordered.groupBy("v").agg(F.min("u").alias("m"))
+        ordered = materialize(large.select(F.greatest("v", "u").alias("v"), F.least("v", "u").alias("u")), "large")
+        low = materialize(ordered.groupBy("v").agg(F.min("u").alias("m")), "low")
         moved = ordered.join(low, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = materialize(moved.union(low.select("v", F.col("m").alias("u"))).where("v <> u").distinct(), "edges")
         now = state(edges)

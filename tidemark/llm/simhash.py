@@ -473,8 +473,12 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     nodes = materialize(marked.groupBy("node", "size", "print", "search").agg(F.min("k").alias("least"), F.count("*").alias("n")), "sets")
     wide = wide_links(nodes.select("node", "print", "search").mapInArrow(_wide_cells, "cell long, node long, print binary"), radius, cell_limit)
     # texts of one set may have several fingerprints, as these count repeats
-    hashed = print_classes(materialize(marked.select(F.col("node").alias("k"), "fp").distinct(), "simhash"), cell_limit=cell_limit)
-    near = materialize(components(wide.union(hashed.select("k", "component_id").where("k <> component_id"))), "near")
+    prints = materialize(marked.select("node", "fp").distinct(), "simhash")
+    shared = materialize(prints.groupBy("fp").agg(F.count("*").alias("n")), "prints")
+    hashed = links(shared.select("fp"), cell_limit=cell_limit)
+    # fingerprints are nodes of the same graph, once: one that is also the name of a set only joins two groups, and the sets decide within
+    met = hashed.select(F.explode(F.array("a", "b")).alias("fp")).union(shared.where("n > 1").select("fp")).distinct()
+    near = materialize(components(wide.union(hashed).union(prints.join(met, "fp", "left_semi").select("node", "fp"))), "near")
     groups = near.join(nodes.select("node", "least", "size"), "node")
     stars = components(materialize(confirm(groups, named), "confirmed"))
     classes = _named(stars, nodes.select("node", "least"))
